@@ -231,4 +231,122 @@ def build() -> dict[str, str]:
         GROUP BY transaction_year, transaction_month, category, status
         ORDER BY transaction_year DESC, transaction_month DESC""",
     )
+    models = USERS_CHAIN + TX_CHAIN + [DIM_USERS, FACT_TX]
+    q["dim_users"] = with_ctes(models, "SELECT * FROM dim_users")
+    q["fact_transactions"] = with_ctes(models, "SELECT * FROM fact_transactions")
+    tests = {
+        "unique": _unique_tests(),
+        "not_null": _not_null_tests(),
+        "relationships": _relationship_tests(),
+    }
+    q["dq_unique"] = with_ctes(models, tests["unique"])
+    q["dq_not_null"] = with_ctes(models, tests["not_null"])
+    q["dq_relationships"] = with_ctes(models, tests["relationships"])
+    q["dq_summary"] = with_ctes(models, "\nUNION ALL\n".join(tests.values()))
+    q["dq_alerts"] = "WITH " + LOGS_RAW + ",\n" + _error_rate_alert()
+    q["row_counts"] = with_ctes(
+        USERS_CHAIN + TX_CHAIN + LOGS_CHAIN,
+        """SELECT 'users' AS table_name, count(*) AS row_count FROM users_processed
+        UNION ALL SELECT 'transactions', count(*) FROM transactions_processed
+        UNION ALL SELECT 'logs', count(*) FROM logs_processed""",
+    )
+    q["freshness"] = with_ctes(
+        TX_CHAIN,
+        f"""SELECT 'transactions' AS dataset,
+          (epoch(TIMESTAMP '{AS_OF}') - epoch(CAST(max(transaction_date) AS TIMESTAMP))) / 60.0::DOUBLE AS minutes
+        FROM transactions_processed""",
+    )
+    q["limit_sample"] = with_ctes(models, "SELECT * FROM dim_users ORDER BY user_id LIMIT 10")
+    q["union_sources"] = with_ctes(
+        models + [STREAM_TX],
+        """SELECT transaction_id, CAST(user_id AS VARCHAR) AS user_id, amount, currency, transaction_date,
+          'batch' AS origin FROM fact_transactions
+        UNION ALL
+        SELECT transaction_id, user_id, amount, currency, CAST("timestamp" AS DATE), 'stream' FROM stream_tx""",
+    )
+    q["union_by_name"] = with_ctes(
+        [TRANSACTIONS_RAW, STREAM_TX],
+        """SELECT * EXCLUDE (_ingestion_timestamp, _source) FROM transactions_raw
+        UNION ALL BY NAME
+        SELECT * REPLACE (CAST(user_id AS BIGINT) AS user_id) FROM stream_tx""",
+    )
+    q["json_envelope"] = with_ctes([STREAM_TX, STREAM_PARSED], "SELECT * FROM stream_parsed")
+    q["merchant_minute"] = with_ctes(
+        [STREAM_TX, STREAM_PARSED],
+        """SELECT time_bucket(INTERVAL '1 minute', "timestamp") AS window_start,
+          time_bucket(INTERVAL '1 minute', "timestamp") + INTERVAL '1 minute' AS window_end,
+          merchant, count(transaction_id) AS transaction_count, avg(amount) AS avg_amount
+        FROM stream_parsed WHERE status = 'completed' GROUP BY ALL""",
+    )
     return q
+
+
+DIM_USERS = f"""
+  dim_users AS (
+    SELECT user_id, name, email, age_group, TIMESTAMP '{AS_OF}' AS loaded_at FROM users_processed)"""
+
+FACT_TX = f"""
+  fact_transactions AS (
+    SELECT transaction_id, user_id, amount, currency, transaction_date, TIMESTAMP '{AS_OF}' AS loaded_at
+    FROM transactions_processed)"""
+
+STREAM_PARSED = """
+  stream_parsed AS (
+    SELECT transaction_id, user_id, CAST(amount AS FLOAT) AS amount, currency,
+      date_trunc('millisecond', "timestamp") AS "timestamp", merchant, status, "timestamp" AS kafka_timestamp
+    FROM stream_tx)"""
+
+
+def _test_row(test: str, model: str, column: str, failures_sql: str) -> str:
+    return (f"SELECT '{test}' AS test_name, '{model}' AS model, '{column}' AS column_name, "
+            f"CAST(({failures_sql}) AS BIGINT) AS failures, ({failures_sql}) = 0 AS passed")
+
+
+def _unique_tests() -> str:
+    rows = [
+        _test_row("unique", m, c,
+                  f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+        for m, c, t in fixed.MODEL_TESTS if t == "unique"
+    ]
+    return "\nUNION ALL\n".join(rows)
+
+
+def _not_null_tests() -> str:
+    rows = [
+        _test_row("not_null", m, c, f"SELECT count(*) FROM {m} WHERE {c} IS NULL")
+        for m, c, t in fixed.MODEL_TESTS if t == "not_null"
+    ]
+    return "\nUNION ALL\n".join(rows)
+
+
+def _relationship_tests() -> str:
+    pm, pc = fixed.RELATIONSHIP_TARGET
+    rows = [
+        _test_row("relationships", m, c,
+                  f"SELECT count(*) FROM {m} ch WHERE ch.{c} IS NOT NULL "
+                  f"AND NOT EXISTS (SELECT 1 FROM {pm} p WHERE p.{pc} = ch.{c})")
+        for m, c, t in fixed.MODEL_TESTS if t == "relationships"
+    ]
+    return "\nUNION ALL\n".join(rows)
+
+
+def _error_rate_alert() -> str:
+    ok = " AND ".join(f"coalesce({p}, false)" for p in LOGS_RULE_SQL)
+    hold = fixed.ERROR_RATE_HOLD_MINUTES
+    return f"""errs AS (
+      SELECT "timestamp" AS event_time FROM (SELECT DISTINCT * FROM logs_raw)
+      WHERE NOT ({ok}) AND "timestamp" IS NOT NULL),
+    buckets AS (
+      SELECT date_trunc('minute', event_time) - k * INTERVAL '1 minute' AS window_start
+      FROM errs, range(5) r(k)),
+    rates AS (
+      SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, count(*) AS errors,
+        count(*) / {float(fixed.ERROR_RATE_RANGE_SECONDS)}::DOUBLE AS rate
+      FROM buckets GROUP BY window_start),
+    pend AS (SELECT *, rate > {fixed.ERROR_RATE_THRESHOLD}::DOUBLE AS pending FROM rates),
+    held AS (
+      SELECT window_end + k * INTERVAL '1 minute' AS window_end, count(*) AS n
+      FROM pend, range({hold + 1}) r(k) WHERE pending GROUP BY 1 HAVING count(*) = {hold + 1})
+    SELECT 'HighDataValidationErrors' AS alert, p.window_start, p.window_end, p.errors, p.rate, p.pending,
+      coalesce(h.n IS NOT NULL, false) AS firing
+    FROM pend p LEFT JOIN held h ON p.window_end = h.window_end"""

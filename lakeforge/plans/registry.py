@@ -12,10 +12,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from lakeforge.functions import fixed
 from lakeforge.operators import aggregate as A
 from lakeforge.operators import clean as C
 from lakeforge.operators import enrich as E
+from lakeforge.operators import quality as Q
+from lakeforge.operators import setops as U
+from lakeforge.plans import models as M
 from lakeforge.sources import testdata as T
+from lakeforge.streaming import envelope as EV
+from lakeforge.streaming import windows as W
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -103,6 +111,102 @@ def q_transaction_summary(spark, sf_dir):
     return A.transaction_summary(transactions_processed(spark, sf_dir))
 
 
+def models(spark, sf_dir):
+    return {
+        "dim_users": M.dim_users(users_processed(spark, sf_dir), AS_OF),
+        "fact_transactions": M.fact_transactions(transactions_processed(spark, sf_dir), AS_OF),
+    }
+
+
+def q_dim_users(spark, sf_dir):
+    return models(spark, sf_dir)["dim_users"]
+
+
+def q_fact_transactions(spark, sf_dir):
+    return models(spark, sf_dir)["fact_transactions"]
+
+
+def _tests(kind):
+    return [t for t in fixed.MODEL_TESTS if t[2] == kind]
+
+
+def q_dq_unique(spark, sf_dir):
+    return Q.model_tests(models(spark, sf_dir), _tests("unique"))
+
+
+def q_dq_not_null(spark, sf_dir):
+    return Q.model_tests(models(spark, sf_dir), _tests("not_null"))
+
+
+def q_dq_relationships(spark, sf_dir):
+    return Q.model_tests(models(spark, sf_dir), _tests("relationships"))
+
+
+def q_dq_summary(spark, sf_dir):
+    return Q.model_tests(models(spark, sf_dir))
+
+
+def q_dq_alerts(spark, sf_dir):
+    errors = Q.validation_errors(T.logs_raw(spark, sf_dir), "logs", "timestamp")
+    return Q.error_rate_alert(errors)
+
+
+def q_row_counts(spark, sf_dir):
+    return A.row_counts(
+        {
+            "users": users_processed(spark, sf_dir),
+            "transactions": transactions_processed(spark, sf_dir),
+            "logs": logs_processed(spark, sf_dir),
+        }
+    )
+
+
+def q_freshness(spark, sf_dir):
+    return A.freshness(transactions_processed(spark, sf_dir), "transaction_date", AS_OF, "transactions")
+
+
+def q_limit_sample(spark, sf_dir):
+    return U.head(q_dim_users(spark, sf_dir), 10, order_by=["user_id"])
+
+
+def q_union_sources(spark, sf_dir):
+    batch = q_fact_transactions(spark, sf_dir).select(
+        "transaction_id",
+        F.col("user_id").cast("string").alias("user_id"),
+        "amount",
+        "currency",
+        "transaction_date",
+        F.lit("batch").alias("origin"),
+    )
+    stream = T.stream_transactions(spark, sf_dir).select(
+        "transaction_id",
+        "user_id",
+        "amount",
+        "currency",
+        F.col("timestamp").cast("date").alias("transaction_date"),
+        F.lit("stream").alias("origin"),
+    )
+    return U.union_all([batch, stream])
+
+
+def q_union_by_name(spark, sf_dir):
+    batch = C.drop_metadata(T.transactions_raw(spark, sf_dir))
+    stream = T.stream_transactions(spark, sf_dir).withColumn("user_id", F.col("user_id").cast("bigint"))
+    return U.union_by_name([batch, stream])
+
+
+def stream_records(spark, sf_dir):
+    return EV.parse_envelope(T.kafka_envelope(T.stream_transactions(spark, sf_dir)))
+
+
+def q_json_envelope(spark, sf_dir):
+    return stream_records(spark, sf_dir)
+
+
+def q_merchant_minute(spark, sf_dir):
+    return W.flatten_window(W.merchant_windows(stream_records(spark, sf_dir)))
+
+
 QUERIES: dict[str, Query] = {
     "clean_generic": q_clean_generic,
     "clean_users": q_clean_users,
@@ -117,4 +221,18 @@ QUERIES: dict[str, Query] = {
     "agg_logs": q_agg_logs,
     "user_analytics": q_user_analytics,
     "transaction_summary": q_transaction_summary,
+    "dim_users": q_dim_users,
+    "fact_transactions": q_fact_transactions,
+    "dq_unique": q_dq_unique,
+    "dq_not_null": q_dq_not_null,
+    "dq_relationships": q_dq_relationships,
+    "dq_summary": q_dq_summary,
+    "dq_alerts": q_dq_alerts,
+    "row_counts": q_row_counts,
+    "freshness": q_freshness,
+    "limit_sample": q_limit_sample,
+    "union_sources": q_union_sources,
+    "union_by_name": q_union_by_name,
+    "json_envelope": q_json_envelope,
+    "merchant_minute": q_merchant_minute,
 }
