@@ -278,6 +278,22 @@ def build() -> dict[str, str]:
           merchant, count(transaction_id) AS transaction_count, avg(amount) AS avg_amount
         FROM stream_parsed WHERE status = 'completed' GROUP BY ALL""",
     )
+    q["raw_roundtrip"] = with_ctes(
+        [USERS_RAW, USERS_CLEAN], "SELECT * FROM users_clean UNION ALL SELECT * FROM users_clean"
+    )
+    q["raw_roundtrip_keyed"] = with_ctes([USERS_RAW, USERS_CLEAN], "SELECT * FROM users_clean")
+    d1, d2 = "year=2024/month=02/day=01", "year=2024/month=02/day=02"
+    t1, t2 = "TIMESTAMP '2024-02-01 00:00:00'", "TIMESTAMP '2024-02-02 00:00:00'"
+    q["ingest_report"] = with_ctes(
+        [USERS_RAW, TRANSACTIONS_RAW, LOGS_RAW],
+        f"""SELECT 'users' AS dataset_name, 'customer' AS source_type, '{d1}' AS "partition", 1::BIGINT AS ingests,
+          count(*)::BIGINT AS "rows", {t1} AS first_ingest, {t1} AS last_ingest FROM users_raw
+        UNION ALL SELECT 'users', 'customer', '{d2}', 1, count(*), {t2}, {t2} FROM users_raw
+        UNION ALL SELECT 'transactions', 'orders', '{d1}', 1, count(*), {t1}, {t1} FROM transactions_raw
+        UNION ALL SELECT 'logs', 'events', '{d1}', 1, count(*), {t1}, {t1} FROM logs_raw""",
+    )
+    q["completeness"] = """SELECT * FROM (VALUES ('users', true), ('transactions', true), ('logs', true),
+        ('weather_api', false)) AS t(dataset, present)"""
     return q
 
 

@@ -21,6 +21,8 @@ from lakeforge.operators import enrich as E
 from lakeforge.operators import quality as Q
 from lakeforge.operators import setops as U
 from lakeforge.plans import models as M
+from lakeforge.session import shared_dir
+from lakeforge.sources import raw as R
 from lakeforge.sources import testdata as T
 from lakeforge.streaming import envelope as EV
 from lakeforge.streaming import windows as W
@@ -207,6 +209,49 @@ def q_merchant_minute(spark, sf_dir):
     return W.flatten_window(W.merchant_windows(stream_records(spark, sf_dir)))
 
 
+DAY1, DAY2 = "2024-02-01 00:00:00", "2024-02-02 00:00:00"
+EXPECTED_DATASETS = ("users", "transactions", "logs", "weather_api")
+
+
+def _landed_users(spark, sf_dir):
+    """Land the users extract on two days (K1), return the lake root."""
+    lake = shared_dir(spark, "lake", unique=True)
+    users = C.drop_metadata(T.users_raw(spark, sf_dir))
+    R.ingest_batch(users, lake, "users", "customer", DAY1)
+    R.ingest_batch(users, lake, "users", "customer", DAY2)
+    return lake
+
+
+def q_raw_roundtrip(spark, sf_dir):
+    """K1 twice -> S1 -> clean: the re-ingested rows differ in ingest time,
+    so the default exact de-dup keeps both copies (faithful order)."""
+    lake = _landed_users(spark, sf_dir)
+    return C.clean_data(R.read_raw(spark, lake, "users"), "users")
+
+
+def q_raw_roundtrip_keyed(spark, sf_dir):
+    """Same landing, keyed de-dup on user_id: latest ingest wins."""
+    lake = _landed_users(spark, sf_dir)
+    return C.clean_data(R.read_raw(spark, lake, "users"), "users", subset=["user_id"])
+
+
+def _landed_all(spark, sf_dir):
+    lake = shared_dir(spark, "lake", unique=True)
+    R.ingest_batch(C.drop_metadata(T.users_raw(spark, sf_dir)), lake, "users", "customer", DAY1)
+    R.ingest_batch(C.drop_metadata(T.transactions_raw(spark, sf_dir)), lake, "transactions", "orders", DAY1)
+    R.ingest_batch(C.drop_metadata(T.logs_raw(spark, sf_dir)), lake, "logs", "events", DAY1)
+    R.ingest_batch(C.drop_metadata(T.users_raw(spark, sf_dir)), lake, "users", "customer", DAY2)
+    return lake
+
+
+def q_ingest_report(spark, sf_dir):
+    return R.ingest_report(R.read_manifest(spark, _landed_all(spark, sf_dir)))
+
+
+def q_completeness(spark, sf_dir):
+    return Q.completeness(R.read_manifest(spark, _landed_all(spark, sf_dir)), EXPECTED_DATASETS)
+
+
 QUERIES: dict[str, Query] = {
     "clean_generic": q_clean_generic,
     "clean_users": q_clean_users,
@@ -235,4 +280,8 @@ QUERIES: dict[str, Query] = {
     "union_by_name": q_union_by_name,
     "json_envelope": q_json_envelope,
     "merchant_minute": q_merchant_minute,
+    "raw_roundtrip": q_raw_roundtrip,
+    "raw_roundtrip_keyed": q_raw_roundtrip_keyed,
+    "ingest_report": q_ingest_report,
+    "completeness": q_completeness,
 }
