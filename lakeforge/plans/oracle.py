@@ -294,6 +294,9 @@ def build() -> dict[str, str]:
     )
     q["completeness"] = """SELECT * FROM (VALUES ('users', true), ('transactions', true), ('logs', true),
         ('weather_api', false)) AS t(dataset, present)"""
+    q["warehouse_user_analytics"] = q["user_analytics"]
+    q["warehouse_transaction_summary"] = q["transaction_summary"]
+    q["warehouse_dq_summary"] = q["dq_summary"]
     return q
 
 

@@ -252,6 +252,42 @@ def q_completeness(spark, sf_dir):
     return Q.completeness(R.read_manifest(spark, _landed_all(spark, sf_dir)), EXPECTED_DATASETS)
 
 
+_RUNS: dict[tuple[str, str], dict] = {}
+
+
+def full_run(spark, sf_dir):
+    """P2 over the derived datasets, once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        from lakeforge.plans.run import run_pipeline
+
+        batches = [
+            (C.drop_metadata(T.users_raw(spark, sf_dir)), "users", "customer"),
+            (C.drop_metadata(T.transactions_raw(spark, sf_dir)), "transactions", "orders"),
+            (C.drop_metadata(T.logs_raw(spark, sf_dir)), "logs", "events"),
+        ]
+        _RUNS[key] = run_pipeline(spark, shared_dir(spark, "lake", unique=True), batches, AS_OF)
+    return _RUNS[key]
+
+
+def q_warehouse_user_analytics(spark, sf_dir):
+    full_run(spark, sf_dir)
+    return spark.table("curated.user_analytics")
+
+
+def q_warehouse_transaction_summary(spark, sf_dir):
+    full_run(spark, sf_dir)
+    return spark.table("curated.transaction_summary")
+
+
+def q_warehouse_dq_summary(spark, sf_dir):
+    return full_run(spark, sf_dir)["tests"]
+
+
+def q_warehouse_table_info(spark, sf_dir):
+    return full_run(spark, sf_dir)["warehouse"].get_table_info()
+
+
 QUERIES: dict[str, Query] = {
     "clean_generic": q_clean_generic,
     "clean_users": q_clean_users,
@@ -284,4 +320,8 @@ QUERIES: dict[str, Query] = {
     "raw_roundtrip_keyed": q_raw_roundtrip_keyed,
     "ingest_report": q_ingest_report,
     "completeness": q_completeness,
+    "warehouse_user_analytics": q_warehouse_user_analytics,
+    "warehouse_transaction_summary": q_warehouse_transaction_summary,
+    "warehouse_dq_summary": q_warehouse_dq_summary,
+    "warehouse_table_info": q_warehouse_table_info,
 }
