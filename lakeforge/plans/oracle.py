@@ -297,6 +297,7 @@ def build() -> dict[str, str]:
     q["warehouse_user_analytics"] = q["user_analytics"]
     q["warehouse_transaction_summary"] = q["transaction_summary"]
     q["warehouse_dq_summary"] = q["dq_summary"]
+    q["merchant_minute_stream"] = q["merchant_minute"]
     return q
 
 

@@ -288,6 +288,25 @@ def q_warehouse_table_info(spark, sf_dir):
     return full_run(spark, sf_dir)["warehouse"].get_table_info()
 
 
+STREAM_BATCHES = 4
+
+
+def q_merchant_minute_stream(spark, sf_dir):
+    """W1 through Structured Streaming: envelopes landed as files, read as a
+    stream over several micro-batches, complete-mode snapshots."""
+    from lakeforge.streaming import jobs
+
+    base = shared_dir(spark, "stream", unique=True)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    T.kafka_envelope(T.stream_transactions(spark, sf_dir)).repartitionByRange(parts, "timestamp").write.parquet(
+        f"{base}/in"
+    )
+    per_trigger = max(1, -(-parts // STREAM_BATCHES))
+    envelopes = jobs.envelope_file_stream(spark, f"{base}/in", max_files_per_trigger=per_trigger)
+    final = jobs.run_merchant_snapshot(envelopes, f"{base}/checkpoint", f"{base}/out")
+    return W.flatten_window(spark.read.parquet(final))
+
+
 QUERIES: dict[str, Query] = {
     "clean_generic": q_clean_generic,
     "clean_users": q_clean_users,
@@ -324,4 +343,5 @@ QUERIES: dict[str, Query] = {
     "warehouse_transaction_summary": q_warehouse_transaction_summary,
     "warehouse_dq_summary": q_warehouse_dq_summary,
     "warehouse_table_info": q_warehouse_table_info,
+    "merchant_minute_stream": q_merchant_minute_stream,
 }
