@@ -298,6 +298,17 @@ def build() -> dict[str, str]:
     q["warehouse_transaction_summary"] = q["transaction_summary"]
     q["warehouse_dq_summary"] = q["dq_summary"]
     q["merchant_minute_stream"] = q["merchant_minute"]
+    q["merchant_minute_watermarked"] = with_ctes(
+        [STREAM_TX, STREAM_PARSED],
+        """SELECT * FROM (
+          SELECT time_bucket(INTERVAL '1 minute', "timestamp") AS window_start,
+            time_bucket(INTERVAL '1 minute', "timestamp") + INTERVAL '1 minute' AS window_end,
+            merchant, count(transaction_id) AS transaction_count, avg(amount) AS avg_amount
+          FROM stream_parsed WHERE status = 'completed' GROUP BY ALL) w
+        WHERE window_end <= (SELECT max("timestamp") FROM stream_parsed WHERE status = 'completed')
+          - INTERVAL '10 minutes'""",
+    )
+    q["raw_ingest"] = with_ctes([TRANSACTIONS_RAW], "SELECT * FROM transactions_raw")
     return q
 
 

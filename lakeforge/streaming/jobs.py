@@ -132,6 +132,24 @@ def run_merchant_snapshot(
     return latest()
 
 
+def run_merchant_append(envelopes: DataFrame, checkpoint: str, out_dir: str, watermark: str) -> str:
+    """Watermarked aggregate in append mode into a parquet sink.
+
+    State is bounded: a window is emitted once, when the watermark (newest
+    event time seen minus ``watermark``) reaches its end, and then dropped
+    from the state store.  The file sink's commit log makes the output
+    exactly-once across restarts.
+    """
+    query = start_merchant_query(
+        merchant_stream(envelopes, watermark), checkpoint, sink="parquet", output_mode="append",
+        available_now=True, path=out_dir,
+    )
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return out_dir
+
+
 # --- S4: bounded pull into RAW -------------------------------------------------
 
 def bounded_pull(
