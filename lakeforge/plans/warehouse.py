@@ -167,7 +167,7 @@ class Warehouse:
         scan's file metadata (one distributed aggregate per table).
         """
         schema = schema or self.schema
-        names = sorted(t.name for t in self.spark.catalog.listTables(schema))
+        names = sorted(t.name for t in self.spark.catalog.listTables(schema) if not t.isTemporary)
         parts = [
             self.spark.table(f"{schema}.{t}")
             .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
