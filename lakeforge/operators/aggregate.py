@@ -115,8 +115,12 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def freshness(df: DataFrame, column: str, as_of: dt.datetime | str | None, dataset: str) -> DataFrame:
-    """A5: minutes between ``as_of`` (default now) and the newest ``column``."""
-    now = F.current_timestamp() if as_of is None else X.timestamp_literal(as_of).cast("timestamp")
-    newest = F.max(F.col(column)).cast("timestamp")
-    minutes = (F.unix_seconds(now) - F.unix_seconds(newest)) / F.lit(60.0)
+    """A5: minutes between ``as_of`` (default now) and the newest ``column``.
+
+    Both ends are wall-clock (no time zone) values, so the difference does
+    not depend on the session time zone or its daylight-saving shifts.
+    """
+    now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else X.timestamp_literal(as_of)
+    newest = F.max(F.col(column)).cast("timestamp_ntz")
+    minutes = F.timestamp_diff("SECOND", newest, now) / F.lit(60.0)
     return df.agg(minutes.alias("minutes")).select(F.lit(dataset).alias("dataset"), "minutes")
