@@ -20,19 +20,25 @@ def _type_of(df: DataFrame, name: str) -> str:
 
 def enrich_users(df: DataFrame) -> DataFrame:
     """E1 age_group, E2 email_domain."""
-    return df.withColumn("age_group", X.age_group("age")).withColumn("email_domain", X.email_domain("email"))
+    return df.withColumns({"age_group": X.age_group("age"), "email_domain": X.email_domain("email")})
 
 
 def enrich_transactions(df: DataFrame, rates: Mapping[str, float] | None = None) -> DataFrame:
-    """E3 amount_eur, E4 amount_category, E5 date parts (date replaces the column)."""
+    """E3 amount_eur, E4 amount_category, E5 date parts (date replaces the column).
+
+    One projection; the date parts are taken from the converted date, so a
+    malformed date yields NULL parts rather than a parse error.
+    """
     date = X.safe_to_date("transaction_date", _type_of(df, "transaction_date"))
-    return (
-        df.withColumn("amount_eur", X.amount_eur("amount", "currency", rates))
-        .withColumn("amount_category", X.amount_category("amount"))
-        .withColumn("transaction_date", date)
-        .withColumn("transaction_year", F.year("transaction_date"))
-        .withColumn("transaction_month", F.month("transaction_date"))
-        .withColumn("transaction_day", F.dayofmonth("transaction_date"))
+    return df.withColumns(
+        {
+            "amount_eur": X.amount_eur("amount", "currency", rates),
+            "amount_category": X.amount_category("amount"),
+            "transaction_date": date,
+            "transaction_year": F.year(date),
+            "transaction_month": F.month(date),
+            "transaction_day": F.dayofmonth(date),
+        }
     )
 
 
@@ -41,10 +47,8 @@ def enrich_logs(df: DataFrame) -> DataFrame:
     ts = F.col("timestamp")
     if _type_of(df, "timestamp") == "string":
         ts = F.try_to_timestamp(ts)
-    return (
-        df.withColumn("log_date", ts.cast("date"))
-        .withColumn("log_hour", F.hour(ts))
-        .withColumn("severity_level", X.severity_level("level"))
+    return df.withColumns(
+        {"log_date": ts.cast("date"), "log_hour": F.hour(ts), "severity_level": X.severity_level("level")}
     )
 
 

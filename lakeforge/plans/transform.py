@@ -32,19 +32,28 @@ def save_to_processed(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
     files_per_partition: int | None = None,
+    rebalance: bool = True,
 ) -> str:
     """K2: parquet under PROCESSED; overwrite or append; optional partitions.
 
-    ``files_per_partition`` bounds the file count: rows are shuffled on the
-    partition columns plus a deterministic hash bucket of the row, so each
-    partition value is written by at most that many tasks (and a hot value
-    is still spread over that many tasks).  The bucket is a hash, not
-    ``rand()``, so a retried task sends every row to the same place.
+    Without care, a partitioned write makes (tasks x partition values) small
+    files.  By default rows are rebalanced on the partition columns (AQE's
+    REBALANCE): each partition value goes to one task, a value larger than
+    the advisory partition size is split across several, small ones are
+    coalesced.
+
+    ``files_per_partition`` instead bounds the count explicitly: rows are
+    shuffled on the partition columns plus a deterministic hash bucket of
+    the row, so each value is written by at most that many tasks.  The
+    bucket is a hash, not ``rand()``, so a retried task sends every row to
+    the same place.
     """
     path = processed_path(lake, dataset)
     if partition_by and files_per_partition:
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in partition_by], bucket)
+    elif partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -72,7 +81,8 @@ def transform_pipeline(
     register_table(spark, f"processed_{dataset_name}", out, partitioned=bool(partition_cols))
     paths = {dataset_name: out}
     if with_aggregation:
-        agg = aggregate_data(read_processed(spark, out), dataset_type)
+        # just written by one overwrite: one schema, no footer merge needed
+        agg = aggregate_data(read_processed(spark, out, merge_schema=False), dataset_type)
         agg_name = f"{dataset_name}_agg"
         paths[agg_name] = save_to_processed(agg, lake, agg_name)
         register_table(spark, f"processed_{agg_name}", paths[agg_name])

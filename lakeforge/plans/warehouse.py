@@ -32,15 +32,16 @@ BUILDER_PROP = "lakeforge.view_builder"
 ViewQuery = str | Callable[[SparkSession], DataFrame]
 
 
-def read_processed(spark: SparkSession, path: str) -> DataFrame:
+def read_processed(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
     """Every parquet file of a PROCESSED dataset, by column name.
 
     A directory scan keeps the partition columns (transaction_year, log_date
     ...); a per-file read would lose them.  Missing folder or no data files
-    is an error, not an empty table.
+    is an error, not an empty table.  ``merge_schema`` (a distributed footer
+    read) is only needed when appends may have changed the columns.
     """
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
     except AnalysisException as exc:
         raise FileNotFoundError(f"PROCESSED dataset not found or empty: {path}") from exc
 
