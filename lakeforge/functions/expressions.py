@@ -110,28 +110,29 @@ def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
 
 
 def money_avg(c: ColumnOrName, scale: int = 2) -> Column:
-    """Exact-sum average: ``money_sum / count`` (NULL for an empty group)."""
-    return F.sum(money(c, scale)).cast("double") / F.count(_col(c))
+    """Exact-sum average: ``money_sum / count``; NULL when no amount is set
+    (``try_divide``: ANSI mode would otherwise fail on a zero count)."""
+    return F.try_divide(F.sum(money(c, scale)).cast("double"), F.count(_col(c)))
 
 
 def pretty_size(bytes_col: ColumnOrName) -> Column:
-    """Human readable size: bytes, kB, MB, GB, TB with 1024 steps.
+    """Human readable size with the usual database convention.
 
-    Follows the usual database convention: below 10 * 1024 of a unit stays in
-    that unit; values are rounded to whole units.
+    Below 10240 bytes: bytes.  Otherwise the size is shifted to half-units
+    (integer shifts, so no floating point) and shown in the first of kB, MB,
+    GB, TB, PB whose half-unit count is below 20480, rounded half up.
     """
-    b = _col(bytes_col).cast("double")
-    limit = 10 * 1024
-    expr = F.when(b < limit, F.concat(F.format_string("%.0f", b), F.lit(" bytes")))
-    unit_size = 1.0
-    for unit in ("kB", "MB", "GB"):
-        unit_size *= 1024
-        expr = expr.when(
-            F.round(b / unit_size) < limit,
-            F.concat(F.format_string("%.0f", F.round(b / unit_size)), F.lit(" " + unit)),
-        )
-    unit_size *= 1024
-    return expr.otherwise(F.concat(F.format_string("%.0f", F.round(b / unit_size)), F.lit(" TB")))
+    size = _col(bytes_col).cast("bigint")
+    expr = F.when(size < 10 * 1024, F.concat(size.cast("string"), F.lit(" bytes")))
+    half = F.shiftright(size, 9)
+    units = ("kB", "MB", "GB", "TB", "PB")
+    for i, unit in enumerate(units):
+        shown = F.concat(F.shiftright(half + 1, 1).cast("string"), F.lit(" " + unit))
+        if i == len(units) - 1:
+            return expr.otherwise(shown)
+        expr = expr.when(half < 20 * 1024, shown)
+        half = F.shiftright(half, 10)
+    return expr
 
 
 def passes(predicate: Column) -> Column:

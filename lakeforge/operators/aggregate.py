@@ -85,7 +85,7 @@ def user_analytics(users: DataFrame, transactions: DataFrame) -> DataFrame:
         "country",
         F.coalesce(F.col("_tx_distinct"), F.lit(0)).cast("bigint").alias("total_transactions"),
         F.coalesce((F.col("_tx_sum") * F.col("_copies")).cast("double"), F.lit(0.0)).alias("total_spent"),
-        F.coalesce(total / F.col("_tx_amounts"), F.lit(0.0)).alias("avg_transaction_amount"),
+        F.coalesce(F.try_divide(total, F.col("_tx_amounts")), F.lit(0.0)).alias("avg_transaction_amount"),
         F.coalesce(F.col("_tx_last"), F.col("registration_date").cast("date")).alias("last_transaction_date"),
     )
 
