@@ -367,17 +367,18 @@ def _error_rate_alert() -> str:
     return f"""errs AS (
       SELECT "timestamp" AS event_time FROM (SELECT DISTINCT * FROM logs_raw)
       WHERE NOT ({ok}) AND "timestamp" IS NOT NULL),
-    buckets AS (
-      SELECT date_trunc('minute', event_time) - k * INTERVAL '1 minute' AS window_start
-      FROM errs, range(5) r(k)),
+    buckets AS ({" UNION ALL ".join(
+        f"SELECT date_trunc('minute', event_time) - INTERVAL '{k} minutes' AS window_start FROM errs"
+        for k in range(5))}),
     rates AS (
       SELECT window_start, window_start + INTERVAL '5 minutes' AS window_end, count(*) AS errors,
         count(*) / {float(fixed.ERROR_RATE_RANGE_SECONDS)}::DOUBLE AS rate
       FROM buckets GROUP BY window_start),
     pend AS (SELECT *, rate > {fixed.ERROR_RATE_THRESHOLD}::DOUBLE AS pending FROM rates),
     held AS (
-      SELECT window_end + k * INTERVAL '1 minute' AS window_end, count(*) AS n
-      FROM pend, range({hold + 1}) r(k) WHERE pending GROUP BY 1 HAVING count(*) = {hold + 1})
+      SELECT window_end, count(*) AS n FROM ({" UNION ALL ".join(
+        f"SELECT window_end + INTERVAL '{k} minutes' AS window_end FROM pend WHERE pending"
+        for k in range(hold + 1))}) GROUP BY window_end HAVING count(*) = {hold + 1})
     SELECT 'HighDataValidationErrors' AS alert, p.window_start, p.window_end, p.errors, p.rate, p.pending,
       coalesce(h.n IS NOT NULL, false) AS firing
     FROM pend p LEFT JOIN held h ON p.window_end = h.window_end"""

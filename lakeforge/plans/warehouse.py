@@ -128,12 +128,19 @@ class Warehouse:
 
     # -- T5 ---------------------------------------------------------------
     def create_indexes(self, table: str, columns: Sequence[str], schema: str | None = None) -> None:
-        """Index re-aimed as data layout: range-partition by the first column
-        and sort each file by all of them, so parquet min/max statistics let
-        filters on these columns skip row groups and files."""
+        """Index re-aimed as data layout: range-partition and sort by the
+        columns, so parquet min/max statistics let filters on them skip row
+        groups and whole files.
+
+        A row hash is the last range key: range bounds can then fall inside
+        a single hot value, so a value holding a third of the rows is spread
+        over several tasks and files instead of one, while files stay ordered
+        by the index columns.
+        """
         name = self.qualified(table, schema)
         df = self.spark.table(name)
-        laid_out = df.repartitionByRange(F.col(columns[0])).sortWithinPartitions(*columns)
+        tie = F.xxhash64(*[F.col(c) for c in df.columns])
+        laid_out = df.repartitionByRange(*[F.col(c) for c in columns], tie).sortWithinPartitions(*columns)
         self._swap(name, laid_out, self.table_path(table, schema))
 
     # -- T3 / T4 ------------------------------------------------------------
