@@ -152,6 +152,22 @@ def run_merchant_append(envelopes: DataFrame, checkpoint: str, out_dir: str, wat
 
 # --- S4: bounded pull into RAW -------------------------------------------------
 
+def hourly_kafka_ingest(
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topic: str,
+    lake: str,
+    dataset: str,
+    checkpoint: str,
+    schema: StructType,
+    max_messages: int = fixed.KAFKA_HOURLY_MAX_MESSAGES,
+) -> StreamingQuery:
+    """S7 -> S4 wiring: from the earliest uncommitted offset, at most
+    ``max_messages`` per micro-batch (one RAW ingest each), until caught up."""
+    source = kafka_stream(spark, bootstrap_servers, topic, "earliest", max_offsets_per_trigger=max_messages)
+    return bounded_pull(source, lake, dataset, checkpoint, schema, source_type="kafka")
+
+
 def bounded_pull(
     envelopes: DataFrame,
     lake: str,
