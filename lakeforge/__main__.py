@@ -58,6 +58,9 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
+    from pyspark.sql import SparkSession
+
+    owned = SparkSession.getActiveSession() is None
     spark = build_session(app_name=f"lakeforge-{args.command}")
     try:
         if args.command == "ingest":
@@ -95,25 +98,14 @@ def main(argv: list[str] | None = None) -> int:
             query = start_merchant_query(merchant_stream(src, args.watermark), args.checkpoint, output_mode=mode)
             query.awaitTermination()
         elif args.command == "run":
-            from lakeforge.operators.quality import assert_complete, completeness
-            from lakeforge.plans.run import DATASETS, INDEXES, models_then_tests
-            from lakeforge.plans.transform import transform_pipeline
-            from lakeforge.plans.warehouse import Warehouse, build_warehouse
-            from lakeforge.sources.raw import ingest_report, read_manifest
+            from lakeforge.plans.run import process_landed
 
-            names = args.datasets.split(",")
-            manifest = read_manifest(spark, args.data_lake)
-            assert_complete(completeness(manifest, names))
-            paths: dict[str, str] = {}
-            for d in names:
-                dataset_type, aggregate = DATASETS.get(d, ("generic", False))
-                paths.update(transform_pipeline(spark, args.data_lake, d, dataset_type, aggregate))
-            wh = Warehouse(spark, f"{args.data_lake.rstrip('/')}/curated")
-            build_warehouse(wh, {d: paths[d] for d in names}, {t: c for t, c in INDEXES.items() if t in names})
-            models_then_tests(spark, wh).show(truncate=False)
-            ingest_report(manifest).show(truncate=False)
+            result = process_landed(spark, args.data_lake, args.datasets.split(","))
+            result["tests"].show(truncate=False)
+            result["ingest_report"].show(truncate=False)
     finally:
-        spark.stop()
+        if owned:
+            spark.stop()
     return 0
 
 

@@ -44,18 +44,15 @@ def models_then_tests(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | s
     return model_tests(models)
 
 
-def run_pipeline(
+def process_landed(
     spark: SparkSession,
     lake: str,
-    batches: Sequence[tuple[DataFrame, str, str]],
+    names: Sequence[str],
     as_of: dt.datetime | str | None = None,
     expected: Sequence[str] | None = None,
 ) -> dict[str, object]:
-    """Run every stage for (df, dataset, source_type) batches."""
-    for df, dataset, source_type in batches:
-        ingest_batch(df, lake, dataset, source_type, as_of)
+    """Everything after landing: gate, transforms, warehouse, models, tests."""
     manifest = read_manifest(spark, lake)
-    names = [b[1] for b in batches]
     assert_complete(completeness(manifest, expected or names))
 
     processed: dict[str, str] = {}
@@ -74,3 +71,16 @@ def run_pipeline(
         "tests": tests,
         "ingest_report": ingest_report(manifest),
     }
+
+
+def run_pipeline(
+    spark: SparkSession,
+    lake: str,
+    batches: Sequence[tuple[DataFrame, str, str]],
+    as_of: dt.datetime | str | None = None,
+    expected: Sequence[str] | None = None,
+) -> dict[str, object]:
+    """Land (df, dataset, source_type) batches, then ``process_landed``."""
+    for df, dataset, source_type in batches:
+        ingest_batch(df, lake, dataset, source_type, as_of)
+    return process_landed(spark, lake, [b[1] for b in batches], as_of, expected)
