@@ -28,17 +28,41 @@ DEFAULT_CONF = {
 }
 
 
+def sized_conf(input_bytes: int, bytes_per_shuffle_partition: int = 2 << 30) -> dict[str, str]:
+    """Shuffle and scan sizing for an input volume (spill-aware defaults).
+
+    The widest shuffle here is the exact de-dup of the input, so the static
+    partition count gives each reducer about ``bytes_per_shuffle_partition``
+    of it (bounded to 200..50000: more reducers multiply shuffle blocks);
+    AQE then coalesces to ~256 MB partitions after partial aggregation has
+    shrunk the data, and splits skewed ones.  Scan splits stay at 256 MB.
+    """
+    parts = max(200, min(50_000, -(-input_bytes // bytes_per_shuffle_partition)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "lakeforge",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the pipeline's defaults."""
+    """Create (or reuse) a session with the pipeline's defaults.
+
+    ``input_bytes`` sizes shuffles for the expected input (``sized_conf``);
+    an explicit ``shuffle_partitions`` wins over it.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if input_bytes:
+        settings.update(sized_conf(input_bytes))
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})

@@ -35,3 +35,12 @@ def test_passes_treats_null_as_false(spark):
     df = spark.createDataFrame([(None,), (1,)], "x int")
     got = [r[0] for r in df.select(X.passes(F.col("x") > 0)).collect()]
     assert got == [False, True]
+
+
+def test_sized_conf_scales_and_clamps():
+    from lakeforge.session import sized_conf
+
+    assert sized_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
+    big = int(sized_conf(100 * 10**12)["spark.sql.shuffle.partitions"])
+    assert 20_000 < big <= 50_000
+    assert sized_conf(10**18)["spark.sql.shuffle.partitions"] == "50000"
