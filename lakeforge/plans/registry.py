@@ -9,9 +9,9 @@ DuckDB SQL for the same keys.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from lakeforge.functions import fixed
@@ -71,10 +71,7 @@ def q_clean_logs(spark, sf_dir):
 
 
 def _union_all(frames):
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return reduce(DataFrame.unionByName, frames)
 
 
 def q_clean_report(spark, sf_dir):
