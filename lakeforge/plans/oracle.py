@@ -13,7 +13,7 @@ that keep both engines bit-identical:
 from __future__ import annotations
 
 from lakeforge.functions import fixed
-from lakeforge.sources.testdata import DEFAULT_INGEST_TS, DUPLICATED_SEGMENT
+from lakeforge.sources.testdata import DEFAULT_INGEST_TS, EXTRACT_COPIES
 
 AS_OF = "2024-02-01 00:00:00"
 
@@ -36,13 +36,9 @@ USERS_RAW = f"""
       CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(c_custkey % 131 AS INTEGER) - 5 END AS age,
       n_name AS country,
       make_date(2020, CAST(c_custkey % 12 + 1 AS INTEGER), CAST(c_custkey % 28 + 1 AS INTEGER)) AS registration_date,
-      TIMESTAMP '{DEFAULT_INGEST_TS}' AS _ingestion_timestamp, 'customer' AS _source,
-      c_mktsegment
+      TIMESTAMP '{DEFAULT_INGEST_TS}' AS _ingestion_timestamp, 'customer' AS _source
     FROM customer JOIN nation ON c_nationkey = n_nationkey),
-  users_raw AS (
-    SELECT * EXCLUDE (c_mktsegment) FROM users_base
-    UNION ALL
-    SELECT * EXCLUDE (c_mktsegment) FROM users_base WHERE c_mktsegment = '{DUPLICATED_SEGMENT}')"""
+  users_raw AS ({" UNION ALL ".join(["SELECT * FROM users_base"] * EXTRACT_COPIES)})"""
 
 TRANSACTIONS_RAW = f"""
   transactions_raw AS (

@@ -21,9 +21,9 @@ from lakeforge.functions.expressions import timestamp_literal
 
 # Ingest time stamped on the derived RAW rows, fixed so runs are reproducible.
 DEFAULT_INGEST_TS = "2024-02-01 00:00:00"
-# Customers of this market segment arrive twice in the same landing batch,
-# which gives the exact de-duplication step real work.
-DUPLICATED_SEGMENT = "BUILDING"
+# The customer extract arrives twice in the same landing batch (every user
+# has one exact copy), which gives the exact de-duplication step real work.
+EXTRACT_COPIES = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,10 +56,11 @@ def users_raw(spark: SparkSession, sf_dir: str, ingest_ts: str = DEFAULT_INGEST_
         F.make_date(F.lit(2020), (k % 12 + 1).cast("int"), (k % 28 + 1).cast("int")).alias("registration_date"),
         timestamp_literal(ingest_ts).alias("_ingestion_timestamp"),
         F.lit("customer").alias("_source"),
-        F.col("c_mktsegment"),
     )
-    again = users.filter(F.col("c_mktsegment") == DUPLICATED_SEGMENT)
-    return users.unionAll(again).drop("c_mktsegment")
+    out = users
+    for _ in range(EXTRACT_COPIES - 1):
+        out = out.unionAll(users)
+    return out
 
 
 def transactions_raw(spark: SparkSession, sf_dir: str, ingest_ts: str = DEFAULT_INGEST_TS) -> DataFrame:
