@@ -62,7 +62,7 @@ def process_landed(
 
     wh = Warehouse(spark, f"{lake.rstrip('/')}/curated")
     curated = {d: processed[d] for d in names}
-    table_info = build_warehouse(wh, curated, {t: c for t, c in INDEXES.items() if t in curated})
+    table_info = build_warehouse(wh, curated, {t: c for t, c in INDEXES.items() if t in curated}, fresh=True)
     tests = models_then_tests(spark, wh, as_of)
     return {
         "processed": processed,

@@ -105,3 +105,14 @@ def test_transform_pipeline_end_to_end(spark, lake):
     assert os.path.isdir(os.path.join(paths["transactions"], "transaction_year=2025"))
     agg = spark.table("processed_transactions_agg")
     assert agg.agg(F.sum("total_transactions")).first()[0] == 6
+
+
+def test_load_with_layout_writes_once(spark, lake):
+    wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_lay")
+    p1 = save_to_processed(tx(spark, 20), lake, "a")
+    assert wh.load_from_processed(p1, "tx", cluster_by=["user_id"]) == 20
+    versions = [d for d in os.listdir(wh.table_path("tx")) if d.startswith("v_")]
+    assert len(versions) == 1  # no second rewrite for the layout
+    per_file = spark.table("wh_lay.tx").groupBy(F.input_file_name()).agg(F.min("user_id"), F.max("user_id"))
+    spans = sorted(tuple(r[1:]) for r in per_file.collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
