@@ -35,6 +35,8 @@ def _parser() -> argparse.ArgumentParser:
     tr.add_argument("--aggregate", action="store_true")
     tr.add_argument("--data-lake", default="./data_lake")
     tr.add_argument("--dedup-key", default=None, help="comma-separated key columns for keyed de-dup")
+    tr.add_argument("--raw-filter", default=None, help="RAW partition filter, e.g. 'year = 2025 AND day = 5'")
+    tr.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
 
     wh = sub.add_parser("warehouse", help="build curated tables and views")
     wh.add_argument("--data-lake", default="./data_lake")
@@ -74,7 +76,8 @@ def main(argv: list[str] | None = None) -> int:
             from lakeforge.plans.transform import transform_pipeline
 
             subset = args.dedup_key.split(",") if args.dedup_key else None
-            print(transform_pipeline(spark, args.data_lake, args.dataset, args.type, args.aggregate, subset=subset))
+            print(transform_pipeline(spark, args.data_lake, args.dataset, args.type, args.aggregate, subset=subset,
+                                     raw_filter=args.raw_filter, mode=args.mode))
         elif args.command == "warehouse":
             from lakeforge.plans.run import INDEXES
             from lakeforge.plans.transform import processed_path

@@ -70,19 +70,28 @@ def transform_pipeline(
     as_of: dt.datetime | str | None = None,
     subset: Sequence[str] | None = None,
     files_per_partition: int | None = None,
+    raw_filter: str | None = None,
+    mode: str = "overwrite",
 ) -> dict[str, str]:
-    """Run the batch transform of one dataset; returns the written paths."""
-    raw = read_raw(spark, lake, dataset_name)
+    """Run the batch transform of one dataset; returns the written paths.
+
+    By default every RAW ingest is re-processed and PROCESSED overwritten.
+    For incremental runs pass ``raw_filter`` on the RAW partition columns
+    (e.g. ``"year = 2025 AND month = 11 AND day = 5"``: only those
+    directories are listed and read) with ``mode="append"``; de-duplication
+    then covers the selected ingests only.
+    """
+    raw = read_raw(spark, lake, dataset_name, where=raw_filter)
     enriched = enrich_data(clean_data(raw, dataset_type, subset=subset), dataset_type, as_of)
     partition_cols = fixed.PARTITION_COLUMNS.get(dataset_type)
     out = save_to_processed(
-        enriched, lake, dataset_name, partition_by=partition_cols, files_per_partition=files_per_partition
+        enriched, lake, dataset_name, mode=mode, partition_by=partition_cols, files_per_partition=files_per_partition
     )
     register_table(spark, f"processed_{dataset_name}", out, partitioned=bool(partition_cols))
     paths = {dataset_name: out}
     if with_aggregation:
-        # just written by one overwrite: one schema, no footer merge needed
-        agg = aggregate_data(read_processed(spark, out, merge_schema=False), dataset_type)
+        # after a single overwrite there is one schema: no footer merge needed
+        agg = aggregate_data(read_processed(spark, out, merge_schema=mode != "overwrite"), dataset_type)
         agg_name = f"{dataset_name}_agg"
         paths[agg_name] = save_to_processed(agg, lake, agg_name)
         register_table(spark, f"processed_{agg_name}", paths[agg_name])

@@ -116,3 +116,14 @@ def test_load_with_layout_writes_once(spark, lake):
     per_file = spark.table("wh_lay.tx").groupBy(F.input_file_name()).agg(F.min("user_id"), F.max("user_id"))
     spans = sorted(tuple(r[1:]) for r in per_file.collect())
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_incremental_transform_reads_one_day(spark, lake):
+    R.ingest_batch(tx(spark, 6), lake, "tx_inc", "faker", "2025-11-05 00:00:00")
+    transform_pipeline(spark, lake, "tx_inc", "transactions", as_of="2025-11-05 01:00:00")
+    R.ingest_batch(tx(spark, 4, offset=50), lake, "tx_inc", "faker", "2025-11-06 00:00:00")
+    transform_pipeline(spark, lake, "tx_inc", "transactions", as_of="2025-11-06 01:00:00",
+                       raw_filter="year = 2025 AND month = 11 AND day = 6", mode="append")
+    processed = spark.table("processed_tx_inc")
+    assert processed.count() == 10
+    assert processed.filter("_processed_timestamp = '2025-11-06 01:00:00'").count() == 4
