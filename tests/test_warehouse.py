@@ -127,3 +127,9 @@ def test_incremental_transform_reads_one_day(spark, lake):
     processed = spark.table("processed_tx_inc")
     assert processed.count() == 10
     assert processed.filter("_processed_timestamp = '2025-11-06 01:00:00'").count() == 4
+
+
+def test_warehouse_build_fails_loudly(spark, lake):
+    wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_fail")
+    with pytest.raises(FileNotFoundError):  # D10: no warning-and-continue
+        W.build_warehouse(wh, {"users": os.path.join(lake, "processed", "nope")})
