@@ -92,3 +92,32 @@ def test_epoch_seconds_event_time(spark):
     df = spark.createDataFrame([(1700000000.25,)], "timestamp double")
     got = df.select(EV.epoch_seconds_to_timestamp("timestamp").alias("t")).first()["t"]
     assert got is not None
+
+
+def _envelopes(spark, items):
+    return spark.createDataFrame(
+        [(('{"transaction_id":"%s","amount":1.0,"timestamp":"%s","merchant":"m","status":"completed"}'
+           % (i, t.isoformat())).encode(), t) for i, t in items],
+        "value binary, timestamp timestamp",
+    )
+
+
+def test_row_late_by_one_hour(spark, tmp_path):
+    base = str(tmp_path)
+    t0 = dt.datetime(2025, 1, 1, 12, 0, 5)
+
+    def run(watermark, name):
+        stream = J.envelope_file_stream(spark, f"{base}/in/*", max_files_per_trigger=1)
+        if watermark is None:  # faithful: complete mode, no watermark
+            return spark.read.parquet(J.run_merchant_snapshot(stream, f"{base}/ck_{name}", f"{base}/out_{name}"))
+        return spark.read.parquet(J.run_merchant_append(stream, f"{base}/ck_{name}", f"{base}/out_{name}", watermark))
+
+    _envelopes(spark, [(1, t0), (2, t0 + dt.timedelta(minutes=5))]).coalesce(1).write.parquet(f"{base}/in/b1")
+    run(None, "c")
+    run("1 minute", "a")
+    # the late row arrives after both queries have seen the 12:05 event; restart from the checkpoints
+    _envelopes(spark, [(3, t0 - dt.timedelta(hours=1))]).coalesce(1).write.parquet(f"{base}/in/b2")
+    faithful = run(None, "c")
+    assert sorted(r["window"]["start"].hour for r in faithful.collect()) == [11, 12, 12]  # late rows still update
+    bounded = run("1 minute", "a")
+    assert [r["window"]["start"].hour for r in bounded.collect()] == [12]  # dropped: behind the watermark
