@@ -182,7 +182,7 @@ def ingest_report(manifest: DataFrame) -> DataFrame:
     )
 
 
-def land_and_read(
+def ingest_batches(
     frames: Sequence[tuple[DataFrame, str, str, str]], lake: str
 ) -> list[dict]:
     """Ingest several (df, dataset, source_type, ingested_at) batches."""
