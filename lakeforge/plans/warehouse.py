@@ -14,6 +14,7 @@ DataFrame through Spark's JDBC sink in batches instead (no pandas hop).
 from __future__ import annotations
 
 import importlib
+import re
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -179,27 +180,28 @@ class Warehouse:
 
     # -- T6 -----------------------------------------------------------------
     def get_table_info(self, schema: str | None = None) -> DataFrame:
-        """(table_name, size_bytes, size) per table of the schema, by name.
+        """(table_name, size_bytes, size) per table of the schema, by name.
 
-        Sizes are the summed sizes of each table's data files, read from the
-        scan's file metadata (one distributed aggregate per table).
+        Sizes come from catalog statistics computed from the file listing
+        (``ANALYZE TABLE ... NOSCAN``), like a database's relation size: the
+        cost grows with the number of files, never with the number of rows.
         """
         schema = schema or self.schema
         names = sorted(t.name for t in self.spark.catalog.listTables(schema) if not t.isTemporary)
-        parts = [
-            self.spark.table(f"{schema}.{t}")
-            .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-            .distinct()
-            .agg(F.coalesce(F.sum("s"), F.lit(0)).alias("size_bytes"))
-            .select(F.lit(t).alias("table_name"), "size_bytes")
-            for t in names
-        ]
-        if not parts:
-            return self.spark.createDataFrame([], "table_name string, size_bytes bigint, size string")
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out.withColumn("size", pretty_size("size_bytes")).orderBy("table_name")
+        sizes = []
+        for t in names:
+            name = f"{schema}.{t}"
+            self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
+            stats = (
+                self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+                .filter(F.col("col_name") == "Statistics")
+                .select("data_type")
+                .first()
+            )
+            found = re.match(r"(\d+) bytes", stats[0]) if stats else None
+            sizes.append((t, int(found.group(1)) if found else 0))
+        info = self.spark.createDataFrame(sizes, "table_name string, size_bytes bigint")
+        return info.withColumn("size", pretty_size("size_bytes")).orderBy("table_name")
 
     # -- helpers --------------------------------------------------------------
     def _run_view_query(self, query: ViewQuery) -> DataFrame:
