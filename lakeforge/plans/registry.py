@@ -254,7 +254,7 @@ _RUNS: dict[tuple[str, str], dict] = {}
 
 def full_run(spark, sf_dir):
     """P2 over the derived datasets, once per application and input folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id", "app"), sf_dir)
     if key not in _RUNS:
         from lakeforge.plans.run import run_pipeline
 

@@ -75,18 +75,25 @@ def build_session(
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; set one only when unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        return configured
     # Unset: only happens in local runs and tests.
     local = tempfile.mkdtemp(prefix="lakeforge-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
