@@ -3,7 +3,7 @@
 Layout::
 
     <lake>/raw/<dataset>/year=YYYY/month=MM/day=DD/ingest_id=<id>/part-*.parquet
-    <lake>/manifest/                     (JSON lines, one record per ingest)
+    <lake>/manifest/day=YYYY-MM-DD/ingest_id=<id>/   (JSON, one record per ingest)
 
 * Partition values are zero-padded strings of the ingest time, so a scan
   filtered on year/month/day only lists the matching directories.
@@ -131,8 +131,9 @@ def append_manifest(spark: SparkSession, lake: str, record: dict) -> None:
     The record is a single small row built on the driver; the file name
     carries the ingest id, so a replayed ingest rewrites its own record.
     """
-    row = dict(record, ingestion_timestamp=dt.datetime.fromisoformat(record["ingestion_timestamp"]))
-    target = f"{manifest_path(lake)}/ingest_id={record['ingest_id']}"
+    when = dt.datetime.fromisoformat(record["ingestion_timestamp"])
+    row = dict(record, ingestion_timestamp=when)
+    target = f"{manifest_path(lake)}/day={when:%Y-%m-%d}/ingest_id={record['ingest_id']}"
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(target)
 
 
@@ -163,13 +164,14 @@ def read_raw(
     return df if keep_partitions else df.drop(*PARTITION_COLUMNS)
 
 
-def read_manifest(spark: SparkSession, lake: str) -> DataFrame:
-    """The ingest manifest as a typed table."""
-    return (
-        spark.read.schema(MANIFEST_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .json(manifest_path(lake))
-    )
+def read_manifest(spark: SparkSession, lake: str, day: str | None = None) -> DataFrame:
+    """The ingest manifest as a typed table.
+
+    Records are grouped in folders by ingest day, so ``day="YYYY-MM-DD"``
+    (e.g. a daily completeness gate) lists one day's records only.
+    """
+    path = manifest_path(lake) if day is None else f"{manifest_path(lake)}/day={day}"
+    return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").json(path)
 
 
 def ingest_report(manifest: DataFrame) -> DataFrame:

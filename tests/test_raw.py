@@ -70,3 +70,10 @@ def test_manifest_and_report(spark, lake):
     assert m.first()["columns"] == ["id", "v", "_ingestion_timestamp", "_source"]
     rep = rows(R.ingest_report(m), "dataset_name", "source_type", "partition", "ingests", "rows")
     assert rep == [("a", "faker", "year=2025/month=11/day=05", 2, 7), ("b", "api", "year=2025/month=11/day=06", 1, 5)]
+
+
+def test_manifest_by_day(spark, lake):
+    R.ingest_batch(frame(spark, 3), lake, "a", "faker", "2025-11-05 10:00:00")
+    R.ingest_batch(frame(spark, 4), lake, "a", "faker", "2025-11-06 11:00:00")
+    assert R.read_manifest(spark, lake, day="2025-11-06").first()["row_count"] == 4
+    assert R.read_manifest(spark, lake).count() == 2
