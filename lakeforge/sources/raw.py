@@ -84,7 +84,10 @@ def ingest_batch(
     """K1 + E9: stamp ingest metadata, append under the ingest day, log a manifest row.
 
     Returns the manifest record (``None`` when ``skip_empty`` and no row was
-    written: the record is then not logged either).
+    written: the record is then not logged either).  A retry replaces its
+    earlier output only when it repeats both ``ingest_id`` and
+    ``ingested_at`` (the day is part of the path); orchestrators should pass
+    both, derived from the run.
     """
     spark = df.sparkSession
     when = _as_datetime(ingested_at)
