@@ -28,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--format", default="parquet", choices=["csv", "json", "parquet", "orc"])
     ing.add_argument("--data-lake", default="./data_lake")
     ing.add_argument("--ingest-id", default=None, help="stable id: a re-run replaces its own output")
+    ing.add_argument("--ingested-at", default=None, help="ingest time 'YYYY-MM-DD HH:MM:SS' (default now)")
 
     tr = sub.add_parser("transform", help="batch transform of one dataset")
     tr.add_argument("--dataset", required=True)
@@ -70,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
             from lakeforge.sources.raw import ingest_batch
 
             rec = ingest_batch(read_files(spark, args.path, args.format), args.data_lake, args.dataset,
-                               args.format, ingest_id=args.ingest_id)
+                               args.format, ingested_at=args.ingested_at, ingest_id=args.ingest_id)
             print(rec)
         elif args.command == "transform":
             from lakeforge.plans.transform import transform_pipeline
