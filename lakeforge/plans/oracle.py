@@ -305,6 +305,9 @@ def build() -> dict[str, str]:
           - INTERVAL '10 minutes'""",
     )
     q["raw_ingest"] = with_ctes([TRANSACTIONS_RAW], "SELECT * FROM transactions_raw")
+    q["file_batch_csv"] = "SELECT * FROM events"
+    q["api_landing"] = "SELECT *, 'https://example.invalid/events' AS _source_url FROM events"
+    q["document_extract"] = "SELECT *, CAST(event_id AS VARCHAR) AS _id FROM events"
     return q
 
 

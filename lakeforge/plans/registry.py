@@ -331,6 +331,48 @@ def q_merchant_minute_watermarked(spark, sf_dir):
     return W.flatten_window(spark.read.parquet(out))
 
 
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+EVENTS_URL = "https://example.invalid/events"
+# landing producers keep the microseconds (the text formats default to millis)
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def q_file_batch_csv(spark, sf_dir):
+    """S6 + K1 + S1: the events table landed as CSV files, ingested, read back."""
+    from lakeforge.sources import connectors as S
+
+    base = shared_dir(spark, "landing", unique=True)
+    T.table(spark, sf_dir, "events").write.option("header", "true").option("timestampNTZFormat", MICROS).csv(
+        f"{base}/events_csv"
+    )
+    lake = f"{base}/lake"
+    S.ingest_files(spark, lake, "events", f"{base}/events_csv", "csv", DAY1, schema=EVENTS_SCHEMA)
+    return C.drop_metadata(R.read_raw(spark, lake, "events"))
+
+
+def _landed_events_json(spark, sf_dir):
+    base = shared_dir(spark, "landing", unique=True)
+    events = T.table(spark, sf_dir, "events").withColumn("_id", F.col("event_id"))
+    events.write.option("timestampNTZFormat", MICROS).json(f"{base}/events_json")
+    return f"{base}/events_json"
+
+
+def q_api_landing(spark, sf_dir):
+    """The events table landed as JSON records (API responses), read with
+    a schema and tagged with its source URL."""
+    from lakeforge.sources import connectors as S
+
+    return S.read_api_landing(spark, _landed_events_json(spark, sf_dir), EVENTS_URL, schema=EVENTS_SCHEMA)
+
+
+def q_document_extract(spark, sf_dir):
+    """The same landing read as a document extract; ids carried as strings."""
+    from lakeforge.sources import connectors as S
+
+    return S.read_document_store(spark, fmt="json", path=_landed_events_json(spark, sf_dir),
+                                 schema=EVENTS_SCHEMA + ", _id bigint")
+
+
 def q_raw_ingest(spark, sf_dir):
     """K1 + E9: land transactions, read RAW back with its ingest metadata."""
     lake = shared_dir(spark, "lake", unique=True)
@@ -377,4 +419,7 @@ QUERIES: dict[str, Query] = {
     "merchant_minute_stream": q_merchant_minute_stream,
     "merchant_minute_watermarked": q_merchant_minute_watermarked,
     "raw_ingest": q_raw_ingest,
+    "file_batch_csv": q_file_batch_csv,
+    "api_landing": q_api_landing,
+    "document_extract": q_document_extract,
 }

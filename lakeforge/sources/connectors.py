@@ -91,13 +91,19 @@ def read_wide_column(
 
 
 def read_api_landing(
-    spark: SparkSession, path: str, source_url: str | None = None, schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    source_url: str | None = None,
+    schema: StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """API responses landed as JSON files, tagged with ``_source_url``.
 
-    Without an explicit URL, the landed file name stands in for it.
+    JSON lines by default (splittable); ``multi_line=True`` for one JSON
+    document per file.  Without an explicit URL, the landed file name
+    stands in for it.
     """
-    reader = spark.read.option("multiLine", "true")
+    reader = spark.read.option("multiLine", str(multi_line).lower())
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.json(path)

@@ -33,11 +33,11 @@ def test_api_landing_and_ingest(spark, tmp_path):
     land.mkdir()
     (land / "resp1.json").write_text(json.dumps({"time": "2025-11-05T00:00", "temperature_2m": 11.2,
                                                  "precipitation": 0.0}))
-    df = S.read_api_landing(spark, str(land), source_url="https://example.invalid/forecast")
+    df = S.read_api_landing(spark, str(land), source_url="https://example.invalid/forecast", multi_line=True)
     assert df.first()["_source_url"] == "https://example.invalid/forecast"
     lake = str(tmp_path / "lake")
     rec = S.ingest_from_api(spark, lake, "weather_api", str(land), "https://example.invalid/forecast",
-                            "2025-11-05 16:15:06")
+                            "2025-11-05 16:15:06")  # one object per line is also one document
     assert rec["row_count"] == 1
     assert "_source_url" in R.read_raw(spark, lake, "weather_api").columns
 
