@@ -121,3 +121,14 @@ def test_row_late_by_one_hour(spark, tmp_path):
     assert sorted(r["window"]["start"].hour for r in faithful.collect()) == [11, 12, 12]  # late rows still update
     bounded = run("1 minute", "a")
     assert [r["window"]["start"].hour for r in bounded.collect()] == [12]  # dropped: behind the watermark
+
+
+def test_console_sink_complete_mode(spark, tmp_path):
+    base = str(tmp_path)
+    land_envelopes(spark, base, files=2)
+    stream = J.envelope_file_stream(spark, os.path.join(base, "in"))
+    q = J.start_merchant_query(J.merchant_stream(stream), os.path.join(base, "ck"), sink="console",
+                               available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == spark.read.parquet(os.path.join(base, "in")).count()
