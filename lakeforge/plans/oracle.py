@@ -240,6 +240,16 @@ def build() -> dict[str, str]:
     q["dq_relationships"] = with_ctes(models, tests["relationships"])
     q["dq_summary"] = with_ctes(models, "\nUNION ALL\n".join(tests.values()))
     q["dq_alerts"] = "WITH " + LOGS_RAW + ",\n" + _error_rate_alert()
+    q["dq_test_alert"] = with_ctes(
+        models,
+        "SELECT 'DataTestFailure' AS alert, CAST(count(*) FILTER (WHERE NOT passed) AS BIGINT) AS failing_tests, "
+        "count(*) FILTER (WHERE NOT passed) > 0 AS firing FROM (" + "\nUNION ALL\n".join(tests.values()) + ")",
+    )
+    q["clean_observed"] = with_ctes(
+        [USERS_RAW, USERS_CLEAN],
+        "SELECT 'users' AS dataset, (SELECT count(*) FROM users_raw) AS initial_count, "
+        "(SELECT count(*) FROM users_clean) AS final_count",
+    )
     q["row_counts"] = with_ctes(
         USERS_CHAIN + TX_CHAIN + LOGS_CHAIN,
         """SELECT 'users' AS table_name, count(*) AS row_count FROM users_processed

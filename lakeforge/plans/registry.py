@@ -150,6 +150,22 @@ def q_dq_alerts(spark, sf_dir):
     return Q.error_rate_alert(errors)
 
 
+def q_dq_test_alert(spark, sf_dir):
+    """The failing-test gauge and whether the alert fires."""
+    return Q.test_failure_alert(Q.model_tests(models(spark, sf_dir)))
+
+
+def q_clean_observed(spark, sf_dir):
+    """C6 opt-in: row counts observed while the cleaned users are written
+    (one job, no extra count jobs); the counts become a one-row frame."""
+    cleaned, initial, final = C.clean_observed(T.users_raw(spark, sf_dir), "users")
+    cleaned.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(
+        [("users", int(initial.get["rows"]), int(final.get["rows"]))],
+        "dataset string, initial_count bigint, final_count bigint",
+    )
+
+
 def q_row_counts(spark, sf_dir):
     return A.row_counts(
         {
@@ -401,6 +417,8 @@ QUERIES: dict[str, Query] = {
     "dq_relationships": q_dq_relationships,
     "dq_summary": q_dq_summary,
     "dq_alerts": q_dq_alerts,
+    "dq_test_alert": q_dq_test_alert,
+    "clean_observed": q_clean_observed,
     "row_counts": q_row_counts,
     "freshness": q_freshness,
     "limit_sample": q_limit_sample,
