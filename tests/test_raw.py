@@ -77,3 +77,14 @@ def test_manifest_by_day(spark, lake):
     R.ingest_batch(frame(spark, 4), lake, "a", "faker", "2025-11-06 11:00:00")
     assert R.read_manifest(spark, lake, day="2025-11-06").first()["row_count"] == 4
     assert R.read_manifest(spark, lake).count() == 2
+
+
+def test_raw_timestamps_are_microseconds(spark, lake):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rec = R.ingest_batch(frame(spark, 2), lake, "ts", "faker", "2025-11-05 10:00:00.123456")
+    files = glob.glob(f"{rec['file_path']}/*.parquet")
+    field = pq.read_schema(files[0]).field("_ingestion_timestamp")
+    assert str(field.type).startswith("timestamp[us")  # D3: never nanoseconds
