@@ -304,6 +304,7 @@ def build() -> dict[str, str]:
     q["warehouse_transaction_summary"] = q["transaction_summary"]
     q["warehouse_dq_summary"] = q["dq_summary"]
     q["merchant_minute_stream"] = q["merchant_minute"]
+    q["merchant_minute_updates"] = q["merchant_minute"]
     q["merchant_minute_watermarked"] = with_ctes(
         [STREAM_TX, STREAM_PARSED],
         """SELECT * FROM (

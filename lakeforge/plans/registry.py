@@ -389,6 +389,16 @@ def q_document_extract(spark, sf_dir):
                                  schema=EVENTS_SCHEMA + ", _id bigint")
 
 
+def q_merchant_minute_updates(spark, sf_dir):
+    """W1 in update mode over several micro-batches: only changed windows are
+    written per trigger; the result is the newest version of each window."""
+    from lakeforge.streaming import jobs
+
+    base, envelopes = _landed_envelopes(spark, sf_dir)
+    out = jobs.run_merchant_updates(envelopes, f"{base}/checkpoint", f"{base}/out")
+    return W.flatten_window(jobs.read_latest(spark, out))
+
+
 def q_raw_ingest(spark, sf_dir):
     """K1 + E9: land transactions, read RAW back with its ingest metadata."""
     lake = shared_dir(spark, "lake", unique=True)
@@ -436,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "warehouse_table_info": q_warehouse_table_info,
     "merchant_minute_stream": q_merchant_minute_stream,
     "merchant_minute_watermarked": q_merchant_minute_watermarked,
+    "merchant_minute_updates": q_merchant_minute_updates,
     "raw_ingest": q_raw_ingest,
     "file_batch_csv": q_file_batch_csv,
     "api_landing": q_api_landing,

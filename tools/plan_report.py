@@ -26,7 +26,7 @@ WRITES = {
     "raw_roundtrip", "raw_roundtrip_keyed", "raw_ingest", "ingest_report", "completeness",
     "warehouse_user_analytics", "warehouse_transaction_summary", "warehouse_dq_summary",
     "warehouse_table_info", "merchant_minute_stream", "merchant_minute_watermarked",
-    "file_batch_csv", "api_landing", "document_extract", "clean_observed",
+    "file_batch_csv", "api_landing", "document_extract", "clean_observed", "merchant_minute_updates",
 }
 
 
