@@ -47,7 +47,7 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         app_name="lakeforge-bench",
-        shuffle_partitions=int(cpus) * 2,
+        shuffle_partitions=int(cpus),  # local: one shuffle partition per core; clusters use sized_conf
         conf={"spark.driver.memory": "16g"},
     )
     # warm-up on the smoke data: JVM start, class loading, code generation
