@@ -9,12 +9,13 @@ re-run on its own and no stage keeps data in memory across stages.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeforge.operators.quality import assert_complete, completeness, model_tests
 from lakeforge.plans.models import dim_users, fact_transactions
+from lakeforge.plans.parallel import concurrently
 from lakeforge.plans.transform import transform_pipeline
 from lakeforge.plans.warehouse import Warehouse, build_warehouse
 from lakeforge.sources.raw import ingest_batch, ingest_report, read_manifest
@@ -35,8 +36,11 @@ INDEXES = {
 
 def models_then_tests(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | str | None = None) -> DataFrame:
     """Materialise dim_users and fact_transactions, then run their tests."""
-    wh.write_table(dim_users(spark.table(wh.qualified("users")), as_of), "dim_users")
-    wh.write_table(fact_transactions(spark.table(wh.qualified("transactions")), as_of), "fact_transactions")
+    wh.create_schema()
+    concurrently([
+        lambda: wh.write_table(dim_users(spark.table(wh.qualified("users")), as_of), "dim_users"),
+        lambda: wh.write_table(fact_transactions(spark.table(wh.qualified("transactions")), as_of), "fact_transactions"),
+    ])
     models = {
         "dim_users": spark.table(wh.qualified("dim_users")),
         "fact_transactions": spark.table(wh.qualified("fact_transactions")),
@@ -55,10 +59,13 @@ def process_landed(
     manifest = read_manifest(spark, lake)
     assert_complete(completeness(manifest, expected or names))
 
-    processed: dict[str, str] = {}
-    for dataset in names:
+    def transform(dataset: str) -> Callable[[], dict[str, str]]:
         dataset_type, aggregate = DATASETS.get(dataset, ("generic", False))
-        processed.update(transform_pipeline(spark, lake, dataset, dataset_type, aggregate, as_of))
+        return lambda: transform_pipeline(spark, lake, dataset, dataset_type, aggregate, as_of)
+
+    processed: dict[str, str] = {}
+    for paths in concurrently([transform(d) for d in names]):
+        processed.update(paths)
 
     wh = Warehouse(spark, f"{lake.rstrip('/')}/curated")
     curated = {d: processed[d] for d in names}
@@ -81,6 +88,7 @@ def run_pipeline(
     expected: Sequence[str] | None = None,
 ) -> dict[str, object]:
     """Land (df, dataset, source_type) batches, then ``process_landed``."""
-    for df, dataset, source_type in batches:
-        ingest_batch(df, lake, dataset, source_type, as_of)
+    concurrently([
+        (lambda b=b: ingest_batch(b[0], lake, b[1], b[2], as_of)) for b in batches
+    ])
     return process_landed(spark, lake, [b[1] for b in batches], as_of, expected)

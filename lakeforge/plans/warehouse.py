@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from lakeforge.functions import fixed
 from lakeforge.functions.expressions import pretty_size
 from lakeforge.operators import aggregate as A
+from lakeforge.plans.parallel import concurrently
 
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 QUERY_PROP = "lakeforge.view_query"
@@ -264,9 +265,14 @@ def build_warehouse(
     for name in fixed.WAREHOUSE_SCHEMAS:
         wh.create_schema(name)
     indexes = indexes or {}
-    for table, path in processed.items():
-        # the index layout is applied in the load's single write
-        wh.load_from_processed(path, table, cluster_by=indexes.get(table), merge_schema=not fresh)
-    wh.create_materialized_view("user_analytics", user_analytics_view)
-    wh.create_materialized_view("transaction_summary", transaction_summary_view)
+    # independent loads run as concurrent jobs; the index layout is applied
+    # in each load's single write
+    concurrently([
+        (lambda t=t, p=p: wh.load_from_processed(p, t, cluster_by=indexes.get(t), merge_schema=not fresh))
+        for t, p in processed.items()
+    ])
+    concurrently([
+        lambda: wh.create_materialized_view("user_analytics", user_analytics_view),
+        lambda: wh.create_materialized_view("transaction_summary", transaction_summary_view),
+    ])
     return wh.get_table_info()
