@@ -178,7 +178,8 @@ def error_rate_alert(
     Both stages are grouped aggregates on time buckets (``window`` expands a
     row into range/step buckets, a fixed factor), so no global ordering or
     single-partition window is needed; "held for N steps" is a count of
-    pending evaluations in a window of N+1 steps.
+    pending evaluations landing on an evaluation time from its N+1 latest
+    steps.
     """
     rates = (
         errors.groupBy(F.window(time_col, range_, step).alias("w"))
@@ -192,22 +193,38 @@ def error_rate_alert(
         .withColumn("pending", F.col("rate") > F.lit(threshold))
     )
     step_minutes = _minutes(step)
-    held = (
-        rates.filter("pending")
-        .groupBy(F.window("window_end", f"{(hold_steps + 1) * step_minutes} minutes", step).alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") == hold_steps + 1)
-        .select((F.col("h.end") - F.expr(f"INTERVAL {step_minutes} MINUTES")).alias("window_end"),
-                F.lit(True).alias("firing"))
+    # Each evaluation row emits itself and, when pending, one marker at each
+    # of the next hold_steps + 1 evaluation times (itself included).  An
+    # evaluation fires when hold_steps + 1 markers land on it.  One explode
+    # (fixed factor) and one grouped aggregate: no self-join, no recompute.
+    fields = ["window_start", "errors", "rate", "pending"]
+    own = F.struct(
+        F.col("window_end").alias("t"), F.lit(True).alias("is_row"), *[F.col(c).alias(c) for c in fields]
     )
-    return rates.join(held, "window_end", "left").select(
+    markers = [
+        F.when(
+            F.col("pending"),
+            F.struct(
+                (F.col("window_end") + F.expr(f"INTERVAL {k * step_minutes} MINUTES")).alias("t"),
+                F.lit(False).alias("is_row"),
+                *[F.lit(None).cast(rates.schema[c].dataType).alias(c) for c in fields],
+            ),
+        )
+        for k in range(hold_steps + 1)
+    ]
+    items = rates.select(F.explode(F.filter(F.array(own, *markers), lambda x: x.isNotNull())).alias("i"))
+    per_time = items.groupBy(F.col("i.t").alias("window_end")).agg(
+        F.max(F.when(F.col("i.is_row"), F.struct(*[F.col(f"i.{c}").alias(c) for c in fields]))).alias("r"),
+        F.count_if(~F.col("i.is_row")).alias("held"),
+    )
+    return per_time.filter(F.col("r").isNotNull()).select(
         F.lit(alert).alias("alert"),
-        "window_start",
+        F.col("r.window_start").alias("window_start"),
         "window_end",
-        "errors",
-        "rate",
-        "pending",
-        F.coalesce(F.col("firing"), F.lit(False)).alias("firing"),
+        F.col("r.errors").alias("errors"),
+        F.col("r.rate").alias("rate"),
+        F.col("r.pending").alias("pending"),
+        (F.col("held") == hold_steps + 1).alias("firing"),
     )
 
 
