@@ -213,17 +213,20 @@ def error_rate_alert(
         for k in range(hold_steps + 1)
     ]
     items = rates.select(F.explode(F.filter(F.array(own, *markers), lambda x: x.isNotNull())).alias("i"))
+    # exactly one item per time is the evaluation row: per-field max reads it
+    # (primitive maxima keep this a hash aggregate)
     per_time = items.groupBy(F.col("i.t").alias("window_end")).agg(
-        F.max(F.when(F.col("i.is_row"), F.struct(*[F.col(f"i.{c}").alias(c) for c in fields]))).alias("r"),
+        F.count_if(F.col("i.is_row")).alias("is_row"),
+        *[F.max(F.col(f"i.{c}")).alias(c) for c in fields],
         F.count_if(~F.col("i.is_row")).alias("held"),
     )
-    return per_time.filter(F.col("r").isNotNull()).select(
+    return per_time.filter(F.col("is_row") > 0).select(
         F.lit(alert).alias("alert"),
-        F.col("r.window_start").alias("window_start"),
+        "window_start",
         "window_end",
-        F.col("r.errors").alias("errors"),
-        F.col("r.rate").alias("rate"),
-        F.col("r.pending").alias("pending"),
+        "errors",
+        "rate",
+        "pending",
         (F.col("held") == hold_steps + 1).alias("firing"),
     )
 
