@@ -47,10 +47,13 @@ def let(var: str, value: str, body: str) -> str:
     return f"transform(array({value}), {var} -> {body})[0]"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back (cuts the lineage)."""
+def materialise(df: DataFrame, name: str, files: int = 0) -> DataFrame:
+    """Write a table to the shared folder and read it back (cuts the lineage).
+
+    ``files``: for tables known to be small, how many files (0: one per partition).
+    """
     path = shared_dir(df.sparkSession, "llm", name, unique=True)
-    df.write.parquet(path)
+    (df.repartition(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -81,7 +81,7 @@ def dedup(docs: DataFrame, depth: int = 3, min_words: int = 5, min_docs: int = 3
     drop = materialise(
         recurring(rows, depth, min_words, min_docs, similarity).groupBy("key").agg(F.collect_list("line_no").alias("gone")), "line_drops"
     )
-    mask = materialise(key_mask(drop, F.col("key")), "line_mask")
+    mask = materialise(key_mask(drop, F.col("key")), "line_mask", files=1)
     some = masked(rows, F.col("key"), mask).join(drop, "key", "left")
     none = masked(rows, F.col("key"), mask, inside=False).withColumn("gone", F.lit(None).cast("array<int>"))
     lines = F.split("body", "\n", -1)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.llm.common import ROW, WORD, materialise, text_of, wrap
 
-LEVELS, BITS = 4, 15  # 4 x 15 bits of the 60-bit position
+LEVELS, BITS = 5, 12  # 5 x 12 bits of the 60-bit position
 
 
 def position(doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -64,22 +64,22 @@ def thresholds(base: DataFrame, goal: DataFrame) -> DataFrame:
     edge = goal.select("source", "rest", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"))
     for level in range(1, LEVELS + 1):
         shift = BITS * (LEVELS - level)
-        e = edge.withColumnRenamed("source", "e_source")
+        e = edge.select(F.col("source").alias("e_source"), "rest", "prefix", "below")
         inside = base.join(e, F.col("source").eqNullSafe(F.col("e_source")) & (F.shiftright("position", shift + BITS) == F.col("prefix")))
-        buckets = (
-            inside.groupBy("source", "rest", "below", F.shiftright("position", shift).alias("bucket"))
-            .agg(F.sum("size").alias("words"))
+        buckets = inside.groupBy("source", "rest", "below", F.shiftright("position", shift).alias("bucket")).agg(
+            F.sum("size").alias("words"), F.min("position").alias("low"), F.max("position").alias("high")
         )
         upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most 2^BITS rows
-        edge = (
+        edge = materialise(  # one row per source
             buckets.withColumn("below", F.col("below") + F.coalesce(F.sum("words").over(upto), F.lit(0)))
             .where((F.col("below") <= F.col("rest")) & (F.col("rest") < F.col("below") + F.col("words")))
-            .select("source", "rest", F.col("bucket").alias("prefix"), "below", "words")
+            .select("source", "rest", F.col("bucket").alias("prefix"), "below", "words", "low", "high"),
+            "mix_edge", files=1,
         )
-        if level < LEVELS:
-            edge = edge.drop("words")
+        if edge.where("low < high").isEmpty():  # every boundary bucket is down to one position
+            break
     take = F.col("below") + F.col("words") / 2 <= F.col("rest")
-    last = edge.select(F.col("source").alias("e_source"), (F.col("prefix") + take.cast("long")).alias("threshold"))
+    last = edge.select(F.col("source").alias("e_source"), (F.col("low") + take.cast("long")).alias("threshold"))
     return (
         goal.join(last, F.col("source").eqNullSafe(F.col("e_source")), "left")
         .select("source", "source_size", "target", "repeats", F.coalesce("threshold", F.lit(0)).alias("threshold"))
@@ -99,8 +99,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), budget: float = 1.5
     )
     # the sizes are read several times: histogram levels must not parse texts again
     base = materialise(rows.select("source", "size", "position"), "mix_sizes")
-    goal = targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, cap)
-    plan = materialise(thresholds(base, goal), "mix_thresholds")  # one row per source; its file size decides the join
+    goal = materialise(targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, cap), "mix_targets", files=1)
+    plan = materialise(thresholds(base, goal), "mix_thresholds", files=1)  # one row per source; its file size decides the join
     plan = plan.withColumnRenamed("source", "p_source")
     copies = F.col("repeats") + (F.col("position") < F.col("threshold")).cast("long")
     return (
