@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def wrap(df: DataFrame, *cols: str) -> DataFrame:
-    """All columns of ``df`` in one struct, beside the named ones.
+def wrap(df: DataFrame, *cols: str, keep: Sequence[str] | None = None) -> DataFrame:
+    """The caller's columns (all, or those in ``keep``) in one struct, beside the named ones.
 
     Operators add working columns next to the struct, so a caller's column of
-    the same name cannot clash; ``unwrap`` restores the caller's columns.
+    the same name cannot clash; ``unwrap`` restores the caller's columns.  Only
+    what is kept travels through an operator's joins.
     """
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), *[F.col(f"`{c}`") for c in cols])
+    kept = df.columns if keep is None else keep
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias(ROW), *[F.col(f"`{c}`") for c in cols])
 
 
 def unwrap(df: DataFrame) -> DataFrame:

@@ -10,23 +10,33 @@ texts is boilerplate: all its lines go but the first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import ROW, WS, key_mask, masked, materialise, text_key, text_of, wrap
+from lakeforge.llm.common import ROW, WS, key_mask, let, masked, materialise, text_key, text_of, wrap
 
 VARIABLE = "<*>"
 
 
+def shape(words: Column) -> Column:
+    """Single-spaced words with variables in place of those that hold a digit."""
+    return F.when(words.rlike("[0-9]"), F.regexp_replace(words, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", VARIABLE)).otherwise(words)
+
+
 def template_lines(rows: DataFrame, depth: int, min_words: int) -> DataFrame:
-    """(doc_id, key, line_no, shape, n, lead) of every line long enough to be a template."""
-    shape = F.trim(F.regexp_replace(F.regexp_replace("line", f"[{WS}]+", " "), "[^ ]*[0-9][^ ]*", VARIABLE))
+    """(doc_id, key, line_no, words, n, lead) of every line long enough to be a template."""
+    odd = F.contains("line", F.lit("  "))
+    for c in "\t\x0b\x0c\r":
+        odd = odd | F.contains("line", F.lit(c))
+    words = F.trim(F.when(odd, F.regexp_replace("line", f"[{WS}]+", " ")).otherwise(F.col("line")))
     return (
-        rows.select("doc_id", "key", F.posexplode(F.split("body", "\n", -1)).alias("line_no", "line"))
-        .select("doc_id", "key", "line_no", shape.alias("shape"))
-        .where(F.col("shape").rlike(f"^(?:[^ ]+ ){{{min_words - 1}}}"))
-        .withColumn("n", F.regexp_count("shape", F.lit(" ")) + 1)
-        .withColumn("lead", F.substring_index("shape", " ", depth))
+        rows.select("doc_id", "key", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+        .select("doc_id", "key", "line_no", words.alias("words"))
+        .withColumn("n", F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) + 1)
+        .where(F.col("n") >= min_words)
+        .withColumn("lead", shape(F.substring_index("words", " ", depth)))
     )
 
 
@@ -39,9 +49,13 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
     leaves = materialise(
         lines.groupBy(leaf.alias("leaf")).agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b").select("leaf"), "line_leaves"
     )
-    shared = masked(lines.withColumn("leaf", leaf), F.col("leaf"), key_mask(leaves, F.col("leaf"))).join(leaves, "leaf", "left_semi")
+    mask = materialise(key_mask(leaves, F.col("leaf")), "line_mask", files=1)
+    shared = masked(lines.withColumn("leaf", leaf), F.col("leaf"), mask).join(leaves, "leaf", "left_semi")
     # exact copies of a text count once
-    held = materialise(shared.groupBy("key", "line_no", "n", "lead", "shape").agg(F.min("doc_id").alias("doc_id")), "line_shapes")
+    held = materialise(
+        shared.groupBy("key", "line_no", "n", "lead", "words").agg(F.min("doc_id").alias("doc_id"))
+        .select("key", "line_no", "n", "lead", shape(F.col("words")).alias("shape"), "doc_id"), "line_shapes"
+    )
 
     sizes = held.groupBy("n", "lead").agg(F.count("*").alias("lines"))
     tokens = held.select("n", "lead", F.posexplode(F.split("shape", " ")).alias("place", "token")).groupBy("n", "lead", "place", "token").agg(F.count("*").alias("times"))
@@ -51,14 +65,9 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
         .where(F.col("top.times") * 2 >= F.col("lines"))
         .groupBy("n", "lead").agg(F.sort_array(F.collect_list(F.struct("place", F.col("top.token").alias("token")))).alias("constants"))
     )
-    fits = F.aggregate(
-        F.col("constants"), F.lit(0),
-        lambda a, c: a + F.when(F.get(F.split("shape", " "), c["place"]) == c["token"], 1).otherwise(0),
-    )
-    fitted = held.join(common, ["n", "lead"], "left").withColumn(
-        "template",
-        F.when(fits >= F.col("n") * F.lit(similarity), F.concat_ws(" ", F.lit("leaf"), F.col("n").cast("string"), "lead")).otherwise(F.concat_ws(" ", F.lit("line"), "shape")),
-    ).withColumn("template", text_key(F.col("template")))
+    fits = F.expr(let("w", "split(shape, ' ')", "aggregate(constants, 0, (a, c) -> a + if(get(w, c.place) <=> c.token, 1, 0))"))
+    template = F.when(fits >= F.col("n") * F.lit(similarity), F.concat_ws(" ", F.lit("leaf"), F.col("n").cast("string"), "lead")).otherwise(F.concat_ws(" ", F.lit("line"), "shape"))
+    fitted = materialise(held.join(common, ["n", "lead"], "left").select("key", "line_no", "doc_id", text_key(template).alias("template")), "line_templates")
     place = F.struct("doc_id", "key", "line_no")
     templates = (
         fitted.groupBy("template").agg(F.count_distinct("key").alias("texts"), F.min(place).alias("first"))
@@ -67,9 +76,11 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
     return fitted.join(templates, "template").where(place != F.col("first")).select("key", "line_no")
 
 
-def dedup(docs: DataFrame, depth: int = 3, min_words: int = 5, min_docs: int = 3, similarity: float = 0.7) -> DataFrame:
-    """The caller's columns (one struct), ``clean`` (the text without the dropped
-    lines), n_lines and n_dropped.
+def dedup(
+    docs: DataFrame, depth: int = 3, min_words: int = 5, min_docs: int = 3, similarity: float = 0.7, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """The caller's columns but the text (one struct; ``keep``: only these),
+    ``clean`` (the text without the dropped lines), n_lines and n_dropped.
 
     Lines of fewer than ``min_words`` tokens are never templates.  A template
     recurs when ``min_docs`` different texts hold it; its first line (lowest
@@ -77,18 +88,20 @@ def dedup(docs: DataFrame, depth: int = 3, min_words: int = 5, min_docs: int = 3
     same lines, so they stay exact copies.  Null text stays null, empty texts
     and repeated rows are kept as rows; an empty table gives an empty result.
     """
-    rows = wrap(docs, "doc_id", "text").withColumn("body", text_of()).withColumn("key", text_key(F.col("body"))).drop("text")
+    keep = [c for c in docs.columns if c != "text"] if keep is None else keep
+    rows = wrap(docs, "doc_id", "text", keep=keep).withColumn("key", text_key(text_of()))
     drop = materialise(
         recurring(rows, depth, min_words, min_docs, similarity).groupBy("key").agg(F.collect_list("line_no").alias("gone")), "line_drops"
     )
     mask = materialise(key_mask(drop, F.col("key")), "line_mask", files=1)
+    rows = rows.drop("doc_id")
     some = masked(rows, F.col("key"), mask).join(drop, "key", "left")
     none = masked(rows, F.col("key"), mask, inside=False).withColumn("gone", F.lit(None).cast("array<int>"))
-    lines = F.split("body", "\n", -1)
+    lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n")
-    return some.select(ROW, "body", "gone").unionByName(none.select(ROW, "body", "gone")).select(
+    return some.select(ROW, "text", "gone").unionByName(none.select(ROW, "text", "gone")).select(
         ROW,
-        F.when(F.col("gone").isNull(), F.col(f"{ROW}.text")).otherwise(kept).alias("clean"),
-        F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("clean"),
+        (F.length(text_of()) - F.length(F.replace(text_of(), F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
     )

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -253,25 +253,59 @@ def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, b
     return members, materialise(found, "ngram_links")
 
 
-def join(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK) -> DataFrame:
-    """The caller's columns (one struct), n_shingles and component_id: the
-    smallest doc_id that links reach from the row, its own included.
+def by_row(docs: DataFrame, num: int, den: int, ngram: int, block: int) -> DataFrame:
+    """(rid, doc_id, n_shingles, component_id, times) per distinct row of ``docs``
+    (rid, doc_id, body) that has a set; ``times``: how often the row repeats."""
+    members, pairs = links(docs, num, den, ngram, block)
+    nodes = components(pairs)  # node, root: only classes with links
+    rows = members.where("n > 0").groupBy("rid", "doc_id", "cls", "n").agg(F.count("*").alias("times"))
+    named = rows.join(nodes, rows["cls"] == nodes["node"], "left").withColumn("root", F.coalesce("root", "cls"))
+    names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return materialise(
+        named.select("rid", "doc_id", "n", "root", "times").join(names, "root")
+        .select("rid", "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "root", "times"), "ngram_rows"
+    )
+
+
+def _identified(docs: DataFrame, keep: Sequence[str] | None) -> DataFrame:
+    rows = wrap(docs, "doc_id", "text", keep=keep).select(ROW, F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("body"))
+    return rows.withColumn("rid", F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "body").cast("binary"))))
+
+
+def join(
+    docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """The caller's columns (one struct; ``keep``: only these), n_shingles and
+    component_id: the smallest doc_id that links reach from the row, its own included.
 
     Null and empty texts have an empty set and link with nothing.  Rows with
     equal sets are linked; repeated rows share a component.  Null ids are
     passed over as component names (a component of null ids alone has none).
     An empty table gives an empty result.
     """
-    rows = wrap(docs, "doc_id", "text").select(ROW, F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("body"))
-    rows = rows.withColumn("rid", F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "body").cast("binary"))))
-    members, pairs = links(rows.select("rid", "doc_id", "body"), num, den, ngram, block)
-    nodes = components(pairs)  # node, root: only classes with links
-    named = members.where("n > 0").join(nodes, members["cls"] == nodes["node"], "left").withColumn("root", F.coalesce("root", "cls"))
-    names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_row = materialise(
-        named.select("rid", "n", "root").dropDuplicates(["rid"]).join(names, "root").select("rid", F.col("n").cast("long").alias("n_shingles"), "component_id"), "ngram_rows"
-    )
+    rows = _identified(docs, keep)
+    made = by_row(rows.select("rid", "doc_id", "body"), num, den, ngram, block).select("rid", "n_shingles", "component_id")
     return (
-        rows.select(ROW, "doc_id", "rid").join(by_row, "rid", "left")
+        rows.select(ROW, "doc_id", "rid").join(made, "rid", "left")
         .select(ROW, F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"), F.when(F.col("n_shingles").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     )
+
+
+def distinct(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK) -> DataFrame:
+    """One row of each component, with the caller's columns: that of the smallest
+    doc_id, the first by content if ids repeat.  Rows without a set all stay.
+
+    Texts of rows that surely stay do not move: only rows that may have to go
+    (a filter of fixed size says which) meet the list of those that go.
+    """
+    rows = _identified(docs, None)
+    made = by_row(rows.select("rid", "doc_id", "body"), num, den, ngram, block)
+    first = made.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid")).alias("f"))
+    fate = made.join(first, "root").select("rid", (F.col("rid") == F.col("f.rid")).alias("stays"), "times")
+    odd = materialise(fate.where("not stays or times > 1").select("rid", "stays"), "ngram_odd")
+    mask = materialise(key_mask(odd, F.col("rid")), "ngram_mask", files=1)
+    sure = masked(rows.select(ROW, "rid"), F.col("rid"), mask, inside=False)
+    unsure = masked(rows.select(ROW, "rid"), F.col("rid"), mask).join(odd, "rid", "left")
+    other = unsure.where("stays is null").select(ROW)
+    repeated = unsure.where("stays").groupBy("rid").agg(F.first(ROW).alias(ROW)).select(ROW)
+    return sure.select(ROW).unionByName(other).unionByName(repeated).select(f"{ROW}.*")

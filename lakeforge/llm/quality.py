@@ -7,6 +7,8 @@ and are taken out; documents that lose too much with them are rejected.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,9 +73,9 @@ def line_rows(rows: DataFrame, min_words: int) -> DataFrame:
 
 def score(
     docs: DataFrame, max_docs: int = 50, max_share: float = 0.005, min_line_words: int = 3,
-    min_left: int = 10, min_left_share: float = 0.3,
+    min_left: int = 10, min_left_share: float = 0.3, keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The caller's columns (one struct), the base measures, n_words_left and kept.
+    """The caller's columns (one struct; ``keep``: only these), the base measures, n_words_left and kept.
 
     A line of ``min_line_words`` words or more is above the limit when more
     than ``max_docs`` distinct documents of its host hold it, and more than
@@ -84,7 +86,7 @@ def score(
     Null text counts as empty, null source is a host of its own; repeated rows
     get equal results; an empty table gives an empty result.
     """
-    rows = wrap(docs, "text", "source").select(
+    rows = wrap(docs, "text", "source", keep=keep).select(
         ROW, text_of().alias("body"), F.coalesce(F.concat(F.lit("h"), F.col("source").cast("string")), F.lit("")).alias("host"),
     ).withColumn("key", text_key(F.col("body")))
     hosts = rows.groupBy("host").agg(F.count_distinct("key").alias("host_docs"))

@@ -34,7 +34,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    made = line_dedup.dedup(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return made.select(DOC_ID, F.col("clean").alias("text"), "n_lines", "n_dropped")
 
 
@@ -48,7 +48,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = quality.score(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    made = quality.score(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return made.select(DOC_ID, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_words_left")
 
 
@@ -58,7 +58,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text")).select(DOC_ID, "n_shingles", "component_id")
+    return ngram_join.join(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(DOC_ID, "n_shingles", "component_id")
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
