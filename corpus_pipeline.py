@@ -38,14 +38,9 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: of each group of linked documents the one with the smallest id stays.
 
-    Documents without words are linked with nothing and stay.  Of rows that
-    repeat the smallest id in one component, the first by content stays.
+    Documents without words are linked with nothing and stay.
     """
-    made = ngram_join.join(docs, *ngram_join.NEAR)
-    alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
-    one = made.where(~alone & (F.col(f"{ROW}.doc_id") == F.col("component_id"))).select("component_id", ROW)
-    one = one.groupBy("component_id").agg(F.min_by(ROW, F.md5(F.col(f"{ROW}.text").cast("binary"))).alias(ROW)).select(ROW)
-    return unwrap(made.where(alone).select(ROW).unionByName(one))
+    return ngram_join.distinct(docs, *ngram_join.NEAR)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
