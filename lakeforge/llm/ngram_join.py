@@ -6,11 +6,13 @@
    short prefixes.
 3. Classes meet in the groups of their prefix members.  An entry stays only if
    sizes (length filter) and what remains behind its place (positional filter)
-   allow a partner.  Groups with the same classes are one group, so a pair that
-   shares many prefix members is not looked at for each of them.
-4. Within a group a suffix filter (how many members fall into each part of the
-   hash space) rejects most pairs, the rest is counted exactly.  A group is
-   worked on in blocks of bounded size.
+   allow a partner.  Groups that hang together are one neighbourhood, so a set
+   moves once, not once for each prefix member that it shares.
+4. A neighbourhood is joined in blocks of bounded size: within a block pair, sets
+   that share a prefix member at allowed places are candidates, once per pair; a
+   suffix filter (how many members fall into each part of the hash space) rejects
+   most, the rest is counted exactly.  Neighbourhoods of too many blocks are
+   joined group by group instead.
 5. Links give components; copies get the component of their class.
 
 The order only steers the work: counts may be kept in a fixed-size table of
@@ -35,7 +37,7 @@ from lakeforge.llm.components import components
 NGRAM, NUM, DEN = 3, 90, 100  # words; similarity as a fraction
 NEAR = (80, 100, 5)  # near duplicates: similarity 0.8 on five words
 SLOT_BITS, PART_BITS = 22, 16  # counters; counters in a part that moves as one row
-BLOCK = 256  # classes of a group that one task compares with as many others
+BLOCK, BLOCKS = 256, 64  # classes in a block; blocks of a neighbourhood, beyond which its groups are joined one by one
 REMEMBERED = 300_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 
@@ -142,40 +144,60 @@ def _prefixes(ranks, ngram: int, num: int, den: int) -> Callable:
     return run
 
 
-def _sets(ngram: int) -> Callable:
+def _sets(ranks, ngram: int) -> Callable:
+    """Whole sets, rarest member first."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), 128):
                 p = pdf.iloc[at : at + 128]
-                yield pd.DataFrame({"cls": p["cls"], "members": [shingles(t, ngram).tobytes() for t in p["body"]]})
+                sets = [shingles(t, ngram) for t in p["body"]]
+                yield pd.DataFrame({"cls": p["cls"], "members": [_rarest(s, ranks.value, len(s)).tobytes() for s in sets]})
 
     return run
 
 
 def linked(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int, joined: Callable[[int, int], bool] = lambda i, j: False) -> Iterator[tuple[int, int]]:
-    """Index pairs of similar sets, of ``a`` with ``b`` or (b None) within ``a``,
-    but for pairs that are joined already."""
+    """Index pairs of similar sets (each rarest first), of ``a`` with ``b`` or
+    (b None) within ``a``, but for pairs that are joined already."""
     both = a + (b or [])
     size = np.array([len(s) for s in both])
-    rows = np.arange(len(a))
-    cols = rows if b is None else np.arange(len(a), len(both))
+    values = [np.sort(s) for s in both]
     # suffix filter: members by part of the hash space; the differences add up to no more than the sets' difference
     parts = np.stack([np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=64) for s in both]).astype(np.int32)
-    for i in rows:
-        js = cols[cols > i] if b is None else cols
-        n, m = size[i], size[js]
-        js = js[(np.minimum(n, m) * den >= np.maximum(n, m) * num)]
-        if not len(js):
-            continue
-        need = -(-num * (n + size[js]) // (num + den))  # common members that a link takes
-        js = js[np.abs(parts[js] - parts[i]).sum(1) <= n + size[js] - 2 * need]
-        for j in js:
-            if joined(i, j):
+    # prefix members, sorted so that those of one value are a run
+    top = [s[: prefix_length(len(s), num, den)] for s in both]
+    member = np.concatenate(top)
+    owner = np.repeat(np.arange(len(both)), [len(t) for t in top])
+    place = np.concatenate([np.arange(len(t)) for t in top])
+    order = np.lexsort((owner, member))
+    member, owner, place = member[order], owner[order], place[order]
+    start = np.flatnonzero(np.r_[True, member[1:] != member[:-1]])
+    end = np.r_[start[1:], len(member)]
+    seen: set[int] = set()  # pairs are looked at once
+    for s, e in zip(start[end - start > 1], end[end - start > 1]):
+        own, at = owner[s:e], place[s:e]
+        n = size[own]
+        for k in range(len(own) - 1):
+            i = int(own[k])
+            if b is not None and i >= len(a):
+                break
+            js, m = own[k + 1 :], n[k + 1 :]
+            need = -(-num * (n[k] + m) // (num + den))  # common members that a link takes
+            ok = (np.minimum(n[k], m) * den >= np.maximum(n[k], m) * num) & (np.minimum(n[k] - at[k], m - at[k + 1 :]) >= need)
+            if b is not None:
+                ok &= js >= len(a)
+            if not ok.any():
                 continue
-            x, y = both[i], both[j]
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            if den * common >= num * (len(x) + len(y) - common):
-                yield int(i), int(j)
+            js, need = js[ok], need[ok]
+            js = js[np.abs(parts[js] - parts[i]).sum(1) <= n[k] + size[js] - 2 * need]
+            for j in js.tolist():
+                if i * len(both) + j in seen or joined(i, j):
+                    continue
+                seen.add(i * len(both) + j)
+                common = len(np.intersect1d(values[i], values[j], assume_unique=True))
+                if den * common >= num * (size[i] + size[j] - common):
+                    yield i, j
 
 
 def _forest(pdf: pd.DataFrame, num: int, den: int) -> list[tuple[bytes, bytes]]:
@@ -185,7 +207,7 @@ def _forest(pdf: pd.DataFrame, num: int, den: int) -> list[tuple[bytes, bytes]]:
     apart = pdf["lo"].iloc[0] != pdf["hi"].iloc[0]
     if not len(left) or apart and not len(right):
         return []
-    ids = [*left["cls"], *right["cls"]]
+    ids = [*left["cls"], *(right["cls"] if apart else [])]
     a = [np.frombuffer(m, np.uint64) for m in left["members"]]
     b = [np.frombuffer(m, np.uint64) for m in right["members"]] if apart else None
     root = list(range(len(ids)))
@@ -236,20 +258,27 @@ def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, b
     pair = (F.col("least") * den >= F.col("most") * num) & (F.col("left") >= need("total"))
     alive = alive & ((F.col("size") > 2) | pair)
     kept = materialise(entries.join(groups, "member").where(alive).select("member", "cls"), "ngram_entries")
-    once = F.xxhash64("cls", F.lit(5))
-    same = kept.groupBy("member").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("h1"), F.bit_xor(once).alias("h2")).where("size > 1")
-    chosen = same.groupBy("size", "h1", "h2").agg(F.min("member").alias("member")).select("member", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    work = materialise(kept.join(chosen, "member"), "ngram_work")
+    # neighbourhoods: each class beside the first one of its groups
+    hub = kept.groupBy("member").agg(F.min("cls").alias("hub"), F.max("cls").alias("other")).where("hub <> other").select("member", "hub")
+    near = components(kept.join(hub, "member").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct())
+    sizes = near.groupBy("root").agg(F.count("*").alias("size"))
+    near = materialise(near.join(sizes, "root").select(F.col("node").alias("cls"), F.col("root").alias("at"), F.ceil(F.col("size") / block).cast("int").alias("blocks")), "ngram_near")
+    whole = near.where(F.col("blocks") <= BLOCKS).select("at", "cls", "blocks")
+    large = kept.join(near.where(F.col("blocks") > BLOCKS).select("cls"), "cls")
+    groups = large.groupBy("member").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("h1"), F.bit_xor(F.xxhash64("cls", F.lit(5))).alias("h2")).where("size > 1")
+    chosen = groups.groupBy("size", "h1", "h2").agg(F.min("member").alias("member"))  # of groups with the same classes, one
+    single = large.join(chosen, "member").select(F.unhex(F.lpad(F.hex("member"), 16, "0")).alias("at"), "cls", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
+    work = materialise(whole.unionByName(single), "ngram_work")
 
     # one text per class that has work: that of the smallest row identity
     there = members.join(work.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("rid").alias("rid"))
     there = materialise(there, "ngram_active")
-    sets = masked(docs.select("rid", "body"), F.col("rid"), key_mask(there, F.col("rid"))).join(there, "rid").select("cls", "body").mapInPandas(_sets(ngram), "cls binary, members binary")
-    mine = F.pmod(F.xxhash64("cls", "member"), F.col("blocks")).cast("int")
+    sets = masked(docs.select("rid", "body"), F.col("rid"), key_mask(there, F.col("rid"))).join(there, "rid").select("cls", "body").mapInPandas(_sets(ranks, ngram), "cls binary, members binary")
+    mine = F.pmod(F.xxhash64("cls", "at"), F.col("blocks")).cast("int")
     paired = work.withColumn("mine", mine).select(
-        "member", "cls", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("member", "cls", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
-    found = paired.join(sets, "cls").groupBy("member", "lo", "hi").applyInPandas(_compare(num, den), "a binary, b binary")
+        "at", "cls", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("at", "cls", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
+    found = paired.join(sets, "cls").groupBy("at", "lo", "hi").applyInPandas(_compare(num, den), "a binary, b binary")
     return members, materialise(found, "ngram_links")
 
 
