@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import ROW, WS, key_mask, let, masked, materialise, text_key, text_of, wrap
+from lakeforge.llm.common import ROW, key_mask, let, masked, materialise, text_key, text_of, wrap
 
 VARIABLE = "<*>"
 
@@ -27,13 +27,14 @@ def shape(words: Column) -> Column:
 
 def template_lines(rows: DataFrame, depth: int, min_words: int) -> DataFrame:
     """(doc_id, key, line_no, words, n, lead) of every line long enough to be a template."""
-    odd = F.contains("line", F.lit("  "))
-    for c in "\t\x0b\x0c\r":
-        odd = odd | F.contains("line", F.lit(c))
-    words = F.trim(F.when(odd, F.regexp_replace("line", f"[{WS}]+", " ")).otherwise(F.col("line")))
+    odd = F.col("text").startswith(" ") | F.col("text").endswith(" ")
+    for c in ("  ", "\n ", " \n", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | F.contains("text", F.lit(c))
+    # white space is put in order once per text, and only where it is not
+    single = F.regexp_replace("text", "[ \t\x0b\x0c\r]+", " ")
+    neat = F.when(odd, F.trim(F.replace(F.replace(single, F.lit("\n "), F.lit("\n")), F.lit(" \n"), F.lit("\n")))).otherwise(F.col("text"))
     return (
-        rows.select("doc_id", "key", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-        .select("doc_id", "key", "line_no", words.alias("words"))
+        rows.select("doc_id", "key", F.posexplode(F.split(neat, "\n", -1)).alias("line_no", "words"))
         .withColumn("n", F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit(""))) + 1)
         .where(F.col("n") >= min_words)
         .withColumn("lead", shape(F.substring_index("words", " ", depth)))
@@ -57,17 +58,21 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
         .select("key", "line_no", "n", "lead", shape(F.col("words")).alias("shape"), "doc_id"), "line_shapes"
     )
 
-    sizes = held.groupBy("n", "lead").agg(F.count("*").alias("lines"))
-    tokens = held.select("n", "lead", F.posexplode(F.split("shape", " ")).alias("place", "token")).groupBy("n", "lead", "place", "token").agg(F.count("*").alias("times"))
+    # tokens are counted per distinct shape, weighted by its lines; a leaf of one shape needs no template of its own
+    shapes = held.groupBy("n", "lead", "shape").agg(F.count("*").alias("times"))
+    sizes = shapes.groupBy("n", "lead").agg(F.sum("times").alias("lines"), F.count("*").alias("shapes")).where("shapes > 1")
+    mixed = materialise(shapes.join(sizes, ["n", "lead"]).select("n", "lead", "shape", "times", "lines"), "line_mixed")
+    tokens = mixed.select("n", "lead", "lines", "times", F.posexplode(F.split("shape", " ")).alias("place", "token"))
     common = (
-        tokens.groupBy("n", "lead", "place").agg(F.max(F.struct("times", "token")).alias("top"))
-        .join(sizes, ["n", "lead"])
+        tokens.groupBy("n", "lead", "lines", "place", "token").agg(F.sum("times").alias("times"))
+        .groupBy("n", "lead", "lines", "place").agg(F.max(F.struct("times", "token")).alias("top"))
         .where(F.col("top.times") * 2 >= F.col("lines"))
-        .groupBy("n", "lead").agg(F.sort_array(F.collect_list(F.struct("place", F.col("top.token").alias("token")))).alias("constants"))
+        .groupBy("n", "lead").agg(F.collect_list(F.struct("place", F.col("top.token").alias("token"))).alias("constants"))
     )
     fits = F.expr(let("w", "split(shape, ' ')", "aggregate(constants, 0, (a, c) -> a + if(get(w, c.place) <=> c.token, 1, 0))"))
-    template = F.when(fits >= F.col("n") * F.lit(similarity), F.concat_ws(" ", F.lit("leaf"), F.col("n").cast("string"), "lead")).otherwise(F.concat_ws(" ", F.lit("line"), "shape"))
-    fitted = materialise(held.join(common, ["n", "lead"], "left").select("key", "line_no", "doc_id", text_key(template).alias("template")), "line_templates")
+    fitting = mixed.join(common, ["n", "lead"]).where(fits >= F.col("n") * F.lit(similarity)).select("n", "lead", "shape", F.lit(True).alias("fits"))
+    template = F.when(F.col("fits"), F.concat_ws(" ", F.lit("leaf"), F.col("n").cast("string"), "lead")).otherwise(F.concat_ws(" ", F.lit("line"), "shape"))
+    fitted = materialise(held.join(fitting, ["n", "lead", "shape"], "left").select("key", "line_no", "doc_id", text_key(template).alias("template")), "line_templates")
     place = F.struct("doc_id", "key", "line_no")
     templates = (
         fitted.groupBy("template").agg(F.count_distinct("key").alias("texts"), F.min(place).alias("first"))
