@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from lakeforge.llm.common import ROW, text_key, text_of, wrap
 
 #: Texts of more code points are cut; window around a join at first, code points each side; words remembered.
-LEAF, WINDOW, REMEMBERED = 32_768, 64, 400_000
+LEAF, WINDOW, REMEMBERED = 32_768, 64, 250_000
 
 _MARK = re.compile(rb"([a-z])([.,|])(?=[ \t-\r]|$)")
 
@@ -235,9 +235,11 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     rows = wrap(docs, "text").select(ROW, text_of().alias("body"))
     short = rows.where(F.length("body") <= leaf).withColumn("e", encoded("body")).select(ROW, "e.ids", "e.decoded")
     long = rows.where(F.length("body") > leaf).withColumn("key", text_key(F.col("body")))
-    places = F.udf(lambda n: halves(n, leaf), "array<int>")
-    cuts = long.groupBy("key").agg(F.first("body").alias("body")).withColumn("cuts", places(F.length("body")))
-    pieces = cuts.select("key", F.posexplode(F.expr("transform(slice(cuts, 1, size(cuts) - 1), (c, i) -> substring(body, c + 1, cuts[i + 1] - c))")).alias("k", "piece"))
+    # halves of halves, as in halves(): a power of two of pieces
+    n = F.pow(F.lit(2), F.ceil(F.log2(F.length("body") / F.lit(leaf)))).cast("int")
+    cuts = long.groupBy("key").agg(F.first("body").alias("body")).withColumn("n", n)
+    at = "cast(cast(length(body) as bigint) * %s div n as int)"
+    pieces = cuts.select("key", F.posexplode(F.expr(f"transform(sequence(0, n - 1), i -> substring(body, {at % 'i'} + 1, {at % '(i + 1)'} - {at % 'i'}))")).alias("k", "piece"))
     leaves = pieces.repartition("key", "k").mapInPandas(_leaf_task(path), "key binary, k int, piece string, ids binary, a binary, b binary")
     joined = leaves.groupBy("key").applyInPandas(_tree_task(path), "key binary, ids binary, decoded string")
     return short.unionByName(long.join(joined, "key").select(ROW, "ids", "decoded"))
