@@ -36,7 +36,8 @@ from lakeforge.llm.components import components
 
 NGRAM, NUM, DEN = 3, 90, 100  # words; similarity as a fraction
 NEAR = (80, 100, 5)  # near duplicates: similarity 0.8 on five words
-SLOT_BITS, PART_BITS = 22, 16  # counters; counters in a part that moves as one row
+SLOT_BITS, PART_BITS = 23, 16  # counters; counters in a part that moves as one row
+PAIRED = 16  # entries of a group up to which its pairs are tested one by one
 BLOCK, BLOCKS = 256, 64  # classes in a block; blocks of a neighbourhood, beyond which its groups are joined one by one
 REMEMBERED = 300_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
@@ -242,25 +243,40 @@ def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, b
     seen = materialise(docs.mapInPandas(_read(ngram), "rid binary, doc_id long, cls binary, n int, part int, counts binary"), "ngram_read")
     members = seen.where("cls is not null").select("rid", "doc_id", "cls", "n")
     summed = seen.where("part is not null").select("part", "counts").repartition(1 << (SLOT_BITS - PART_BITS), "part").mapInPandas(_sum_parts, "part int, rank binary")
-    table = np.zeros(1 << SLOT_BITS, np.uint16)  # 8 MB whatever the input
+    table = np.zeros(1 << SLOT_BITS, np.uint16)  # 16 MB whatever the input
     for r in summed.collect():
         table[r["part"] << PART_BITS : (r["part"] + 1) << PART_BITS] = np.frombuffer(r["rank"], np.uint16)
     ranks = spark.sparkContext.broadcast(table)
 
     # copies: a task lists a class once, and the rest goes where entries of a member meet
     entries = docs.select("body").mapInPandas(_prefixes(ranks, ngram, num, den), "member long, cls binary, n int, place int").repartition("member").dropDuplicates(["member", "cls"])
-    groups = entries.groupBy("member").agg(
-        F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most"), F.sum("n").alias("total"), F.min(F.col("n") - F.col("place")).alias("left")
-    ).where("size > 1")
     # common members that a pair needs: ceil(num * (n + m) / (num + den)); the smallest partner that the lengths allow
     need = lambda total: F.expr(f"({total} * {num} + {num + den - 1}) div {num + den}")
-    alive = F.expr("n - place") >= need(f"(n + greatest(least, (n * {num} + {den - 1}) div {den}))")
     pair = (F.col("least") * den >= F.col("most") * num) & (F.col("left") >= need("total"))
-    alive = alive & ((F.col("size") > 2) | pair)
-    kept = materialise(entries.join(groups, "member").where(alive).select("member", "cls"), "ngram_entries")
-    # neighbourhoods: each class beside the first one of its groups
-    hub = kept.groupBy("member").agg(F.min("cls").alias("hub"), F.max("cls").alias("other")).where("hub <> other").select("member", "hub")
-    near = components(kept.join(hub, "member").select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct())
+    alive = (F.expr("n - place") >= need(f"(n + greatest(least, (n * {num} + {den - 1}) div {den}))")) & ((F.col("size") > 2) | pair)
+
+    def living(rows: DataFrame, *key: str) -> DataFrame:
+        groups = rows.groupBy(*key).agg(
+            F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most"), F.sum("n").alias("total"), F.min(F.col("n") - F.col("place")).alias("left")
+        ).where("size > 1")
+        return rows.join(groups, list(key)).where(alive)
+
+    met = materialise(living(entries, "member").select("member", "cls", "n", "place"), "ngram_met")
+    # sizes that may link are in the same or in neighbouring steps of the similarity: every entry is in two steps
+    step = F.floor(F.ln("n") / F.lit(math.log(den / num) * 1.000001)).cast("int")
+    kept = living(met.withColumn("step", F.explode(F.array(step, step + 1))), "member", "step")
+    kept = materialise(kept.select(F.xxhash64("member", "step").alias("member"), "cls", "n", "place", "size"), "ngram_entries")
+    # neighbourhoods: possible pairs of small groups; of others each class beside the first one
+    few = kept.where(F.col("size") <= PAIRED).select("member", "cls", "n", "place")
+    other = few.select("member", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("place").alias("at"))
+    possible = (
+        (F.col("cls") < F.col("b")) & (F.least("n", "m") * den >= F.greatest("n", "m") * num) & (F.least(F.expr("n - place"), F.expr("m - at")) >= need("(n + m)"))
+    )
+    edges = few.join(other, "member").where(possible).select(F.col("cls").alias("a"), "b")
+    many = kept.where(F.col("size") > PAIRED).select("member", "cls")
+    hub = many.groupBy("member").agg(F.min("cls").alias("hub"))
+    edges = edges.unionByName(many.join(hub, "member").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b")))
+    near = components(edges.distinct())
     sizes = near.groupBy("root").agg(F.count("*").alias("size"))
     near = materialise(near.join(sizes, "root").select(F.col("node").alias("cls"), F.col("root").alias("at"), F.ceil(F.col("size") / block).cast("int").alias("blocks")), "ngram_near")
     whole = near.where(F.col("blocks") <= BLOCKS).select("at", "cls", "blocks")
