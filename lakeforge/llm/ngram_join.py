@@ -280,7 +280,7 @@ def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, b
     sizes = near.groupBy("root").agg(F.count("*").alias("size"))
     near = materialise(near.join(sizes, "root").select(F.col("node").alias("cls"), F.col("root").alias("at"), F.ceil(F.col("size") / block).cast("int").alias("blocks")), "ngram_near")
     whole = near.where(F.col("blocks") <= BLOCKS).select("at", "cls", "blocks")
-    large = kept.join(near.where(F.col("blocks") > BLOCKS).select("cls"), "cls")
+    large = kept.select("member", "cls").join(near.where(F.col("blocks") > BLOCKS).select("cls"), "cls")
     groups = large.groupBy("member").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("h1"), F.bit_xor(F.xxhash64("cls", F.lit(5))).alias("h2")).where("size > 1")
     chosen = groups.groupBy("size", "h1", "h2").agg(F.min("member").alias("member"))  # of groups with the same classes, one
     single = large.join(chosen, "member").select(F.unhex(F.lpad(F.hex("member"), 16, "0")).alias("at"), "cls", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
