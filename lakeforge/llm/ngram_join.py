@@ -146,14 +146,17 @@ def _prefixes(ranks, ngram: int, num: int, den: int) -> Callable:
 
 
 def _sets(ranks, ngram: int) -> Callable:
-    """Whole sets, rarest member first."""
+    """Whole sets, rarest member first, of each class that a task meets once (repeated rows meet in one task)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[bytes] = set()
         for pdf in batches:
+            pdf = pdf[~pdf["cls"].isin(seen)].drop_duplicates("cls")
+            seen.update(pdf["cls"])
             for at in range(0, len(pdf), 128):
                 p = pdf.iloc[at : at + 128]
                 sets = [shingles(t, ngram) for t in p["body"]]
-                yield pd.DataFrame({"cls": p["cls"], "members": [_rarest(s, ranks.value, len(s)).tobytes() for s in sets]})
+                yield pd.DataFrame({"cls": p["cls"], "members": [_rarest(s, ranks.value, len(s)).tobytes() for s in sets], "spots": p["spots"]})
 
     return run
 
@@ -286,15 +289,19 @@ def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, b
     single = large.join(chosen, "member").select(F.unhex(F.lpad(F.hex("member"), 16, "0")).alias("at"), "cls", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     work = materialise(whole.unionByName(single), "ngram_work")
 
-    # one text per class that has work: that of the smallest row identity
-    there = members.join(work.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("rid").alias("rid"))
-    there = materialise(there, "ngram_active")
-    sets = masked(docs.select("rid", "body"), F.col("rid"), key_mask(there, F.col("rid"))).join(there, "rid").select("cls", "body").mapInPandas(_sets(ranks, ngram), "cls binary, members binary")
     mine = F.pmod(F.xxhash64("cls", "at"), F.col("blocks")).cast("int")
-    paired = work.withColumn("mine", mine).select(
-        "at", "cls", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("at", "cls", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
-    found = paired.join(sets, "cls").groupBy("at", "lo", "hi").applyInPandas(_compare(num, den), "a binary, b binary")
+    paired = work.withColumn("mine", mine).select("at", "cls", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    spots = paired.groupBy("cls").agg(
+        F.collect_list(F.struct("at", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), (F.col("mine") > F.col("other")).cast("int").alias("side"))).alias("spots")
+    )
+    # one text per class that has work, that of the smallest row identity, meets the blocks of its class; then its set is made and dealt out
+    there = members.join(spots, "cls").groupBy("cls").agg(F.min("rid").alias("rid"), F.first("spots").alias("spots"))
+    there = materialise(there.select("rid", "cls", "spots"), "ngram_active")
+    mask = materialise(key_mask(there, F.col("rid")), "ngram_mask", files=1)
+    texts = masked(docs.select("rid", "body"), F.col("rid"), mask).join(there, "rid")
+    spot = "array<struct<at:binary,lo:int,hi:int,side:int>>"
+    sets = texts.select("cls", "body", "spots").mapInPandas(_sets(ranks, ngram), f"cls binary, members binary, spots {spot}")
+    found = sets.select("cls", "members", F.inline("spots")).groupBy("at", "lo", "hi").applyInPandas(_compare(num, den), "a binary, b binary")
     return members, materialise(found, "ngram_links")
 
 
