@@ -70,12 +70,14 @@ def user_analytics(users: DataFrame, transactions: DataFrame) -> DataFrame:
     per_user = transactions.groupBy("user_id").agg(
         F.countDistinct("transaction_id").alias("_tx_distinct"),
         F.sum(X.money("amount")).alias("_tx_sum"),
+        F.when(X.odd_money("amount") > 0, F.sum(F.col("amount").cast("double"))).alias("_tx_odd"),
         F.count("amount").alias("_tx_amounts"),
         F.max(F.col("transaction_date").cast("date")).alias("_tx_last"),
     )
     groups = users.groupBy(*USER_GROUP).agg(F.count(F.lit(1)).alias("_copies"))
     joined = groups.join(per_user, "user_id", "left")
-    total = F.col("_tx_sum").cast("double")
+    total = F.coalesce("_tx_odd", F.col("_tx_sum").cast("double"))
+    spent = F.coalesce(F.col("_tx_odd") * F.col("_copies"), (F.col("_tx_sum") * F.col("_copies")).cast("double"))
     return joined.select(
         "user_id",
         "name",
@@ -84,7 +86,7 @@ def user_analytics(users: DataFrame, transactions: DataFrame) -> DataFrame:
         "age_group",
         "country",
         F.coalesce(F.col("_tx_distinct"), F.lit(0)).cast("bigint").alias("total_transactions"),
-        F.coalesce((F.col("_tx_sum") * F.col("_copies")).cast("double"), F.lit(0.0)).alias("total_spent"),
+        F.coalesce(spent, F.lit(0.0)).alias("total_spent"),
         F.coalesce(F.try_divide(total, F.col("_tx_amounts")), F.lit(0.0)).alias("avg_transaction_amount"),
         F.coalesce(F.col("_tx_last"), F.col("registration_date").cast("date")).alias("last_transaction_date"),
     )

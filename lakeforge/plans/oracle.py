@@ -4,7 +4,7 @@ Each entry is plain SQL over the driver's tables (registered as views), with
 the adapters of ``lakeforge.sources.testdata`` written as CTEs.  Conventions
 that keep both engines bit-identical:
 
-* money sums: ``CAST(sum(CAST(x AS DECIMAL(18,2))) AS DOUBLE)``, averages =
+* money sums: ``CAST(sum(CAST(x AS DECIMAL(38,10))) AS DOUBLE)``, averages =
   that sum / count;
 * integer-valued date parts cast to INTEGER (Spark's width);
 * double literals written as ``0.92::DOUBLE``.
@@ -144,7 +144,7 @@ def with_ctes(ctes, body: str) -> str:
 
 
 def money_sum(col: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+    return f"CAST(sum(CAST({col} AS DECIMAL(38,10))) AS DOUBLE)"
 
 
 def money_avg(col: str, scale: int = 2) -> str:

@@ -8,6 +8,8 @@ DuckDB SQL for the same keys.
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 from functools import reduce
 
@@ -279,18 +281,17 @@ def full_run(spark, sf_dir):
             (C.drop_metadata(T.transactions_raw(spark, sf_dir)), "transactions", "orders"),
             (C.drop_metadata(T.logs_raw(spark, sf_dir)), "logs", "events"),
         ]
-        _RUNS[key] = run_pipeline(spark, shared_dir(spark, "lake", unique=True), batches, AS_OF)
+        schema = f"curated_{uuid.uuid4().hex[:8]}"  # one warehouse per input folder
+        _RUNS[key] = run_pipeline(spark, shared_dir(spark, "lake", unique=True), batches, AS_OF, schema=schema)
     return _RUNS[key]
 
 
 def q_warehouse_user_analytics(spark, sf_dir):
-    full_run(spark, sf_dir)
-    return spark.table("curated.user_analytics")
+    return spark.table(full_run(spark, sf_dir)["warehouse"].qualified("user_analytics"))
 
 
 def q_warehouse_transaction_summary(spark, sf_dir):
-    full_run(spark, sf_dir)
-    return spark.table("curated.transaction_summary")
+    return spark.table(full_run(spark, sf_dir)["warehouse"].qualified("transaction_summary"))
 
 
 def q_warehouse_dq_summary(spark, sf_dir):

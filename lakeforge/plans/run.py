@@ -12,6 +12,7 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeforge.operators.quality import assert_complete, completeness, model_tests
 from lakeforge.plans.models import dim_users, fact_transactions
@@ -26,11 +27,11 @@ DATASETS = {
     "transactions": ("transactions", True),
     "logs": ("logs", True),
 }
-# Layout columns per curated table (the original's index list).
+# Layout columns per curated table: those that are filtered on.
 INDEXES = {
-    "users": ("user_id", "country"),
-    "transactions": ("user_id", "transaction_date"),
-    "logs": ("log_date",),
+    "users": ("country", "email", "user_id"),
+    "transactions": ("category", "transaction_date", "user_id"),
+    "logs": ("source", "level", "log_date"),
 }
 
 
@@ -54,10 +55,17 @@ def process_landed(
     names: Sequence[str],
     as_of: dt.datetime | str | None = None,
     expected: Sequence[str] | None = None,
+    ingest_ids: Sequence[str] | None = None,
+    schema: str = "curated",
 ) -> dict[str, object]:
-    """Everything after landing: gate, transforms, warehouse, models, tests."""
+    """Everything after landing: gate, transforms, warehouse, models, tests.
+
+    ``ingest_ids`` are those of this run: only what they brought passes the
+    gate (an older ingest of a dataset does not stand in for a missing one).
+    """
     manifest = read_manifest(spark, lake)
-    assert_complete(completeness(manifest, expected or names))
+    arrived = manifest if ingest_ids is None else manifest.filter(F.col("ingest_id").isin(*ingest_ids))
+    assert_complete(completeness(arrived, expected or names))
 
     def transform(dataset: str) -> Callable[[], dict[str, str]]:
         dataset_type, aggregate = DATASETS.get(dataset, ("generic", False))
@@ -67,7 +75,7 @@ def process_landed(
     for paths in concurrently([transform(d) for d in names]):
         processed.update(paths)
 
-    wh = Warehouse(spark, f"{lake.rstrip('/')}/curated")
+    wh = Warehouse(spark, f"{lake.rstrip('/')}/curated", schema)
     curated = {d: processed[d] for d in names}
     table_info = build_warehouse(wh, curated, {t: c for t, c in INDEXES.items() if t in curated}, fresh=True)
     tests = models_then_tests(spark, wh, as_of)
@@ -86,9 +94,10 @@ def run_pipeline(
     batches: Sequence[tuple[DataFrame, str, str]],
     as_of: dt.datetime | str | None = None,
     expected: Sequence[str] | None = None,
+    schema: str = "curated",
 ) -> dict[str, object]:
     """Land (df, dataset, source_type) batches, then ``process_landed``."""
-    concurrently([
+    records = concurrently([
         (lambda b=b: ingest_batch(b[0], lake, b[1], b[2], as_of)) for b in batches
     ])
-    return process_landed(spark, lake, [b[1] for b in batches], as_of, expected)
+    return process_landed(spark, lake, [b[1] for b in batches], as_of, expected, [r["ingest_id"] for r in records], schema)

@@ -31,7 +31,7 @@ MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 QUERY_PROP = "lakeforge.view_query"
 BUILDER_PROP = "lakeforge.view_builder"
 
-ViewQuery = str | Callable[[SparkSession], DataFrame]
+ViewQuery = str | Callable[[SparkSession, str], DataFrame]  # a builder gets the warehouse's schema
 
 
 def read_processed(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
@@ -115,7 +115,13 @@ class Warehouse:
                 # Write aside, then swap: the new data may be derived from the old.
                 self._swap(name, observed, self.table_path(table, schema))
             else:
-                observed.write.insertInto(name)
+                # by name: the order of the frame's columns does not matter, unknown ones are an error
+                have = self.spark.table(name).columns
+                unknown = [c for c in observed.columns if c not in have]
+                if unknown:
+                    raise ValueError(f"columns {unknown} are not in {name}")
+                missing = [F.lit(None).alias(c) for c in have if c not in observed.columns]
+                observed.select("*", *missing).select(*have).write.insertInto(name)
         return int(obs.get.get("rows", 0))
 
     def load_from_processed(
@@ -159,10 +165,11 @@ class Warehouse:
     def create_materialized_view(self, view: str, query: ViewQuery, schema: str | None = None) -> None:
         name = self.qualified(view, schema)
         self.create_schema(schema or self.schema)
+        if not isinstance(query, str) and getattr(importlib.import_module(query.__module__), query.__qualname__, None) is not query:
+            raise ValueError("a view's builder must be a module-level function, or refresh cannot find it again; or give SQL")
         df = self._run_view_query(query)
-        path = self._new_version(self.table_path(view, schema))
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        df.write.mode("errorifexists").option("path", path).saveAsTable(name)
+        # written first, swapped after: a query that fails leaves the old view as it was
+        self._swap(name, df, self.table_path(view, schema))
         key, value = (QUERY_PROP, query) if isinstance(query, str) else (
             BUILDER_PROP, f"{query.__module__}:{query.__qualname__}")
         self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{_quote(value)}')")
@@ -178,6 +185,8 @@ class Warehouse:
         else:
             raise ValueError(f"{name} is not a materialized view")
         self._swap(name, self._run_view_query(query), self.table_path(view, schema))
+        key = QUERY_PROP if QUERY_PROP in props else BUILDER_PROP
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{_quote(props[key])}')")
 
     # -- T6 -----------------------------------------------------------------
     def get_table_info(self, schema: str | None = None) -> DataFrame:
@@ -206,16 +215,23 @@ class Warehouse:
 
     # -- helpers --------------------------------------------------------------
     def _run_view_query(self, query: ViewQuery) -> DataFrame:
-        return self.spark.sql(query) if isinstance(query, str) else query(self.spark)
+        if self.jdbc:
+            raise NotImplementedError("views, layout and table info work on catalog tables; a JDBC warehouse takes loads only")
+        if isinstance(query, str):
+            return self.spark.sql(query)
+        return query(self.spark, self.schema)
 
     @staticmethod
     def _new_version(base: str) -> str:
         return f"{base}/v_{uuid.uuid4().hex[:12]}"
 
     def _swap(self, name: str, df: DataFrame, base: str) -> None:
+        """Write a new version aside, then define the (external) table anew over it:
+        the table takes over the frame's schema, and only metadata changes hands."""
         path = self._new_version(base)
         df.write.mode("errorifexists").parquet(path)
-        self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
         self.spark.catalog.refreshTable(name)
 
 
@@ -235,18 +251,14 @@ def _quote(text: str) -> str:
 
 # --- V1 / V2 builders over the curated tables --------------------------------
 
-USERS_TABLE = "curated.users"
-TRANSACTIONS_TABLE = "curated.transactions"
-
-
-def user_analytics_view(spark: SparkSession) -> DataFrame:
-    """V1 over the curated users and transactions tables."""
-    return A.user_analytics(spark.table(USERS_TABLE), spark.table(TRANSACTIONS_TABLE))
+def user_analytics_view(spark: SparkSession, schema: str = "curated") -> DataFrame:
+    """V1 over the users and transactions tables of a warehouse."""
+    return A.user_analytics(spark.table(f"{schema}.users"), spark.table(f"{schema}.transactions"))
 
 
-def transaction_summary_view(spark: SparkSession) -> DataFrame:
-    """V2 over the curated transactions table."""
-    return A.transaction_summary(spark.table(TRANSACTIONS_TABLE), ordered=False)
+def transaction_summary_view(spark: SparkSession, schema: str = "curated") -> DataFrame:
+    """V2 over the transactions table of a warehouse."""
+    return A.transaction_summary(spark.table(f"{schema}.transactions"), ordered=False)
 
 
 def build_warehouse(

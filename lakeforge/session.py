@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # partitions of the advisory size, not as many as there are cores
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -28,16 +30,16 @@ DEFAULT_CONF = {
 }
 
 
-def sized_conf(input_bytes: int, bytes_per_shuffle_partition: int = 2 << 30) -> dict[str, str]:
+def sized_conf(input_bytes: int, bytes_per_shuffle_partition: int = 2 << 30, least: int = 200, most: int = 200_000) -> dict[str, str]:
     """Shuffle and scan sizing for an input volume (spill-aware defaults).
 
     The widest shuffle here is the exact de-dup of the input, so the static
     partition count gives each reducer about ``bytes_per_shuffle_partition``
-    of it (bounded to 200..50000: more reducers multiply shuffle blocks);
+    of it (bounded to ``least``..``most``: more reducers multiply shuffle blocks);
     AQE then coalesces to ~256 MB partitions after partial aggregation has
     shrunk the data, and splits skewed ones.  Scan splits stay at 256 MB.
     """
-    parts = max(200, min(50_000, -(-input_bytes // bytes_per_shuffle_partition)))
+    parts = max(least, min(most, -(-input_bytes // bytes_per_shuffle_partition)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
@@ -87,7 +89,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir() or configured
         return configured
-    # Unset: only happens in local runs and tests.
+    # Unset: a machine-local folder is only right where everything runs on this machine.
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="lakeforge-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

@@ -112,8 +112,14 @@ def ingest_batch(
         .parquet(target)
     )
     rows = int(obs.get.get("rows", 0))
-    if skip_empty and rows == 0:
-        return None
+    if rows == 0:
+        # dynamic overwrite touches no partition without rows: an empty pull (or replay) writes
+        # its folder itself, so the logged path exists, reads as empty, and old rows are gone
+        folder = f"{target}/{partition_of(when)}/ingest_id={ingest_id}"
+        if not skip_empty or _has_files(spark, folder):
+            stamped.limit(0).coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(folder)
+        if skip_empty:
+            return None
     record = {
         "dataset_name": dataset,
         "source_type": source_type,
@@ -128,6 +134,11 @@ def ingest_batch(
     return record
 
 
+def _has_files(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def append_manifest(spark: SparkSession, lake: str, record: dict) -> None:
     """One JSON line per ingest, written next to (not inside) the data.
 

@@ -43,4 +43,12 @@ def test_sized_conf_scales_and_clamps():
     assert sized_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
     big = int(sized_conf(100 * 10**12)["spark.sql.shuffle.partitions"])
     assert 20_000 < big <= 50_000
-    assert sized_conf(10**18)["spark.sql.shuffle.partitions"] == "50000"
+    assert sized_conf(10**18, most=50_000)["spark.sql.shuffle.partitions"] == "50000"  # the upper end is a parameter
+
+
+def test_money_keeps_digits_and_odd_values(spark):
+    data = [("sub", 0.004), ("sub", 0.004), ("sub", 1.005), ("nan", float("nan")), ("nan", 2.0), ("big", 1e17), ("big", 1.0), ("none", None)]
+    df = spark.createDataFrame(data, "g string, v double").groupBy("g").agg(X.money_sum("v").alias("s"), X.money_avg("v").alias("m"))
+    got = {r["g"]: (r["s"], r["m"]) for r in df.collect()}
+    assert got["sub"][0] == 1.013 and got["nan"][0] != got["nan"][0] and got["nan"][1] != got["nan"][1]
+    assert got["big"] == (1e17 + 1.0, (1e17 + 1.0) / 2) and got["none"] == (None, None)

@@ -88,3 +88,12 @@ def test_raw_timestamps_are_microseconds(spark, lake):
     files = glob.glob(f"{rec['file_path']}/*.parquet")
     field = pq.read_schema(files[0]).field("_ingestion_timestamp")
     assert str(field.type).startswith("timestamp[us")  # D3: never nanoseconds
+
+
+def test_empty_replay_clears_and_empty_pull_reads(spark, lake):
+    df = spark.createDataFrame([(1,), (2,)], "id long")
+    R.ingest_batch(df, lake, "e", "src", "2025-01-02 00:00:00", "one")
+    R.ingest_batch(df.limit(0), lake, "e", "src", "2025-01-02 00:00:00", "one")
+    assert R.read_raw(spark, lake, "e").count() == 0
+    R.ingest_batch(df.limit(0), lake, "only_empty", "src", "2025-01-02 00:00:00", "one")
+    assert R.read_raw(spark, lake, "only_empty").count() == 0

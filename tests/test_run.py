@@ -13,9 +13,9 @@ def test_run_pipeline_matches_in_flight_queries(spark, lake):
         (C.drop_metadata(T.transactions_raw(spark, SF_SMOKE)), "transactions", "orders"),
         (C.drop_metadata(T.logs_raw(spark, SF_SMOKE)), "logs", "events"),
     ]
-    result = run_pipeline(spark, lake, batches, registry.AS_OF)
-    assert rows(spark.table("curated.user_analytics")) == rows(registry.q_user_analytics(spark, SF_SMOKE))
-    assert rows(spark.table("curated.transaction_summary")) == rows(registry.q_transaction_summary(spark, SF_SMOKE))
+    result = run_pipeline(spark, lake, batches, registry.AS_OF, schema="run_test")
+    assert rows(spark.table("run_test.user_analytics")) == rows(registry.q_user_analytics(spark, SF_SMOKE))
+    assert rows(spark.table("run_test.transaction_summary")) == rows(registry.q_transaction_summary(spark, SF_SMOKE))
     assert rows(result["tests"]) == rows(registry.q_dq_summary(spark, SF_SMOKE))
     report = {r["dataset_name"]: r["rows"] for r in result["ingest_report"].collect()}
     assert report == {name: df.count() for df, name, _ in batches}

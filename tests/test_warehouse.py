@@ -133,3 +133,31 @@ def test_warehouse_build_fails_loudly(spark, lake):
     wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_fail")
     with pytest.raises(FileNotFoundError):  # D10: no warning-and-continue
         W.build_warehouse(wh, {"users": os.path.join(lake, "processed", "nope")})
+
+
+def test_replace_takes_over_the_new_schema(spark, lake):
+    wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_drift")
+    wh.write_table(spark.createDataFrame([("1", "a")], "k string, name string"), "t")
+    wh.write_table(spark.createDataFrame([(1, "a", 2.0)], "k long, name string, more double"), "t")
+    assert spark.table("wh_drift.t").dtypes == [("k", "bigint"), ("name", "string"), ("more", "double")]
+    assert [tuple(r) for r in spark.table("wh_drift.t").collect()] == [(1, "a", 2.0)]
+
+
+def test_append_goes_by_name(spark, lake):
+    wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_names")
+    wh.write_table(spark.createDataFrame([("k1", "n1")], "k string, name string"), "t")
+    wh.write_table(spark.createDataFrame([("n2", "k2")], "name string, k string"), "t", if_exists="append")
+    assert sorted(tuple(r) for r in spark.table("wh_names.t").collect()) == [("k1", "n1"), ("k2", "n2")]
+    with pytest.raises(ValueError):
+        wh.write_table(spark.createDataFrame([("x", 1)], "k string, other int"), "t", if_exists="append")
+
+
+def test_failed_view_keeps_the_old_one(spark, lake):
+    wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_keep")
+    wh.write_table(tx(spark, 4), "tx")
+    wh.create_materialized_view("v", "SELECT user_id FROM wh_keep.tx")
+    with pytest.raises(Exception):
+        wh.create_materialized_view("v", "SELECT raise_error('no') AS user_id FROM wh_keep.tx")
+    assert spark.table("wh_keep.v").count() == 4
+    with pytest.raises(ValueError):
+        wh.create_materialized_view("w", lambda s, schema: s.table("wh_keep.tx"))
