@@ -66,7 +66,9 @@ def read_document_store(
     for key, value in (query or {}).items():
         df = df.filter(F.col(key) == F.lit(value))
     if "_id" in df.columns:
-        df = df.withColumn("_id", F.col("_id").cast("string"))
+        kind = df.schema["_id"].dataType
+        wrapped = isinstance(kind, StructType) and "$oid" in kind.names  # an object id in extended JSON
+        df = df.withColumn("_id", F.col("_id.`$oid`" if wrapped else "_id").cast("string"))
     return df.limit(limit) if limit else df
 
 

@@ -57,3 +57,12 @@ def test_inline_rows_and_sql(spark):
                        "user_id string, name string")
     df.createOrReplaceTempView("inline_users")
     assert S.execute_query(spark, "SELECT count(*) AS n FROM inline_users").first()["n"] == 2
+
+
+def test_document_store_object_ids(spark, tmp_path):
+    from lakeforge.sources.connectors import read_document_store
+
+    path = tmp_path / "docs.json"
+    path.write_text('{"_id": {"$oid": "abc0"}, "k": 1}\n{"_id": {"$oid": "abc1"}, "k": 2}\n')
+    got = read_document_store(spark, fmt="json", path=str(path), query={"k": 2}, limit=5)
+    assert [r["_id"] for r in got.collect()] == ["abc1"]
