@@ -15,7 +15,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from lakeforge.session import build_session
+from lakeforge.session import build_session, sized_shuffle
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -26,6 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     ing.add_argument("--dataset", required=True)
     ing.add_argument("--path", required=True)
     ing.add_argument("--format", default="parquet", choices=["csv", "json", "parquet", "orc"])
+    ing.add_argument("--schema", default=None, help="column types, e.g. 'user_id bigint, email string, age int'")
     ing.add_argument("--data-lake", default="./data_lake")
     ing.add_argument("--ingest-id", default=None, help="stable id: a re-run replaces its own output")
     ing.add_argument("--ingested-at", default=None, help="ingest time 'YYYY-MM-DD HH:MM:SS' (default now)")
@@ -70,15 +71,17 @@ def main(argv: list[str] | None = None) -> int:
             from lakeforge.sources.connectors import read_files
             from lakeforge.sources.raw import ingest_batch
 
-            rec = ingest_batch(read_files(spark, args.path, args.format), args.data_lake, args.dataset,
+            rec = ingest_batch(read_files(spark, args.path, args.format, args.schema), args.data_lake, args.dataset,
                                args.format, ingested_at=args.ingested_at, ingest_id=args.ingest_id)
             print(rec)
         elif args.command == "transform":
             from lakeforge.plans.transform import transform_pipeline
+            from lakeforge.sources.raw import raw_path
 
             subset = args.dedup_key.split(",") if args.dedup_key else None
-            print(transform_pipeline(spark, args.data_lake, args.dataset, args.type, args.aggregate, subset=subset,
-                                     raw_filter=args.raw_filter, mode=args.mode))
+            with sized_shuffle(spark, [raw_path(args.data_lake, args.dataset)]):
+                print(transform_pipeline(spark, args.data_lake, args.dataset, args.type, args.aggregate, subset=subset,
+                                         raw_filter=args.raw_filter, mode=args.mode))
         elif args.command == "warehouse":
             from lakeforge.plans.run import INDEXES
             from lakeforge.plans.transform import processed_path
@@ -86,8 +89,9 @@ def main(argv: list[str] | None = None) -> int:
 
             names = args.datasets.split(",")
             wh = Warehouse(spark, f"{args.data_lake.rstrip('/')}/curated")
-            info = build_warehouse(wh, {d: processed_path(args.data_lake, d) for d in names},
-                                   {t: c for t, c in INDEXES.items() if t in names})
+            paths = {d: processed_path(args.data_lake, d) for d in names}
+            with sized_shuffle(spark, list(paths.values())):
+                info = build_warehouse(wh, paths, INDEXES)
             info.show(truncate=False)
         elif args.command == "report":
             from lakeforge.sources.raw import ingest_report, read_manifest

@@ -82,6 +82,12 @@ def safe_to_date(c: ColumnOrName, data_type: str | None = None) -> Column:
     return F.try_to_date(c)
 
 
+def try_number(c: ColumnOrName, kind: str) -> Column:
+    """Text as a number of ``kind``, NULL where it is none (whole numbers drop a fraction)."""
+    number = _col(c).try_cast("double")
+    return number if kind == "double" else number.try_cast(kind)
+
+
 def processed_timestamp(as_of: dt.datetime | str | None = None) -> Column:
     """Transformation time; an injected ``as_of`` makes runs reproducible."""
     return F.current_timestamp() if as_of is None else timestamp_literal(as_of)

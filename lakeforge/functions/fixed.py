@@ -31,8 +31,6 @@ SEVERITY_LEVELS = (("ERROR", 3), ("WARNING", 2))
 SEVERITY_OTHER = 1
 
 # --- Fixed values: layout -----------------------------------------------------
-# Layers of the lake.
-LAYERS = ("raw", "processed", "curated")
 # Partition columns of PROCESSED outputs by dataset type.
 PARTITION_COLUMNS = {
     "transactions": ("transaction_year", "transaction_month"),
@@ -49,9 +47,18 @@ STREAM_WINDOW = "1 minute"
 STREAM_TRIGGER = "10 seconds"
 # Only completed transactions enter the stream aggregate.
 STREAM_STATUS = "completed"
-# Bounded pull of the hourly Kafka ingest and the consumer's default.
+# Bounded pull of the hourly Kafka ingest.
 KAFKA_HOURLY_MAX_MESSAGES = 10000
-KAFKA_DEFAULT_MAX_MESSAGES = 100
+# Payload of a transaction message: field and type.
+TRANSACTION_FIELDS = (
+    ("transaction_id", "string"),
+    ("user_id", "string"),
+    ("amount", "float"),
+    ("currency", "string"),
+    ("timestamp", "timestamp"),
+    ("merchant", "string"),
+    ("status", "string"),
+)
 
 # --- Fixed values: data-quality alerts ----------------------------------------
 # Validation-error rate alert: rate over 5 minutes above 0.1 per second,
@@ -63,6 +70,7 @@ ERROR_RATE_THRESHOLD = 0.1
 ERROR_RATE_HOLD_MINUTES = 5
 # Failing data tests alert: any failing test, held 1 minute.
 TEST_FAILURE_THRESHOLD = 0
+TEST_FAILURE_HOLD_MINUTES = 1
 
 # --- Model tests (model, column, test) ----------------------------------------
 MODEL_TESTS = (

@@ -4,8 +4,10 @@ Order of steps is part of the contract:
 
 1. exact de-duplication over *all* columns, while the ingest metadata columns
    are still present (so two ingests of the same row both survive);
-2. the dataset's validation rules, each a filter (a NULL predicate drops the
-   row, like SQL ``WHERE``);
+2. contract columns that arrive as text get their types; text that is not a
+   number becomes NULL (and so fails its rule) instead of ending the job;
+   then the dataset's validation rules, each a filter (a NULL predicate drops
+   the row, like SQL ``WHERE``);
 3. standardisation (users only; emails are validated *before* trimming);
 4. every column whose name starts with ``_`` is dropped.
 
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeforge.functions import fixed
-from lakeforge.functions.expressions import passes
+from lakeforge.functions.expressions import passes, try_number
 
 DATASET_TYPES = ("users", "transactions", "logs", "generic")
 
@@ -51,6 +53,17 @@ def rules(dataset_type: str) -> list[tuple[str, Column]]:
     raise ValueError(f"unknown dataset type {dataset_type!r}; expected one of {DATASET_TYPES}")
 
 
+#: Contract columns that the rules and enrichments compute with, and their types.
+NUMBERS = {"users": {"age": "int"}, "transactions": {"amount": "double"}}
+
+
+def typed(df: DataFrame, dataset_type: str) -> DataFrame:
+    """Contract columns that arrived as text (CSV, untyped JSON) as numbers; other types stay."""
+    kinds = dict(df.dtypes)
+    text = {c: t for c, t in NUMBERS.get(dataset_type, {}).items() if kinds.get(c) == "string"}
+    return df.withColumns({c: try_number(c, t) for c, t in text.items()}) if text else df
+
+
 def metadata_columns(df: DataFrame, keep: Iterable[str] = ()) -> list[str]:
     keep = set(keep)
     return [c for c in df.columns if c.startswith("_") and c not in keep]
@@ -109,15 +122,19 @@ def clean_data(
 ) -> DataFrame:
     """C1-C5 in the contract order (see module docstring)."""
     rules(dataset_type)  # validates the type name
-    df = deduplicate(df, subset)
-    df = apply_rules(df, dataset_type)
+    return _validated(deduplicate(df, subset), dataset_type, keep_metadata)
+
+
+def _validated(df: DataFrame, dataset_type: str, keep_metadata: Iterable[str] = ()) -> DataFrame:
+    """Everything after the de-duplication."""
+    df = apply_rules(typed(df, dataset_type), dataset_type)
     df = standardize(df, dataset_type)
     return drop_metadata(df, keep_metadata)
 
 
 def clean_observed(
     df: DataFrame, dataset_type: str = "generic", subset: Sequence[str] | None = None
-) -> tuple[DataFrame, Observation, Observation]:
+) -> tuple[DataFrame, Observation, Observation, Observation]:
     """C6 opt-in: row counts before de-dup, after de-dup and at the end.
 
     The counts are collected by the one job that consumes the result, instead
@@ -125,11 +142,10 @@ def clean_observed(
     after that action.  An observation between the scan and the filters stops
     the filters from being pushed into the scan, hence opt-in.
     """
-    initial, final = Observation("initial"), Observation("final")
-    df = df.observe(initial, F.count(F.lit(1)).alias("rows"))
-    cleaned = clean_data(df, dataset_type, subset)
-    cleaned = cleaned.observe(final, F.count(F.lit(1)).alias("rows"))
-    return cleaned, initial, final
+    initial, distinct, final = Observation("initial"), Observation("distinct"), Observation("final")
+    rows = F.count(F.lit(1)).alias("rows")
+    unique = deduplicate(df.observe(initial, rows), subset).observe(distinct, rows)
+    return _validated(unique, dataset_type).observe(final, rows), initial, distinct, final
 
 
 def rejects_by_rule(df: DataFrame, dataset_type: str, dataset_name: str | None = None) -> DataFrame:
@@ -142,7 +158,7 @@ def rejects_by_rule(df: DataFrame, dataset_type: str, dataset_name: str | None =
     dataset_name = dataset_name or dataset_type
     # One shuffle: collapse exact copies (keeping their multiplicity), then a
     # single global aggregate evaluates every rule on the distinct rows.
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    distinct = typed(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), dataset_type)
     aggs = [F.sum("_copies").alias("initial"), F.count(F.lit(1)).alias("distinct_rows")]
     names = []
     survived = F.lit(True)
@@ -166,7 +182,7 @@ def rejects_by_rule(df: DataFrame, dataset_type: str, dataset_name: str | None =
 def clean_report(df: DataFrame, dataset_type: str, dataset_name: str | None = None) -> DataFrame:
     """C6 as a table: (dataset, initial_count, duplicates_removed, final_count)."""
     dataset_name = dataset_name or dataset_type
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    distinct = typed(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), dataset_type)
     survived = F.lit(True)
     for _, predicate in rules(dataset_type):
         survived = survived & passes(predicate)

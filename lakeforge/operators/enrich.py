@@ -66,10 +66,3 @@ def enrich_data(
     elif dataset_type == "logs":
         df = enrich_logs(df)
     return df.withColumn("_processed_timestamp", X.processed_timestamp(as_of))
-
-
-def with_ingest_metadata(df: DataFrame, source: str, ingested_at: dt.datetime | str | None = None) -> DataFrame:
-    """One ingest time and source name per batch."""
-    return df.withColumn("_ingestion_timestamp", X.processed_timestamp(ingested_at)).withColumn(
-        "_source", F.lit(source)
-    )

@@ -1,8 +1,7 @@
 """Joins (J1, J2).
 
 J1 (users LEFT JOIN transactions) is planned inside
-``aggregate.user_analytics``; this module holds the referential check and
-the small-side helper used when one side has a *proven* size bound.
+``aggregate.user_analytics``; this module holds the referential check.
 """
 
 from __future__ import annotations
@@ -11,17 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Keep every left row; the planner picks broadcast or sort-merge.
-
-    No hint: a broadcast needs a size bound, and the planner's estimate
-    (``spark.sql.autoBroadcastJoinThreshold``, re-checked by AQE on runtime
-    statistics) is that bound.  Past it, a sort-merge join with AQE skew
-    splitting handles hot keys.
-    """
-    return left.join(right, on, "left")
-
-
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child keys with no parent, with the number of child rows for each.
 

@@ -132,14 +132,31 @@ def failing_tests(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if(~F.col("passed")).cast("bigint").alias("failing_tests"))
 
 
-def test_failure_alert(results: DataFrame, as_of_col=None) -> DataFrame:
-    """Firing when the failing-test gauge is above its threshold."""
-    gauge = failing_tests(results)
-    return gauge.select(
-        F.lit("DataTestFailure").alias("alert"),
-        "failing_tests",
-        (F.col("failing_tests") > fixed.TEST_FAILURE_THRESHOLD).alias("firing"),
+def test_failure_alert(
+    results: DataFrame, time_col: str | None = None, hold_minutes: int = fixed.TEST_FAILURE_HOLD_MINUTES
+) -> DataFrame:
+    """Firing when the failing-test gauge stays above its threshold.
+
+    ``results`` of one evaluation: the gauge and whether it is above the
+    threshold now.  With ``time_col`` (results of many evaluations, at most
+    one a minute): per evaluation time the gauge, ``pending`` (above) and
+    ``firing`` (above at this evaluation and through the ``hold_minutes``
+    before it).
+    """
+    if time_col is None:
+        return failing_tests(results).select(
+            F.lit("DataTestFailure").alias("alert"),
+            "failing_tests",
+            (F.col("failing_tests") > fixed.TEST_FAILURE_THRESHOLD).alias("firing"),
+        )
+    gauge = (
+        results.groupBy(F.window(time_col, "1 minute").alias("w"))
+        .agg(F.count_if(~F.col("passed")).cast("bigint").alias("failing_tests"))
+        .select(F.col("w.start").alias("evaluated_at"), "failing_tests")
+        .withColumn("pending", F.col("failing_tests") > fixed.TEST_FAILURE_THRESHOLD)
     )
+    held = _held(gauge, "evaluated_at", ["failing_tests", "pending"], 1, hold_minutes)
+    return held.select(F.lit("DataTestFailure").alias("alert"), "evaluated_at", "failing_tests", "pending", "firing")
 
 
 def validation_errors(df: DataFrame, dataset_type: str, time_col: str) -> DataFrame:
@@ -181,9 +198,12 @@ def error_rate_alert(
     pending evaluations landing on an evaluation time from its N+1 latest
     steps.
     """
+    # counted per step first: the sliding range then expands one row per step, not every error
+    per_step = errors.groupBy(F.window(time_col, step).alias("s")).agg(F.count(F.lit(1)).alias("n"))
     rates = (
-        errors.groupBy(F.window(time_col, range_, step).alias("w"))
-        .agg(F.count(F.lit(1)).alias("errors"))
+        per_step.select(F.col("s.start").alias("at"), "n")
+        .groupBy(F.window("at", range_, step).alias("w"))
+        .agg(F.sum("n").alias("errors"))
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
@@ -192,43 +212,39 @@ def error_rate_alert(
         )
         .withColumn("pending", F.col("rate") > F.lit(threshold))
     )
-    step_minutes = _minutes(step)
-    # Each evaluation row emits itself and, when pending, one marker at each
-    # of the next hold_steps + 1 evaluation times (itself included).  An
-    # evaluation fires when hold_steps + 1 markers land on it.  One explode
-    # (fixed factor) and one grouped aggregate: no self-join, no recompute.
-    fields = ["window_start", "errors", "rate", "pending"]
-    own = F.struct(
-        F.col("window_end").alias("t"), F.lit(True).alias("is_row"), *[F.col(c).alias(c) for c in fields]
-    )
+    held = _held(rates, "window_end", ["window_start", "errors", "rate", "pending"], _minutes(step), hold_steps)
+    return held.select(F.lit(alert).alias("alert"), "window_start", "window_end", "errors", "rate", "pending", "firing")
+
+
+def _held(evaluations: DataFrame, time: str, fields: Sequence[str], step_minutes: int, hold_steps: int) -> DataFrame:
+    """``time``, ``fields`` and ``firing``: pending at this and the ``hold_steps`` evaluations before it.
+
+    Each evaluation row emits itself and, when pending, one marker at each
+    of the next hold_steps + 1 evaluation times (itself included).  An
+    evaluation fires when hold_steps + 1 markers land on it.  One explode
+    (fixed factor) and one grouped aggregate: no self-join, no recompute.
+    """
+    own = F.struct(F.col(time).alias("t"), F.lit(True).alias("is_row"), *[F.col(c).alias(c) for c in fields])
     markers = [
         F.when(
             F.col("pending"),
             F.struct(
-                (F.col("window_end") + F.expr(f"INTERVAL {k * step_minutes} MINUTES")).alias("t"),
+                (F.col(time) + F.expr(f"INTERVAL {k * step_minutes} MINUTES")).alias("t"),
                 F.lit(False).alias("is_row"),
-                *[F.lit(None).cast(rates.schema[c].dataType).alias(c) for c in fields],
+                *[F.lit(None).cast(evaluations.schema[c].dataType).alias(c) for c in fields],
             ),
         )
         for k in range(hold_steps + 1)
     ]
-    items = rates.select(F.explode(F.filter(F.array(own, *markers), lambda x: x.isNotNull())).alias("i"))
+    items = evaluations.select(F.explode(F.filter(F.array(own, *markers), lambda x: x.isNotNull())).alias("i"))
     # exactly one item per time is the evaluation row: per-field max reads it
     # (primitive maxima keep this a hash aggregate)
-    per_time = items.groupBy(F.col("i.t").alias("window_end")).agg(
+    per_time = items.groupBy(F.col("i.t").alias(time)).agg(
         F.count_if(F.col("i.is_row")).alias("is_row"),
         *[F.max(F.col(f"i.{c}")).alias(c) for c in fields],
         F.count_if(~F.col("i.is_row")).alias("held"),
     )
-    return per_time.filter(F.col("is_row") > 0).select(
-        F.lit(alert).alias("alert"),
-        "window_start",
-        "window_end",
-        "errors",
-        "rate",
-        "pending",
-        (F.col("held") == hold_steps + 1).alias("firing"),
-    )
+    return per_time.filter(F.col("is_row") > 0).select(time, *fields, (F.col("held") == hold_steps + 1).alias("firing"))
 
 
 def _minutes(text: str) -> int:

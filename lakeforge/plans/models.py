@@ -32,8 +32,3 @@ def fact_transactions(transactions_processed: DataFrame, as_of: dt.datetime | st
         F.col("transaction_date"),
         processed_timestamp(as_of).alias("loaded_at"),
     )
-
-
-def inline_rows(spark, rows: list[dict], schema: str) -> DataFrame:
-    """Literal VALUES source (the models' stand-in rows, test fixtures)."""
-    return spark.createDataFrame(rows, schema=schema)

@@ -248,6 +248,7 @@ def build() -> dict[str, str]:
     q["clean_observed"] = with_ctes(
         [USERS_RAW, USERS_CLEAN],
         "SELECT 'users' AS dataset, (SELECT count(*) FROM users_raw) AS initial_count, "
+        "(SELECT count(*) FROM (SELECT DISTINCT * FROM users_raw)) AS distinct_count, "
         "(SELECT count(*) FROM users_clean) AS final_count",
     )
     q["row_counts"] = with_ctes(
@@ -293,13 +294,27 @@ def build() -> dict[str, str]:
     q["ingest_report"] = with_ctes(
         [USERS_RAW, TRANSACTIONS_RAW, LOGS_RAW],
         f"""SELECT 'users' AS dataset_name, 'customer' AS source_type, '{d1}' AS "partition", 1::BIGINT AS ingests,
-          count(*)::BIGINT AS "rows", {t1} AS first_ingest, {t1} AS last_ingest FROM users_raw
-        UNION ALL SELECT 'users', 'customer', '{d2}', 1, count(*), {t2}, {t2} FROM users_raw
-        UNION ALL SELECT 'transactions', 'orders', '{d1}', 1, count(*), {t1}, {t1} FROM transactions_raw
-        UNION ALL SELECT 'logs', 'events', '{d1}', 1, count(*), {t1}, {t1} FROM logs_raw""",
+          count(*)::BIGINT AS "rows", 8::BIGINT AS n_columns, true AS stamped, {t1} AS first_ingest, {t1} AS last_ingest FROM users_raw
+        UNION ALL SELECT 'users', 'customer', '{d2}', 1, count(*), 8, true, {t2}, {t2} FROM users_raw
+        UNION ALL SELECT 'transactions', 'orders', '{d1}', 1, count(*), 10, true, {t1}, {t1} FROM transactions_raw
+        UNION ALL SELECT 'logs', 'events', '{d1}', 1, count(*), 6, true, {t1}, {t1} FROM logs_raw""",
+    )
+    q["completeness"] = with_ctes(
+        [USERS_RAW, TRANSACTIONS_RAW, LOGS_RAW],
+        """SELECT 'users' AS dataset, count(*) > 0 AS present FROM users_raw
+        UNION ALL SELECT 'transactions', count(*) > 0 FROM transactions_raw
+        UNION ALL SELECT 'logs', count(*) > 0 FROM logs_raw
+        UNION ALL SELECT 'weather_api', false""",
+    )
+    q["warehouse_table_info"] = with_ctes(
+        USERS_CHAIN + TX_CHAIN + LOGS_CHAIN,
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, count(*) >= 0 AS has_bytes, true AS size_fits FROM {source}"
+            for t, source in (("users", "users_processed"), ("transactions", "transactions_processed"), ("logs", "logs_processed"),
+                              ("user_analytics", "users_processed"), ("transaction_summary", "transactions_processed"),
+                              ("dim_users", "users_processed"), ("fact_transactions", "transactions_processed"))
+        ),
     )
-    q["completeness"] = """SELECT * FROM (VALUES ('users', true), ('transactions', true), ('logs', true),
-        ('weather_api', false)) AS t(dataset, present)"""
     q["warehouse_user_analytics"] = q["user_analytics"]
     q["warehouse_transaction_summary"] = q["transaction_summary"]
     q["warehouse_dq_summary"] = q["dq_summary"]
@@ -319,6 +334,58 @@ def build() -> dict[str, str]:
     q["file_batch_csv"] = "SELECT * FROM events"
     q["api_landing"] = "SELECT *, 'https://example.invalid/events' AS _source_url FROM events"
     q["document_extract"] = "SELECT *, CAST(event_id AS VARCHAR) AS _id FROM events"
+    q["document_find"] = "SELECT *, lpad(lower(to_hex(event_id)), 24, '0') AS _id FROM events WHERE event_type = 'error'"
+    q["wide_column_extract"] = "SELECT CAST(event_id AS VARCHAR) AS id, ts, value FROM events"
+    users_as_text = """
+  users_text AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, name, email, CASE WHEN user_id % 19 = 3 THEN NULL ELSE age END AS age,
+    country, CAST(registration_date AS VARCHAR) AS registration_date FROM users_raw)"""
+    q["clean_users_text"] = with_ctes(
+        [USERS_RAW, users_as_text],
+        f"""SELECT user_id, trim(name) AS name, lower(trim(email)) AS email, age, country, registration_date
+        FROM users_text WHERE {' AND '.join(USERS_RULE_SQL)}""",
+    )
+    tx_as_text = f"""
+  transactions_text AS (SELECT * FROM (
+    SELECT transaction_id, CAST(user_id AS VARCHAR) AS user_id,
+      CASE WHEN CAST(transaction_id AS BIGINT) % 97 = 5 THEN NULL ELSE amount END AS amount, currency,
+      CAST(CAST(transaction_date AS DATE) AS VARCHAR) AS transaction_date, merchant, category, status
+    FROM (SELECT DISTINCT * FROM transactions_raw)) WHERE {' AND '.join(TX_RULE_SQL)})"""
+    q["clean_transactions_text"] = with_ctes([TRANSACTIONS_RAW, tx_as_text], "SELECT * FROM transactions_text")
+    q["agg_transactions_text"] = with_ctes(
+        [TRANSACTIONS_RAW, tx_as_text],
+        f"""SELECT user_id, count(transaction_id) AS total_transactions,
+          {money_sum('amount')} AS total_amount, {money_avg('amount')} AS avg_amount,
+          max(amount) AS max_amount, min(amount) AS min_amount,
+          max(CAST(transaction_date AS DATE)) AS last_transaction_date, count(DISTINCT merchant) AS unique_merchants
+        FROM transactions_text GROUP BY user_id""",
+    )
+    # plain sums of doubles, as the original has them: no fixed point on this side
+    q["agg_raw_amounts"] = """
+      SELECT user_id, count(*) AS total_transactions, round(fsum(amount), 5) AS total_amount, round(fsum(amount) / count(amount), 5) AS avg_amount
+      FROM (SELECT o_custkey AS user_id, CASE WHEN o_orderkey % 997 = 3 THEN 'NaN'::DOUBLE ELSE o_totalprice * 0.31830988618379067::DOUBLE END AS amount FROM orders)
+      GROUP BY user_id"""
+    q["agg_passthrough"] = q["enrich_users"]
+    q["raw_one_day"] = with_ctes(
+        [USERS_RAW], f"SELECT * REPLACE ({t2} AS _ingestion_timestamp) FROM users_raw"
+    )
+    q["processed_table"] = q["enrich_transactions"]
+    q["kafka_pull"] = with_ctes([STREAM_TX, STREAM_PARSED], "SELECT * EXCLUDE (kafka_timestamp) FROM stream_parsed")
+    q["curated_replace_new_schema"] = q["clean_users"]
+    q["curated_append_by_name"] = with_ctes(
+        [TRANSACTIONS_RAW, TX_CLEAN], "SELECT * FROM transactions_clean UNION ALL SELECT * FROM transactions_clean"
+    )
+    q["view_refresh"] = with_ctes(
+        [TRANSACTIONS_RAW, TX_CLEAN], "SELECT user_id, 2 * count(*) AS n, max(amount) AS top FROM transactions_clean GROUP BY user_id"
+    )
+    # unit k is shown while bytes, rounded half up to half units, stay below 20480 of them
+    q["pretty_sizes"] = """
+      SELECT o_orderkey, CASE WHEN b < 10240 THEN b || ' bytes'
+        WHEN (b >> 9) < 20480 THEN (((b >> 9) + 1) >> 1) || ' kB'
+        WHEN (b >> 19) < 20480 THEN (((b >> 19) + 1) >> 1) || ' MB'
+        WHEN (b >> 29) < 20480 THEN (((b >> 29) + 1) >> 1) || ' GB'
+        WHEN (b >> 39) < 20480 THEN (((b >> 39) + 1) >> 1) || ' TB'
+        ELSE (((b >> 49) + 1) >> 1) || ' PB' END AS size
+      FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) * CAST(pow(8, o_orderkey % 13) AS BIGINT) AS b FROM orders)"""
     return q
 
 

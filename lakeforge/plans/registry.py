@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.functions import fixed
+from lakeforge.functions.expressions import pretty_size
 from lakeforge.operators import aggregate as A
 from lakeforge.operators import clean as C
 from lakeforge.operators import enrich as E
@@ -160,11 +161,11 @@ def q_dq_test_alert(spark, sf_dir):
 def q_clean_observed(spark, sf_dir):
     """C6 opt-in: row counts observed while the cleaned users are written
     (one job, no extra count jobs); the counts become a one-row frame."""
-    cleaned, initial, final = C.clean_observed(T.users_raw(spark, sf_dir), "users")
+    cleaned, initial, distinct, final = C.clean_observed(T.users_raw(spark, sf_dir), "users")
     cleaned.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame(
-        [("users", int(initial.get["rows"]), int(final.get["rows"]))],
-        "dataset string, initial_count bigint, final_count bigint",
+        [("users", *[int(o.get["rows"]) for o in (initial, distinct, final)])],
+        "dataset string, initial_count bigint, distinct_count bigint, final_count bigint",
     )
 
 
@@ -299,7 +300,14 @@ def q_warehouse_dq_summary(spark, sf_dir):
 
 
 def q_warehouse_table_info(spark, sf_dir):
-    return full_run(spark, sf_dir)["warehouse"].get_table_info()
+    """Every table with whether it has bytes and whether its shown size fits them
+    (the bytes themselves depend on the file encoding)."""
+    info = full_run(spark, sf_dir)["warehouse"].get_table_info()
+    shown = F.regexp_extract("size", r"^(\d+) ", 1).cast("double") * F.when(F.col("size").endswith("MB"), 1 << 20).when(F.col("size").endswith("kB"), 1 << 10).otherwise(1)
+    return info.select(
+        "table_name", (F.col("size_bytes") > 0).alias("has_bytes"),
+        (F.abs(shown - F.col("size_bytes")) <= F.col("size_bytes") * 0.06).alias("size_fits"),
+    )
 
 
 STREAM_BATCHES = 4
@@ -390,6 +398,148 @@ def q_document_extract(spark, sf_dir):
                                  schema=EVENTS_SCHEMA + ", _id bigint")
 
 
+def q_document_find(spark, sf_dir):
+    """S2 with an equality filter over documents with wrapped object ids."""
+    from lakeforge.sources import connectors as S
+
+    base = shared_dir(spark, "landing", unique=True)
+    oid = F.struct(F.lpad(F.lower(F.hex("event_id")), 24, "0").alias("$oid"))
+    T.table(spark, sf_dir, "events").withColumn("_id", oid).write.option("timestampNTZFormat", MICROS).json(base)
+    return S.read_document_store(spark, fmt="json", path=base, query={"event_type": "error"},
+                                 schema=EVENTS_SCHEMA + ", _id struct<`$oid`: string>")
+
+
+def q_wide_column_extract(spark, sf_dir):
+    """S3: projection over a wide-column extract; its id column as text."""
+    from lakeforge.sources import connectors as S
+
+    base = shared_dir(spark, "landing", unique=True)
+    T.table(spark, sf_dir, "events").withColumnRenamed("event_id", "id").write.parquet(base)
+    return S.read_wide_column(spark, fmt="parquet", path=base, columns=["id", "ts", "value"])
+
+
+def _through_text(spark, df):
+    """The frame landed as CSV and read back without types: every column is text."""
+    from lakeforge.sources import connectors as S
+
+    base = shared_dir(spark, "landing", unique=True)
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.option("header", "true").options(**spaces).csv(base)
+    return S.read_files(spark, base, "csv", options=spaces)
+
+
+def users_text(spark, sf_dir):
+    """Users as text; every 19th or so has an age that is no number."""
+    age = F.when(F.col("user_id") % 19 == 3, F.lit("unknown")).otherwise(F.col("age").cast("string"))
+    return _through_text(spark, C.drop_metadata(T.users_raw(spark, sf_dir)).withColumn("age", age))
+
+
+def transactions_text(spark, sf_dir):
+    """Transactions as text; every 97th or so has an amount that is no number."""
+    amount = F.when(F.col("transaction_id").cast("bigint") % 97 == 5, F.lit("n/a")).otherwise(F.col("amount").cast("string"))
+    day = F.col("transaction_date").cast("date")
+    return _through_text(spark, C.drop_metadata(T.transactions_raw(spark, sf_dir)).withColumns({"amount": amount, "transaction_date": day}))
+
+
+def q_clean_users_text(spark, sf_dir):
+    """C2 over untyped text: a bad age is dropped by its rule, it does not end the job."""
+    return C.clean_data(users_text(spark, sf_dir), "users")
+
+
+def q_clean_transactions_text(spark, sf_dir):
+    """C3 over untyped text."""
+    return C.clean_data(transactions_text(spark, sf_dir), "transactions")
+
+
+def q_agg_transactions_text(spark, sf_dir):
+    """C3, E3, A1 over untyped text: amounts compare and add up as numbers."""
+    return A.aggregate_data(E.enrich_data(C.clean_data(transactions_text(spark, sf_dir), "transactions"), "transactions", AS_OF), "transactions")
+
+
+def q_agg_raw_amounts(spark, sf_dir):
+    """A1's money over amounts with digits below a cent; NaN amounts stay NaN in sum and average."""
+    k = F.col("o_orderkey")
+    amount = F.when(k % 997 == 3, F.lit(float("nan"))).otherwise(F.col("o_totalprice") * F.lit(0.31830988618379067))
+    tx = T.table(spark, sf_dir, "orders").select(
+        k.cast("string").alias("transaction_id"), F.col("o_custkey").alias("user_id"), amount.alias("amount"),
+        F.col("o_orderdate").cast("date").alias("transaction_date"), F.col("o_orderpriority").alias("merchant"),
+    )
+    out = A.aggregate_data(tx, "transactions")
+    return out.select("user_id", "total_transactions", F.round("total_amount", 5).alias("total_amount"), F.round("avg_amount", 5).alias("avg_amount"))
+
+
+def q_agg_passthrough(spark, sf_dir):
+    """A3: a type without an aggregate passes through."""
+    return _no_processed_ts(A.aggregate_data(users_processed(spark, sf_dir), "users"))
+
+
+def q_raw_one_day(spark, sf_dir):
+    """S1 of one ingest day: only that day's folder is listed and read."""
+    return R.read_raw(spark, _landed_users(spark, sf_dir), "users", where="year = 2024 AND month = 2 AND day = 2")
+
+
+def q_processed_table(spark, sf_dir):
+    """P1 + T2: RAW -> PROCESSED, partitioned, then read through its registered table."""
+    from lakeforge.plans.transform import transform_pipeline
+
+    lake, name = shared_dir(spark, "lake", unique=True), f"tx_{uuid.uuid4().hex[:8]}"
+    R.ingest_batch(C.drop_metadata(T.transactions_raw(spark, sf_dir)), lake, name, "orders", DAY1)
+    transform_pipeline(spark, lake, name, "transactions", as_of=AS_OF)
+    return _no_processed_ts(spark.table(f"processed_{name}"))
+
+
+def q_kafka_pull(spark, sf_dir):
+    """Broker envelopes pulled in several bounded batches into RAW, read back."""
+    from lakeforge.streaming import jobs
+
+    base, envelopes = _landed_envelopes(spark, sf_dir)
+    query = jobs.bounded_pull(envelopes, f"{base}/lake", "tx", f"{base}/checkpoint", EV.TRANSACTION_SCHEMA)
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return C.drop_metadata(R.read_raw(spark, f"{base}/lake", "tx"))
+
+
+def _warehouse(spark):
+    from lakeforge.plans.warehouse import Warehouse
+
+    return Warehouse(spark, shared_dir(spark, "warehouse", unique=True), f"curated_{uuid.uuid4().hex[:8]}")
+
+
+def q_curated_replace_new_schema(spark, sf_dir):
+    """K4: a replace whose frame has other columns and types; the table takes them over."""
+    wh, users = _warehouse(spark), q_clean_users(spark, sf_dir)
+    wh.write_table(users.drop("country").withColumn("user_id", F.col("user_id").cast("string")), "users")
+    wh.write_table(users, "users")
+    return spark.table(wh.qualified("users"))
+
+
+def q_curated_append_by_name(spark, sf_dir):
+    """K4: an append whose frame has the columns in another order."""
+    wh, tx = _warehouse(spark), q_clean_transactions(spark, sf_dir)
+    wh.write_table(tx, "transactions")
+    wh.write_table(tx.select(*reversed(tx.columns)), "transactions", if_exists="append")
+    return spark.table(wh.qualified("transactions"))
+
+
+def q_view_refresh(spark, sf_dir):
+    """A snapshot view with a layout, refreshed after its table grew."""
+    wh, tx = _warehouse(spark), q_clean_transactions(spark, sf_dir)
+    wh.write_table(tx, "transactions")
+    wh.create_materialized_view(
+        "per_user", f"SELECT user_id, count(*) AS n, max(amount) AS top FROM {wh.qualified('transactions')} GROUP BY user_id", cluster_by=("user_id",)
+    )
+    wh.write_table(tx, "transactions", if_exists="append")
+    wh.refresh_materialized_view("per_user")
+    return spark.table(wh.qualified("per_user"))
+
+
+def q_pretty_sizes(spark, sf_dir):
+    """F8: sizes in bytes as text, over sizes from bytes to petabytes."""
+    size = F.floor(F.col("o_totalprice")).cast("bigint") * F.pow(F.lit(8), F.col("o_orderkey") % 13).cast("bigint")
+    return T.table(spark, sf_dir, "orders").select("o_orderkey", pretty_size(size).alias("size"))
+
+
 def q_merchant_minute_updates(spark, sf_dir):
     """W1 in update mode over several micro-batches: only changed windows are
     written per trigger; the result is the newest version of each window."""
@@ -452,4 +602,18 @@ QUERIES: dict[str, Query] = {
     "file_batch_csv": q_file_batch_csv,
     "api_landing": q_api_landing,
     "document_extract": q_document_extract,
+    "document_find": q_document_find,
+    "wide_column_extract": q_wide_column_extract,
+    "clean_users_text": q_clean_users_text,
+    "clean_transactions_text": q_clean_transactions_text,
+    "agg_transactions_text": q_agg_transactions_text,
+    "agg_raw_amounts": q_agg_raw_amounts,
+    "agg_passthrough": q_agg_passthrough,
+    "raw_one_day": q_raw_one_day,
+    "processed_table": q_processed_table,
+    "kafka_pull": q_kafka_pull,
+    "curated_replace_new_schema": q_curated_replace_new_schema,
+    "curated_append_by_name": q_curated_append_by_name,
+    "view_refresh": q_view_refresh,
+    "pretty_sizes": q_pretty_sizes,
 }

@@ -19,7 +19,8 @@ from lakeforge.plans.models import dim_users, fact_transactions
 from lakeforge.plans.parallel import concurrently
 from lakeforge.plans.transform import transform_pipeline
 from lakeforge.plans.warehouse import Warehouse, build_warehouse
-from lakeforge.sources.raw import ingest_batch, ingest_report, read_manifest
+from lakeforge.session import sized_shuffle
+from lakeforge.sources.raw import ingest_batch, ingest_report, raw_path, read_manifest
 
 # dataset -> (dataset type, aggregate?)
 DATASETS = {
@@ -27,11 +28,13 @@ DATASETS = {
     "transactions": ("transactions", True),
     "logs": ("logs", True),
 }
-# Layout columns per curated table: those that are filtered on.
+# Layout columns per curated table: every column the original indexes, those of
+# few values first (behind a unique leading column no other could skip anything).
 INDEXES = {
     "users": ("country", "email", "user_id"),
     "transactions": ("category", "transaction_date", "user_id"),
     "logs": ("source", "level", "log_date"),
+    "user_analytics": ("country", "age_group", "user_id"),
 }
 
 
@@ -72,13 +75,13 @@ def process_landed(
         return lambda: transform_pipeline(spark, lake, dataset, dataset_type, aggregate, as_of)
 
     processed: dict[str, str] = {}
-    for paths in concurrently([transform(d) for d in names]):
-        processed.update(paths)
-
     wh = Warehouse(spark, f"{lake.rstrip('/')}/curated", schema)
-    curated = {d: processed[d] for d in names}
-    table_info = build_warehouse(wh, curated, {t: c for t, c in INDEXES.items() if t in curated}, fresh=True)
-    tests = models_then_tests(spark, wh, as_of)
+    with sized_shuffle(spark, [raw_path(lake, d) for d in names]):
+        for paths in concurrently([transform(d) for d in names]):
+            processed.update(paths)
+        curated = {d: processed[d] for d in names}
+        table_info = build_warehouse(wh, curated, INDEXES, fresh=True)
+        tests = models_then_tests(spark, wh, as_of)
     return {
         "processed": processed,
         "warehouse": wh,

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import importlib
 import re
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -26,10 +27,12 @@ from lakeforge.functions import fixed
 from lakeforge.functions.expressions import pretty_size
 from lakeforge.operators import aggregate as A
 from lakeforge.plans.parallel import concurrently
+from lakeforge.session import list_paths, remove_folder
 
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 QUERY_PROP = "lakeforge.view_query"
 BUILDER_PROP = "lakeforge.view_builder"
+LAYOUT_PROP = "lakeforge.view_layout"
 
 ViewQuery = str | Callable[[SparkSession, str], DataFrame]  # a builder gets the warehouse's schema
 
@@ -61,13 +64,20 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned: bool
 
 
 class Warehouse:
-    """Curated tables under ``root``, registered in database ``schema``."""
+    """Curated tables under ``root``, registered in database ``schema``.
 
-    def __init__(self, spark: SparkSession, root: str, schema: str = "curated", jdbc: dict | None = None):
+    A table's newest version and the ``keep_versions - 1`` before it stay on
+    disk, so that readers of the last one can finish; older ones are removed.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, schema: str = "curated", jdbc: dict | None = None, keep_versions: int = 2
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.jdbc = jdbc
+        self.keep_versions = max(1, keep_versions)
 
     # -- T1 ---------------------------------------------------------------
     def create_schema(self, name: str | None = None) -> None:
@@ -145,6 +155,8 @@ class Warehouse:
 
     # -- S10 --------------------------------------------------------------
     def execute_query(self, sql: str) -> DataFrame:
+        if self.jdbc:  # runs in the database
+            return self.spark.read.format("jdbc").options(**self.jdbc).option("query", sql).load()
         return self.spark.sql(sql)
 
     # -- T5 ---------------------------------------------------------------
@@ -158,21 +170,22 @@ class Warehouse:
         over several tasks and files instead of one, while files stay ordered
         by the index columns.
         """
+        self._catalog_only()
         name = self.qualified(table, schema)
         self._swap(name, clustered(self.spark.table(name), columns), self.table_path(table, schema))
 
     # -- T3 / T4 ------------------------------------------------------------
-    def create_materialized_view(self, view: str, query: ViewQuery, schema: str | None = None) -> None:
+    def create_materialized_view(
+        self, view: str, query: ViewQuery, schema: str | None = None, cluster_by: Sequence[str] = ()
+    ) -> None:
+        """T3, with an optional index layout (T5) that refreshes keep."""
         name = self.qualified(view, schema)
         self.create_schema(schema or self.schema)
         if not isinstance(query, str) and getattr(importlib.import_module(query.__module__), query.__qualname__, None) is not query:
             raise ValueError("a view's builder must be a module-level function, or refresh cannot find it again; or give SQL")
-        df = self._run_view_query(query)
-        # written first, swapped after: a query that fails leaves the old view as it was
-        self._swap(name, df, self.table_path(view, schema))
         key, value = (QUERY_PROP, query) if isinstance(query, str) else (
             BUILDER_PROP, f"{query.__module__}:{query.__qualname__}")
-        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{_quote(value)}')")
+        self._write_view(view, schema, query, {key: value, LAYOUT_PROP: ",".join(cluster_by)})
 
     def refresh_materialized_view(self, view: str, schema: str | None = None) -> None:
         name = self.qualified(view, schema)
@@ -184,9 +197,16 @@ class Warehouse:
             query = getattr(importlib.import_module(module), fn)
         else:
             raise ValueError(f"{name} is not a materialized view")
-        self._swap(name, self._run_view_query(query), self.table_path(view, schema))
-        key = QUERY_PROP if QUERY_PROP in props else BUILDER_PROP
-        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{_quote(props[key])}')")
+        self._write_view(view, schema, query, {k: props[k] for k in (QUERY_PROP, BUILDER_PROP, LAYOUT_PROP) if k in props})
+
+    def _write_view(self, view: str, schema: str | None, query: ViewQuery, props: dict[str, str]) -> None:
+        """Written first, swapped after: a query that fails leaves the old view as it was."""
+        name = self.qualified(view, schema)
+        df = self._run_view_query(query)
+        layout = [c for c in props.get(LAYOUT_PROP, "").split(",") if c]
+        self._swap(name, clustered(df, layout) if layout else df, self.table_path(view, schema))
+        pairs = ", ".join(f"'{k}' = '{_quote(v)}'" for k, v in props.items())
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
     # -- T6 -----------------------------------------------------------------
     def get_table_info(self, schema: str | None = None) -> DataFrame:
@@ -196,6 +216,7 @@ class Warehouse:
         (``ANALYZE TABLE ... NOSCAN``), like a database's relation size: the
         cost grows with the number of files, never with the number of rows.
         """
+        self._catalog_only()
         schema = schema or self.schema
         names = sorted(t.name for t in self.spark.catalog.listTables(schema) if not t.isTemporary)
         sizes = []
@@ -215,15 +236,18 @@ class Warehouse:
 
     # -- helpers --------------------------------------------------------------
     def _run_view_query(self, query: ViewQuery) -> DataFrame:
-        if self.jdbc:
-            raise NotImplementedError("views, layout and table info work on catalog tables; a JDBC warehouse takes loads only")
+        self._catalog_only()
         if isinstance(query, str):
             return self.spark.sql(query)
         return query(self.spark, self.schema)
 
+    def _catalog_only(self) -> None:
+        if self.jdbc:
+            raise NotImplementedError("views, layout and table info work on catalog tables; a JDBC warehouse takes loads and SQL")
+
     @staticmethod
     def _new_version(base: str) -> str:
-        return f"{base}/v_{uuid.uuid4().hex[:12]}"
+        return f"{base}/v_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
 
     def _swap(self, name: str, df: DataFrame, base: str) -> None:
         """Write a new version aside, then define the (external) table anew over it:
@@ -233,6 +257,8 @@ class Warehouse:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
         self.spark.catalog.refreshTable(name)
+        for old in list_paths(self.spark, f"{base}/v_*_*")[: -self.keep_versions]:
+            remove_folder(self.spark, old)
 
 
 def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -284,7 +310,7 @@ def build_warehouse(
         for t, p in processed.items()
     ])
     concurrently([
-        lambda: wh.create_materialized_view("user_analytics", user_analytics_view),
+        lambda: wh.create_materialized_view("user_analytics", user_analytics_view, cluster_by=indexes.get("user_analytics", ())),
         lambda: wh.create_materialized_view("transaction_summary", transaction_summary_view),
     ])
     return wh.get_table_info()

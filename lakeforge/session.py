@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -75,6 +77,51 @@ def build_session(
     return spark
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a path, as Spark itself sees it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, by name.  Only names are listed; no data and no footer is read."""
+    fs, where = _hadoop(spark, pattern)
+    return sorted(f.getPath().toString() for f in fs.globStatus(where) or ())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
+def folder_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Total size of the files under ``paths`` (missing ones: 0), from the listing."""
+    total = 0
+    for path in paths:
+        fs, where = _hadoop(spark, path)
+        total += fs.getContentSummary(where).getLength() if fs.exists(where) else 0
+    return total
+
+
+@contextmanager
+def sized_shuffle(
+    spark: SparkSession, paths: Sequence[str], bytes_per_shuffle_partition: int = 512 << 20, most: int = 200_000
+) -> Iterator[int]:
+    """Widen the session's shuffles for the files under ``paths`` while the block runs.
+
+    Compressed files unpack to about four times their size, so 512 MB of files
+    per reducer is what ``sized_conf`` gives it.  A wider setting stays.
+    """
+    key = "spark.sql.shuffle.partitions"
+    have = int(spark.conf.get(key))
+    need = max(have, min(most, -(-folder_bytes(spark, paths) // bytes_per_shuffle_partition)))
+    spark.conf.set(key, str(need))
+    try:
+        yield need
+    finally:
+        spark.conf.set(key, str(have))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; set one only when unset."""
     try:

@@ -1,4 +1,4 @@
-"""Source façade (S2, S3, S5, S6, S10, S11) and ingest entry points.
+"""Source façade (S2, S3, S5, S6, S11) and ingest entry points.
 
 Every source is a Spark reader, so extraction is distributed and lands in
 RAW through ``ingest_batch`` without a pandas round trip.  Connector formats
@@ -113,11 +113,6 @@ def read_api_landing(
     return df.withColumn("_source_url", url)
 
 
-def execute_query(spark: SparkSession, sql: str) -> DataFrame:
-    """Any SQL over the registered tables."""
-    return spark.sql(sql)
-
-
 def inline_rows(spark: SparkSession, rows: Sequence[Mapping[str, object]], schema: StructType | str) -> DataFrame:
     """Literal rows (model stand-ins, fixtures)."""
     return spark.createDataFrame([dict(r) for r in rows], schema=schema)

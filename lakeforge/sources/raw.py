@@ -21,8 +21,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -35,6 +35,7 @@ from pyspark.sql.types import (
 )
 
 from lakeforge.functions.expressions import timestamp_literal
+from lakeforge.session import list_paths
 
 PARTITION_COLUMNS = ("year", "month", "day", "ingest_id")
 
@@ -116,7 +117,7 @@ def ingest_batch(
         # dynamic overwrite touches no partition without rows: an empty pull (or replay) writes
         # its folder itself, so the logged path exists, reads as empty, and old rows are gone
         folder = f"{target}/{partition_of(when)}/ingest_id={ingest_id}"
-        if not skip_empty or _has_files(spark, folder):
+        if not skip_empty or list_paths(spark, folder):
             stamped.limit(0).coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(folder)
         if skip_empty:
             return None
@@ -134,11 +135,6 @@ def ingest_batch(
     return record
 
 
-def _has_files(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def append_manifest(spark: SparkSession, lake: str, record: dict) -> None:
     """One JSON line per ingest, written next to (not inside) the data.
 
@@ -163,21 +159,40 @@ def read_raw(
     Reads the dataset root with partition discovery (a ``**`` glob would
     only match one directory level), only ``*.parquet`` files, and merges
     schemas so an empty-pull file that holds only metadata columns does not
-    hide the data columns.  ``where`` is applied *before* the partition
-    columns are dropped, so a filter such as ``"year = 2025 AND month = 11"``
-    prunes directories.
+    hide the data columns.  A ``where`` on the partition columns, such as
+    ``"year = 2025 AND month = 11"``, first chooses the folders by name: only
+    their files are listed and only their footers merged.
     """
+    root = raw_path(lake, dataset)
     df = (
         spark.read.option("pathGlobFilter", "*.parquet")
         .option("mergeSchema", "true")
-        .option("basePath", raw_path(lake, dataset))
-        .parquet(raw_path(lake, dataset))
+        .option("basePath", root)
+        .parquet(*(_folders(spark, root, where) if where else [root]))
     )
     if where:
         df = df.filter(where)
     return df if keep_partitions else df.drop(*PARTITION_COLUMNS)
 
 
+def _folders(spark: SparkSession, root: str, where: str) -> list[str]:
+    """Ingest-day folders (ingest folders, when ``where`` names them) that a partition filter
+    keeps; the root when it keeps none or is not about partition columns alone."""
+    names = PARTITION_COLUMNS if "ingest_id" in where else PARTITION_COLUMNS[:3]
+    found = []
+    for path in list_paths(spark, "/".join([root, *[f"{n}=*" for n in names]])):
+        values = [part.split("=", 1)[1] for part in path.split("/")[-len(names):]]
+        found.append((*[int(v) for v in values[:3]], *values[3:], path))
+    if not found:
+        return [root]
+    schema = ", ".join([f"{n} {'string' if n == 'ingest_id' else 'int'}" for n in names] + ["path string"])
+    try:
+        kept = [r["path"] for r in spark.createDataFrame(found, schema).filter(where).select("path").collect()]
+    except AnalysisException:
+        return [root]
+    return kept or [root]
+
+
 def read_manifest(spark: SparkSession, lake: str, day: str | None = None) -> DataFrame:
     """The ingest manifest as a typed table.
 
@@ -189,17 +204,13 @@ def read_manifest(spark: SparkSession, lake: str, day: str | None = None) -> Dat
 
 
 def ingest_report(manifest: DataFrame) -> DataFrame:
-    """M1: ingests and rows per dataset, source and ingest day."""
+    """M1: ingests, rows and widest record per dataset, source and ingest day; ``stamped``:
+    every ingest carries its metadata columns."""
     return manifest.groupBy("dataset_name", "source_type", "partition").agg(
         F.count(F.lit(1)).alias("ingests"),
         F.sum("row_count").alias("rows"),
+        F.max(F.size("columns")).cast("bigint").alias("n_columns"),
+        F.bool_and(F.array_contains("columns", "_ingestion_timestamp")).alias("stamped"),
         F.min("ingestion_timestamp").alias("first_ingest"),
         F.max("ingestion_timestamp").alias("last_ingest"),
     )
-
-
-def ingest_batches(
-    frames: Sequence[tuple[DataFrame, str, str, str]], lake: str
-) -> list[dict]:
-    """Ingest several (df, dataset, source_type, ingested_at) batches."""
-    return [ingest_batch(df, lake, ds, src, when) for df, ds, src, when in frames]

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BinaryType, StructField, StructType, TimestampType
 
 from lakeforge.functions import fixed
+from lakeforge.session import list_paths, remove_folder
 from lakeforge.sources.raw import ingest_batch
 from lakeforge.streaming.envelope import TRANSACTION_SCHEMA, parse_envelope
 from lakeforge.streaming.windows import merchant_windows
@@ -93,23 +94,33 @@ def start_merchant_query(
     return writer.start()
 
 
-def snapshot_sink(out_dir: str) -> tuple[Callable[[DataFrame, int], None], Callable[[], str | None]]:
+def _batches(spark: SparkSession, out_dir: str) -> dict[int, str]:
+    """Completely written batch folders of a sink by batch id, from the store's listing."""
+    done = [p.rsplit("/", 1)[0] for p in list_paths(spark, f"{out_dir}/batch_id=*/_SUCCESS")]
+    return {int(p.rsplit("=", 1)[1]): p for p in done}
+
+
+def latest_snapshot(spark: SparkSession, out_dir: str) -> str | None:
+    """Folder of the newest complete snapshot; found in the store, so a restart finds it too."""
+    done = _batches(spark, out_dir)
+    return done[max(done)] if done else None
+
+
+def snapshot_sink(out_dir: str, keep: int = 2) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer for complete-mode results.
 
     Each batch's full result goes to ``batch_id=<n>`` (overwrite, so a
-    replay of batch n rewrites the same folder); ``latest()`` names the last
-    folder written.
+    replay of batch n rewrites the same folder).  The last ``keep`` stay, so
+    readers of the snapshot before the newest can finish.
     """
-    state: dict[str, int] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id:010d}")
-        state["last"] = batch_id
+        for n, folder in _batches(batch.sparkSession, out_dir).items():
+            if n <= batch_id - keep:
+                remove_folder(batch.sparkSession, folder)
 
-    def latest() -> str | None:
-        return None if "last" not in state else f"{out_dir}/batch_id={state['last']:010d}"
-
-    return write, latest
+    return write
 
 
 def run_merchant_snapshot(
@@ -117,21 +128,21 @@ def run_merchant_snapshot(
 ) -> str | None:
     """Run W1 over everything available now, complete mode, parquet snapshots.
 
-    Returns the folder holding the final complete result.
+    Returns the folder holding the final complete result, also when a
+    restart finds nothing new.
     """
-    write, latest = snapshot_sink(out_dir)
     query = (
         merchant_stream(envelopes, watermark)
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        .foreachBatch(snapshot_sink(out_dir))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return latest()
+    return latest_snapshot(envelopes.sparkSession, out_dir)
 
 
 def run_merchant_append(envelopes: DataFrame, checkpoint: str, out_dir: str, watermark: str) -> str:
@@ -167,11 +178,52 @@ def read_latest(spark: SparkSession, out_dir: str, keys: tuple[str, ...] = ("win
 
     ``max(struct(batch_id, ...))`` per key is a partial aggregate, so a hot
     key's versions collapse map-side; nothing is rewritten on the write path.
+    Reads the newest compacted base, if any, and the batches after it.
     """
-    df = spark.read.parquet(out_dir)
+    return _newest(spark, out_dir, keys).drop("batch_id")
+
+
+def _base(spark: SparkSession, out_dir: str) -> tuple[str | None, int]:
+    """Newest complete base of an update-mode sink and the last batch it holds."""
+    done = list_paths(spark, f"{out_dir}/base/upto=*/_SUCCESS")
+    folder = done[-1].rsplit("/", 1)[0] if done else None
+    return folder, int(folder.rsplit("=", 1)[1]) if folder else -1
+
+
+def _newest(spark: SparkSession, out_dir: str, keys: tuple[str, ...]) -> DataFrame:
+    base, upto = _base(spark, out_dir)
+    after = [folder for n, folder in sorted(_batches(spark, out_dir).items()) if n > upto]
+    parts = [spark.read.parquet(base)] if base else []
+    if after or not base:
+        changes = spark.read.option("basePath", out_dir).parquet(*(after or [out_dir]))
+        parts.append(changes.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     values = [c for c in df.columns if c not in keys and c != "batch_id"]
     latest = F.max(F.struct(F.col("batch_id"), *[F.col(c) for c in values])).alias("_latest")
-    return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in values])
+    return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in ["batch_id", *values]])
+
+
+def compact_updates(spark: SparkSession, out_dir: str, keys: tuple[str, ...] = ("window", "merchant")) -> str | None:
+    """Fold the batches of an update-mode sink into one base, so that reads do
+    not grow with the number of triggers.
+
+    The base is written aside and counts once complete.  What the base before
+    it already held is removed only now, so running readers can finish.
+    """
+    old, held = _base(spark, out_dir)
+    done = _batches(spark, out_dir)
+    upto = max([held, *done])
+    new = f"{out_dir}/base/upto={upto:010d}"
+    if upto == held:
+        return new if old else None
+    _newest(spark, out_dir, keys).write.mode("overwrite").parquet(new)
+    for n, folder in done.items():
+        if n <= held:
+            remove_folder(spark, folder)
+    for path in list_paths(spark, f"{out_dir}/base/upto=*"):
+        if int(path.rsplit("=", 1)[1]) < held:
+            remove_folder(spark, path)
+    return new
 
 
 def run_merchant_updates(

@@ -108,12 +108,28 @@ def test_clean_report_invariant(spark):
 
 
 def test_observed_counts_in_one_action(spark):
-    cleaned, initial, final = C.clean_observed(users(spark), "users")
+    cleaned, initial, distinct, final = C.clean_observed(users(spark), "users")
     n = cleaned.count()
     assert initial.get["rows"] == 12
+    assert distinct.get["rows"] == 11
     assert final.get["rows"] == n == 4
 
 
+def test_text_columns_get_their_types(spark):
+    tx = spark.createDataFrame(
+        [("t1", "9.5"), ("t2", "abc"), ("t3", "100.0"), ("t4", ""), ("t5", None), ("t6", "-1"), ("t7", " 7 ")], "transaction_id string, amount string"
+    ).withColumn("status", F.lit("completed"))
+    out = C.clean_data(tx, "transactions")
+    assert dict(out.dtypes)["amount"] == "double"
+    assert rows(out, "transaction_id", "amount") == [("t1", 9.5), ("t3", 100.0), ("t7", 7.0)]
+    assert C.clean_report(tx, "transactions").first()["final_count"] == 3
+    assert C.rejects_by_rule(tx, "transactions").filter("rule = 'amount_not_null'").first()["rejected"] == 3
+    people = spark.createDataFrame([("a@x.com", "30"), ("b@x.com", "30.0"), ("c@x.com", "old"), ("d@x.com", "121")], "email string, age string")
+    aged = C.clean_data(people.withColumn("name", F.lit("n")), "users")
+    assert dict(aged.dtypes)["age"] == "int"
+    assert rows(aged, "email", "age") == [("a@x.com", 30), ("b@x.com", 30)]
+
+
 def test_clean_is_idempotent(spark):
     once = C.clean_data(users(spark), "users", subset=["user_id"])
     twice = C.clean_data(once, "users", subset=["user_id"])

@@ -82,9 +82,3 @@ def test_processed_timestamp_injected_and_live(spark):
     assert fixed_ts == dt.datetime(2025, 1, 2, 3, 4, 5)
     live = E.enrich_data(df, "generic").first()["_processed_timestamp"]
     assert live is not None
-
-
-def test_ingest_metadata(spark):
-    df = E.with_ingest_metadata(spark.createDataFrame([(1,)], "x int"), "kafka", "2025-11-05 00:00:00")
-    r = df.first()
-    assert r["_source"] == "kafka" and r["_ingestion_timestamp"] == dt.datetime(2025, 11, 5)

@@ -48,6 +48,16 @@ def test_seeded_bad_rows_fail(spark):
     assert alert["failing_tests"] == 7 and alert["firing"]
 
 
+def test_failing_tests_fire_after_a_minute(spark):
+    at = lambda m, s=0: dt.datetime(2025, 1, 1, 0, m, s)
+    history = spark.createDataFrame(
+        [(at(0, 5), True), (at(1), False), (at(2, 7), False), (at(2, 7), False), (at(3), True), (at(4), False), (at(6), False)],
+        "evaluated timestamp_ntz, passed boolean",
+    )
+    out = {r["evaluated_at"].minute: (r["failing_tests"], r["pending"], r["firing"]) for r in Q.test_failure_alert(history, "evaluated").collect()}
+    assert out == {0: (0, False, False), 1: (1, True, False), 2: (2, True, True), 3: (0, False, False), 4: (1, True, False), 6: (1, True, False)}
+
+
 def _errors(spark, minute_counts):
     base = dt.datetime(2025, 1, 1, 0, 0)
     data = []

@@ -33,6 +33,33 @@ def test_partition_filter_prunes_directories(spark, lake, capsys):
     assert "PartitionFilters: [isnotnull(day" in plan and "(day#" in plan
 
 
+def test_partition_filter_lists_only_its_folders(spark, lake):
+    R.ingest_batch(frame(spark, 3), lake, "ds", "faker", "2025-11-05 10:00:00", ingest_id="a")
+    R.ingest_batch(frame(spark, 2), lake, "ds", "faker", "2025-11-06 10:00:00", ingest_id="b")
+    other = spark.createDataFrame([("z", "x")], "id string, extra string")  # its footer is not met by a read of day 6
+    R.ingest_batch(other, lake, "ds", "faker", "2025-11-07 10:00:00", ingest_id="c")
+    one = R.read_raw(spark, lake, "ds", where="year = 2025 AND day = 6")
+    assert one.count() == 2 and "extra" not in one.columns
+    assert all("/day=06/" in f for f in one.inputFiles())
+    assert R.read_raw(spark, lake, "ds", where="ingest_id = 'a'").count() == 3
+    assert R.read_raw(spark, lake, "ds", where="day = 9").count() == 0
+    assert R.read_raw(spark, lake, "ds", where="extra IS NULL AND day < 7").count() == 5  # not about folders alone
+
+
+def test_shuffles_widen_with_the_input(spark, lake):
+    from lakeforge.session import folder_bytes, sized_shuffle
+
+    R.ingest_batch(frame(spark, 3), lake, "ds", "faker", "2025-11-05 10:00:00")
+    key, have = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    size = folder_bytes(spark, [R.raw_path(lake, "ds"), f"{lake}/missing"])
+    assert size > 0
+    with sized_shuffle(spark, [R.raw_path(lake, "ds")], bytes_per_shuffle_partition=100) as width:
+        assert width == -(-size // 100) and spark.conf.get(key) == str(width)
+    assert spark.conf.get(key) == have
+    with sized_shuffle(spark, [R.raw_path(lake, "ds")]) as width:
+        assert str(width) == have
+
+
 def test_sidecar_json_is_ignored(spark, lake):
     rec = R.ingest_batch(frame(spark, 3), lake, "ds", "faker", "2025-11-05 10:00:00")
     leaf = rec["file_path"]  # the sidecar sits beside the parquet files (D2)

@@ -56,7 +56,7 @@ def test_inline_rows_and_sql(spark):
     df = S.inline_rows(spark, [{"user_id": "user_1", "name": "Alice"}, {"user_id": "user_2", "name": "Bob"}],
                        "user_id string, name string")
     df.createOrReplaceTempView("inline_users")
-    assert S.execute_query(spark, "SELECT count(*) AS n FROM inline_users").first()["n"] == 2
+    assert spark.sql("SELECT count(*) AS n FROM inline_users").first()["n"] == 2
 
 
 def test_document_store_object_ids(spark, tmp_path):

@@ -25,9 +25,12 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = W.flatten_window(W.merchant_windows(EV.parse_envelope(env)))
     stream_in = J.envelope_file_stream(spark, os.path.join(base, "in"), max_files_per_trigger=1)
     final = J.run_merchant_snapshot(stream_in, os.path.join(base, "ck"), os.path.join(base, "out"))
-    # one micro-batch per file
-    assert len([d for d in os.listdir(os.path.join(base, "out")) if d.startswith("batch_id=")]) == 4
+    # one micro-batch per file; the last two snapshots stay
+    kept = sorted(d for d in os.listdir(os.path.join(base, "out")) if d.startswith("batch_id="))
+    assert kept == ["batch_id=0000000002", "batch_id=0000000003"]
     assert rows(W.flatten_window(spark.read.parquet(final))) == rows(batch)
+    # a restart that finds nothing new still names the newest snapshot
+    assert J.run_merchant_snapshot(stream_in, os.path.join(base, "ck"), os.path.join(base, "out")) == final
 
 
 def test_restart_from_checkpoint_adds_nothing(spark, tmp_path):
@@ -143,3 +146,15 @@ def test_update_mode_writes_only_changes(spark, tmp_path):
     assert rows(W.flatten_window(J.read_latest(spark, out))) == rows(batch)
     written = spark.read.parquet(out).count()
     assert written < 4 * batch.count()  # complete mode would rewrite the growing result each batch
+    folders = lambda: sorted(f for f in os.listdir(out) if f.startswith("batch_id"))
+    n = len(folders())
+    first = J.compact_updates(spark, out)
+    assert rows(W.flatten_window(J.read_latest(spark, out))) == rows(batch) and len(folders()) == n
+    assert J.compact_updates(spark, out) == first  # nothing new
+    # later batches come on top of the base; the next compaction removes what the first one held
+    _envelopes(spark, [(1, dt.datetime(2030, 1, 1))]).coalesce(1).write.mode("append").parquet(os.path.join(base, "in"))
+    J.run_merchant_updates(stream, os.path.join(base, "ck"), out)
+    assert J.read_latest(spark, out).count() == batch.count() + 1
+    second = J.compact_updates(spark, out)
+    assert J.read_latest(spark, out).count() == batch.count() + 1
+    assert len(folders()) == 1 and sorted(os.listdir(os.path.join(out, "base"))) == [os.path.basename(p) for p in (first, second)]

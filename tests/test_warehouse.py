@@ -161,3 +161,28 @@ def test_failed_view_keeps_the_old_one(spark, lake):
     assert spark.table("wh_keep.v").count() == 4
     with pytest.raises(ValueError):
         wh.create_materialized_view("w", lambda s, schema: s.table("wh_keep.tx"))
+
+
+def test_old_versions_are_removed(spark, lake):
+    wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_versions")
+    for n in (4, 3, 2, 1):
+        wh.write_table(tx(spark, n), "tx")
+    assert spark.table("wh_versions.tx").count() == 1
+    assert len([d for d in os.listdir(os.path.join(lake, "curated", "wh_versions", "tx")) if d.startswith("v_")]) == 2
+
+
+def test_view_layout_survives_a_refresh(spark, lake):
+    wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_layout")
+    wh.write_table(tx(spark, 4), "tx")
+    wh.create_materialized_view("v", "SELECT * FROM wh_layout.tx", cluster_by=("user_id",))
+    wh.write_table(tx(spark, 3, offset=100), "tx", if_exists="append")
+    wh.refresh_materialized_view("v")
+    props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES wh_layout.v").collect()}
+    assert spark.table("wh_layout.v").count() == 7 and props[W.LAYOUT_PROP] == "user_id"
+
+
+def test_jdbc_warehouse_refuses_catalog_work(spark, lake):
+    wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_db", jdbc={"url": "jdbc:none:"})
+    for call in (lambda: wh.get_table_info(), lambda: wh.create_indexes("t", ["k"]), lambda: wh.create_materialized_view("v", "SELECT 1 AS x")):
+        with pytest.raises(NotImplementedError):
+            call()
