@@ -5,7 +5,10 @@ tokens (a token with a digit is a variable field).  A leaf's template has, at
 each place, the token that at least half of its lines share, or a variable.  A
 line that fits the leaf's template takes it; any other line is its own template
 (with its digit fields variable).  A template that recurs in enough different
-texts is boilerplate: all its lines go but the first.
+texts is boilerplate: all its lines go but the first.  Long lines are passages
+and recur from two texts on.  A text that is a near copy of the one that keeps
+the first line is no place of recurrence: it keeps its lines, whole, for the
+removal of near duplicates.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import ROW, key_mask, let, masked, materialise, text_key, text_of, wrap
+from lakeforge.llm.common import ROW, WORD, key_mask, let, masked, materialise, text_key, text_of, wrap
 
 VARIABLE = "<*>"
 
@@ -41,7 +44,28 @@ def template_lines(rows: DataFrame, depth: int, min_words: int) -> DataFrame:
     )
 
 
-def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, similarity: float) -> DataFrame:
+def near_copies(rows: DataFrame, shared: DataFrame, share: float = 0.25, percent: int = 80) -> DataFrame:
+    """(key, first_key) of ``shared`` whose texts have five-word shingles in common to ``percent`` or more.
+
+    Only pairs that share lines of ``share`` of the text's length are compared,
+    each text with the holder of the first line: never all pairs of a group.
+    """
+    sizes = rows.groupBy("key").agg(F.max(F.length(text_of())).alias("size"))
+    pairs = shared.groupBy("key", "first_key").agg(F.sum("chars").alias("chars")).join(sizes, "key")
+    pairs = materialise(pairs.where(F.col("chars") >= F.col("size") * share).select("key", "first_key"), "line_pairs")
+    asked = pairs.select("key").unionByName(pairs.select(F.col("first_key").alias("key"))).distinct()
+    texts = masked(rows.select("key", text_of().alias("body")), F.col("key"), key_mask(asked, F.col("key"))).join(asked, "key", "left_semi")
+    shingles = "array_distinct(transform(slice(h, 1, greatest(size(h) - 4, 0)), (x, i) -> xxhash64(x, h[i + 1], h[i + 2], h[i + 3], h[i + 4])))"
+    sets = materialise(
+        texts.groupBy("key").agg(F.first("body").alias("body")).withColumn("word_re", F.lit(WORD))
+        .select("key", F.expr(let("h", "transform(regexp_extract_all(body, word_re, 0), w -> xxhash64(w))", shingles)).alias("set")), "line_sets"
+    )
+    both = pairs.join(sets.select(F.col("key").alias("first_key"), F.col("set").alias("first_set")), "first_key").join(sets, "key")
+    common = F.size(F.array_intersect("set", "first_set"))
+    return both.where(common * 100 >= (F.size("set") + F.size("first_set") - common) * percent).select("key", "first_key")
+
+
+def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, similarity: float, passage: int) -> DataFrame:
     """(key, line_no) of the lines to drop."""
     lines = template_lines(rows, depth, min_words)
     leaf = F.xxhash64("n", "lead")
@@ -55,7 +79,7 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
     # exact copies of a text count once
     held = materialise(
         shared.groupBy("key", "line_no", "n", "lead", "words").agg(F.min("doc_id").alias("doc_id"))
-        .select("key", "line_no", "n", "lead", shape(F.col("words")).alias("shape"), "doc_id"), "line_shapes"
+        .select("key", "line_no", "n", "lead", shape(F.col("words")).alias("shape"), F.length("words").alias("chars"), "doc_id"), "line_shapes"
     )
 
     # tokens are counted per distinct shape, weighted by its lines; a leaf of one shape needs no template of its own
@@ -72,31 +96,40 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
     fits = F.expr(let("w", "split(shape, ' ')", "aggregate(constants, 0, (a, c) -> a + if(get(w, c.place) <=> c.token, 1, 0))"))
     fitting = mixed.join(common, ["n", "lead"]).where(fits >= F.col("n") * F.lit(similarity)).select("n", "lead", "shape", F.lit(True).alias("fits"))
     template = F.when(F.col("fits"), F.concat_ws(" ", F.lit("leaf"), F.col("n").cast("string"), "lead")).otherwise(F.concat_ws(" ", F.lit("line"), "shape"))
-    fitted = materialise(held.join(fitting, ["n", "lead", "shape"], "left").select("key", "line_no", "doc_id", text_key(template).alias("template")), "line_templates")
+    fitted = materialise(
+        held.join(fitting, ["n", "lead", "shape"], "left").select("key", "line_no", "doc_id", "n", "chars", text_key(template).alias("template")), "line_templates"
+    )
     place = F.struct("doc_id", "key", "line_no")
     templates = (
-        fitted.groupBy("template").agg(F.count_distinct("key").alias("texts"), F.min(place).alias("first"))
-        .where(F.col("texts") >= min_docs).select("template", "first")
+        fitted.groupBy("template").agg(F.count_distinct("key").alias("texts"), F.min(place).alias("first"), F.max("n").alias("words"))
+        .where(F.col("texts") >= F.when(F.col("words") > passage, min(2, min_docs)).otherwise(min_docs)).select("template", "first")
+    )
+    found = materialise(
+        fitted.join(templates, "template").where(place != F.col("first")).select("key", "line_no", "chars", F.col("first.key").alias("first_key")), "line_found"
     )
-    return fitted.join(templates, "template").where(place != F.col("first")).select("key", "line_no")
+    copies = near_copies(rows, found.where("key <> first_key"))
+    return found.join(copies, ["key", "first_key"], "left_anti").select("key", "line_no")
 
 
 def dedup(
-    docs: DataFrame, depth: int = 3, min_words: int = 5, min_docs: int = 3, similarity: float = 0.7, keep: Sequence[str] | None = None
+    docs: DataFrame, depth: int = 3, min_words: int = 5, min_docs: int = 3, similarity: float = 0.7, passage: int = 50,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """The caller's columns but the text (one struct; ``keep``: only these),
     ``clean`` (the text without the dropped lines), n_lines and n_dropped.
 
     Lines of fewer than ``min_words`` tokens are never templates.  A template
-    recurs when ``min_docs`` different texts hold it; its first line (lowest
-    doc_id, null first) stays.  Exact copies count as one text and lose the
+    recurs when ``min_docs`` different texts hold it, with more than
+    ``passage`` tokens when two do; its first line (lowest doc_id, null first)
+    stays, and so do the lines of a text that is a near copy (five-word
+    shingles, 0.8) of the first line's text.  Exact copies count as one text and lose the
     same lines, so they stay exact copies.  Null text stays null, empty texts
     and repeated rows are kept as rows; an empty table gives an empty result.
     """
     keep = [c for c in docs.columns if c != "text"] if keep is None else keep
     rows = wrap(docs, "doc_id", "text", keep=keep).withColumn("key", text_key(text_of()))
     drop = materialise(
-        recurring(rows, depth, min_words, min_docs, similarity).groupBy("key").agg(F.collect_list("line_no").alias("gone")), "line_drops"
+        recurring(rows, depth, min_words, min_docs, similarity, passage).groupBy("key").agg(F.collect_list("line_no").alias("gone")), "line_drops"
     )
     mask = materialise(key_mask(drop, F.col("key")), "line_mask", files=1)
     rows = rows.drop("doc_id")

@@ -51,7 +51,8 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, md5(coalesce(text, ''
 ln AS (SELECT key, min(doc_id) AS doc_id, no, any_value(line) AS line
        FROM (SELECT key, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS no FROM d) GROUP BY key, no),
 sh AS (SELECT *, string_split(shape, ' ') AS tok, len(string_split(shape, ' ')) AS n
-       FROM (SELECT *, trim(regexp_replace(regexp_replace(line, '[ \t-\r]+', ' ', 'g'), '[^ ]*[0-9][^ ]*', '<*>', 'g')) AS shape FROM ln)),
+       FROM (SELECT *, length(words) AS chars, regexp_replace(words, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS shape
+             FROM (SELECT *, trim(regexp_replace(line, '[ \t-\r]+', ' ', 'g')) AS words FROM ln))),
 h AS (SELECT *, array_to_string(tok[1:3], ' ') AS lead FROM sh WHERE n >= 5),
 many AS (SELECT n, lead, count(*) AS lines FROM h GROUP BY n, lead HAVING count(DISTINCT key) >= 2),
 p AS (SELECT n, lead, unnest(tok) AS token, generate_subscripts(tok, 1) AS place FROM h JOIN many USING (n, lead)),
@@ -60,10 +61,19 @@ top AS (SELECT *, row_number() OVER (PARTITION BY n, lead, place ORDER BY times
 con AS (SELECT n, lead, place, token FROM top JOIN many USING (n, lead) WHERE k = 1 AND times * 2 >= lines),
 fit AS (SELECT key, no, count(*) AS fits FROM (SELECT key, no, n, lead, unnest(tok) AS token, generate_subscripts(tok, 1) AS place FROM h JOIN many USING (n, lead))
         JOIN con USING (n, lead, place, token) GROUP BY key, no),
-tp AS (SELECT h.key, h.no, h.doc_id, CASE WHEN coalesce(fits, 0) >= h.n * 0.7 THEN 'leaf ' || h.n || ' ' || lead ELSE 'line ' || shape END AS template
+tp AS (SELECT h.key, h.no, h.doc_id, h.n, h.chars, CASE WHEN coalesce(fits, 0) >= h.n * 0.7 THEN 'leaf ' || h.n || ' ' || lead ELSE 'line ' || shape END AS template
        FROM h JOIN many USING (n, lead) LEFT JOIN fit ON fit.key = h.key AND fit.no = h.no),
-go AS (SELECT key, no FROM (SELECT *, row_number() OVER (PARTITION BY template ORDER BY doc_id, key, no) AS k FROM tp)
-       WHERE k > 1 AND template IN (SELECT template FROM tp GROUP BY template HAVING count(DISTINCT key) >= 3)),
+found AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY template ORDER BY doc_id, key, no) AS k,
+                                first_value(key) OVER (PARTITION BY template ORDER BY doc_id, key, no) AS first_key FROM tp)
+          WHERE k > 1 AND template IN (SELECT template FROM tp GROUP BY template HAVING count(DISTINCT key) >= CASE WHEN max(n) > 50 THEN 2 ELSE 3 END)),
+one AS (SELECT key, any_value(coalesce(text, '')) AS body FROM d GROUP BY key),
+prs AS (SELECT f.key, first_key FROM found f JOIN one USING (key) WHERE f.key <> first_key GROUP BY f.key, first_key HAVING sum(chars) >= any_value(length(body)) * 0.25),
+sets AS (SELECT key, list_distinct([w[i:i + 4] FOR i IN range(1, len(w) - 3)]) AS g
+         FROM (SELECT key, regexp_extract_all(body, '[^ \t-\r]+') AS w FROM one WHERE key IN (SELECT key FROM prs UNION SELECT first_key FROM prs))),
+near AS (SELECT key, first_key FROM (SELECT p.key, first_key, len(a.g) + len(b.g) AS sizes, len(list_intersect(a.g, b.g)) AS both_have
+                                     FROM prs p JOIN sets a ON a.key = p.key JOIN sets b ON b.key = p.first_key)
+         WHERE 100 * both_have >= 80 * (sizes - both_have)),
+go AS (SELECT key, no FROM found ANTI JOIN near USING (key, first_key)),
 o AS (SELECT d.r, count(go.no) AS n_dropped, string_agg(line, chr(10) ORDER BY q.no) FILTER (go.no IS NULL) AS clean, count(*) AS n_lines
       FROM (SELECT r, key, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS no FROM d) q JOIN d USING (r) LEFT JOIN go ON go.key = q.key AND go.no = q.no GROUP BY d.r)
 SELECT d.doc_id, CASE WHEN n_dropped = 0 THEN d.text ELSE coalesce(clean, '') END AS text, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped

@@ -124,6 +124,21 @@ def test_line_templates(spark):
     assert got[7] == (texts[7], 0)
 
 
+def test_passages_recur_from_two_texts_on_but_not_in_near_copies(spark):
+    words = lambda name, n: " ".join(f"{name}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n))
+    passage, short = words("pass", 51), words("brief", 50)
+    near = [words("near", 60), words("copy", 60), words("tail", 60)]
+    edited = [near[0], near[1].replace("copyab", "changed"), near[2]]
+    texts = [
+        f"{words('one', 40)}\n{passage}\n{short}", f"{words('two', 40)}\n{short}\n{passage}", words("other", 70),
+        "\n".join(near), "\n".join(edited), "\n".join(edited[::-1]), f"{passage}\n{words('three', 30)}",
+    ]
+    got = {r.doc_id: (r.clean, r.n_dropped) for r in line_dedup.dedup(frame(spark, texts), keep=["doc_id"]).select(f"{ROW}.doc_id", "clean", "n_dropped").collect()}
+    assert got[0] == (texts[0], 0) and got[2] == (texts[2], 0)
+    assert got[1] == (f"{words('two', 40)}\n{short}", 1) and got[6] == (words("three", 30), 1)
+    assert [got[k] for k in (3, 4, 5)] == [(texts[k], 0) for k in (3, 4, 5)]  # near copies of the first stay whole
+
+
 # 4
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><div class="site-header"><a href=/>Home</a></div>
 <nav><ul><li><a href=a>A</a></li></ul></nav><div id="sidebar"><p>Popular, posts. Here, again.</p></div>
