@@ -44,6 +44,12 @@ def template_lines(rows: DataFrame, depth: int, min_words: int) -> DataFrame:
     )
 
 
+def shingle_set(text: str) -> Column:
+    """Hashes of the distinct five-word shingles of a text."""
+    windows = "transform(slice(h, 1, greatest(size(h) - 4, 0)), (x, i) -> xxhash64(x, h[i + 1], h[i + 2], h[i + 3], h[i + 4]))"
+    return F.expr(let("h", f"transform(regexp_extract_all({text}, word_re, 0), w -> xxhash64(w))", f"array_distinct({windows})"))
+
+
 def near_copies(rows: DataFrame, shared: DataFrame, share: float = 0.25, percent: int = 80) -> DataFrame:
     """(key, first_key) of ``shared`` whose texts have five-word shingles in common to ``percent`` or more.
 
@@ -55,14 +61,12 @@ def near_copies(rows: DataFrame, shared: DataFrame, share: float = 0.25, percent
     pairs = materialise(pairs.where(F.col("chars") >= F.col("size") * share).select("key", "first_key"), "line_pairs")
     asked = pairs.select("key").unionByName(pairs.select(F.col("first_key").alias("key"))).distinct()
     texts = masked(rows.select("key", text_of().alias("body")), F.col("key"), key_mask(asked, F.col("key"))).join(asked, "key", "left_semi")
-    shingles = "array_distinct(transform(slice(h, 1, greatest(size(h) - 4, 0)), (x, i) -> xxhash64(x, h[i + 1], h[i + 2], h[i + 3], h[i + 4])))"
-    sets = materialise(
-        texts.groupBy("key").agg(F.first("body").alias("body")).withColumn("word_re", F.lit(WORD))
-        .select("key", F.expr(let("h", "transform(regexp_extract_all(body, word_re, 0), w -> xxhash64(w))", shingles)).alias("set")), "line_sets"
-    )
-    both = pairs.join(sets.select(F.col("key").alias("first_key"), F.col("set").alias("first_set")), "first_key").join(sets, "key")
+    # texts move, not their shingles: hashes take more room and do not compress
+    texts = materialise(texts.groupBy("key").agg(F.first("body").alias("body")), "line_texts")
+    both = pairs.join(texts.select(F.col("key").alias("first_key"), F.col("body").alias("first_body")), "first_key").join(texts, "key")
+    sets = both.withColumn("word_re", F.lit(WORD)).select("key", "first_key", shingle_set("body").alias("set"), shingle_set("first_body").alias("first_set"))
     common = F.size(F.array_intersect("set", "first_set"))
-    return both.where(common * 100 >= (F.size("set") + F.size("first_set") - common) * percent).select("key", "first_key")
+    return sets.where(common * 100 >= (F.size("set") + F.size("first_set") - common) * percent).select("key", "first_key")
 
 
 def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, similarity: float, passage: int) -> DataFrame:
