@@ -27,6 +27,7 @@ from lakeforge.llm.common import ROW, text_key, text_of, wrap
 
 #: Texts of more code points are cut; window around a join at first, code points each side; words remembered.
 LEAF, WINDOW, REMEMBERED = 32_768, 64, 250_000
+RESULTS = 512  # texts whose results a worker holds at once
 
 _MARK = re.compile(rb"([a-z])([.,|])(?=[ \t-\r]|$)")
 
@@ -229,8 +230,11 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     """
 
     @F.pandas_udf("struct<ids:binary,decoded:string>")
-    def encoded(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(list(_encoder(path).encode(list(texts))), columns=["ids", "decoded"])
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:  # results leave in small frames: a worker never holds those of a whole batch
+            for at in range(0, len(texts), RESULTS):
+                made = _encoder(path).encode(list(texts.iloc[at : at + RESULTS]))
+                yield pd.DataFrame(list(made), columns=["ids", "decoded"])
 
     rows = wrap(docs, "text").select(ROW, text_of().alias("body"))
     short = rows.where(F.length("body") <= leaf).withColumn("e", encoded("body")).select(ROW, "e.ids", "e.decoded")
