@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import bpe, line_dedup, mixing, ngram_join, toxicity
-from lakeforge.llm.common import ROW, materialise, table, unwrap
+from lakeforge.llm import bpe, line_dedup, mixing, ngram_join, passages, toxicity
+from lakeforge.llm.common import ROW, key_mask, masked, materialise, table, text_key, text_of, unwrap
 from lakeforge.llm.queries import tokenizer_path
 
+KEY = "__key"
+
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents with a score of 0.7 or more go; the model learns from the table's labels."""
@@ -22,17 +24,32 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: recurring lines go from the texts (n_chars follows); every document stays."""
-    made = line_dedup.dedup(docs)
+    """Operator 3: recurring lines and passages go from the texts (n_chars follows); every document stays.
+
+    A passage is a run of over 50 words that different texts share, whatever their lines.
+    """
+    groups = ngram_join.groups(docs, *ngram_join.NEAR)
+    key = text_key(text_of())
+    made = line_dedup.dedup(docs.withColumn(KEY, key), keep=[c for c in docs.columns if c != "text"] + [KEY])
+    made = made.select(ROW, F.col("clean").alias("text"), F.col("n_dropped") > 0, F.col(f"{ROW}.{KEY}").alias("key"))
+    made = materialise(made.toDF(ROW, "text", "less", "key"), "line_rows")
+    mask = key_mask(groups, F.col("key"))
+    held = masked(made, F.col("key"), mask).join(groups, "key", "left").unionByName(
+        masked(made, F.col("key"), mask, inside=False).withColumn("group", F.lit(None).cast("binary"))
+    )
+    held = held.select(
+        ROW, "text", "less", "key", F.col(f"{ROW}.doc_id").alias("doc_id"), F.xxhash64(F.coalesce("group", "key")).alias("holder"), text_of().alias("body")
+    )
+    cut = passages.drop_shared(held, [ROW, "text", "less"])
     out = []
     for c in docs.columns:
         if c == "text":
-            out.append(F.col("clean").alias("text"))
+            out.append(F.when(F.col("cut"), F.col("body")).otherwise(F.col("text")).alias("text"))
         elif c == "n_chars":
-            out.append(F.when(F.col("n_dropped") > 0, F.length("clean").cast("long")).otherwise(F.col(f"{ROW}.n_chars")).alias("n_chars"))
+            out.append(F.when(F.col("less") | F.col("cut"), F.length("body").cast("long")).otherwise(F.col(f"{ROW}.n_chars")).alias("n_chars"))
         else:
             out.append(F.col(f"{ROW}.`{c}`").alias(c))
-    return made.select(*out)
+    return cut.select(*out)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

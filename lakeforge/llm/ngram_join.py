@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import ROW, key_mask, masked, materialise, text_of, wrap
+from lakeforge.llm.common import ROW, key_mask, masked, materialise, text_key, text_of, wrap
 from lakeforge.llm.components import components
 
 NGRAM, NUM, DEN = 3, 90, 100  # words; similarity as a fraction
@@ -324,6 +324,17 @@ def _identified(docs: DataFrame, keep: Sequence[str] | None) -> DataFrame:
     return rows.withColumn("rid", F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "body").cast("binary"))))
 
 
+def groups(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK) -> DataFrame:
+    """(key, group) of the texts, by content key, that links join with a different text."""
+    rows = _identified(docs, [])
+    members, pairs = links(rows.select("rid", "doc_id", "body"), num, den, ngram, block)
+    named = members.where("n > 0").select("rid", "cls").distinct().join(components(pairs), F.col("cls") == F.col("node"), "left")
+    keys = rows.select("rid", text_key(F.col("body")).alias("key")).distinct()
+    placed = materialise(named.join(keys, "rid").select("key", F.coalesce("root", "cls").alias("group")).distinct(), "ngram_groups")
+    many = placed.groupBy("group").agg(F.count("*").alias("size")).where("size > 1").select("group")
+    return materialise(placed.join(many, "group", "left_semi").select("key", "group"), "ngram_groups")
+
+
 def join(
     docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK, keep: Sequence[str] | None = None
 ) -> DataFrame:
