@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.llm import bpe, line_dedup, mixing, ngram_join, passages, toxicity
-from lakeforge.llm.common import ROW, key_mask, masked, materialise, table, text_key, text_of, unwrap
+from lakeforge.llm.common import ROW, WORD, key_mask, masked, materialise, table, text_key, text_of, unwrap
 from lakeforge.llm.queries import tokenizer_path
 
 KEY = "__key"
@@ -27,10 +27,12 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Operator 3: recurring lines and passages go from the texts (n_chars follows); every document stays.
 
     A passage is a run of over 50 words that different texts share, whatever their lines.
+    Near copies keep or lose lines and passages alike, and a group of them that
+    would no longer be one for the next stage stays whole.
     """
     groups = ngram_join.groups(docs, *ngram_join.NEAR)
     key = text_key(text_of())
-    made = line_dedup.dedup(docs.withColumn(KEY, key), keep=[c for c in docs.columns if c != "text"] + [KEY])
+    made = line_dedup.dedup(docs.withColumn(KEY, key), keep=[c for c in docs.columns if c != "text"] + [KEY], groups=groups)
     made = made.select(ROW, F.col("clean").alias("text"), F.col("n_dropped") > 0, F.col(f"{ROW}.{KEY}").alias("key"))
     made = materialise(made.toDF(ROW, "text", "less", "key"), "line_rows")
     mask = key_mask(groups, F.col("key"))
@@ -38,20 +40,39 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         masked(made, F.col("key"), mask, inside=False).withColumn("group", F.lit(None).cast("binary"))
     )
     held = held.select(
-        ROW, "text", "less", "key", F.col(f"{ROW}.doc_id").alias("doc_id"), F.xxhash64(F.coalesce("group", "key")).alias("holder"), text_of().alias("body")
+        ROW, "text", "less", "key", "group", F.col(f"{ROW}.doc_id").alias("doc_id"), F.xxhash64(F.coalesce("group", "key")).alias("holder"), text_of().alias("body")
     )
-    cut = passages.drop_shared(held, [ROW, "text", "less"])
+    cut = passages.drop_shared(held, [ROW, "text", "less", "key", "group"])
+    cut = cut.withColumn("text", F.when(F.col("cut"), F.col("body")).otherwise(F.col("text"))).withColumn("less", F.col("less") | F.col("cut"))
+    whole = whole_again(docs, cut)
+    mask = materialise(key_mask(whole, F.col("key")), "line_mask", files=1)
+    back = masked(cut, F.col("key"), mask).join(whole, "key", "left")
+    back = back.select(ROW, F.coalesce("whole", "text").alias("text"), (F.col("less") & F.col("whole").isNull()).alias("less"))
+    cut = masked(cut, F.col("key"), mask, inside=False).select(ROW, "text", "less").unionByName(back)
     out = []
     for c in docs.columns:
         if c == "text":
-            out.append(F.when(F.col("cut"), F.col("body")).otherwise(F.col("text")).alias("text"))
+            out.append("text")
         elif c == "n_chars":
-            out.append(F.when(F.col("less") | F.col("cut"), F.length("body").cast("long")).otherwise(F.col(f"{ROW}.n_chars")).alias("n_chars"))
+            out.append(F.when(F.col("less"), F.length("text").cast("long")).otherwise(F.col(f"{ROW}.n_chars")).alias("n_chars"))
         else:
             out.append(F.col(f"{ROW}.`{c}`").alias(c))
     return cut.select(*out)
 
 
+def whole_again(docs: DataFrame, cut: DataFrame) -> DataFrame:
+    """(key, whole) of the texts whose group of near copies would no longer be one group after the cuts."""
+    near = materialise(cut.where("group is not null").select("key", "group", F.col(f"{ROW}.doc_id").alias("doc_id"), "text"), "line_near")
+    after = ngram_join.groups(near.select("doc_id", "text"), *ngram_join.NEAR).select(F.col("key").alias("now"), F.col("group").alias("now_group"))
+    seen = near.select("key", "group", text_key(text_of()).alias("now"), F.col("text").rlike(WORD).alias("any")).distinct().join(after, "now", "left")
+    # a text without words is linked with nothing
+    apart = seen.groupBy("group").agg(F.count_distinct(F.coalesce("now_group", "now")).alias("parts"), F.min("any").alias("any")).where("parts > 1 or not any")
+    keys = materialise(near.select("key", "group").distinct().join(apart, "group", "left_semi").select("key"), "line_apart")
+    rows = docs.select("text", text_key(text_of()).alias("key"))
+    rows = masked(rows, F.col("key"), key_mask(keys, F.col("key"))).join(keys, "key", "left_semi")
+    return materialise(rows.groupBy("key").agg(F.first("text").alias("whole")), "line_whole")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: of each group of linked documents the one with the smallest id stays.
 

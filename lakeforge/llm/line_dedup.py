@@ -69,7 +69,7 @@ def near_copies(rows: DataFrame, shared: DataFrame, share: float = 0.25, percent
     return sets.where(common * 100 >= (F.size("set") + F.size("first_set") - common) * percent).select("key", "first_key")
 
 
-def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, similarity: float, passage: int) -> DataFrame:
+def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, similarity: float, passage: int, groups: DataFrame | None = None) -> DataFrame:
     """(key, line_no) of the lines to drop."""
     lines = template_lines(rows, depth, min_words)
     leaf = F.xxhash64("n", "lead")
@@ -103,6 +103,8 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
     fitted = materialise(
         held.join(fitting, ["n", "lead", "shape"], "left").select("key", "line_no", "doc_id", "n", "chars", text_key(template).alias("template")), "line_templates"
     )
+    if groups is not None:
+        return alike(fitted, groups, min_docs, passage)
     place = F.struct("doc_id", "key", "line_no")
     templates = (
         fitted.groupBy("template").agg(F.count_distinct("key").alias("texts"), F.min(place).alias("first"), F.max("n").alias("words"))
@@ -115,9 +117,25 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
     return found.join(copies, ["key", "first_key"], "left_anti").select("key", "line_no")
 
 
+def alike(fitted: DataFrame, groups: DataFrame, min_docs: int, passage: int) -> DataFrame:
+    """(key, line_no) of the lines to drop when a group of near copies counts as one text.
+
+    The group of a template's first line keeps it, each of its texts its own
+    first line; all other groups and texts lose it.
+    """
+    held = materialise(fitted.join(groups, "key", "left").withColumn("holder", F.coalesce("group", "key")).drop("group"), "line_held")
+    templates = (
+        held.groupBy("template").agg(F.count_distinct("holder").alias("texts"), F.min(F.struct("doc_id", "key", "line_no", "holder")).alias("first"), F.max("n").alias("words"))
+        .where(F.col("texts") >= F.when(F.col("words") > passage, min(2, min_docs)).otherwise(min_docs)).select("template", F.col("first.holder").alias("first_holder"))
+    )
+    found = materialise(held.join(templates, "template").select("key", "line_no", "template", (F.col("holder") == F.col("first_holder")).alias("own")), "line_found")
+    again = found.where("own").groupBy("template", "key").agg(F.array_sort(F.collect_list("line_no")).alias("nos")).where(F.size("nos") > 1)
+    return found.where("not own").select("key", "line_no").unionByName(again.select("key", F.explode(F.expr("slice(nos, 2, size(nos) - 1)")).alias("line_no")))
+
+
 def dedup(
     docs: DataFrame, depth: int = 3, min_words: int = 5, min_docs: int = 3, similarity: float = 0.7, passage: int = 50,
-    keep: Sequence[str] | None = None,
+    keep: Sequence[str] | None = None, groups: DataFrame | None = None,
 ) -> DataFrame:
     """The caller's columns but the text (one struct; ``keep``: only these),
     ``clean`` (the text without the dropped lines), n_lines and n_dropped.
@@ -127,13 +145,15 @@ def dedup(
     ``passage`` tokens when two do; its first line (lowest doc_id, null first)
     stays, and so do the lines of a text that is a near copy (five-word
     shingles, 0.8) of the first line's text.  Exact copies count as one text and lose the
-    same lines, so they stay exact copies.  Null text stays null, empty texts
+    same lines, so they stay exact copies.  With ``groups`` (key, group: the
+    near copies by content key) a group counts as one text too: its texts keep
+    or lose a template alike, and nothing else is compared.  Null text stays null, empty texts
     and repeated rows are kept as rows; an empty table gives an empty result.
     """
     keep = [c for c in docs.columns if c != "text"] if keep is None else keep
     rows = wrap(docs, "doc_id", "text", keep=keep).withColumn("key", text_key(text_of()))
     drop = materialise(
-        recurring(rows, depth, min_words, min_docs, similarity, passage).groupBy("key").agg(F.collect_list("line_no").alias("gone")), "line_drops"
+        recurring(rows, depth, min_words, min_docs, similarity, passage, groups).groupBy("key").agg(F.collect_list("line_no").alias("gone")), "line_drops"
     )
     mask = materialise(key_mask(drop, F.col("key")), "line_mask", files=1)
     rows = rows.drop("doc_id")
