@@ -204,8 +204,8 @@ def linked(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int,
                     yield i, j
 
 
-def _forest(pdf: pd.DataFrame, num: int, den: int) -> list[tuple[bytes, bytes]]:
-    """Links of one block pair that join what is not yet joined there."""
+def _linked(pdf: pd.DataFrame, num: int, den: int, every: bool) -> list[tuple[bytes, bytes]]:
+    """Links of one block pair: all (``every``) or those that join what is not yet joined there."""
     pdf = pdf.drop_duplicates("cls").sort_values("cls")
     left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
     apart = pdf["lo"].iloc[0] != pdf["hi"].iloc[0]
@@ -214,6 +214,8 @@ def _forest(pdf: pd.DataFrame, num: int, den: int) -> list[tuple[bytes, bytes]]:
     ids = [*left["cls"], *(right["cls"] if apart else [])]
     a = [np.frombuffer(m, np.uint64) for m in left["members"]]
     b = [np.frombuffer(m, np.uint64) for m in right["members"]] if apart else None
+    if every:
+        return [tuple(sorted((ids[i], ids[j]))) for i, j in linked(a, b, num, den)]
     root = list(range(len(ids)))
 
     def find(x: int) -> int:
@@ -229,18 +231,19 @@ def _forest(pdf: pd.DataFrame, num: int, den: int) -> list[tuple[bytes, bytes]]:
     return out
 
 
-def _compare(num: int, den: int) -> Callable:
+def _compare(num: int, den: int, every: bool) -> Callable:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_forest(pdf, num, den), columns=["a", "b"])
+        return pd.DataFrame(_linked(pdf, num, den, every), columns=["a", "b"])
 
     return run
 
 
-def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK, every: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members: rid, doc_id, cls, n; links: a, b between classes).
 
     ``docs`` has rid (any row identity), doc_id and body.  The links span every
-    component of similar classes; not every similar pair is listed.
+    component of similar classes, which is all that components take; with
+    ``every`` each similar pair of classes is listed, once, as a < b.
     """
     spark = docs.sparkSession
     seen = materialise(docs.mapInPandas(_read(ngram), "rid binary, doc_id long, cls binary, n int, part int, counts binary"), "ngram_read")
@@ -301,7 +304,9 @@ def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, b
     texts = masked(docs.select("rid", "body"), F.col("rid"), mask).join(there, "rid")
     spot = "array<struct<at:binary,lo:int,hi:int,side:int>>"
     sets = texts.select("cls", "body", "spots").mapInPandas(_sets(ranks, ngram), f"cls binary, members binary, spots {spot}")
-    found = sets.select("cls", "members", F.inline("spots")).groupBy("at", "lo", "hi").applyInPandas(_compare(num, den), "a binary, b binary")
+    found = sets.select("cls", "members", F.inline("spots")).groupBy("at", "lo", "hi").applyInPandas(_compare(num, den, every), "a binary, b binary")
+    if every:  # groups joined one by one may meet a pair again
+        found = found.distinct()
     return members, materialise(found, "ngram_links")
 
 
@@ -354,6 +359,26 @@ def join(
     )
 
 
+def link_counts(
+    docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """The caller's columns (one struct; ``keep``: only these), n_shingles and
+    n_links: how many other rows are linked with the row itself, copies included.
+
+    Links between classes are summed by class, so copies are counted, not paired.
+    """
+    rows = _identified(docs, keep)
+    members, pairs = links(rows.select("rid", "doc_id", "body"), num, den, ngram, block, every=True)
+    held = materialise(members.where("n > 0").groupBy("cls").agg(F.count("*").alias("held")), "ngram_held")
+    ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(held, F.col("b") == F.col("cls")).groupBy("a").agg(F.sum("held").alias("others"))
+    counts = held.join(others, F.col("cls") == F.col("a"), "left").select("cls", (F.col("held") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    made = members.where("n > 0").select("rid", "cls", "n").distinct().join(counts, "cls").select("rid", "n", "n_links")
+    return rows.select(ROW, "rid").join(made, "rid", "left").select(
+        ROW, F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    )
+
+
 def distinct(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, block: int = BLOCK) -> DataFrame:
     """One row of each component, with the caller's columns: that of the smallest
     doc_id, the first by content if ids repeat.  Rows without a set all stay.

@@ -46,6 +46,10 @@ SELECT n.doc_id, n.n AS n_shingles, min(o.doc_id) AS component_id
 FROM n JOIN t ON t.r = n.r JOIN n o ON o.r = t.o GROUP BY n.r, n.doc_id, n.n
 """
 
+NGRAM_LINKS = NGRAM_JOIN[: NGRAM_JOIN.index(",\nt(r, o)")] + """
+SELECT n.doc_id, n.n AS n_shingles, count(l.rb) AS n_links FROM n LEFT JOIN l ON l.ra = n.r GROUP BY n.r, n.doc_id, n.n
+"""
+
 LINE_DEDUP = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, md5(coalesce(text, '')) AS key, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 ln AS (SELECT key, min(doc_id) AS doc_id, no, any_value(line) AS line

@@ -61,6 +61,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(DOC_ID, "n_shingles", "component_id")
 
 
+def op8_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_counts(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(DOC_ID, "n_shingles", "n_links")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
@@ -81,7 +85,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_bpe, op3_line_dedup, op4_html_extraction, op5_mixing, op6_quality_rules, op7_pii, op8_ngram_jaccard_join, op9_secret_scan, op10_document_fingerprints)
+    for f in (op1_toxicity, op2_bpe, op3_line_dedup, op4_html_extraction, op5_mixing, op6_quality_rules, op7_pii, op8_ngram_jaccard_join, op8_ngram_links, op9_secret_scan, op10_document_fingerprints)
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op6_quality_rules": oracles.QUALITY, "op8_ngram_jaccard_join": oracles.NGRAM_JOIN, "op3_line_dedup": oracles.LINE_DEDUP}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op6_quality_rules": oracles.QUALITY, "op8_ngram_jaccard_join": oracles.NGRAM_JOIN, "op8_ngram_links": oracles.NGRAM_LINKS, "op3_line_dedup": oracles.LINE_DEDUP}
