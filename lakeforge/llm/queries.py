@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.llm import bpe, fingerprints, html_text, line_dedup, mixing, ngram_join, oracles, pii, quality, secrets, toxicity
+from lakeforge.llm import bpe, fingerprints, hard_negatives, html_text, line_dedup, mixing, ngram_join, oracles, pii, quality, ranked_search, secrets, top_k, toxicity
 from lakeforge.llm.common import ROW, table
 
 DOC_ID = f"{ROW}.doc_id"
@@ -83,9 +83,23 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_bpe, op3_line_dedup, op4_html_extraction, op5_mixing, op6_quality_rules, op7_pii, op8_ngram_jaccard_join, op8_ngram_links, op9_secret_scan, op10_document_fingerprints)
+    for f in (op1_toxicity, op2_bpe, op3_line_dedup, op4_html_extraction, op5_mixing, op6_quality_rules, op7_pii, op8_ngram_jaccard_join, op8_ngram_links, op9_secret_scan, op10_document_fingerprints,
+              op11_hard_negatives, op12_ranked_search, op13_top_k)
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op6_quality_rules": oracles.QUALITY, "op8_ngram_jaccard_join": oracles.NGRAM_JOIN, "op8_ngram_links": oracles.NGRAM_LINKS, "op3_line_dedup": oracles.LINE_DEDUP}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op6_quality_rules": oracles.QUALITY, "op8_ngram_jaccard_join": oracles.NGRAM_JOIN, "op8_ngram_links": oracles.NGRAM_LINKS, "op3_line_dedup": oracles.LINE_DEDUP,
+                           "op11_hard_negatives": hard_negatives.ORACLE, "op12_ranked_search": ranked_search.ORACLE, "op13_top_k": top_k.ORACLE}
