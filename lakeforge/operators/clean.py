@@ -122,10 +122,10 @@ def clean_data(
 ) -> DataFrame:
     """C1-C5 in the contract order (see module docstring)."""
     rules(dataset_type)  # validates the type name
-    return _validated(deduplicate(df, subset), dataset_type, keep_metadata)
+    return validated(deduplicate(df, subset), dataset_type, keep_metadata)
 
 
-def _validated(df: DataFrame, dataset_type: str, keep_metadata: Iterable[str] = ()) -> DataFrame:
+def validated(df: DataFrame, dataset_type: str, keep_metadata: Iterable[str] = ()) -> DataFrame:
     """Everything after the de-duplication."""
     df = apply_rules(typed(df, dataset_type), dataset_type)
     df = standardize(df, dataset_type)
@@ -145,7 +145,7 @@ def clean_observed(
     initial, distinct, final = Observation("initial"), Observation("distinct"), Observation("final")
     rows = F.count(F.lit(1)).alias("rows")
     unique = deduplicate(df.observe(initial, rows), subset).observe(distinct, rows)
-    return _validated(unique, dataset_type).observe(final, rows), initial, distinct, final
+    return validated(unique, dataset_type).observe(final, rows), initial, distinct, final
 
 
 def rejects_by_rule(df: DataFrame, dataset_type: str, dataset_name: str | None = None) -> DataFrame:

@@ -28,8 +28,7 @@ DATASETS = {
     "transactions": ("transactions", True),
     "logs": ("logs", True),
 }
-# Layout columns per curated table: every column the original indexes, those of
-# few values first (behind a unique leading column no other could skip anything).
+# Layout columns per curated table: every column the original indexes.
 INDEXES = {
     "users": ("country", "email", "user_id"),
     "transactions": ("category", "transaction_date", "user_id"),

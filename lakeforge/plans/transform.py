@@ -2,7 +2,8 @@
 
 One pass over RAW: the enriched data is written once; the aggregate is
 computed from the written PROCESSED files, not by recomputing RAW, and not
-from an in-memory cache that an executor loss would throw away.
+from an in-memory cache that an executor loss would throw away.  Incremental
+runs keep PROCESSED by run (``plans/runs.py``).
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions import fixed
 from lakeforge.operators.aggregate import aggregate_data
-from lakeforge.operators.clean import clean_data
+from lakeforge.operators.clean import clean_data, validated
 from lakeforge.operators.enrich import enrich_data
+from lakeforge.plans.runs import DIGEST, Digests, covered, digest, new_rows, register_runs, start_over, write_run
 from lakeforge.plans.warehouse import read_processed, register_table
-from lakeforge.sources.raw import read_raw
+from lakeforge.sources.raw import ingest_folders, read_raw
 
 
 def processed_path(lake: str, dataset: str) -> str:
@@ -72,22 +74,31 @@ def transform_pipeline(
     files_per_partition: int | None = None,
     raw_filter: str | None = None,
     mode: str = "overwrite",
+    run_id: str | None = None,
 ) -> dict[str, str]:
     """Run the batch transform of one dataset; returns the written paths.
 
-    By default every RAW ingest is re-processed and PROCESSED overwritten.
-    For incremental runs pass ``raw_filter`` on the RAW partition columns
-    (e.g. ``"year = 2025 AND month = 11 AND day = 5"``: only those
-    directories are listed and read) with ``mode="append"``; de-duplication
-    then covers the selected ingests only.
+    ``mode="overwrite"`` processes the ingests that ``raw_filter`` keeps (all by
+    default) and replaces PROCESSED.  ``mode="append"`` is an incremental run:
+    it reads only those ingests (``"year = 2025 AND month = 11 AND day = 5"``
+    lists no other folder), drops rows that another run, or the full run before
+    it, has written already, and replaces only what an earlier attempt of the same run wrote
+    (``run_id``; by default the filter names the run).  Day-by-day runs thus give
+    the rows of one full run, and a repeated run adds nothing.  When the
+    ingests of a run have lost rows since, run the later runs again as well: rows
+    that they left to it are theirs then.
     """
-    raw = read_raw(spark, lake, dataset_name, where=raw_filter)
-    enriched = enrich_data(clean_data(raw, dataset_type, subset=subset), dataset_type, as_of)
+    path = processed_path(lake, dataset_name)
     partition_cols = fixed.PARTITION_COLUMNS.get(dataset_type)
-    out = save_to_processed(
-        enriched, lake, dataset_name, mode=mode, partition_by=partition_cols, files_per_partition=files_per_partition
-    )
-    register_table(spark, f"processed_{dataset_name}", out, partitioned=bool(partition_cols))
+    raw = read_raw(spark, lake, dataset_name, where=raw_filter)
+    if mode == "append":
+        out = _append_run(raw, lake, dataset_name, dataset_type, run_id or raw_filter or "all", as_of, subset, partition_cols)
+        register_runs(spark, f"processed_{dataset_name}", out)
+    else:
+        enriched = enrich_data(clean_data(raw, dataset_type, subset=subset), dataset_type, as_of)
+        out = save_to_processed(enriched, lake, dataset_name, mode, partition_cols, files_per_partition)
+        start_over(spark, path, ingest_folders(spark, lake, dataset_name, raw_filter))
+        register_table(spark, f"processed_{dataset_name}", out, partitioned=bool(partition_cols))
     paths = {dataset_name: out}
     if with_aggregation:
         # after a single overwrite there is one schema: no footer merge needed
@@ -96,3 +107,26 @@ def transform_pipeline(
         paths[agg_name] = save_to_processed(agg, lake, agg_name)
         register_table(spark, f"processed_{agg_name}", paths[agg_name])
     return paths
+
+
+#: Run id that stands for the last full run in the digest table.
+FULL_RUN = "full run"
+
+
+def _append_run(
+    raw: DataFrame, lake: str, dataset: str, dataset_type: str, run_id: str, as_of: dt.datetime | str | None, subset: Sequence[str] | None,
+    partition_cols: Sequence[str] | None,
+) -> str:
+    spark, path = raw.sparkSession, processed_path(lake, dataset)
+    if subset is not None:
+        raise ValueError("an incremental run de-duplicates whole rows; the latest row per key takes a full run")
+    digests = Digests(spark, path)
+    before = covered(spark, path)
+    if before and not digests.runs():  # the first run since a full one
+        rows = read_raw(spark, lake, dataset, only=before)
+        digests.replace(FULL_RUN, rows.select(digest(rows).alias(DIGEST)).distinct())
+    fresh = new_rows(raw, digests, run_id)
+    enriched = enrich_data(validated(fresh, dataset_type, keep_metadata=(DIGEST,)), dataset_type, as_of)
+    folder = write_run(enriched, path, run_id, partition_cols or ())
+    digests.replace(run_id, spark.read.schema(f"{DIGEST} binary").parquet(folder))
+    return path

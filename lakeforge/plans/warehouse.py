@@ -14,10 +14,10 @@ DataFrame through Spark's JDBC sink in batches instead (no pandas hop).
 from __future__ import annotations
 
 import importlib
-import re
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 from lakeforge.functions import fixed
 from lakeforge.functions.expressions import pretty_size
 from lakeforge.operators import aggregate as A
+from lakeforge.plans.layout import bloom_options, clustered
 from lakeforge.plans.parallel import concurrently
+from lakeforge.plans.runs import read_runs, run_folders
 from lakeforge.session import list_paths, remove_folder
 
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 QUERY_PROP = "lakeforge.view_query"
 BUILDER_PROP = "lakeforge.view_builder"
 LAYOUT_PROP = "lakeforge.view_layout"
+SPEC_PROP = "lakeforge.buckets"
 
 ViewQuery = str | Callable[[SparkSession, str], DataFrame]  # a builder gets the warehouse's schema
 
@@ -43,8 +46,11 @@ def read_processed(spark: SparkSession, path: str, merge_schema: bool = True) ->
     A directory scan keeps the partition columns (transaction_year, log_date
     ...); a per-file read would lose them.  Missing folder or no data files
     is an error, not an empty table.  ``merge_schema`` (a distributed footer
-    read) is only needed when appends may have changed the columns.
+    read) is only needed when appends may have changed the columns.  A dataset
+    of incremental runs is read by the schemas recorded with them.
     """
+    if run_folders(spark, path):
+        return read_runs(spark, path, merge_schema=merge_schema)
     try:
         return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
     except AnalysisException as exc:
@@ -57,17 +63,25 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned: bool
     A partitioned table created over existing files lists no partitions
     until they are recovered, so they are recovered right away.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    drop_relation(spark, name)
     spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{path}'")
     if partitioned:
         spark.catalog.recoverPartitions(name)
 
 
+def drop_relation(spark: SparkSession, name: str) -> None:
+    """Drop a table or a view, if there is one of this name; files of external tables stay."""
+    if spark.catalog.tableExists(name):
+        kind = "VIEW" if spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} IF EXISTS {name}")
+
+
 class Warehouse:
     """Curated tables under ``root``, registered in database ``schema``.
 
     A table's newest version and the ``keep_versions - 1`` before it stay on
     disk, so that readers of the last one can finish; older ones are removed.
+    A new version of the same columns takes the table's place in one step.
     """
 
     def __init__(
@@ -95,9 +109,15 @@ class Warehouse:
 
     # -- K4 / T7 ----------------------------------------------------------
     def write_table(
-        self, df: DataFrame, table: str, schema: str | None = None, if_exists: str = "replace"
+        self, df: DataFrame, table: str, schema: str | None = None, if_exists: str = "replace",
+        bloom: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int | None = None,
     ) -> int:
-        """Write ``df`` as ``schema.table``; replace / append / fail. Returns rows written."""
+        """Write ``df`` as ``schema.table``; replace / append / fail. Returns rows written.
+
+        ``bloom``: columns that get Bloom filters.  ``bucket_by``: rows are dealt into ``buckets``
+        (default: the session's shuffle width) by these columns and sorted by them, so
+        that joins and groupings on them, between tables of as many buckets, need no shuffle.
+        """
         if if_exists not in MODES:
             raise ValueError(f"if_exists must be one of {sorted(MODES)}")
         schema = schema or self.schema
@@ -118,12 +138,9 @@ class Warehouse:
             exists = self.exists(table, schema)
             if exists and if_exists == "fail":
                 raise ValueError(f"table {name} already exists")
-            if not exists:
-                path = self._new_version(self.table_path(table, schema))
-                observed.write.mode("errorifexists").option("path", path).saveAsTable(name)
-            elif if_exists == "replace":
+            if not exists or if_exists == "replace":
                 # Write aside, then swap: the new data may be derived from the old.
-                self._swap(name, observed, self.table_path(table, schema))
+                self._swap(name, observed, self.table_path(table, schema), bloom, bucket_by, buckets)
             else:
                 # by name: the order of the frame's columns does not matter, unknown ones are an error
                 have = self.spark.table(name).columns
@@ -142,16 +159,19 @@ class Warehouse:
         if_exists: str = "replace",
         cluster_by: Sequence[str] | None = None,
         merge_schema: bool = True,
+        bucket_by: Sequence[str] = (),
+        buckets: int | None = None,
     ) -> int:
         """K4: PROCESSED dataset -> curated table; returns the row count.
 
         ``cluster_by`` applies the index layout (T5) in the same write, so the
-        table is written once instead of loaded and then rewritten.
+        table is written once instead of loaded and then rewritten; with ``bucket_by``
+        (see ``write_table``) the columns get Bloom filters, and rows are placed by bucket.
         """
         df = read_processed(self.spark, processed_path, merge_schema)
-        if cluster_by:
+        if cluster_by and not bucket_by:
             df = clustered(df, cluster_by)
-        return self.write_table(df, table, schema, if_exists)
+        return self.write_table(df, table, schema, if_exists, cluster_by or (), bucket_by, buckets)
 
     # -- S10 --------------------------------------------------------------
     def execute_query(self, sql: str) -> DataFrame:
@@ -160,19 +180,13 @@ class Warehouse:
         return self.spark.sql(sql)
 
     # -- T5 ---------------------------------------------------------------
-    def create_indexes(self, table: str, columns: Sequence[str], schema: str | None = None) -> None:
-        """Index re-aimed as data layout: range-partition and sort by the
-        columns, so parquet min/max statistics let filters on them skip row
-        groups and whole files.
-
-        A row hash is the last range key: range bounds can then fall inside
-        a single hot value, so a value holding a third of the rows is spread
-        over several tasks and files instead of one, while files stay ordered
-        by the index columns.
-        """
+    def create_indexes(self, table: str, columns: Sequence[str], schema: str | None = None, files: int | None = None) -> None:
+        """Index re-aimed as data layout (``plans/layout.py``): rows ordered along a
+        Morton curve over the columns, with Bloom filters, so that a filter on any
+        of them skips whole files and row groups."""
         self._catalog_only()
         name = self.qualified(table, schema)
-        self._swap(name, clustered(self.spark.table(name), columns), self.table_path(table, schema))
+        self._swap(name, clustered(self.spark.table(name), columns, files), self.table_path(table, schema), columns)
 
     # -- T3 / T4 ------------------------------------------------------------
     def create_materialized_view(
@@ -204,7 +218,14 @@ class Warehouse:
         name = self.qualified(view, schema)
         df = self._run_view_query(query)
         layout = [c for c in props.get(LAYOUT_PROP, "").split(",") if c]
-        self._swap(name, clustered(df, layout) if layout else df, self.table_path(view, schema))
+        base = self.table_path(view, schema)
+        if layout:  # the layout reads its input more than once: the query is run once
+            rows = f"{base}/plain_{uuid.uuid4().hex[:8]}"
+            df.write.parquet(rows)
+            self._swap(name, clustered(self.spark.read.schema(df.schema).parquet(rows), layout), base, layout)
+            remove_folder(self.spark, rows)
+        else:
+            self._swap(name, df, base)
         pairs = ", ".join(f"'{k}' = '{_quote(v)}'" for k, v in props.items())
         self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
@@ -212,28 +233,29 @@ class Warehouse:
     def get_table_info(self, schema: str | None = None) -> DataFrame:
         """(table_name, size_bytes, size) per table of the schema, by name.
 
-        Sizes come from catalog statistics computed from the file listing
-        (``ANALYZE TABLE ... NOSCAN``), like a database's relation size: the
-        cost grows with the number of files, never with the number of rows.
+        Sizes are those of the files that the table's rows are in, as the scan's
+        hidden file metadata has them: no column is read, and the files of older
+        versions do not count.
         """
         self._catalog_only()
         schema = schema or self.schema
         names = sorted(t.name for t in self.spark.catalog.listTables(schema) if not t.isTemporary)
-        sizes = []
-        for t in names:
-            name = f"{schema}.{t}"
-            self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
-            stats = (
-                self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
-                .filter(F.col("col_name") == "Statistics")
-                .select("data_type")
-                .first()
-            )
-            found = re.match(r"(\d+) bytes", stats[0]) if stats else None
-            sizes.append((t, int(found.group(1)) if found else 0))
-        info = self.spark.createDataFrame(sizes, "table_name string, size_bytes bigint")
+        info = self.spark.createDataFrame([(t,) for t in names], "table_name string")
+        if names:
+            files = reduce(DataFrame.unionByName, [self.table_files(t, schema) for t in names])
+            sizes = files.groupBy("table_name").agg(F.sum("bytes").alias("size_bytes"))
+            info = info.join(sizes, "table_name", "left")
+        else:
+            info = info.withColumn("size_bytes", F.lit(None).cast("bigint"))
+        info = info.withColumn("size_bytes", F.coalesce("size_bytes", F.lit(0)).cast("bigint"))
         return info.withColumn("size", pretty_size("size_bytes")).orderBy("table_name")
 
+    def table_files(self, table: str, schema: str | None = None) -> DataFrame:
+        """(table_name, file_path, bytes, rows) of each file that holds rows of the table."""
+        where = self.spark.table(self.qualified(table, schema)).select("_metadata.file_path", "_metadata.file_size")
+        by_file = where.groupBy("file_path").agg(F.max("file_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+        return by_file.select(F.lit(table).alias("table_name"), "file_path", "bytes", "rows")
+
     # -- helpers --------------------------------------------------------------
     def _run_view_query(self, query: ViewQuery) -> DataFrame:
         self._catalog_only()
@@ -249,26 +271,46 @@ class Warehouse:
     def _new_version(base: str) -> str:
         return f"{base}/v_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
 
-    def _swap(self, name: str, df: DataFrame, base: str) -> None:
-        """Write a new version aside, then define the (external) table anew over it:
-        the table takes over the frame's schema, and only metadata changes hands."""
+    def _swap(
+        self, name: str, df: DataFrame, base: str, bloom: Sequence[str] = (), bucket_by: Sequence[str] = (), buckets: int | None = None
+    ) -> None:
+        """Write a new version aside, then point the (external) table to it.
+
+        A table of the same columns only changes its location, in one step;
+        one of other columns is dropped and defined anew.
+        """
         path = self._new_version(base)
-        df.write.mode("errorifexists").parquet(path)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
+        writer = df.write
+        spec = ""
+        if bucket_by:
+            buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            keys = ", ".join(f"`{c}`" for c in bucket_by)
+            spec = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS"
+            # one task for each bucket, so one file
+            writer = df.repartition(buckets, *[F.col(f"`{c}`") for c in bucket_by]).write.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+        writer = writer.mode("errorifexists").options(**bloom_options(bloom))
+        if bucket_by:
+            aside = f"{name}_{uuid.uuid4().hex[:8]}"  # only a catalog table can be written in buckets
+            writer.option("path", path).saveAsTable(aside)
+            self.spark.sql(f"DROP TABLE {aside}")
+        else:
+            writer.parquet(path)
+        if self.spark.catalog.tableExists(name) and self._definition(name) == (self._columns(df), spec):
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.sql(f"CREATE TABLE {name} ({self._columns(df)}) USING PARQUET{spec} LOCATION '{path}' TBLPROPERTIES ('{SPEC_PROP}' = '{_quote(spec)}')")
         self.spark.catalog.refreshTable(name)
         for old in list_paths(self.spark, f"{base}/v_*_*")[: -self.keep_versions]:
             remove_folder(self.spark, old)
 
+    @staticmethod
+    def _columns(df: DataFrame) -> str:
+        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """T5 layout: range-partition and sort by ``columns``, row hash last.
-
-    The hash as last range key lets range bounds fall inside a single hot
-    value, so a value holding a third of the rows spreads over several tasks.
-    """
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    return df.repartitionByRange(*[F.col(c) for c in columns], tie).sortWithinPartitions(*columns)
+    def _definition(self, name: str) -> tuple[str, str | None]:
+        props = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        return self._columns(self.spark.table(name)), props.get(SPEC_PROP)
 
 
 def _quote(text: str) -> str:
@@ -292,9 +334,14 @@ def build_warehouse(
     processed: dict[str, str],
     indexes: dict[str, Sequence[str]] | None = None,
     fresh: bool = False,
+    bucket_by: dict[str, Sequence[str]] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Schemas, loads with layout, analytic views; returns the table info.
 
+    ``bucket_by`` (curated table name -> columns, see ``write_table``) keeps tables
+    that are joined on the same columns together: V1 and Q3 then shuffle nothing.
+
     ``processed`` maps curated table name -> PROCESSED path; ``fresh`` says
     each was just written by a single overwrite (one schema, so the footer
     merge of the scan is skipped).  Failures propagate (a half-built
@@ -302,11 +349,11 @@ def build_warehouse(
     """
     for name in fixed.WAREHOUSE_SCHEMAS:
         wh.create_schema(name)
-    indexes = indexes or {}
+    indexes, bucket_by = indexes or {}, bucket_by or {}
     # independent loads run as concurrent jobs; the index layout is applied
     # in each load's single write
     concurrently([
-        (lambda t=t, p=p: wh.load_from_processed(p, t, cluster_by=indexes.get(t), merge_schema=not fresh))
+        (lambda t=t, p=p: wh.load_from_processed(p, t, cluster_by=indexes.get(t), merge_schema=not fresh, bucket_by=bucket_by.get(t, ()), buckets=buckets))
         for t, p in processed.items()
     ])
     concurrently([

@@ -15,12 +15,18 @@ Layout::
   root only ever sees parquet.
 * The row count of an ingest is observed while the data is written (one
   job), not counted by a second scan.
+* The manifest also records each ingest's schema.  A scan reads ingests of
+  one schema together and brings types that changed between ingests to
+  a common one (``sources/drift.py``), without reading file footers.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,6 +42,7 @@ from pyspark.sql.types import (
 
 from lakeforge.functions.expressions import timestamp_literal
 from lakeforge.session import list_paths
+from lakeforge.sources import drift
 
 PARTITION_COLUMNS = ("year", "month", "day", "ingest_id")
 
@@ -49,9 +56,13 @@ MANIFEST_SCHEMA = StructType(
         StructField("columns", ArrayType(StringType()), True),
         StructField("file_path", StringType(), True),
         StructField("partition", StringType(), True),
+        StructField("schema", StringType(), True),
     ]
 )
 
+#: Characters that a partition folder's name holds as %XX, as Spark and Hive write it (fixed values).
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32)))
+
 
 def raw_path(lake: str, dataset: str) -> str:
     return f"{lake.rstrip('/')}/raw/{dataset}"
@@ -73,6 +84,16 @@ def partition_of(ingested_at: dt.datetime) -> str:
     return ingested_at.strftime("year=%Y/month=%m/day=%d")
 
 
+def escaped(value: str) -> str:
+    """A partition value as it stands in a folder's name."""
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+
+
+def ingest_folder(partition: str, ingest_id: str) -> str:
+    """Folder of an ingest under its dataset, as Spark names it."""
+    return f"{partition}/ingest_id={escaped(ingest_id)}"
+
+
 def ingest_batch(
     df: DataFrame,
     lake: str,
@@ -116,7 +137,7 @@ def ingest_batch(
     if rows == 0:
         # dynamic overwrite touches no partition without rows: an empty pull (or replay) writes
         # its folder itself, so the logged path exists, reads as empty, and old rows are gone
-        folder = f"{target}/{partition_of(when)}/ingest_id={ingest_id}"
+        folder = f"{target}/{ingest_folder(partition_of(when), ingest_id)}"
         if not skip_empty or list_paths(spark, folder):
             stamped.limit(0).coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(folder)
         if skip_empty:
@@ -128,8 +149,9 @@ def ingest_batch(
         "ingestion_timestamp": when.isoformat(),
         "row_count": rows,
         "columns": data_columns,
-        "file_path": f"{target}/{partition_of(when)}/ingest_id={ingest_id}",
+        "file_path": f"{target}/{ingest_folder(partition_of(when), ingest_id)}",
         "partition": partition_of(when),
+        "schema": stamped.schema.json(),
     }
     append_manifest(spark, lake, record)
     return record
@@ -143,7 +165,7 @@ def append_manifest(spark: SparkSession, lake: str, record: dict) -> None:
     """
     when = dt.datetime.fromisoformat(record["ingestion_timestamp"])
     row = dict(record, ingestion_timestamp=when)
-    target = f"{manifest_path(lake)}/day={when:%Y-%m-%d}/ingest_id={record['ingest_id']}"
+    target = f"{manifest_path(lake)}/{ingest_folder(f'day={when:%Y-%m-%d}', record['ingest_id'])}"
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(target)
 
 
@@ -153,44 +175,85 @@ def read_raw(
     dataset: str,
     keep_partitions: bool = False,
     where: str | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every parquet file of a dataset, any ingest day.
 
-    Reads the dataset root with partition discovery (a ``**`` glob would
-    only match one directory level), only ``*.parquet`` files, and merges
-    schemas so an empty-pull file that holds only metadata columns does not
-    hide the data columns.  A ``where`` on the partition columns, such as
-    ``"year = 2025 AND month = 11"``, first chooses the folders by name: only
-    their files are listed and only their footers merged.
+    Only ``*.parquet`` files count, found by partition discovery (a ``**`` glob
+    would only match one directory level).  Columns are those of all ingests;
+    an ingest that lacks one (an empty pull has metadata columns only) has NULL
+    there.  A column whose type changed between ingests gets the type that
+    holds all of them (``drift.common_type``: text beside anything is text), so
+    no value is lost; ingests of one type are read together, each file with its
+    own schema, as recorded in the manifest.
+
+    A ``where`` on the partition columns, such as ``"year = 2025 AND month = 11"``,
+    first chooses the folders by name: only their files are listed, and only
+    their schemas count.  ``only``: ingest folders (see ``ingest_folders``) that count.
     """
     root = raw_path(lake, dataset)
-    df = (
-        spark.read.option("pathGlobFilter", "*.parquet")
-        .option("mergeSchema", "true")
-        .option("basePath", root)
-        .parquet(*(_folders(spark, root, where) if where else [root]))
-    )
+    folders, exact = _folders(spark, root, where)
+    if only is not None:
+        only, exact, where = set(only), True, where or "true"
+        folders = [f for f in folders if _name(f) in only]
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", root)
+    if folders:
+        whole = [root] if where is None or not exact else None
+        df = drift.read(reader, _schemas(spark, lake, dataset, root, folders), PARTITION_TYPES, whole)
+    else:  # no ingest folder (or none that the filter keeps): an error, or an empty frame with the dataset's columns
+        df = reader.option("mergeSchema", "true").parquet(root)
     if where:
         df = df.filter(where)
     return df if keep_partitions else df.drop(*PARTITION_COLUMNS)
 
 
-def _folders(spark: SparkSession, root: str, where: str) -> list[str]:
-    """Ingest-day folders (ingest folders, when ``where`` names them) that a partition filter
-    keeps; the root when it keeps none or is not about partition columns alone."""
-    names = PARTITION_COLUMNS if "ingest_id" in where else PARTITION_COLUMNS[:3]
+def ingest_folders(spark: SparkSession, lake: str, dataset: str, where: str | None = None) -> list[str]:
+    """Names of the ingest folders (under the dataset's root) that a partition filter keeps, oldest first."""
+    return [_name(f) for f in _folders(spark, raw_path(lake, dataset), where)[0]]
+
+
+def _name(path: str) -> str:
+    return "/".join(path.split("/")[-len(PARTITION_COLUMNS):])
+
+
+PARTITION_TYPES = "year int, month int, day int, ingest_id string"
+
+
+def _folders(spark: SparkSession, root: str, where: str | None) -> tuple[list[str], bool]:
+    """Ingest folders that a partition filter keeps, oldest first (all, when it is not about
+    partition columns alone: then the second value is False)."""
     found = []
-    for path in list_paths(spark, "/".join([root, *[f"{n}=*" for n in names]])):
-        values = [part.split("=", 1)[1] for part in path.split("/")[-len(names):]]
-        found.append((*[int(v) for v in values[:3]], *values[3:], path))
-    if not found:
-        return [root]
-    schema = ", ".join([f"{n} {'string' if n == 'ingest_id' else 'int'}" for n in names] + ["path string"])
+    for path in list_paths(spark, "/".join([root, *[f"{n}=*" for n in PARTITION_COLUMNS]])):
+        values = [part.split("=", 1)[1] for part in path.split("/")[-4:]]
+        found.append((*[int(v) for v in values[:3]], unquote(values[3]), path))
+    found.sort()
+    if where is None or not found:
+        return [f[-1] for f in found], True
     try:
-        kept = [r["path"] for r in spark.createDataFrame(found, schema).filter(where).select("path").collect()]
+        kept = spark.createDataFrame(found, f"{PARTITION_TYPES}, path string").filter(where).select("path").collect()
     except AnalysisException:
-        return [root]
-    return kept or [root]
+        return [f[-1] for f in found], False
+    kept = {r["path"] for r in kept}
+    return [f[-1] for f in found if f[-1] in kept], True
+
+
+def _schemas(spark: SparkSession, lake: str, dataset: str, root: str, folders: list[str]) -> list[tuple[str, StructType]]:
+    """(folder, schema) of ingest folders: as the manifest has it; of folders that it does not know, from their files."""
+    records = read_manifest(spark, lake).where((F.col("dataset_name") == dataset) & F.col("schema").isNotNull()) if list_paths(spark, manifest_path(lake)) else None
+    known: dict[str, StructType] = {}
+    if records is not None:
+        texts: dict[str, StructType] = {}
+        for r in records.select("partition", "ingest_id", "schema").collect():
+            if r["schema"] not in texts:
+                texts[r["schema"]] = StructType.fromJson(json.loads(r["schema"]))
+            known[ingest_folder(r["partition"], r["ingest_id"])] = texts[r["schema"]]
+    out = []
+    for path in folders:
+        schema = known.get(_name(path))
+        if schema is None:
+            schema = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", "true").parquet(path).schema
+        out.append((path, schema))
+    return out
 
 
 def read_manifest(spark: SparkSession, lake: str, day: str | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 """K1, S1, S9, M1 round trips, including the D1, D2, D7 cases."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -124,3 +125,63 @@ def test_empty_replay_clears_and_empty_pull_reads(spark, lake):
     assert R.read_raw(spark, lake, "e").count() == 0
     R.ingest_batch(df.limit(0), lake, "only_empty", "src", "2025-01-02 00:00:00", "one")
     assert R.read_raw(spark, lake, "only_empty").count() == 0
+
+
+def test_types_that_change_between_ingests(spark, lake):
+    """Text on day 1, numbers on day 2, another column on day 3: nothing is lost, nothing fails."""
+    text = spark.createDataFrame([("u-1", "41", "2024-01-05"), ("2", "n/a", None)], "id string, v string, day_of string")
+    typed = spark.createDataFrame([(3, 7, dt.date(2024, 1, 6))], "id bigint, v int, day_of date")
+    wider = spark.createDataFrame([(4, 1 << 40, 0.5)], "id bigint, v bigint, Extra double")
+    for n, df in enumerate((text, typed, wider)):
+        R.ingest_batch(df, lake, "ds", "files", f"2025-11-0{n + 5} 10:00:00")
+    got = R.read_raw(spark, lake, "ds").select("id", "v", "day_of", "Extra")
+    assert got.dtypes == [("id", "string"), ("v", "string"), ("day_of", "string"), ("Extra", "double")]
+    assert rows(got) == [("2", "n/a", None, None), ("3", "7", "2024-01-06", None), ("4", str(1 << 40), None, 0.5), ("u-1", "41", "2024-01-05", None)]
+    # of the days that a filter keeps only their types count
+    late = R.read_raw(spark, lake, "ds", where="day > 5").select("id", "v", "Extra")
+    assert late.dtypes == [("id", "bigint"), ("v", "bigint"), ("Extra", "double")]
+    assert sorted(r["v"] for r in late.collect()) == [7, 1 << 40]
+
+
+def test_schemas_come_from_the_files_where_no_record_has_them(spark, lake):
+    R.ingest_batch(frame(spark, 2), lake, "ds", "faker", "2025-11-05 10:00:00")
+    R.ingest_batch(spark.createDataFrame([(7, "x")], "id bigint, v string"), lake, "ds", "faker", "2025-11-06 10:00:00")
+    os.rename(R.manifest_path(lake), lake + "/elsewhere")
+    got = R.read_raw(spark, lake, "ds")
+    assert rows(got.select("id", "v")) == [("7", "x"), ("id0", "0"), ("id1", "1")]
+
+
+def test_unchanged_types_are_one_scan_without_footers(spark, lake):
+    R.ingest_batch(frame(spark, 2), lake, "ds", "faker", "2025-11-05 10:00:00")
+    R.ingest_batch(frame(spark, 2).withColumn("w", F.lit(1)), lake, "ds", "faker", "2025-11-06 10:00:00")
+    plan = R.read_raw(spark, lake, "ds")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+
+
+def test_common_types():
+    from pyspark.sql import types as T
+
+    from lakeforge.sources.drift import common_type
+
+    kind = lambda x: T.StructType.fromDDL(f"a {x}")["a"].dataType
+    for a, b, want in [
+        ("int", "bigint", "bigint"), ("smallint", "tinyint", "smallint"), ("int", "double", "double"), ("float", "double", "double"),
+        ("decimal(10,2)", "int", "decimal(12,2)"), ("decimal(38,10)", "bigint", "decimal(38,10)"), ("decimal(38,2)", "decimal(38,10)", "string"),
+        ("date", "timestamp", "timestamp"), ("date", "timestamp_ntz", "timestamp_ntz"), ("boolean", "int", "string"), ("string", "date", "string"),
+        ("array<int>", "array<string>", "string"), ("struct<a:int>", "struct<a:int>", "struct<a:int>"),
+    ]:
+        for x, y in ((a, b), (b, a)):
+            assert common_type(kind(x), kind(y)).simpleString() == want, (x, y)
+
+
+def test_empty_replay_with_a_time_as_its_id(spark, lake):
+    """K1: Spark writes some characters of a partition value as %XX; an empty replay finds the same folder."""
+    run = "manual__2025-11-05T10:00:00+00:00 #1 100%"
+    for n in (3, 0, 2):
+        rec = R.ingest_batch(frame(spark, n), lake, "ds", "faker", "2025-11-05 10:00:00", ingest_id=run)
+        assert rec["row_count"] == n and os.path.isdir(rec["file_path"])
+        assert R.read_raw(spark, lake, "ds").count() == n
+        kept = R.read_raw(spark, lake, "ds", keep_partitions=True, where=f"ingest_id = '{run}'")
+        assert kept.count() == n and {r["ingest_id"] for r in kept.collect()} <= {run}
+    assert len(os.listdir(os.path.join(lake, "raw", "ds", "year=2025", "month=11", "day=05"))) == 1
+    assert R.read_manifest(spark, lake).count() == 1
