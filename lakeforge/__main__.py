@@ -38,7 +38,8 @@ def _parser() -> argparse.ArgumentParser:
     tr.add_argument("--data-lake", default="./data_lake")
     tr.add_argument("--dedup-key", default=None, help="comma-separated key columns for keyed de-dup")
     tr.add_argument("--raw-filter", default=None, help="RAW partition filter, e.g. 'year = 2025 AND day = 5'")
-    tr.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    tr.add_argument("--mode", default="overwrite", choices=["overwrite", "append"], help="append: an incremental run")
+    tr.add_argument("--run-id", default=None, help="name of an incremental run: a repeat replaces its own rows (default: the filter)")
 
     wh = sub.add_parser("warehouse", help="build curated tables and views")
     wh.add_argument("--data-lake", default="./data_lake")
@@ -57,6 +58,8 @@ def _parser() -> argparse.ArgumentParser:
     rn = sub.add_parser("run", help="gate, transforms, warehouse, models and tests")
     rn.add_argument("--data-lake", default="./data_lake")
     rn.add_argument("--datasets", default="users,transactions,logs")
+    rn.add_argument("--ingest-ids", default=None, help="ids of this run's ingests, comma-separated: only what they brought passes the gate")
+    rn.add_argument("--since", default=None, help="or: ingests from this time on ('YYYY-MM-DD HH:MM:SS') are this run's (default: today's, UTC)")
     return p
 
 
@@ -81,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
             subset = args.dedup_key.split(",") if args.dedup_key else None
             with sized_shuffle(spark, [raw_path(args.data_lake, args.dataset)]):
                 print(transform_pipeline(spark, args.data_lake, args.dataset, args.type, args.aggregate, subset=subset,
-                                         raw_filter=args.raw_filter, mode=args.mode))
+                                         raw_filter=args.raw_filter, mode=args.mode, run_id=args.run_id))
         elif args.command == "warehouse":
             from lakeforge.plans.run import INDEXES
             from lakeforge.plans.transform import processed_path
@@ -106,9 +109,10 @@ def main(argv: list[str] | None = None) -> int:
             query = start_merchant_query(merchant_stream(src, args.watermark), args.checkpoint, output_mode=mode)
             query.awaitTermination()
         elif args.command == "run":
-            from lakeforge.plans.run import process_landed
+            from lakeforge.plans.run import ingests_since, process_landed
 
-            result = process_landed(spark, args.data_lake, args.datasets.split(","))
+            ids = args.ingest_ids.split(",") if args.ingest_ids else ingests_since(spark, args.data_lake, args.since)
+            result = process_landed(spark, args.data_lake, args.datasets.split(","), ingest_ids=ids)
             result["tests"].show(truncate=False)
             result["ingest_report"].show(truncate=False)
     finally:

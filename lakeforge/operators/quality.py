@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lakeforge.functions import fixed
 from lakeforge.functions.expressions import passes
-from lakeforge.operators.clean import deduplicate, rules
+from lakeforge.operators.clean import deduplicate, rules, typed
 from lakeforge.operators.joins import orphans
 
 RESULT_COLUMNS = ("test_name", "model", "column_name", "failures", "passed")
@@ -169,7 +169,7 @@ def validation_errors(df: DataFrame, dataset_type: str, time_col: str) -> DataFr
     for _, predicate in rules(dataset_type):
         ok = ok & passes(predicate)
     return (
-        deduplicate(df)
+        typed(deduplicate(df), dataset_type)
         .filter(~ok & F.col(time_col).isNotNull())
         .select(F.col(time_col).alias("event_time"))
     )

@@ -377,6 +377,47 @@ def build() -> dict[str, str]:
     q["view_refresh"] = with_ctes(
         [TRANSACTIONS_RAW, TX_CLEAN], "SELECT user_id, 2 * count(*) AS n, max(amount) AS top FROM transactions_clean GROUP BY user_id"
     )
+    both = """
+  both_raw AS (
+    SELECT CAST(user_id AS VARCHAR) AS user_id, name, email, CASE WHEN user_id % 19 = 3 THEN NULL ELSE age END AS age, country,
+      CAST(registration_date AS VARCHAR) AS registration_date, 1 AS day_no FROM users_raw
+    UNION ALL SELECT CAST(user_id AS VARCHAR), name, email, age, country, CAST(registration_date AS VARCHAR), 2 FROM users_raw)"""
+    q["raw_type_drift"] = with_ctes(
+        [USERS_RAW, both],
+        f"""SELECT user_id, trim(name) AS name, lower(trim(email)) AS email, age, country, registration_date
+        FROM (SELECT DISTINCT * FROM both_raw) WHERE {' AND '.join(USERS_RULE_SQL)}""",
+    )
+    q["empty_replay"] = with_ctes(
+        [USERS_RAW],
+        f"""SELECT 'users' AS dataset_name, 'customer' AS source_type, '{d1}' AS "partition", 2::BIGINT AS ingests,
+          count(*)::BIGINT AS "rows", 8::BIGINT AS n_columns, true AS stamped, {t1} AS first_ingest, {t1} AS last_ingest,
+          count(*)::BIGINT AS rows_read FROM users_raw""",
+    )
+    q["incremental_equals_full"] = q["enrich_transactions"]
+    q["incremental_retry"] = q["enrich_transactions"]
+    q["index_files_read"] = with_ctes(
+        USERS_CHAIN + TX_CHAIN + LOGS_CHAIN,
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows_found, true AS under_half FROM {t}_processed WHERE {c} = "
+            f"(SELECT arg_min({c}, k) FROM (SELECT {c}, CAST({key} AS BIGINT) AS k FROM {t}_processed) "
+            f"WHERE k >= (SELECT (min(CAST({key} AS BIGINT)) + max(CAST({key} AS BIGINT))) // 2 FROM {t}_processed))"
+            for t, key, columns in (("users", "user_id", ("country", "email", "user_id")),
+                                    ("transactions", "transaction_id", ("category", "transaction_date", "user_id")),
+                                    ("logs", "log_id", ("source", "level", "log_date")))
+            for c in columns
+        ),
+    )
+    analytics = q["user_analytics"].replace("SELECT u.user_id, u.name", "SELECT count(*) FROM (SELECT u.user_id, u.name") + ")"
+    counted = [("users", "users_processed"), ("transactions", "transactions_processed"), ("logs", "logs_processed"),
+               ("dim_users", "users_processed"), ("fact_transactions", "transactions_processed")]
+    q["warehouse_table_files"] = with_ctes(
+        USERS_CHAIN + TX_CHAIN + LOGS_CHAIN,
+        "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS row_count, true AS bytes_as_listed FROM {source}" for t, source in counted)
+        + f"\nUNION ALL SELECT 'user_analytics', ({analytics}), true"
+        + "\nUNION ALL SELECT 'transaction_summary', count(*), true FROM (SELECT DISTINCT transaction_year, transaction_month, category, status FROM transactions_processed)",
+    )
+    q["curated_colocated"] = q["user_analytics"]
+    q["curated_colocated_relationship"] = q["dq_relationships"]
     # unit k is shown while bytes, rounded half up to half units, stay below 20480 of them
     q["pretty_sizes"] = """
       SELECT o_orderkey, CASE WHEN b < 10240 THEN b || ' bytes'

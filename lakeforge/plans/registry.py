@@ -557,6 +557,109 @@ def q_raw_ingest(spark, sf_dir):
     return R.read_raw(spark, lake, "transactions")
 
 
+def q_raw_type_drift(spark, sf_dir):
+    """Users landed as untyped text, then typed: read together and cleaned."""
+    lake = shared_dir(spark, "lake", unique=True)
+    R.ingest_batch(users_text(spark, sf_dir), lake, "users", "files", DAY1)
+    R.ingest_batch(C.drop_metadata(T.users_raw(spark, sf_dir)), lake, "users", "customer", DAY2)
+    return C.clean_data(R.read_raw(spark, lake, "users"), "users")
+
+
+def q_empty_replay(spark, sf_dir):
+    """K1: an ingest whose id holds a time is pulled again and is empty: its rows go, its day's others stay."""
+    lake = shared_dir(spark, "lake", unique=True)
+    users, again = C.drop_metadata(T.users_raw(spark, sf_dir)), "scheduled__2024-02-01T00:00:00+00:00"
+    R.ingest_batch(users, lake, "users", "customer", DAY1, ingest_id="first")
+    R.ingest_batch(users, lake, "users", "customer", DAY1, ingest_id=again)
+    R.ingest_batch(users.limit(0), lake, "users", "customer", DAY1, ingest_id=again)
+    return R.ingest_report(R.read_manifest(spark, lake)).withColumn("rows_read", F.lit(R.read_raw(spark, lake, "users").count()))
+
+
+def _pulled_twice(spark, sf_dir):
+    """Transactions in three pulls of one ingest time, every row in two of them; (lake, dataset, filters)."""
+    lake, name = shared_dir(spark, "lake", unique=True), f"tx_{uuid.uuid4().hex[:8]}"
+    tx, part = C.drop_metadata(T.transactions_raw(spark, sf_dir)), F.col("transaction_id").cast("bigint") % 3
+    for n in range(3):
+        R.ingest_batch(tx.where(part != n), lake, name, "orders", DAY1, ingest_id=f"pull{n}")
+    return lake, name, [f"ingest_id = 'pull{n}'" for n in range(3)]
+
+
+def q_incremental_equals_full(spark, sf_dir):
+    """Three incremental runs over pulls that overlap give the rows of one full run."""
+    from lakeforge.plans.transform import transform_pipeline
+
+    lake, name, filters = _pulled_twice(spark, sf_dir)
+    for where in filters:
+        transform_pipeline(spark, lake, name, "transactions", as_of=AS_OF, raw_filter=where, mode="append")
+    return _no_processed_ts(spark.table(f"processed_{name}"))
+
+
+def q_incremental_retry(spark, sf_dir):
+    """K2: a full run over the first pull, then runs of which some are repeated: nothing is doubled."""
+    from lakeforge.plans.transform import processed_path, transform_pipeline
+    from lakeforge.plans.warehouse import read_processed
+
+    lake, name, filters = _pulled_twice(spark, sf_dir)
+    transform_pipeline(spark, lake, name, "transactions", as_of=AS_OF, raw_filter=filters[0])
+    for n in (0, 1, 1, 2, 1):
+        transform_pipeline(spark, lake, name, "transactions", as_of=AS_OF, raw_filter=filters[n], mode="append")
+    return _no_processed_ts(read_processed(spark, processed_path(lake, name)))
+
+
+INDEXED = {"users": ("user_id", users_processed), "transactions": ("transaction_id", transactions_processed), "logs": ("log_id", logs_processed)}
+INDEX_FILES = 64
+
+
+def q_index_files_read(spark, sf_dir):
+    """T5: for every indexed column an equality with the value of a row in the middle of the table:
+    the rows that it finds, and whether fewer than half of the files may hold the value by their bounds."""
+    from lakeforge.plans.layout import file_bounds, lookup_files
+    from lakeforge.plans.run import INDEXES
+
+    wh, out = _warehouse(spark), []
+    for table, (key, source) in INDEXED.items():
+        wh.write_table(source(spark, sf_dir), table)
+        wh.create_indexes(table, INDEXES[table], files=INDEX_FILES)
+        df, number = spark.table(wh.qualified(table)), F.col(key).cast("bigint")
+        low, high = df.agg(F.min(number), F.max(number)).first()
+        row = df.where(number >= (low + high) // 2).agg(*[F.min_by(c, number).alias(c) for c in INDEXES[table]]).first()
+        bounds = file_bounds(df, INDEXES[table])
+        for c in INDEXES[table]:
+            files, touched = lookup_files(bounds, c, row[c])
+            out.append((table, c, df.where(F.col(c) == F.lit(row[c])).count(), 2 * touched < files))
+    return spark.createDataFrame(out, "table_name string, column_name string, rows_found bigint, under_half boolean")
+
+
+def q_warehouse_table_files(spark, sf_dir):
+    """Per curated table the rows of its files, and whether their bytes add up to those of the
+    folder's listing (files without rows aside)."""
+    from lakeforge.session import list_files
+
+    wh, out = full_run(spark, sf_dir)["warehouse"], []
+    for table in ("users", "transactions", "logs", "user_analytics", "transaction_summary", "dim_users", "fact_transactions"):
+        files = wh.table_files(table).collect()
+        listed = list_files(spark, wh.location(table))
+        held = {f["file_path"].rsplit("/", 1)[1]: f["bytes"] for f in files}
+        out.append((table, sum(f["rows"] for f in files), {n: b for n, b in listed.items() if n in held} == held and all(b > 0 for b in held.values())))
+    return spark.createDataFrame(out, "table_name string, row_count bigint, bytes_as_listed boolean")
+
+
+def q_curated_colocated(spark, sf_dir):
+    """K4, V1: users and transactions in buckets of user_id; the view joins them without a shuffle."""
+    wh = _warehouse(spark)
+    wh.write_table(users_processed(spark, sf_dir), "users", bucket_by=["user_id"], buckets=16)
+    wh.write_table(transactions_processed(spark, sf_dir), "transactions", bucket_by=["user_id"], buckets=16)
+    return A.user_analytics(spark.table(wh.qualified("users")), spark.table(wh.qualified("transactions")))
+
+
+def q_curated_colocated_relationship(spark, sf_dir):
+    """K4, Q3: the reference of the fact table's users is tested over bucketed models."""
+    wh = _warehouse(spark)
+    for name, df in models(spark, sf_dir).items():
+        wh.write_table(df, name, bucket_by=["user_id"], buckets=16)
+    return Q.model_tests({name: spark.table(wh.qualified(name)) for name in ("dim_users", "fact_transactions")}, _tests("relationships"))
+
+
 QUERIES: dict[str, Query] = {
     "clean_generic": q_clean_generic,
     "clean_users": q_clean_users,
@@ -616,4 +719,12 @@ QUERIES: dict[str, Query] = {
     "curated_append_by_name": q_curated_append_by_name,
     "view_refresh": q_view_refresh,
     "pretty_sizes": q_pretty_sizes,
+    "raw_type_drift": q_raw_type_drift,
+    "empty_replay": q_empty_replay,
+    "incremental_equals_full": q_incremental_equals_full,
+    "incremental_retry": q_incremental_retry,
+    "index_files_read": q_index_files_read,
+    "warehouse_table_files": q_warehouse_table_files,
+    "curated_colocated": q_curated_colocated,
+    "curated_colocated_relationship": q_curated_colocated_relationship,
 }

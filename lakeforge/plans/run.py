@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeforge.functions.expressions import timestamp_literal
 from lakeforge.operators.quality import assert_complete, completeness, model_tests
 from lakeforge.plans.models import dim_users, fact_transactions
 from lakeforge.plans.parallel import concurrently
@@ -37,6 +38,16 @@ INDEXES = {
 }
 
 
+def ingests_since(spark: SparkSession, lake: str, since: dt.datetime | str | None = None) -> list[str]:
+    """Ids of the non-empty ingests from a time on (default: midnight of today, UTC); only the
+    manifest's folders of these days are read."""
+    start = dt.datetime.fromisoformat(since) if isinstance(since, str) else since
+    start = start or dt.datetime.now(dt.timezone.utc).replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
+    manifest = read_manifest(spark, lake, since_day=f"{start:%Y-%m-%d}")
+    rows = manifest.where((F.col("ingestion_timestamp") >= timestamp_literal(start)) & (F.col("row_count") > 0)).select("ingest_id").distinct().collect()
+    return sorted(r["ingest_id"] for r in rows)
+
+
 def models_then_tests(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | str | None = None) -> DataFrame:
     """Materialise dim_users and fact_transactions, then run their tests."""
     wh.create_schema()

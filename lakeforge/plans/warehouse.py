@@ -104,6 +104,11 @@ class Warehouse:
     def table_path(self, table: str, schema: str | None = None) -> str:
         return f"{self.root}/{schema or self.schema}/{table}"
 
+    def location(self, table: str, schema: str | None = None) -> str:
+        """Folder of the table's present version."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(table, schema)}").where("col_name = 'Location'")
+        return rows.first()["data_type"]
+
     def exists(self, table: str, schema: str | None = None) -> bool:
         return self.spark.catalog.tableExists(self.qualified(table, schema))
 

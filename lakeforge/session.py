@@ -23,8 +23,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # partitions of the advisory size, not as many as there are cores
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -43,6 +41,8 @@ def sized_conf(input_bytes: int, bytes_per_shuffle_partition: int = 2 << 30, lea
     """
     parts = max(least, min(most, -(-input_bytes // bytes_per_shuffle_partition)))
     return {
+        # partitions of the advisory size, not as many as there are cores (of small inputs the cores make more)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
@@ -89,6 +89,13 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in fs.globStatus(where) or ())
 
 
+def list_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Name and bytes of the files of one folder (hidden ones aside), from the listing."""
+    fs, where = _hadoop(spark, path)
+    found = {f.getPath().getName(): f.getLen() for f in fs.listStatus(where) if f.isFile()}
+    return {name: size for name, size in found.items() if name[0] not in "._"}
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, where = _hadoop(spark, path)
     fs.delete(where, True)

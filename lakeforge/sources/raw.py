@@ -256,14 +256,19 @@ def _schemas(spark: SparkSession, lake: str, dataset: str, root: str, folders: l
     return out
 
 
-def read_manifest(spark: SparkSession, lake: str, day: str | None = None) -> DataFrame:
+def read_manifest(spark: SparkSession, lake: str, day: str | None = None, since_day: str | None = None) -> DataFrame:
     """The ingest manifest as a typed table.
 
     Records are grouped in folders by ingest day, so ``day="YYYY-MM-DD"``
-    (e.g. a daily completeness gate) lists one day's records only.
+    (e.g. a daily completeness gate) lists one day's records only, and
+    ``since_day`` those of a day and later ones.
     """
-    path = manifest_path(lake) if day is None else f"{manifest_path(lake)}/day={day}"
-    return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").json(path)
+    paths = [manifest_path(lake) if day is None else f"{manifest_path(lake)}/day={day}"]
+    if since_day is not None:
+        paths = [p for p in list_paths(spark, f"{manifest_path(lake)}/day=*") if p.rsplit("=", 1)[1] >= since_day]
+        if not paths:
+            return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").json(paths)
 
 
 def ingest_report(manifest: DataFrame) -> DataFrame:
