@@ -11,6 +11,8 @@ the value merely falls.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -47,20 +49,42 @@ def morton(ranks: Sequence[Column], bits: int = BITS) -> Column:
     return out
 
 
+def place(ranks: Sequence[int], bits: int = BITS) -> int:
+    """``morton`` of one row's ranks."""
+    out = 0
+    for bit in reversed(range(bits)):
+        for r in ranks:
+            out = out << 1 | r >> bit & 1
+    return out
+
+
 def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
-    """Rows in range partitions along the curve, sorted within; ``files``: how many (default: the session's shuffle width).
+    """Rows in partitions that are stretches of the curve, sorted within.
 
-    The sample is the rows of the smallest hashes, so a rerun lays out alike.  A
-    row hash is the last range key: a place on the curve that holds many rows
-    (one value may be held by a third of all) is spread over several tasks.
+    ``files``: about how many (default: the session's shuffle width), brought to a power of two, so that
+    every stretch is a whole cell: one that crossed a cell's edge would be wide in some column.  A cell that holds
+    many rows (a third of all may have one value) is dealt by a row hash into as many
+    partitions as its share needs.  The sample is the rows of the smallest hashes, so a rerun lays out alike.
     """
     columns = list(columns)
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deep = min((files - 1).bit_length(), BITS * len(columns))
+    cells, shift = 1 << deep, BITS * len(columns) - deep
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     sample = df.select(*[F.col(f"`{c}`") for c in columns], tie.alias("_tie")).orderBy("_tie").limit(SAMPLE).drop("_tie").collect()
-    ranks = [rank(c, cuts([r[c] for r in sample if r[c] is not None])) for c in columns]
-    placed = df.withColumns({"_place": morton(ranks), "_tie": tie})
-    placed = placed.repartitionByRange(files, "_place", "_tie") if files else placed.repartitionByRange("_place", "_tie")
-    return placed.sortWithinPartitions("_place", *columns).drop("_place", "_tie")
+    edges = [cuts([r[c] for r in sample if r[c] is not None]) for c in columns]
+    there = Counter(
+        place([(0 if r[c] is None else bisect_right(e, r[c])) * (1 << BITS) // (len(e) + 1) for c, e in zip(columns, edges)]) >> shift for r in sample
+    )
+    # cells that the sample shows to hold several times their share
+    large = {cell: -(-n * cells // len(sample)) for cell, n in there.items() if n >= 20 and n * cells > 3 * len(sample)}
+    curve = morton([rank(c, e) for c, e in zip(columns, edges)])
+    cell = F.shiftright("_place", shift)
+    parts = F.coalesce(F.create_map(*[F.lit(x) for kv in large.items() for x in kv])[cell.cast("int")], F.lit(1)) if large else F.lit(1)
+    placed = df.withColumns({"_place": curve, "_tie": tie}).withColumns({"_cell": cell, "_part": F.pmod("_tie", parts)})
+    # range bounds fall between distinct keys: with more partitions than cells each key has its own, and the rest are empty
+    placed = placed.repartitionByRange(4 * (cells + sum(large.values())), "_cell", "_part")
+    return placed.sortWithinPartitions("_place", *columns).drop("_place", "_tie", "_cell", "_part")
 
 
 def bloom_options(columns: Sequence[str]) -> dict[str, str]:

@@ -395,6 +395,8 @@ def build() -> dict[str, str]:
     )
     q["incremental_equals_full"] = q["enrich_transactions"]
     q["incremental_retry"] = q["enrich_transactions"]
+    q["view_refresh_incremental"] = q["transaction_summary"]
+    q["view_refresh_incremental_users"] = q["user_analytics"]
     q["index_files_read"] = with_ctes(
         USERS_CHAIN + TX_CHAIN + LOGS_CHAIN,
         "\nUNION ALL\n".join(

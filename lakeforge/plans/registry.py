@@ -606,6 +606,39 @@ def q_incremental_retry(spark, sf_dir):
     return _no_processed_ts(read_processed(spark, processed_path(lake, name)))
 
 
+def _refreshed(spark, sf_dir, refresh):
+    """Users and three overlapping pulls of transactions, in incremental runs with a refresh after each,
+    one run repeated; the last refresh must have read the last run alone."""
+    from lakeforge.plans.transform import processed_path, transform_pipeline
+
+    wh = _warehouse(spark)
+    lake, name, filters = _pulled_twice(spark, sf_dir)
+    people = f"users_{name}"
+    R.ingest_batch(C.drop_metadata(T.users_raw(spark, sf_dir)), lake, people, "customer", DAY1, ingest_id="all")
+    transform_pipeline(spark, lake, people, "users", as_of=AS_OF, raw_filter="ingest_id = 'all'", mode="append")
+    for n in (0, 1, 1, 2):
+        transform_pipeline(spark, lake, name, "transactions", as_of=AS_OF, raw_filter=filters[n], mode="append")
+        read = refresh(wh, processed_path(lake, people), processed_path(lake, name))
+    if len(read) != 1:
+        raise RuntimeError(f"the last refresh read {read}")
+    return wh
+
+
+def q_view_refresh_incremental(spark, sf_dir):
+    """T4, V2: the summary merged from a stored state of each run."""
+    from lakeforge.plans import incremental_views as I
+
+    wh = _refreshed(spark, sf_dir, lambda wh, users, tx: I.refresh_transaction_summary(wh, tx))
+    return spark.table(wh.qualified("transaction_summary"))
+
+
+def q_view_refresh_incremental_users(spark, sf_dir):
+    """T4, V1: users' sums and distinct transactions merged from a stored state of each run."""
+    from lakeforge.plans import incremental_views as I
+
+    return spark.table(_refreshed(spark, sf_dir, I.refresh_user_analytics).qualified("user_analytics"))
+
+
 INDEXED = {"users": ("user_id", users_processed), "transactions": ("transaction_id", transactions_processed), "logs": ("log_id", logs_processed)}
 INDEX_FILES = 64
 
@@ -723,6 +756,8 @@ QUERIES: dict[str, Query] = {
     "empty_replay": q_empty_replay,
     "incremental_equals_full": q_incremental_equals_full,
     "incremental_retry": q_incremental_retry,
+    "view_refresh_incremental": q_view_refresh_incremental,
+    "view_refresh_incremental_users": q_view_refresh_incremental_users,
     "index_files_read": q_index_files_read,
     "warehouse_table_files": q_warehouse_table_files,
     "curated_colocated": q_curated_colocated,

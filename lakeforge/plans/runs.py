@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,12 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeforge.operators.filters import bloom, may_hold
-from lakeforge.session import list_paths, remove_folder
+from lakeforge.session import list_paths, make_folder, remove_folder
 from lakeforge.sources import drift
 from lakeforge.sources.raw import escaped
 
 RUN, DIGEST = "_run_id", "_digest"
-BUCKETS = 64  # of a new digest table; one that exists keeps its number
 
 
 def digest(df: DataFrame) -> Column:
@@ -87,13 +87,16 @@ def covered(spark: SparkSession, path: str) -> list[str]:
 class Digests:
     """Digests of the rows that each run has written, in a table bucketed by digest."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, base: str | None = None):
+        """``buckets`` of a new table (default: the session's shuffle width; one that exists keeps its
+        number); ``base``: folder of the table, if it is not that of the dataset at ``path``."""
         self.spark = spark
-        base = _state(path)
+        base = base or _state(path)
         there = list_paths(spark, f"{base}/digests-*")
-        self.buckets = int(there[0].rsplit("-", 1)[1]) if there else buckets
+        self.buckets = int(there[0].rsplit("-", 1)[1]) if there else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.path = f"{base}/digests-{self.buckets}"
         self.name = f"digests_{hashlib.md5(self.path.encode()).hexdigest()[:16]}"  # one table per folder
+        make_folder(spark, self.path)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({DIGEST} BINARY, {RUN} STRING) USING PARQUET PARTITIONED BY ({RUN}) "
             f"CLUSTERED BY ({DIGEST}) SORTED BY ({DIGEST}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
@@ -104,6 +107,18 @@ class Digests:
     def runs(self) -> list[str]:
         return list_paths(self.spark, f"{self.path}/{RUN}=*")
 
+    def run_ids(self) -> list[str]:
+        return [unquote(folder.rsplit(f"/{RUN}=", 1)[1]) for folder in self.runs()]
+
+    def of(self, run_id: str) -> DataFrame:
+        return self.spark.table(self.name).where(F.col(RUN) == run_id).select(DIGEST)
+
+    def clear(self) -> None:
+        """Forget the digests of all runs."""
+        for folder in self.runs():
+            remove_folder(self.spark, folder)
+        self.spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
+
     def of_others(self, run_id: str) -> DataFrame:
         return self.spark.table(self.name).where(F.col(RUN) != run_id).select(DIGEST)
 
@@ -116,7 +131,11 @@ class Digests:
 
 def new_rows(raw: DataFrame, digests: Digests, run_id: str) -> DataFrame:
     """C1 across runs: the distinct rows that no other run has written, with their digest."""
-    rows = raw.withColumn(DIGEST, digest(raw))
+    return not_of_others(raw.withColumn(DIGEST, digest(raw)), digests, run_id)
+
+
+def not_of_others(rows: DataFrame, digests: Digests, run_id: str) -> DataFrame:
+    """One row for each digest (column ``_digest``) that no other run has."""
     others = digests.of_others(run_id)
     if not digests.runs():
         return rows.dropDuplicates([DIGEST])
@@ -153,22 +172,34 @@ def recorded_runs(spark: SparkSession, path: str) -> list[tuple[str, T.StructTyp
     return found
 
 
-def read_runs(spark: SparkSession, path: str, run_ids: Sequence[str] | None = None, merge_schema: bool = True) -> DataFrame:
-    """Rows of the full run and of all incremental runs since (``run_ids``: of these alone), by
-    column name and common type, without the run columns.
+def full_run_rows(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame | None:
+    """Rows of the last full run, if there was one."""
+    if not list_paths(spark, f"{path.rstrip('/')}/*"):
+        return None
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+
+
+def read_runs(
+    spark: SparkSession, path: str, run_ids: Sequence[str] | None = None, merge_schema: bool = True, folders: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of the full run and of all incremental runs since (``run_ids``, or names of run ``folders``: of
+    these alone), by column name and common type, without the run columns.
 
     Incremental runs are read by the schema recorded with them: no footers are merged.
     """
-    wanted = None if run_ids is None else {run_folder(r) for r in run_ids}
+    if run_ids is not None:
+        folders = [run_folder(r) for r in run_ids]
+    wanted = None if folders is None else set(folders)
     runs = [r for r in recorded_runs(spark, path) if wanted is None or r[0].rsplit("/", 1)[1] in wanted]
     parts = {RUN: "string"}
     for _, schema, partition_by in runs:
         parts.update({c: schema[c].dataType.simpleString() for c in partition_by})
     types = ", ".join(f"`{c}` {t}" for c, t in parts.items())
     root = runs_path(path)
-    frames = [drift.read(spark.read.option("basePath", root), [r[:2] for r in runs], types, [root] if run_ids is None else None).drop(RUN, DIGEST)] if runs else []
-    if run_ids is None and list_paths(spark, f"{path.rstrip('/')}/*"):
-        frames.insert(0, spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path))
+    frames = [drift.read(spark.read.option("basePath", root), [r[:2] for r in runs], types, [root] if wanted is None else None).drop(RUN, DIGEST)] if runs else []
+    base = full_run_rows(spark, path, merge_schema) if wanted is None else None
+    if base is not None:
+        frames.insert(0, base)
     if not frames:
         raise FileNotFoundError(f"PROCESSED dataset not found or empty: {path}")
     return drift.union(frames)

@@ -7,6 +7,7 @@ pick our own when it is unset (local runs and tests).
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -96,6 +97,11 @@ def list_files(spark: SparkSession, path: str) -> dict[str, int]:
     return {name: size for name, size in found.items() if name[0] not in "._"}
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _hadoop(spark, path)
+    fs.mkdirs(where)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, where = _hadoop(spark, path)
     fs.delete(where, True)
@@ -110,6 +116,16 @@ def folder_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
     return total
 
 
+def folder_signature(spark: SparkSession, path: str) -> str:
+    """A digest of the names and sizes of all files under ``path``: it changes when they are written anew."""
+    fs, where = _hadoop(spark, path)
+    files, found = fs.listFiles(where, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()} {f.getLen()}")
+    return hashlib.md5("\n".join(sorted(found)).encode()).hexdigest()
+
+
 @contextmanager
 def sized_shuffle(
     spark: SparkSession, paths: Sequence[str], bytes_per_shuffle_partition: int = 512 << 20, most: int = 200_000

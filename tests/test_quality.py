@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeforge.operators import quality as Q
 
@@ -105,3 +106,10 @@ def test_completeness_gate(spark):
     with pytest.raises(RuntimeError, match="transactions"):
         Q.assert_complete(report)
     Q.assert_complete(Q.completeness(manifest, ["users"]))
+
+
+def test_validation_errors_of_untyped_text(spark):
+    """A text amount compares as a number; what is no number is an error, not the end of the job."""
+    data = [("t1", "9.5", "completed"), ("t2", "-1", "completed"), ("t3", "n/a", "completed"), ("t4", "3", "other")]
+    tx = spark.createDataFrame(data, "transaction_id string, amount string, status string").withColumn("at", F.lit("2025-01-01 00:00:00").cast("timestamp"))
+    assert Q.validation_errors(tx, "transactions", "at").count() == 3
