@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from lakeforge.llm.common import ROW, text_key, text_of, wrap
 
-#: Texts of more code points are cut; window around a join at first, code points each side; words remembered.
-LEAF, WINDOW, REMEMBERED = 32_768, 64, 250_000
-RESULTS = 512  # texts whose results a worker holds at once
+#: Texts of more code points are cut; window around a join at first, code points each side;
+#: bytes of words, ids and names that a worker remembers, while it works on one partition.
+LEAF, WINDOW, REMEMBERED = 32_768, 64, 48 << 20
+RESULTS = 256  # texts whose results a worker holds at once
 
 _MARK = re.compile(rb"([a-z])([.,|])(?=[ \t-\r]|$)")
 
@@ -136,6 +137,7 @@ class WordEncoder:
     def __init__(self, path: str):
         self.tok = tokenizer(path)
         self.memo: dict[bytes, tuple[bytes, str]] = {}
+        self.room = REMEMBERED
         size = self.tok.get_vocab_size(with_added_tokens=True)
         probe = lambda x: self.tok.encode(x, add_special_tokens=False).ids
         self.folds = probe("Ab, c1. D| e") == probe("ab , c1 . d | e")
@@ -161,8 +163,13 @@ class WordEncoder:
         for w, b in zip(words, upto.tolist()):
             name = " ".join([self.names[i] for i in raw[a:b]]) if self.names else ""
             self.memo[w] = (data[4 * a : 4 * b], name)
+            self.room -= len(w) + 4 * (b - a) + 2 * len(name) + 320  # the objects and their place in the table
             a = b
 
+    def forget(self) -> None:
+        self.memo.clear()
+        self.room = REMEMBERED
+
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
         memo = self.memo
@@ -170,8 +177,8 @@ class WordEncoder:
             split = [self._words(t) for t in texts[at : at + 64]]
             new = {w for words in split for w in words if w not in memo}
             if new:
-                if len(memo) + len(new) > REMEMBERED:
-                    memo.clear()
+                if self.room < 0:
+                    self.forget()
                     new = {w for words in split for w in words}
                 self._learn(list(new))
             for words in split:
@@ -231,10 +238,13 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
 
     @F.pandas_udf("struct<ids:binary,decoded:string>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:  # results leave in small frames: a worker never holds those of a whole batch
-            for at in range(0, len(texts), RESULTS):
-                made = _encoder(path).encode(list(texts.iloc[at : at + RESULTS]))
-                yield pd.DataFrame(list(made), columns=["ids", "decoded"])
+        try:
+            for texts in batches:  # results leave in small frames: a worker never holds those of a whole batch
+                for at in range(0, len(texts), RESULTS):
+                    made = _encoder(path).encode(list(texts.iloc[at : at + RESULTS]))
+                    yield pd.DataFrame(list(made), columns=["ids", "decoded"])
+        finally:
+            _encoder(path).forget()  # workers are reused
 
     rows = wrap(docs, "text").select(ROW, text_of().alias("body"))
     short = rows.where(F.length("body") <= leaf).withColumn("e", encoded("body")).select(ROW, "e.ids", "e.decoded")

@@ -39,10 +39,49 @@ NEAR = (80, 100, 5)  # near duplicates: similarity 0.8 on five words
 SLOT_BITS, PART_BITS = 23, 16  # counters; counters in a part that moves as one row
 PAIRED = 16  # entries of a group up to which its pairs are tested one by one
 BLOCK, BLOCKS = 256, 64  # classes in a block; blocks of a neighbourhood, beyond which its groups are joined one by one
-REMEMBERED = 300_000
+REMEMBERED = 1 << 23  # bytes of words whose hashes a worker remembers, while it works on one partition
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 
-_word_hashes: dict[bytes, int] = {}
+
+
+class Hashes:
+    """Hashes of words, remembered up to a number of bytes; nothing is kept past a partition (workers are reused)."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+        self.room = REMEMBERED
+
+    def of(self, words: list[bytes]) -> list[int]:
+        known, out = self.known, []
+        for w in words:
+            h = known.get(w)
+            if h is None:
+                h = xxhash.xxh64_intdigest(w)
+                self.room -= len(w) + 150  # the objects and their place in the table
+                if self.room < 0:
+                    self.forget()
+                known[w] = h
+            out.append(h)
+        return out
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.room = REMEMBERED
+
+
+hashes = Hashes()
+
+
+def forgetting(run: Callable) -> Callable:
+    """A task that leaves no hashes behind in its worker."""
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from run(batches)
+        finally:
+            hashes.forget()
+
+    return task
 
 
 def shingles(text: str, n: int = NGRAM) -> np.ndarray:
@@ -52,16 +91,7 @@ def shingles(text: str, n: int = NGRAM) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(words) < n:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    memo = _word_hashes
-    if len(memo) > REMEMBERED:
-        memo.clear()
-    made = []
-    for w in words:
-        h = memo.get(w)
-        if h is None:
-            h = memo[w] = xxhash.xxh64_intdigest(w)
-        made.append(h)
-    a = np.array(made, np.uint64)
+    a = np.array(hashes.of(words), np.uint64)
     out = np.zeros(len(a) - n + 1, np.uint64)
     for k in range(n):
         x = a[k : len(a) - n + 1 + k]
@@ -92,7 +122,7 @@ def _read(ngram: int) -> Callable:
             if c.any():
                 yield pd.DataFrame({"rid": [None], "doc_id": [None], "cls": [None], "n": [None], "part": [part], "counts": [zlib.compress(c.tobytes(), 1)]})
 
-    return run
+    return forgetting(run)
 
 
 def _sum_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,7 +172,7 @@ def _prefixes(ranks, ngram: int, num: int, den: int) -> Callable:
                         "place": np.concatenate([np.arange(x, dtype=np.int32) for x in k]),
                     })
 
-    return run
+    return forgetting(run)
 
 
 def _sets(ranks, ngram: int) -> Callable:
@@ -158,7 +188,7 @@ def _sets(ranks, ngram: int) -> Callable:
                 sets = [shingles(t, ngram) for t in p["body"]]
                 yield pd.DataFrame({"cls": p["cls"], "members": [_rarest(s, ranks.value, len(s)).tobytes() for s in sets], "spots": p["spots"]})
 
-    return run
+    return forgetting(run)
 
 
 def linked(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int, joined: Callable[[int, int], bool] = lambda i, j: False) -> Iterator[tuple[int, int]]:

@@ -18,19 +18,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from lakeforge.llm.common import WORD, key_mask, masked, materialise
-from lakeforge.llm.ngram_join import REMEMBERED
+from lakeforge.llm.ngram_join import forgetting, hashes
 
 WINDOW, GRAM = 51, 20  # words
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 _BACK = pow(_BASE, -1, 1 << 64)
 _WORDS = re.compile(WORD)
-_hashes: dict[str, int] = {}
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -41,15 +39,7 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 def run_hashes(text: str, *lengths: int) -> list[np.ndarray]:
     """Per length the hashes of all runs of so many words, in order."""
-    memo = _hashes
-    if len(memo) > REMEMBERED:
-        memo.clear()
-    made = []
-    for w in _WORDS.findall(text):
-        h = memo.get(w)
-        if h is None:
-            h = memo[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace"))
-        made.append(h)
+    made = hashes.of(text.encode("utf-8", "replace").split())  # of bytes: only ASCII white space splits
     n = len(made)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(np.array(made, np.uint64) * _powers(n, _BASE), out=sums[1:])
@@ -140,7 +130,7 @@ def shared_places(rows: DataFrame) -> DataFrame:
     """(key, places) of the windows to drop; ``rows``: key, doc_id, holder (long), body."""
     # ids pass through pandas as strings: beside nulls they would be floats
     rows = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "holder", "body")
-    made = lambda: rows.mapInPandas(_fingerprints, "print long, key binary, holder long, doc_id string")
+    made = lambda: rows.mapInPandas(forgetting(_fingerprints), "print long, key binary, holder long, doc_id string")
     # made twice: the fingerprints take more room than time
     shared = materialise(
         made().groupBy("print").agg(F.min("holder").alias("a"), F.max("holder").alias("b")).where("a <> b").select("print"), "passage_prints"
@@ -150,7 +140,7 @@ def shared_places(rows: DataFrame) -> DataFrame:
     hits = materialise(hits.groupBy("key").agg(F.min(F.col("doc_id").cast("long")).alias("first_id"), F.collect_set("print").alias("prints")), "passage_hits")
     near = materialise(key_mask(hits, F.col("key")), "passage_mask", files=1)
     texts = masked(rows, F.col("key"), near).join(hits, "key").select("key", F.col("first_id").cast("string").alias("doc_id"), "holder", "body", "prints")
-    windows = texts.mapInPandas(_windows, "run long, place int, key binary, holder long, doc_id string")
+    windows = texts.mapInPandas(forgetting(_windows), "run long, place int, key binary, holder long, doc_id string")
     windows = materialise(windows.withColumn("doc_id", F.col("doc_id").cast("long")), "passage_windows")
     first = (
         windows.groupBy("run").agg(F.min("holder").alias("a"), F.max("holder").alias("b"), F.min(F.struct("doc_id", "key", "holder")).alias("first"))

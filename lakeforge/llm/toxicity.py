@@ -23,7 +23,7 @@ from lakeforge.llm.common import ROW, text_of, wrap
 #: Labelled documents to learn from, about (the bound on the sample); hash buckets;
 #: terms kept by the screening; length of a term's vector.
 SAMPLE, BUCKETS, TERMS, FACTORS = 12_000, 1 << 18, 1024, 6
-LOCAL_WORDS = 200_000  # words whose terms a worker remembers
+LOCAL_BYTES = 24 << 20  # of words whose terms a worker remembers, while it works on one partition
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -72,7 +72,11 @@ class Machine:
     def __init__(self, buckets: np.ndarray, bias: float, weights: np.ndarray, vectors: np.ndarray):
         self.buckets, self.bias, self.weights, self.vectors = buckets, bias, weights, vectors
         self.place = {int(b): i for i, b in enumerate(buckets)}
+        self.forget()
+
+    def forget(self) -> None:
         self.memo: dict[str, list[int]] = {}
+        self.room = LOCAL_BYTES
 
     def score(self, text: str) -> float:
         seen, n = counts(text)
@@ -80,9 +84,11 @@ class Machine:
         for w, k in seen.items():
             at = self.memo.get(w)
             if at is None:
-                if len(self.memo) >= LOCAL_WORDS:
-                    self.memo.clear()
-                at = self.memo[w] = [self.place[b] for b in terms(w) if b in self.place]
+                at = [self.place[b] for b in terms(w) if b in self.place]
+                self.room -= 2 * len(w) + 8 * len(at) + 240  # the objects and their place in the table
+                if self.room < 0:
+                    self.forget()
+                self.memo[w] = at
             for i in at:
                 x[i] = x.get(i, 0.0) + k
         logit = self.bias
@@ -149,13 +155,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """Fit on about ``sample`` labelled texts (fewer if there are fewer), chosen by a hash of the id.
 
     The sample is the only bounded part: it goes to one task, and the model
-    (TERMS buckets) comes back.  Texts do not move; the sampled labels, whose
-    number the bound limits, are broadcast.
+    (TERMS buckets) comes back.  Of rows that repeat an id one text counts, the
+    first by content.  The sampled labels, whose number the bound limits, are broadcast.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out()).select("doc_id", F.col("toxic").cast("long").alias("label"))
     n = known.count()
     some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1.0, sample / max(n, 1)) * (1 << 30))).groupBy("doc_id").agg(F.max("label").alias("label"))
-    texts = docs.select("doc_id", text_of().alias("body")).join(F.broadcast(some), "doc_id")
+    texts = docs.select("doc_id", text_of().alias("body")).join(F.broadcast(some), "doc_id").groupBy("doc_id", "label").agg(F.min("body").alias("body"))
     made = texts.mapInPandas(_vectors, "doc_id long, label long, b binary, v binary").repartition(1)
     row = made.mapInPandas(_train, "buckets binary, bias double, weights binary, vectors binary").first()
     return Machine(np.frombuffer(row["buckets"], np.int64), row["bias"], np.frombuffer(row["weights"]), np.frombuffer(row["vectors"]).reshape(-1, FACTORS))
@@ -168,11 +174,15 @@ def score(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFram
     texts get the model's bias; repeated rows get equal scores; an empty table
     gives an empty result.  Without labels of both kinds the score is constant.
     """
-    machine.memo.clear()
+    machine.forget()
 
     @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([machine.score(t) for t in texts], dtype="float64")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for texts in batches:
+                yield pd.Series([machine.score(t) for t in texts], dtype="float64")
+        finally:
+            machine.forget()  # workers are reused
 
     rows = wrap(docs, "text").select(ROW, scored(text_of()).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
