@@ -17,7 +17,7 @@ nl AS (SELECT r, host, key, norm, len(regexp_extract_all(norm, '[^ ]+')) AS word
        WHERE norm <> ''),
 hosts AS (SELECT host, count(DISTINCT md5(body)) AS host_docs FROM d GROUP BY host),
 common AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT key) AS held FROM nl WHERE words >= 3 GROUP BY host, norm) JOIN hosts USING (host)
-           WHERE held > 50 AND held > host_docs * 0.005),
+           WHERE held >= 3 AND held > host_docs * 0.05),
 cut AS (SELECT r, sum(words) AS c FROM nl JOIN common USING (host, norm) WHERE words >= 3 GROUP BY r),
 m AS (SELECT d.r, doc_id, CAST(len(words) AS BIGINT) AS n_words,
              CAST(length(regexp_replace(body, '[ \t-\r]', '', 'g')) AS BIGINT) AS word_chars,

@@ -72,14 +72,14 @@ def line_rows(rows: DataFrame, min_words: int) -> DataFrame:
 
 
 def score(
-    docs: DataFrame, max_docs: int = 50, max_share: float = 0.005, min_line_words: int = 3,
+    docs: DataFrame, min_docs: int = 3, max_share: float = 0.05, min_line_words: int = 3,
     min_left: int = 10, min_left_share: float = 0.3, keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """The caller's columns (one struct; ``keep``: only these), the base measures, n_words_left and kept.
 
     A line of ``min_line_words`` words or more is above the limit when more
-    than ``max_docs`` distinct documents of its host hold it, and more than
-    ``max_share`` of the host's distinct documents.  Exact copies count as one
+    than ``max_share`` of its host's distinct documents hold it, and
+    ``min_docs`` of them or more: one rule for hosts of every size.  Exact copies count as one
     document.  A document is depleted when fewer than ``min_left`` words or
     less than ``min_left_share`` of its words remain without such lines.
 
@@ -91,7 +91,7 @@ def score(
     ).withColumn("key", text_key(F.col("body")))
     hosts = rows.groupBy("host").agg(F.count_distinct("key").alias("host_docs"))
     lines = line_rows(rows, min_line_words)
-    held = lines.groupBy("host", "line").agg(F.count_distinct("key").alias("held")).where(F.col("held") > max_docs)
+    held = lines.groupBy("host", "line").agg(F.count_distinct("key").alias("held")).where(F.col("held") >= min_docs)
     common = materialise(
         held.join(hosts, "host").where(F.col("held") > F.col("host_docs") * max_share).select("host", "line"), "quality_lines"
     )

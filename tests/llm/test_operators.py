@@ -216,10 +216,19 @@ def test_depleted_documents_are_rejected(spark):
     own = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}{j}x" for j in range(12)) for k in range(80)]
     line = "Subscribe to our letter and never miss a thing again, dear reader of this site"
     texts = [f"{line}\nshort end {chr(97 + k % 26)}{chr(97 + k // 26)}" if k % 2 else f"{line}\n{own[k]} {own[(k + 7) % 80]}" for k in range(80)]
-    got = {r[ROW].doc_id: r.kept for r in quality.score(frame(spark, texts, sources=["s"] * 80), max_docs=20, max_share=0.1).collect()}
+    got = {r[ROW].doc_id: r.kept for r in quality.score(frame(spark, texts, sources=["s"] * 80)).collect()}
     assert all(got[k] == (k % 2 == 0) for k in range(80))
 
 
+@pytest.mark.parametrize("n", [2, 3, 8, 40, 60, 300])
+def test_quality_verdicts_do_not_depend_on_the_number_of_documents(spark, n):
+    """All documents of a host hold one line and two words of their own: one verdict from the floor of three on."""
+    line = "Subscribe to our letter and never miss a thing again, dear reader of this site"
+    texts = [f"{line}\nend {chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(n)]
+    kept = {r.kept for r in quality.score(frame(spark, texts, sources=["s"] * n)).collect()}
+    assert kept == {n < 3}
+
+
 # 7
 def test_pseudonyms_keep_format_and_link(spark):
     texts = ["card 4532015112830366 and 4532-0151-1283-0366 not 4532015112830367", "on 1984-03-05 or 05/03/1984 not 1984-02-30", "ip 129.38.82.176 not 999.1.1.1",
