@@ -76,40 +76,24 @@ def user_groups(users: DataFrame) -> DataFrame:
     return users.groupBy(*USER_GROUP).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def _money_state(plain_always: bool = False) -> list[Column]:
-    """Exact sum of the amounts, how many do not fit it, their plain sum (or only where some do not fit), and their number."""
-    plain, odd = F.sum(F.col("amount").cast("double")), X.odd_money("amount")
-    return [
-        F.sum(X.money("amount")).alias("total"), odd.alias("odd"),
-        (plain if plain_always else F.when(odd > 0, plain)).alias("plain"), F.count("amount").alias("amounts"),
-    ]
-
-
-def _merged_money() -> list[Column]:
-    return [F.sum("total").alias("total"), F.sum("odd").alias("odd"), F.sum("plain").alias("plain"), F.sum("amounts").alias("amounts")]
-
-
-def _user_sums(plain_always: bool = False) -> list[Column]:
-    return [*_money_state(plain_always), F.max(F.col("transaction_date").cast("date")).alias("last")]
+def _user_sums() -> list[Column]:
+    return [*X.money_state("amount"), F.max(F.col("transaction_date").cast("date")).alias("last")]
 
 
 def user_sums(transactions: DataFrame) -> DataFrame:
     """Mergeable part of V1 per user, but for the distinct ids (0 here: they are counted over all parts)."""
-    return transactions.groupBy("user_id").agg(F.lit(0).cast("bigint").alias("distinct_ids"), *_user_sums(plain_always=True))
+    return transactions.groupBy("user_id").agg(F.lit(0).cast("bigint").alias("distinct_ids"), *_user_sums())
 
 
 def user_analytics_of(groups: DataFrame, parts: DataFrame) -> DataFrame:
     """V1 from parts: ``user_groups`` and ``user_sums`` of any number of inputs, each united."""
     users = groups.groupBy(*USER_GROUP).agg(F.sum("copies").alias("copies"))
-    per_user = parts.groupBy("user_id").agg(F.sum("distinct_ids").alias("distinct_ids"), *_merged_money(), F.max("last").alias("last"))
+    per_user = parts.groupBy("user_id").agg(F.sum("distinct_ids").alias("distinct_ids"), *X.merged_money(), F.max("last").alias("last"))
     return _analytics(users, per_user)
 
 
 def _analytics(groups: DataFrame, per_user: DataFrame) -> DataFrame:
     joined = groups.join(per_user, "user_id", "left")
-    odd = F.when(F.col("odd") > 0, F.col("plain"))
-    total = F.coalesce(odd, F.col("total").cast("double"))
-    spent = F.coalesce(odd * F.col("copies"), (F.col("total") * F.col("copies")).cast("double"))
     return joined.select(
         "user_id",
         "name",
@@ -118,8 +102,8 @@ def _analytics(groups: DataFrame, per_user: DataFrame) -> DataFrame:
         "age_group",
         "country",
         F.coalesce("distinct_ids", F.lit(0)).cast("bigint").alias("total_transactions"),
-        F.coalesce(spent, F.lit(0.0)).alias("total_spent"),
-        F.coalesce(F.try_divide(total, F.col("amounts")), F.lit(0.0)).alias("avg_transaction_amount"),
+        F.coalesce(X.money_total(F.col("copies")), F.lit(0.0)).alias("total_spent"),
+        F.coalesce(F.try_divide(X.money_total(), F.col("amounts")), F.lit(0.0)).alias("avg_transaction_amount"),
         F.coalesce(F.col("last"), F.col("registration_date").cast("date")).alias("last_transaction_date"),
     )
 
@@ -130,14 +114,14 @@ SUMMARY_GROUP = ("transaction_year", "transaction_month", "category", "status")
 def summary_state(df: DataFrame) -> DataFrame:
     """Mergeable part of V2."""
     return df.groupBy(*SUMMARY_GROUP).agg(
-        F.count(F.lit(1)).alias("n"), *_money_state(plain_always=True), F.min("amount").alias("low"), F.max("amount").alias("high")
+        F.count(F.lit(1)).alias("n"), *X.money_state("amount"), F.min("amount").alias("low"), F.max("amount").alias("high")
     )
 
 
 def transaction_summary_of(parts: DataFrame) -> DataFrame:
     """V2 from ``summary_state`` of any number of inputs, united."""
-    merged = parts.groupBy(*SUMMARY_GROUP).agg(F.sum("n").alias("n"), *_merged_money(), F.min("low").alias("low"), F.max("high").alias("high"))
-    total = F.when(F.col("odd") > 0, F.col("plain")).otherwise(F.col("total").cast("double"))
+    merged = parts.groupBy(*SUMMARY_GROUP).agg(F.sum("n").alias("n"), *X.merged_money(), F.min("low").alias("low"), F.max("high").alias("high"))
+    total = X.money_total()
     return merged.select(
         *SUMMARY_GROUP, F.col("n").alias("transaction_count"), total.alias("total_amount"), F.try_divide(total, F.col("amounts")).alias("avg_amount"),
         F.col("low").alias("min_amount"), F.col("high").alias("max_amount"),

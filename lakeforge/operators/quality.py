@@ -198,20 +198,34 @@ def error_rate_alert(
     pending evaluations landing on an evaluation time from its N+1 latest
     steps.
     """
+    return held_alerts(error_rates(errors, time_col, range_, range_seconds, step, threshold), step, hold_steps, alert)
+
+
+def error_rates(
+    errors: DataFrame,
+    time_col: str = "event_time",
+    range_: str = fixed.ERROR_RATE_RANGE,
+    range_seconds: int = fixed.ERROR_RATE_RANGE_SECONDS,
+    step: str = fixed.ERROR_RATE_EVAL,
+    threshold: float = fixed.ERROR_RATE_THRESHOLD,
+) -> DataFrame:
+    """The evaluations of Q5b: window_start, window_end, errors, rate, pending; for a batch or a stream."""
     # counted per step first: the sliding range then expands one row per step, not every error
     per_step = errors.groupBy(F.window(time_col, step).alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    rates = (
-        per_step.select(F.col("s.start").alias("at"), "n")
-        .groupBy(F.window("at", range_, step).alias("w"))
-        .agg(F.sum("n").alias("errors"))
-        .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "errors",
-            (F.col("errors") / F.lit(float(range_seconds))).alias("rate"),
-        )
-        .withColumn("pending", F.col("rate") > F.lit(threshold))
-    )
+    # a stream's second window goes by the time of the first; both are at its start for a batch
+    ranges = per_step.groupBy(F.window(F.window_time("s") if errors.isStreaming else F.col("s.start"), range_, step).alias("w"))
+    return ranges.agg(F.sum("n").alias("errors")).select(
+        F.col("w.start").alias("window_start"),
+        F.col("w.end").alias("window_end"),
+        "errors",
+        (F.col("errors") / F.lit(float(range_seconds))).alias("rate"),
+    ).withColumn("pending", F.col("rate") > F.lit(threshold))
+
+
+def held_alerts(
+    rates: DataFrame, step: str = fixed.ERROR_RATE_EVAL, hold_steps: int = fixed.ERROR_RATE_HOLD_MINUTES, alert: str = "HighDataValidationErrors"
+) -> DataFrame:
+    """Evaluations with ``firing``: pending at this and the ``hold_steps`` evaluations before it."""
     held = _held(rates, "window_end", ["window_start", "errors", "rate", "pending"], _minutes(step), hold_steps)
     return held.select(F.lit(alert).alias("alert"), "window_start", "window_end", "errors", "rate", "pending", "firing")
 

@@ -395,6 +395,22 @@ def build() -> dict[str, str]:
     )
     q["incremental_equals_full"] = q["enrich_transactions"]
     q["incremental_retry"] = q["enrich_transactions"]
+    q["merchant_minute_late"] = with_ctes(
+        [STREAM_TX, STREAM_PARSED, """
+  span AS (SELECT epoch_us(min(ts)) AS a, epoch_us(max(ts)) AS b FROM events),
+  sent AS (SELECT p.*, CAST(floor((epoch_us(e.ts) - a) * 8 / (b - a + 1)::DOUBLE) AS INTEGER) + CASE WHEN e.event_id % 10 = 7 THEN 1 ELSE 0 END AS batch,
+      time_bucket(INTERVAL '1 minute', p."timestamp") AS window_start
+    FROM stream_parsed p JOIN events e ON p.transaction_id = CAST(e.event_id AS VARCHAR), span WHERE p.status = 'completed'),
+  newest AS (SELECT batch, max(max("timestamp")) OVER (ORDER BY batch ROWS UNBOUNDED PRECEDING) AS t FROM sent GROUP BY batch),
+  marked AS (SELECT s.*, coalesce(window_start + INTERVAL '1 minute' <= n.t - INTERVAL '10 minutes', false) AS late FROM sent s LEFT JOIN newest n ON n.batch = s.batch - 1)"""],
+        """SELECT 'window' AS kind, window_start, merchant, count(transaction_id) AS transaction_count, avg(amount) AS avg_amount, CAST(NULL AS VARCHAR) AS transaction_id
+        FROM marked WHERE NOT late AND window_start + INTERVAL '1 minute' <= (SELECT max("timestamp") FROM marked WHERE NOT late) - INTERVAL '10 minutes' GROUP BY ALL
+        UNION ALL SELECT 'late', window_start, merchant, NULL, NULL, transaction_id FROM marked WHERE late""",
+    )
+    q["dq_alerts_stream"] = "SELECT * FROM (" + q["dq_alerts"] + ") WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'"
+    q["kafka_pull_bounded"] = with_ctes(
+        [STREAM_TX, STREAM_PARSED], "SELECT * EXCLUDE (kafka_timestamp) FROM stream_parsed WHERE CAST(transaction_id AS BIGINT) % 3 < 2"
+    )
     q["view_refresh_incremental"] = q["transaction_summary"]
     q["view_refresh_incremental_users"] = q["user_analytics"]
     q["index_files_read"] = with_ctes(

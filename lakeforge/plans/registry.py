@@ -606,6 +606,75 @@ def q_incremental_retry(spark, sf_dir):
     return _no_processed_ts(read_processed(spark, processed_path(lake, name)))
 
 
+def _landed_in_order(spark, frames, base):
+    """Frames written one after the other, one file each: batches that a file stream reads in this order."""
+    for n, df in enumerate(frames):
+        df.coalesce(1).write.parquet(f"{base}/in/{n:03d}")
+    return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+
+
+ARRIVALS, LATE_EVERY = 8, 10  # batches by event time; of so many rows one comes a batch late
+
+
+def _arrival(ts, start, end):
+    """Batch of a row: its share of the table's time span, one batch later for some."""
+    share = (F.unix_micros(ts.cast("timestamp")) - F.lit(start)) * ARRIVALS / F.lit(end - start + 1)
+    return F.floor(share).cast("int") + F.when(F.col("event_id") % LATE_EVERY == 7, 1).otherwise(0)
+
+
+def q_merchant_minute_late(spark, sf_dir):
+    """Windows that the watermark has closed, and the rows that came too late for theirs, over
+    ordered batches in which a tenth of the rows come a batch late."""
+    from lakeforge.streaming import jobs
+
+    base = shared_dir(spark, "stream", unique=True)
+    events = T.table(spark, sf_dir, "events")
+    start, end = events.agg(*[f(F.unix_micros(F.col("ts").cast("timestamp"))) for f in (F.min, F.max)]).first()
+    batch = events.select(F.col("event_id").cast("string").alias("transaction_id"), _arrival(F.col("ts"), start, end).alias("arrives"))
+    sent = T.stream_transactions(spark, sf_dir).join(batch, "transaction_id")
+    frames = [T.kafka_envelope(sent.where(F.col("arrives") == n).drop("arrives")) for n in range(ARRIVALS + 1)]
+    windows, late = jobs.merchant_windows_and_late(_landed_in_order(spark, frames, base), base, STREAM_WATERMARK)
+    closed = W.flatten_window(windows).select(
+        F.lit("window").alias("kind"), "window_start", "merchant", "transaction_count", "avg_amount", F.lit(None).cast("string").alias("transaction_id")
+    )
+    missed = late.select(
+        F.lit("late").alias("kind"), F.window("timestamp", fixed.STREAM_WINDOW)["start"].alias("window_start"), "merchant",
+        F.lit(None).cast("bigint").alias("transaction_count"), F.lit(None).cast("double").alias("avg_amount"), "transaction_id",
+    )
+    return closed.unionByName(missed)
+
+
+def q_dq_alerts_stream(spark, sf_dir):
+    """Q5b as a stream over ordered batches, stopped after half of them and started again."""
+    from lakeforge.streaming import jobs
+
+    base = shared_dir(spark, "stream", unique=True)
+    logs = T.logs_raw(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    start, end = logs.agg(*[f(F.unix_micros("timestamp")) for f in (F.min, F.max)]).first()
+    part = F.floor((F.unix_micros("timestamp") - F.lit(start)) * STREAM_BATCHES / F.lit(end - start + 1))
+    frames = [logs.where(part == n) for n in range(STREAM_BATCHES)]
+    half = STREAM_BATCHES // 2
+    for n in (0, half):
+        for k, df in enumerate(frames[n : n + half], start=n):
+            df.coalesce(1).write.parquet(f"{base}/in/{k:03d}")
+        stream = spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+        jobs.run_error_rates(stream, "logs", "timestamp", f"{base}/checkpoint", f"{base}/out", STREAM_WATERMARK)
+    return jobs.error_alerts(spark, f"{base}/out")
+
+
+def q_kafka_pull_bounded(spark, sf_dir):
+    """Two runs of one bounded batch each over three batches of envelopes land the first two."""
+    from lakeforge.streaming import jobs
+
+    base = shared_dir(spark, "stream", unique=True)
+    sent = T.stream_transactions(spark, sf_dir)
+    frames = [T.kafka_envelope(sent.where(F.col("transaction_id").cast("bigint") % 3 == n)) for n in range(3)]
+    stream = _landed_in_order(spark, frames, base)
+    for _ in range(2):
+        jobs.pull_once(stream, f"{base}/lake", "tx", f"{base}/checkpoint", EV.TRANSACTION_SCHEMA)
+    return C.drop_metadata(R.read_raw(spark, f"{base}/lake", "tx"))
+
+
 def _refreshed(spark, sf_dir, refresh):
     """Users and three overlapping pulls of transactions, in incremental runs with a refresh after each,
     one run repeated; the last refresh must have read the last run alone."""
@@ -758,6 +827,9 @@ QUERIES: dict[str, Query] = {
     "incremental_retry": q_incremental_retry,
     "view_refresh_incremental": q_view_refresh_incremental,
     "view_refresh_incremental_users": q_view_refresh_incremental_users,
+    "merchant_minute_late": q_merchant_minute_late,
+    "dq_alerts_stream": q_dq_alerts_stream,
+    "kafka_pull_bounded": q_kafka_pull_bounded,
     "index_files_read": q_index_files_read,
     "warehouse_table_files": q_warehouse_table_files,
     "curated_colocated": q_curated_colocated,

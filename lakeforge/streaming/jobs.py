@@ -13,19 +13,20 @@ so a replayed batch overwrites its own output instead of adding to it.
 from __future__ import annotations
 
 import datetime as dt
-
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import BinaryType, StructField, StructType, TimestampType
 
 from lakeforge.functions import fixed
+from lakeforge.operators import quality as Q
 from lakeforge.session import list_paths, remove_folder
 from lakeforge.sources.raw import ingest_batch
 from lakeforge.streaming.envelope import TRANSACTION_SCHEMA, parse_envelope
-from lakeforge.streaming.windows import merchant_windows
+from lakeforge.streaming.windows import completed, merchant_windows
 
 ENVELOPE_SCHEMA = StructType(
     [StructField("value", BinaryType(), True), StructField("timestamp", TimestampType(), True)]
@@ -249,6 +250,93 @@ def run_merchant_updates(
     return out_dir
 
 
+# --- W3: rows too late for their window ----------------------------------------
+
+def split_late(
+    envelopes: DataFrame, checkpoint: str, out_dir: str, delay: str, window: str = fixed.STREAM_WINDOW, schema: StructType = TRANSACTION_SCHEMA
+) -> str:
+    """Part a stream, batch by batch, into rows in time and rows too late; returns ``out_dir``.
+
+    The watermark of a batch is the newest event time of all batches before it,
+    less ``delay``; a row is late if its window has ended by then.  Rows go to
+    ``on_time/batch_id=<n>`` and ``late/batch_id=<n>`` (``late``: with the watermark that they missed), the
+    newest event time to ``progress/batch_id=<n>``.  A replayed batch reads the progress of the
+    batches before it again, so it parts its rows as it did.  An aggregate
+    with the same watermark over ``on_time`` drops nothing.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = completed(parse_envelope(batch, schema)).where("timestamp is not null")
+        mark = _watermark(spark, f"{out_dir}/progress", batch_id, delay)
+        ends = F.window("timestamp", window)["end"]
+        missed = (ends <= mark) if mark is not None else F.lit(False)
+        parted = rows.withColumn("_late", missed)
+        batch_folder = f"batch_id={batch_id:010d}"
+        parted.where("not _late").drop("_late").write.mode("overwrite").parquet(f"{out_dir}/on_time/{batch_folder}")
+        late = parted.where("_late").drop("_late").withColumn("watermark", F.lit(None).cast("timestamp") if mark is None else mark)
+        late.write.mode("overwrite").parquet(f"{out_dir}/late/{batch_folder}")
+        newest = F.max("timestamp") if mark is None else F.greatest(F.max("timestamp"), mark + F.expr(f"INTERVAL {delay}"))
+        rows.agg(newest.alias("newest")).write.mode("overwrite").parquet(f"{out_dir}/progress/{batch_folder}")
+
+    query = envelopes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return out_dir
+
+
+def _watermark(spark: SparkSession, progress: str, batch_id: int, delay: str) -> Column | None:
+    """Newest event time of the batches before this one, less ``delay``; None if there is none.
+
+    A batch's record is one row with the newest time up to its own end, so the record before this batch is enough.
+    """
+    before = {n: folder for n, folder in _batches(spark, progress).items() if n < batch_id}
+    newest = spark.read.parquet(before[max(before)]).first()["newest"] if before else None
+    return None if newest is None else F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+
+
+def merchant_windows_and_late(envelopes: DataFrame, base: str, delay: str) -> tuple[DataFrame, DataFrame]:
+    """W3 with its late rows: (windows that the watermark has closed, rows that came too late for theirs)."""
+    spark = envelopes.sparkSession
+    out = split_late(envelopes, f"{base}/split_checkpoint", f"{base}/split", delay)
+    on_time = spark.readStream.schema(spark.read.parquet(f"{out}/on_time").drop("batch_id").schema).parquet(f"{out}/on_time/batch_id=*")
+    query = start_merchant_query(
+        merchant_windows(on_time, watermark=delay), f"{base}/checkpoint", sink="parquet", output_mode="append", available_now=True, path=f"{base}/windows",
+    )
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return spark.read.parquet(f"{base}/windows"), spark.read.parquet(f"{out}/late").drop("batch_id")
+
+
+# --- Q5b as a stream -------------------------------------------------------------
+
+def run_error_rates(rows: DataFrame, dataset_type: str, time_col: str, checkpoint: str, out_dir: str, delay: str) -> str:
+    """Q5b over a stream: rejected rows per minute, then over the sliding range, one evaluation a step.
+
+    Two chained aggregates in append mode under one watermark: an evaluation is
+    written once, when the watermark has passed its end, so state holds no
+    more than the range and ``delay``.  Exact copies of a row count once if the second comes
+    while the watermark has not passed it.  ``error_alerts`` reads the result.
+    """
+    timed = rows.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, delay)
+    errors = Q.validation_errors(timed, dataset_type, time_col)
+    query = (
+        Q.error_rates(errors)
+        .writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint).option("path", out_dir)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return out_dir
+
+
+def error_alerts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Alerts of the evaluations that a stream has written: as ``quality.error_rate_alert`` gives them."""
+    return Q.held_alerts(spark.read.parquet(out_dir))
+
+
 # --- S4: bounded pull into RAW -------------------------------------------------
 
 def hourly_kafka_ingest(
@@ -260,11 +348,10 @@ def hourly_kafka_ingest(
     checkpoint: str,
     schema: StructType,
     max_messages: int = fixed.KAFKA_HOURLY_MAX_MESSAGES,
-) -> StreamingQuery:
-    """S7 -> S4 wiring: from the earliest uncommitted offset, at most
-    ``max_messages`` per micro-batch (one RAW ingest each), until caught up."""
+) -> None:
+    """S7 -> S4 wiring: one run lands at most ``max_messages``, from the earliest uncommitted offset."""
     source = kafka_stream(spark, bootstrap_servers, topic, "earliest", max_offsets_per_trigger=max_messages)
-    return bounded_pull(source, lake, dataset, checkpoint, schema, source_type="kafka")
+    pull_once(source, lake, dataset, checkpoint, schema, source_type="kafka")
 
 
 def bounded_pull(
@@ -275,7 +362,7 @@ def bounded_pull(
     schema: StructType,
     source_type: str = "kafka",
 ) -> StreamingQuery:
-    """Land whatever is available now (bounded per trigger by the source's
+    """S4, until caught up: land whatever is available now (bounded per trigger by the source's
     ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``) as RAW ingests.
 
     The checkpoint plays the consumer group's role: a restart resumes after
@@ -284,7 +371,32 @@ def bounded_pull(
     batch, so a replayed batch lands in the same partition and overwrites
     it.  Empty batches write nothing.
     """
+    return _pull(envelopes, lake, dataset, checkpoint, schema, source_type).trigger(availableNow=True).start()
+
+
+#: An interval that no run lives to see the end of.
+ONE_BATCH = "36500 days"
+
+
+def pull_once(
+    envelopes: DataFrame, lake: str, dataset: str, checkpoint: str, schema: StructType, source_type: str = "kafka", poll_seconds: float = 0.2
+) -> None:
+    """S4, one bounded batch: at most as many messages as the source's limit a trigger, however many wait.
+
+    The next run resumes after them.  (``availableNow`` would go on to the
+    last message, and a ``once`` trigger would ignore the limit.)
+    """
+    query = _pull(envelopes, lake, dataset, checkpoint, schema, source_type).trigger(processingTime=ONE_BATCH).start()
+    try:
+        while query.isActive and query.status["message"] != "Waiting for next trigger":
+            time.sleep(poll_seconds)
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+
 
+def _pull(envelopes: DataFrame, lake: str, dataset: str, checkpoint: str, schema: StructType, source_type: str) -> DataStreamWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -304,9 +416,4 @@ def bounded_pull(
         finally:
             batch.unpersist()
 
-    return (
-        envelopes.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return envelopes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

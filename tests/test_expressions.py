@@ -52,3 +52,24 @@ def test_money_keeps_digits_and_odd_values(spark):
     got = {r["g"]: (r["s"], r["m"]) for r in df.collect()}
     assert got["sub"][0] == 1.013 and got["nan"][0] != got["nan"][0] and got["nan"][1] != got["nan"][1]
     assert got["big"] == (1e17 + 1.0, (1e17 + 1.0) / 2) and got["none"] == (None, None)
+
+
+def test_money_over_many_sizes_equals_decimal_sums(spark):
+    from decimal import Decimal
+
+    amounts = ["0.00000001", "-0.00000001", "1234567.89", "9999999.99999999", "12345678.123456", "-87654321.654321", "99999999999.1234", "-3.01", "0.1", "0.2", "5e10"]
+    data = [(str(k % 3), float(a)) for k, a in enumerate(amounts * 7)]
+    want = {}
+    for g, v in data:
+        want[g] = want.get(g, Decimal(0)) + Decimal(repr(v))
+    df = spark.createDataFrame(data, "g string, v double")
+    parts = df.groupBy("g", (F.rand(1) * 4).cast("int")).agg(*X.money_state("v"))
+    for made in (df.groupBy("g").agg(X.money_sum("v").alias("s")), parts.groupBy("g").agg(*X.merged_money()).select("g", X.money_total().alias("s"))):
+        assert {r["g"]: r["s"] for r in made.collect()} == {g: float(v) for g, v in want.items()}
+    twice = parts.groupBy("g").agg(*X.merged_money()).select("g", X.money_total(F.lit(3)).alias("s")).collect()
+    assert all(abs(r["s"] - float(3 * want[r["g"]])) <= 1e-5 for r in twice)
+
+
+def test_money_whose_integer_sums_overflow_is_summed_plainly(spark):
+    state = spark.createDataFrame([(1 << 62, 5, 10, 7.5, 10), (1 << 62, 5, 10, 2.5, 10)], "units long, parts long, fitting long, plain double, amounts long")
+    assert state.agg(*X.merged_money()).select(X.money_total()).first()[0] == 10.0

@@ -158,3 +158,74 @@ def test_update_mode_writes_only_changes(spark, tmp_path):
     second = J.compact_updates(spark, out)
     assert J.read_latest(spark, out).count() == batch.count() + 1
     assert len(folders()) == 1 and sorted(os.listdir(os.path.join(out, "base"))) == [os.path.basename(p) for p in (first, second)]
+
+
+def arrivals(spark, base, parts):
+    """Envelopes landed one batch after the other, one file each."""
+    for n, part in enumerate(parts):
+        T.kafka_envelope(part).coalesce(1).write.parquet(os.path.join(base, "in", f"{n:03d}"))
+    return J.ENVELOPE_SCHEMA
+
+
+def sent(spark, minutes):
+    """One completed transaction at each minute of the day."""
+    at = dt.datetime(2025, 1, 1)
+    data = [(f"{i}", "u", 2.0, "EUR", at + dt.timedelta(minutes=m), "m", "completed") for i, m in enumerate(minutes)]
+    return spark.createDataFrame(data, "transaction_id string, user_id string, amount double, currency string, timestamp timestamp, merchant string, status string")
+
+
+def envelope_stream(spark, base):
+    return spark.readStream.schema(J.ENVELOPE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "*"))
+
+
+def test_late_rows_land_beside_the_windows(spark, tmp_path):
+    base = str(tmp_path)
+    # minute 100 comes an hour late, in the third batch; minute 155 is behind the newest time but within the delay
+    arrivals(spark, base, [sent(spark, [0, 60, 130]), sent(spark, [160, 155]), sent(spark, [100, 152, 200]), sent(spark, [300])])
+    windows, late = J.merchant_windows_and_late(envelope_stream(spark, base), base, "10 minutes")
+    minute = lambda t: int((t - dt.datetime(2025, 1, 1)).total_seconds() // 60)
+    assert [(minute(r["timestamp"]), minute(r["watermark"])) for r in late.collect()] == [(100, 150)]
+    assert sorted(minute(r["window"]["start"]) for r in windows.collect()) == [0, 60, 130, 152, 155, 160, 200]  # 300 is open
+    # a replayed batch parts its rows as it did: batches after it do not count
+    progress = os.path.join(base, "split", "progress")
+    assert minute(spark.range(1).select(J._watermark(spark, progress, 2, "10 minutes")).first()[0]) == 150
+    assert J._watermark(spark, progress, 0, "10 minutes") is None
+    # nothing new: nothing changes
+    again, late = J.merchant_windows_and_late(envelope_stream(spark, base), base, "10 minutes")
+    assert again.count() == 7 and late.count() == 1
+
+
+def test_late_rows_of_the_smoke_data(spark):
+    from lakeforge.plans import registry
+
+    got = registry.q_merchant_minute_late(spark, SF_SMOKE)
+    kinds = {r["kind"]: r["count"] for r in got.groupBy("kind").count().collect()}
+    assert kinds["late"] > 20 and kinds["window"] > 100
+
+
+def test_alerts_of_a_stream_equal_those_of_the_batch(spark, tmp_path):
+    from lakeforge.operators import quality as Q
+
+    base, start = str(tmp_path), dt.datetime(2025, 1, 1)
+    # 40 errors a minute for a quarter of an hour, then one now and then, and good rows after them
+    minutes = [m for m in range(15) for _ in range(40)] + [40, 41, 60]
+    data = [(i, start + dt.timedelta(minutes=m, seconds=i % 60), "TRACE", "s") for i, m in enumerate(minutes)]
+    data += [(1000 + i, start + dt.timedelta(minutes=90 + i), "INFO", "s") for i in range(3)]
+    logs = spark.createDataFrame(data, "log_id long, timestamp timestamp, level string, source string")
+    for n, part in enumerate(("minute(timestamp) < 8 AND hour(timestamp) = 0", "minute(timestamp) >= 8 AND hour(timestamp) = 0", "hour(timestamp) >= 1")):
+        logs.where(part).union(logs.where(part).limit(2)).coalesce(1).write.parquet(os.path.join(base, "in", f"{n}"))  # two rows twice
+        stream = spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "in", "*"))
+        J.run_error_rates(stream, "logs", "timestamp", os.path.join(base, "ck"), os.path.join(base, "out"), "10 minutes")  # started anew for each file
+    want = Q.error_rate_alert(Q.validation_errors(logs, "logs", "timestamp"))
+    assert rows(J.error_alerts(spark, os.path.join(base, "out"))) == rows(want)
+    assert want.where("firing").count() > 3
+
+
+def test_pull_once_lands_one_batch_a_run(spark, tmp_path):
+    base = str(tmp_path)
+    arrivals(spark, base, [sent(spark, [n, n + 1]) for n in (0, 10, 20)])
+    landed = []
+    for _ in range(4):
+        J.pull_once(envelope_stream(spark, base), os.path.join(base, "lake"), "tx", os.path.join(base, "ck"), EV.TRANSACTION_SCHEMA)
+        landed.append(R.read_raw(spark, os.path.join(base, "lake"), "tx").count())
+    assert landed == [2, 4, 6, 6]
