@@ -2,10 +2,13 @@
 
 Text length and punctuation are summed per tag path (the tags and first class
 from the root to a block).  Both ratios, per visit of the path, are smoothed
-over the page's blocks in order, fused into one score per path, and the paths
-above the threshold are content.  The smallest element that holds most of the
-content text is the article; every block in it that is not boilerplate by its
-tag or name goes into the text.
+over the page's blocks in order, fused into one score per path, and the blocks of
+paths above the threshold are content.  To them come their neighbours: what else
+stands in the elements that hold content (headings, lists, captions), and in an
+``article`` or ``main`` that holds most of it.  Blocks outside such elements are taken by their score alone.
+
+Every step is linear in the page: elements are visited once, in page order,
+and what they inherit (path, boilerplate, article) is passed down.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -25,7 +29,8 @@ from lakeforge.llm.common import ROW, text_of, wrap
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.S
 )
-_ATTRS = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: one attribute: its name, and its value with or without quotes
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"?|'[^']*'?|[=/]""")
 _SPACE = re.compile(r"\s+")
 _PUNCT = re.compile(r"[.,;:!?。，、；：！？…]")
 
@@ -39,62 +44,94 @@ BOILER_TAGS = frozenset(
     "nav footer aside form script style noscript template button select option textarea iframe svg canvas object audio video dialog menu head title fieldset input label".split()
 )
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-#: words of class and id names that mark boilerplate
+#: class and id names that mark boilerplate: alone, or before a hyphen or underscore ("comment-list"); and behind "site-"
 BOILER_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted sidebar sidenav side menu nav navbar navigation breadcrumb breadcrumbs "
-    "footer foot header masthead topbar comment comments commentlist disqus reply replies discussion respond cookie cookies consent gdpr notice notices alert banner popup "
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs "
+    "footer masthead topbar comment comments commentlist disqus reply replies discussion respond cookie cookies consent gdpr notice notices alert banner popup "
     "modal overlay share sharing social related recommended newsletter subscribe subscription signup login search widget toolbar pagination pager skip copyright disclaimer".split()
 )
-_NAME = re.compile(r"[a-z]+")
+_PART = re.compile(r"[-_]+")
 #: headings of a page's own, not of the site: a header inside one of these is content
 ARTICLE = frozenset(("article", "main"))
+#: tags whose short blocks belong to the text that they stand beside
+NEIGHBOURS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd blockquote pre figcaption caption td th summary address hr center details ol ul dl table tbody tr article main".split())
 # an opening tag of the first kind closes open ones of the second
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
-    path: str
+    path: int
     parent: Element | None
-    boiler: bool
-    depth: int
-    size: int = 0
+    boiler: bool = False  # by its tag, role or hidden, or an ancestor's
+    named: Element | None = None  # nearest element that a class or id name marks, itself included
+    article: Element | None = None  # outermost article or main around it
+    text: int = 0  # of an element marked by name: characters and blocks inside
+    blocks: int = 0
+    home: bool = False  # it, or an ancestor, holds content
 
 
-@dataclass
+@dataclass(eq=False)
 class Block:
     owner: Element
     text: str
     linked: int
     marks: int = 0
-    score: float = 0.0
-
-
-def _element(tag: str, attrs: str, parent: Element) -> Element:
-    boiler, name = parent.boiler or tag in BOILER_TAGS, ""
-    if tag == "header":
-        up = parent
-        while up is not None and up.tag not in ARTICLE:
-            up = up.parent
-        boiler = boiler or up is None
-    if attrs and not boiler or tag in ("div", "section", "p", "ul", "ol"):
-        for key, value in _ATTRS.findall(attrs):
-            key, value = key.lower(), value.strip("\"'").lower()
-            if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in BOILER_ROLES:
-                boiler = True
-            elif key in ("class", "id"):
-                words = _NAME.findall(value)
-                if tag not in ("html", "body", "article", "main") and not BOILER_NAMES.isdisjoint(words):
-                    boiler = True
-                name = name or (words[0] if words and key == "class" else "")
-    return Element(tag, f"{parent.path}/{tag}.{name}" if name else f"{parent.path}/{tag}", parent, boiler, parent.depth + 1)
-
-
-def parse(page: str) -> list[Block]:
-    """Blocks of text in page order, each with the element that owns it."""
-    root = top = Element("", "", None, False, 0)
-    blocks: list[Block] = []
+
+
+def attributes(text: str) -> dict[str, str]:
+    """Names and values, lower-cased; the first of a name counts."""
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(text):
+        if m[1]:
+            out.setdefault(m[1].lower(), (m[2] or m[3] or m[4] or "").lower())
+    return out
+
+
+def marks_boilerplate(names: str) -> bool:
+    """Whether one of the white-space separated class or id names is that of boilerplate."""
+    for name in names.split():
+        parts = [p for p in _PART.split(name) if p]
+        if parts and (parts[0] in BOILER_NAMES or len(parts) == 2 and parts[0] == "site" and (parts[1] in BOILER_NAMES or parts[1] == "header")):
+            return True
+    return False
+
+
+class Page:
+    """Elements and text blocks of a page, both in page order."""
+
+    def __init__(self):
+        self.paths: dict[tuple[int, str, str], int] = {}
+        self.root = Element("", 0, None)
+        self.elements: list[Element] = []
+        self.blocks: list[Block] = []
+
+    def element(self, tag: str, attrs: str, parent: Element) -> Element:
+        boiler = parent.boiler or tag in BOILER_TAGS or tag == "header" and parent.article is None
+        name, marked = "", False
+        if attrs:
+            has = attributes(attrs)
+            boiler = boiler or "hidden" in has or has.get("aria-hidden") == "true" or has.get("role") in BOILER_ROLES
+            classes = has.get("class", "")
+            name = classes.split()[0] if classes.split() else ""
+            marked = tag not in ("html", "body", "article", "main") and marks_boilerplate(f"{classes} {has.get('id', '')}")
+            if tag == "article" and marks_boilerplate(classes):
+                marked = True  # a reader's comment, a sponsored teaser
+        path = self.paths.setdefault((parent.path, tag, name), len(self.paths) + 1)
+        made = Element(tag, path, parent, boiler, parent.named, parent.article)
+        if marked:
+            made.named = made
+        if made.article is None and tag in ARTICLE and not marked:
+            made.article = made
+        self.elements.append(made)
+        return made
+
+
+def parse(page: str) -> Page:
+    made = Page()
+    root = top = made.root
+    open_: Counter[str] = Counter()  # tags from the root to the top
     text: list[str] = []
     linked = links = 0
 
@@ -103,13 +140,20 @@ def parse(page: str) -> list[Block]:
         if text:
             whole = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if whole:
-                blocks.append(Block(top, whole, min(linked, len(whole)), len(_PUNCT.findall(whole))))
+                made.blocks.append(Block(top, whole, min(linked, len(whole)), len(_PUNCT.findall(whole))))
             text.clear()
         linked = 0
 
-    at = 0
+    def close() -> None:
+        nonlocal top
+        open_[top.tag] -= 1
+        top = top.parent
+
+    at, last = 0, page.rfind(">")
     while True:
-        m = _MARKUP.search(page, at)
+        m = _MARKUP.search(page, at) if at <= last or "<!" in page[at:] or "<?" in page[at:] else None
+        if m and m.end() > last + 1 and page[m.start() + 1] not in "!?":
+            m = None  # no tag ends behind the last ">"
         piece = page[at : m.start()] if m else page[at:]
         if piece:
             text.append(piece)
@@ -131,11 +175,10 @@ def parse(page: str) -> list[Block]:
         flush()
         links = 0
         if closing:
-            up = top
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                top = up.parent
+            if open_[tag]:
+                while top.tag != tag:
+                    close()
+                close()
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -143,16 +186,17 @@ def parse(page: str) -> list[Block]:
             continue
         if tag in VOID:
             continue
-        close = CLOSES.get(tag)
-        if close and top.tag in close:
-            top = top.parent
+        closes = CLOSES.get(tag)
+        if closes and top.tag in closes:
+            close()
         if top.tag == "p":  # a block ends an open paragraph
-            top = top.parent
-        top = _element(tag, attrs, top)
+            close()
+        top = made.element(tag, attrs, top)
+        open_[tag] += 1
         if attrs.endswith("/") and tag in ("svg", "path", "object"):
-            top = top.parent
+            close()
     flush()
-    return blocks
+    return made
 
 
 def _smooth(values: list[float], radius: int = 1) -> list[float]:
@@ -164,12 +208,39 @@ def _smooth(values: list[float], radius: int = 1) -> list[float]:
     return out
 
 
-def content(blocks: list[Block], threshold: float = 0.5) -> list[Block]:
-    """The blocks of the article."""
-    live = [b for b in blocks if not b.owner.boiler]
-    if not live:
-        return []
-    sums: dict[str, list[float]] = {}
+def _live(page: Page) -> list[Block]:
+    """Blocks that neither a tag nor a name takes for boilerplate.
+
+    A name alone does not take most of a page away: without an ``article`` or
+    ``main`` that has text, an element that it marks counts as content when it holds three
+    blocks or more and over three quarters of the text that tags leave.
+    """
+    blocks = [b for b in page.blocks if not b.owner.boiler]
+    total, article = 0, False
+    for b in blocks:
+        total += len(b.text)
+        if b.owner.named is not None:
+            b.owner.named.text += len(b.text)
+            b.owner.named.blocks += 1
+        elif b.owner.article is not None:
+            article = True
+    if article:
+        return [b for b in blocks if b.owner.named is None]
+    marked = [e for e in page.elements if e.named is e]
+    for e in reversed(marked):  # children before parents
+        if e.parent.named is not None:
+            e.parent.named.text += e.text
+            e.parent.named.blocks += e.blocks
+    kept: set[Element] = set()
+    for e in marked:
+        if 4 * e.text > 3 * total and e.blocks > 2 and (e.parent.named is None or e.parent.named in kept):
+            kept.add(e)
+    return [b for b in blocks if b.owner.named is None or b.owner.named in kept]
+
+
+def scores(live: list[Block]) -> dict[int, float]:
+    """Smoothed text and punctuation ratios of each path, fused."""
+    sums: dict[int, list[float]] = {}
     for b in live:
         s = sums.setdefault(b.owner.path, [0, 0, 0])
         s[0] += len(b.text) - b.linked
@@ -177,43 +248,38 @@ def content(blocks: list[Block], threshold: float = 0.5) -> list[Block]:
         s[2] += 1
     size = _smooth([sums[b.owner.path][0] / sums[b.owner.path][2] for b in live])
     mark = _smooth([(1 + sums[b.owner.path][1]) / sums[b.owner.path][2] for b in live])
-    fused: dict[str, list[float]] = {}
+    fused: dict[int, list[float]] = {}
     for b, x, y in zip(live, size, mark):
         fused.setdefault(b.owner.path, []).append(math.sqrt(x * y))
-    score = {p: sum(v) / len(v) for p, v in fused.items()}
+    return {p: sum(v) / len(v) for p, v in fused.items()}
+
+
+def content(page: Page, threshold: float = 0.5) -> list[Block]:
+    """The blocks of the article."""
+    live = _live(page)
+    if not live:
+        return []
+    score = scores(live)
     # the mean over the page's text: paths that hold much text weigh more
     total = sum(len(b.text) for b in live)
     limit = threshold * sum(score[b.owner.path] * len(b.text) for b in live) / total
-    chosen = [b for b in live if score[b.owner.path] >= limit]
-    for b in chosen:  # the smallest element with most of the content text
-        up = b.owner
-        while up is not None:
-            up.size += len(b.text)
-            up = up.parent
-    most = 0.75 * sum(len(b.text) for b in chosen)
-    article, best = None, -1
-    for b in chosen:
-        up = b.owner
-        while up is not None and up.size < most:
-            up = up.parent
-        if up is not None and up.depth > best:
-            article, best = up, up.depth
-    up = article
-    while up is not None and up.tag not in ARTICLE:
-        up = up.parent
-    if up is not None:  # part of a marked article: all of that article
-        article = up
-    elif article is not None and article.tag in ("p", "li", "blockquote", "pre", "td"):
-        article = article.parent
-    out = []
-    for b in live:
-        up = b.owner
-        while up is not None and up is not article:
-            up = up.parent
-        inside = up is not None
-        if inside and not (b.linked > 0.6 * len(b.text) and b.owner.tag in ("li", "ul", "ol", "div", "td", "section")):
-            out.append(b)
-    return out
+    chosen = {b for b in live if score[b.owner.path] >= limit and 2 * b.linked <= len(b.text)}
+    inside = sum(len(b.text) for b in chosen if b.owner.article is not None)
+    marked = 2 * inside > sum(len(b.text) for b in chosen)
+    if marked:
+        homes = {b.owner.article for b in chosen if b.owner.article is not None}
+    else:  # the elements that paragraphs stand in; a block that is no paragraph is its own
+        homes = {b.owner.parent if b.owner.tag in NEIGHBOURS and b.owner.parent is not None else b.owner for b in chosen}
+    page.root.home = page.root in homes
+    for e in page.elements:
+        e.home = e.parent.home or e in homes
+
+    def beside(b: Block) -> bool:
+        if not b.owner.home or b.linked > 0.6 * len(b.text) and b.owner.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+            return False
+        return marked or b.owner.tag in NEIGHBOURS  # in a marked article everything that is not links
+
+    return [b for b in live if beside(b) or b in chosen and not marked]
 
 
 def extract(page: str | None) -> str:
