@@ -1,8 +1,9 @@
 """Operator 9: secret scan with structural confirmation.
 
 Patterns find candidates; base64 and hex candidates are decoded and parsed
-(key encodings with nested lengths, signed-token headers, armoured blocks)
-before they are reported, so random long words are not.
+(private key encodings with nested lengths, signed-token headers, armoured blocks)
+before they are reported, so random long words are not, nor are public keys, certificates
+and signatures.
 """
 
 from __future__ import annotations
@@ -27,15 +28,19 @@ _ASSIGN_HINT = re.compile(r"(?ai:passw|secret|token|api_?key)")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-# an encoded key starts with a sequence tag, a length-prefixed name or the key file's magic
-_KEY64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|AAAA|b3BlbnNzaC1rZXk)[A-Za-z0-9+/_-]{18,}={0,2}")
+# an encoded key starts with a sequence tag or the key file's magic
+_KEY64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNzaC1rZXk)[A-Za-z0-9+/_-]{18,}={0,2}")
 _KEY16 = re.compile(r"(?<![0-9A-Za-z])30[0-9a-fA-F]{38,}(?![0-9A-Za-z])")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{3,40})-----([A-Za-z0-9+/=\s]{16,}?)-----END \1-----")
+# line ends may be written out as \\n, as in JSON and shell settings; header lines may stand before the body
+_ARMOUR = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]{0,30}PRIVATE KEY)-----((?:\s|\\[nr])*)((?:[A-Za-z-]{3,30}: [^\n\\]{1,100}(?:\r?\n|\\n|\\r\\n))*)((?:[A-Za-z0-9+/=\s]|\\[nr]){16,}?)-----END \1-----"
+)
 _MAGIC = b"openssh-key-v1\0"
+_SEQUENCE, _INTEGER, _BITS, _OCTETS, _OBJECT = 0x30, 0x02, 0x03, 0x04, 0x06
 
 
 def _unbase64(s: str) -> bytes | None:
-    s = re.sub(r"[\s=]", "", s).replace("-", "+").replace("_", "/")
+    s = re.sub(r"\\[nr]|[\s=]", "", s).replace("-", "+").replace("_", "/")
     if len(s) % 4 == 1:
         return None
     try:
@@ -64,41 +69,68 @@ def _items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | No
 
 
 def _is_der_key(data: bytes) -> bool:
+    """A private key: PKCS#1, SEC1, DSA, PKCS#8, or encrypted PKCS#8; every constructed item nests exactly."""
     top = _items(data, 0, len(data))
-    if not top or len(top) != 1 or top[0][0] != 0x30:
+    if not top or len(top) != 1 or top[0][0] != _SEQUENCE:
         return False
     parts = _items(data, top[0][1], top[0][2])
     if not parts or len(parts) < 2:
         return False
-    work = [p for p in parts if p[0] & 0x20]  # constructed items must nest exactly, to any depth
+    work = [p for p in parts if p[0] & 0x20]
     while work:
         _, a, b = work.pop()
         inner = _items(data, a, b)
         if inner is None:
             return False
         work += [p for p in inner if p[0] & 0x20]
-    if parts[0][0] == 0x02 and parts[0][2] > parts[0][1]:  # a version or a modulus
-        return any(p[0] in (0x02, 0x04, 0x30) for p in parts[1:])
-    if parts[0][0] == 0x30 and parts[1][0] == 0x03:  # algorithm identifier and key bits
-        inner = _items(data, parts[0][1], parts[0][2])
-        return bool(inner) and inner[0][0] == 0x06
-    return False
+    tags = [p[0] for p in parts]
+    version = data[parts[0][1]] if tags[0] == _INTEGER and parts[0][2] - parts[0][1] == 1 else None
+    if version in (0, 1):
+        if tags[:9] == [_INTEGER] * 9 or version == 0 and tags == [_INTEGER] * 6:  # RSA and DSA: all numbers of the private form
+            return min(p[2] - p[1] for p in parts[1:6]) > 0
+        if version == 1 and tags[1] == _OCTETS:  # an elliptic curve's secret number, then its curve and public point
+            return parts[1][2] - parts[1][1] >= 16 and all(t in (0xA0, 0xA1) for t in tags[2:])
+        return len(tags) > 2 and tags[1:3] == [_SEQUENCE, _OCTETS] and _names_an_algorithm(data, parts[1])
+    return tags == [_SEQUENCE, _OCTETS] and _names_an_algorithm(data, parts[0])
 
 
-def _is_wire_key(data: bytes) -> bool:
-    """Length-prefixed fields, the first one an algorithm name, filling the data."""
-    at, fields = 0, []
+def _names_an_algorithm(data: bytes, item: tuple[int, int, int]) -> bool:
+    inner = _items(data, item[1], item[2])
+    return bool(inner) and inner[0][0] == _OBJECT
+
+
+def _is_key_file(data: bytes) -> bool:
+    """The private key file of an SSH client: magic, cipher, key derivation, and as many keys as it says, filling the data."""
+    if not data.startswith(_MAGIC):
+        return False
+    at, fields = len(_MAGIC), []
     while at + 4 <= len(data):
         n = int.from_bytes(data[at : at + 4], "big")
-        if n > len(data) - at - 4:
+        at += 4
+        if len(fields) == 3:  # the number of keys
+            fields.append(n)
+            continue
+        if n > len(data) - at:
             return False
-        fields.append(data[at + 4 : at + 4 + n])
-        at += 4 + n
-    return at == len(data) and len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk-ssh|sk-ecdsa)-[a-z0-9@.\-]+", fields[0]) is not None
+        fields.append(data[at : at + n])
+        at += n
+    return at == len(data) and len(fields) >= 6 and len(fields) == 5 + fields[3] and re.fullmatch(rb"[a-z0-9@.+\-]+", fields[0]) is not None
 
 
 def _is_key(data: bytes | None) -> bool:
-    return data is not None and (data.startswith(_MAGIC) or _is_der_key(data) or _is_wire_key(data))
+    return data is not None and (_is_key_file(data) or _is_der_key(data))
+
+
+def _is_armoured(headers: str, body: str) -> bool:
+    """The body is a key; or, with the headers of an encrypted one, whole cipher blocks."""
+    data = _unbase64(body)
+    if data is None:
+        return False
+    if re.search(r"Proc-Type: *4, *ENCRYPTED", headers):
+        cipher = re.search(r"DEK-Info: *[A-Z0-9-]+, *([0-9A-Fa-f]+)", headers)
+        block = len(cipher[1]) // 2 if cipher else 0
+        return block in (8, 16) and len(data) >= block and len(data) % block == 0
+    return _is_key(data)
 
 
 def _is_token_header(part: str) -> bool:
@@ -128,7 +160,7 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
     if "30" in text:
         found += [("key", *m.span()) for m in _KEY16.finditer(text) if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0]))]
     if "-----BEGIN " in text:
-        found += [("armour", *m.span()) for m in _ARMOUR.finditer(text) if _is_key(_unbase64(m[2]))]
+        found += [("armour", *m.span()) for m in _ARMOUR.finditer(text) if _is_armoured(m[3], m[4])]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
