@@ -14,11 +14,13 @@ from lakeforge.llm import bpe, line_dedup, mixing, ngram_join, passages, toxicit
 from lakeforge.llm.common import ROW, WORD, key_mask, masked, materialise, table, text_key, text_of, unwrap
 from lakeforge.llm.queries import tokenizer_path
 
-KEY = "__key"
-
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: documents with a score of 0.7 or more go; the model learns from the table's labels."""
+    """Operator 1: documents with a score of 0.7 or more go; the model learns from the table's labels.
+
+    Null and empty texts get the score of a text without terms; repeated rows go or stay
+    together; an empty table stays empty.
+    """
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return unwrap(toxicity.score(docs, machine).where("predicted = 0"))
 
@@ -29,11 +31,17 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A passage is a run of over 50 words that different texts share, whatever their lines.
     Near copies keep or lose lines and passages alike, and a group of them that
     would no longer be one for the next stage stays whole.
+
+    What recurs stays with the text of the smallest doc_id (null first, then by
+    content); null and empty texts stay as they are; exact copies count as one
+    text and stay equal; an empty table stays empty.
     """
     groups = ngram_join.groups(docs, *ngram_join.NEAR)
-    key = text_key(text_of())
-    made = line_dedup.dedup(docs.withColumn(KEY, key), keep=[c for c in docs.columns if c != "text"] + [KEY], groups=groups)
-    made = made.select(ROW, F.col("clean").alias("text"), F.col("n_dropped") > 0, F.col(f"{ROW}.{KEY}").alias("key"))
+    name = "key"
+    while name in docs.columns:
+        name = f"_{name}"
+    made = line_dedup.dedup(docs.withColumn(name, text_key(text_of())), keep=[c for c in docs.columns if c != "text"] + [name], groups=groups)
+    made = made.select(ROW, F.col("clean").alias("text"), F.col("n_dropped") > 0, F.col(f"{ROW}.`{name}`").alias("key"))
     made = materialise(made.toDF(ROW, "text", "less", "key"), "line_rows")
     mask = key_mask(groups, F.col("key"))
     held = masked(made, F.col("key"), mask).join(groups, "key", "left").unionByName(
@@ -82,13 +90,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: each document as often as the mix takes it (0 to 2 times)."""
+    """Operator 5: each document as often as the mix takes it (0 to 2 times).
+
+    A null source is a source of its own, the last; texts without words have size 0 and take no room;
+    repeated rows are taken each by itself; an empty table stays empty.
+    """
     made = mixing.mix(docs)
     return unwrap(made.select(ROW, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(ROW))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: token counts and digests beside the documents' columns."""
+    """Operator 2: token counts and digests beside the documents' columns.
+
+    Null and empty texts have no tokens; repeated rows get equal results; an empty table stays empty.
+    """
     made = bpe.encode(docs, tokenizer_path())
     return made.select(
         f"{ROW}.*", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
