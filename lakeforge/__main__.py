@@ -47,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
 
     rp = sub.add_parser("report", help="ingest report")
     rp.add_argument("--data-lake", default="./data_lake")
+    rp.add_argument("--compact-before", default=None, help="first fold the manifest's days before this one ('YYYY-MM-DD') into one file each")
 
     st = sub.add_parser("stream", help="merchant windows from a Kafka topic")
     st.add_argument("bootstrap_servers")
@@ -97,8 +98,10 @@ def main(argv: list[str] | None = None) -> int:
                 info = build_warehouse(wh, paths, INDEXES)
             info.show(truncate=False)
         elif args.command == "report":
-            from lakeforge.sources.raw import ingest_report, read_manifest
+            from lakeforge.sources.raw import compact_manifest, ingest_report, read_manifest
 
+            if args.compact_before:
+                compact_manifest(spark, args.data_lake, args.compact_before)
             ingest_report(read_manifest(spark, args.data_lake)).orderBy("dataset_name", "partition").show(
                 truncate=False)
         elif args.command == "stream":

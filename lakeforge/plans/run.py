@@ -70,13 +70,15 @@ def process_landed(
     expected: Sequence[str] | None = None,
     ingest_ids: Sequence[str] | None = None,
     schema: str = "curated",
+    since_day: str | None = None,
 ) -> dict[str, object]:
     """Everything after landing: gate, transforms, warehouse, models, tests.
 
     ``ingest_ids`` are those of this run: only what they brought passes the
     gate (an older ingest of a dataset does not stand in for a missing one).
+    ``since_day`` ("YYYY-MM-DD"): the manifest is read from this day on.
     """
-    manifest = read_manifest(spark, lake)
+    manifest = read_manifest(spark, lake, since_day=since_day)
     arrived = manifest if ingest_ids is None else manifest.filter(F.col("ingest_id").isin(*ingest_ids))
     assert_complete(completeness(arrived, expected or names))
 
@@ -113,4 +115,4 @@ def run_pipeline(
     records = concurrently([
         (lambda b=b: ingest_batch(b[0], lake, b[1], b[2], as_of)) for b in batches
     ])
-    return process_landed(spark, lake, [b[1] for b in batches], as_of, expected, [r["ingest_id"] for r in records], schema)
+    return process_landed(spark, lake, [b[1] for b in batches], as_of, expected, [r["ingest_id"] for r in records], schema, min(r["ingestion_timestamp"] for r in records)[:10])

@@ -12,7 +12,7 @@ Layout::
   replayed micro-batch) replaces its earlier output instead of adding a
   second copy.  Different ingests never touch each other's files.
 * The manifest lives outside the data directory, so a scan of the dataset
-  root only ever sees parquet.
+  root only ever sees parquet; past days are compacted into one file each.
 * The row count of an ingest is observed while the data is written (one
   job), not counted by a second scan.
 * The manifest also records each ingest's schema.  A scan reads ingests of
@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
+import time
 import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
@@ -41,7 +43,7 @@ from pyspark.sql.types import (
 )
 
 from lakeforge.functions.expressions import timestamp_literal
-from lakeforge.session import list_paths
+from lakeforge.session import list_paths, remove_folder
 from lakeforge.sources import drift
 
 PARTITION_COLUMNS = ("year", "month", "day", "ingest_id")
@@ -239,14 +241,15 @@ def _folders(spark: SparkSession, root: str, where: str | None) -> tuple[list[st
 
 def _schemas(spark: SparkSession, lake: str, dataset: str, root: str, folders: list[str]) -> list[tuple[str, StructType]]:
     """(folder, schema) of ingest folders: as the manifest has it; of folders that it does not know, from their files."""
-    records = read_manifest(spark, lake).where((F.col("dataset_name") == dataset) & F.col("schema").isNotNull()) if list_paths(spark, manifest_path(lake)) else None
+    names = [_name(f) for f in folders]
+    first = min(re.sub(r"year=(\d+)/month=(\d+)/day=(\d+)/.*", r"\1-\2-\3", n) for n in names)
+    records = read_manifest(spark, lake, since_day=first).where((F.col("dataset_name") == dataset) & F.col("schema").isNotNull())
     known: dict[str, StructType] = {}
-    if records is not None:
-        texts: dict[str, StructType] = {}
-        for r in records.select("partition", "ingest_id", "schema").collect():
-            if r["schema"] not in texts:
-                texts[r["schema"]] = StructType.fromJson(json.loads(r["schema"]))
-            known[ingest_folder(r["partition"], r["ingest_id"])] = texts[r["schema"]]
+    texts: dict[str, StructType] = {}
+    for r in records.select("partition", "ingest_id", "schema").collect():
+        if r["schema"] not in texts:
+            texts[r["schema"]] = StructType.fromJson(json.loads(r["schema"]))
+        known[ingest_folder(r["partition"], r["ingest_id"])] = texts[r["schema"]]
     out = []
     for path in folders:
         schema = known.get(_name(path))
@@ -261,14 +264,52 @@ def read_manifest(spark: SparkSession, lake: str, day: str | None = None, since_
 
     Records are grouped in folders by ingest day, so ``day="YYYY-MM-DD"``
     (e.g. a daily completeness gate) lists one day's records only, and
-    ``since_day`` those of a day and later ones.
+    ``since_day`` those of a day and later ones.  Days that were compacted are
+    one file; a record written since (a repeated ingest) takes the place of the one in there.
     """
-    paths = [manifest_path(lake) if day is None else f"{manifest_path(lake)}/day={day}"]
-    if since_day is not None:
-        paths = [p for p in list_paths(spark, f"{manifest_path(lake)}/day=*") if p.rsplit("=", 1)[1] >= since_day]
-        if not paths:
-            return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").json(paths)
+    def wanted(folder: str) -> bool:
+        its_day = re.search(r"day=([^/]*)", folder)[1]
+        return (day is None or its_day == day) and (since_day is None or its_day >= since_day)
+
+    paths = [p for p in list_paths(spark, f"{manifest_path(lake)}/day=*") if wanted(p)]
+    old = [p for p in _compacted(spark, lake).values() if wanted(p)]
+    reader = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true")
+    single = reader.json(paths) if paths else None
+    if not old:
+        return single if single is not None else spark.createDataFrame([], MANIFEST_SCHEMA)
+    compacted = reader.json(old)
+    if single is None:
+        return compacted
+    key = ["dataset_name", "partition", "ingest_id"]
+    newer = single.select(*[F.col(c).alias(f"_{c}") for c in key])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+    return single.unionByName(compacted.join(newer, same, "left_anti"))
+
+
+def compacted_path(lake: str) -> str:
+    return f"{lake.rstrip('/')}/manifest_days"
+
+
+def _compacted(spark: SparkSession, lake: str) -> dict[str, str]:
+    """Day -> folder of its newest complete file."""
+    done = [p.rsplit("/", 1)[0] for p in list_paths(spark, f"{compacted_path(lake)}/day=*/v_*/_SUCCESS")]
+    return {p.split("/")[-2].split("=", 1)[1]: p for p in sorted(done)}
+
+
+def compact_manifest(spark: SparkSession, lake: str, before_day: str) -> list[str]:
+    """Fold the records of each day before ``before_day`` into one file; returns the days.
+
+    A day's new file is complete before the single records and the older file go; until
+    then, and after a stop in between, records of several places count once.
+    """
+    days = [p for p in list_paths(spark, f"{manifest_path(lake)}/day=*") if p.rsplit("=", 1)[1] < before_day]
+    for path in days:
+        day = path.rsplit("=", 1)[1]
+        older = list_paths(spark, f"{compacted_path(lake)}/day={day}/v_*")
+        read_manifest(spark, lake, day=day).coalesce(1).write.json(f"{compacted_path(lake)}/day={day}/v_{time.time_ns():020d}")
+        for folder in (path, *older):
+            remove_folder(spark, folder)
+    return [p.rsplit("=", 1)[1] for p in days]
 
 
 def ingest_report(manifest: DataFrame) -> DataFrame:

@@ -185,3 +185,24 @@ def test_empty_replay_with_a_time_as_its_id(spark, lake):
         assert kept.count() == n and {r["ingest_id"] for r in kept.collect()} <= {run}
     assert len(os.listdir(os.path.join(lake, "raw", "ds", "year=2025", "month=11", "day=05"))) == 1
     assert R.read_manifest(spark, lake).count() == 1
+
+
+def test_compacted_manifest_days(spark, lake):
+    """Past days become one file; a repeated ingest's new record counts, not the old one."""
+    for day in ("05", "06", "07"):
+        for k in range(3):
+            R.ingest_batch(frame(spark, k + 1), lake, "ds", "faker", f"2025-11-{day} 10:00:00", ingest_id=f"i{day}{k}")
+    want = rows(R.read_manifest(spark, lake))
+    assert R.compact_manifest(spark, lake, "2025-11-07") == ["2025-11-05", "2025-11-06"]
+    assert R.compact_manifest(spark, lake, "2025-11-07") == []
+    assert rows(R.read_manifest(spark, lake)) == want
+    assert sorted(os.listdir(R.manifest_path(lake))) == ["day=2025-11-07"]
+    files = [f for _, _, fs in os.walk(R.compacted_path(lake)) for f in fs if f.endswith(".json")]
+    assert len(files) == 2
+    R.ingest_batch(frame(spark, 9), lake, "ds", "faker", "2025-11-05 10:00:00", ingest_id="i050")  # again, after the compaction
+    got = {r["ingest_id"]: r["row_count"] for r in R.read_manifest(spark, lake).collect()}
+    assert len(got) == R.read_manifest(spark, lake).count() == 9 and got["i050"] == 9
+    assert R.read_manifest(spark, lake, day="2025-11-05").count() == 3 and R.read_manifest(spark, lake, since_day="2025-11-06").count() == 6
+    assert R.compact_manifest(spark, lake, "2025-11-06") == ["2025-11-05"]
+    assert {r["ingest_id"]: r["row_count"] for r in R.read_manifest(spark, lake).collect()} == got
+    assert R.read_raw(spark, lake, "ds").count() == sum(got.values())
