@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import threading
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeforge.session import shared_dir
+from lakeforge.session import remove_folder, shared_dir
 
 #: ASCII white space (space, tab .. carriage return) as characters of a regex class.
 WS = " \t-\r"
@@ -58,7 +60,44 @@ def materialise(df: DataFrame, name: str, files: int = 0) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, "llm", name, unique=True)
     (df.repartition(files) if files else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _open.blocks:
+        _open.blocks[-1].append((made, path))
+    return made
+
+
+class _Open(threading.local):
+    """Tables made in the blocks that are open in this thread, innermost last."""
+
+    def __init__(self):
+        self.blocks: list[list[tuple[DataFrame, str]]] = []
+
+
+_open = _Open()
+
+
+@contextmanager
+def temporary() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that are written in the block go at its end, but for those given to the function it yields.
+
+    Whatever leaves the block must read kept tables alone.  Kept ones belong to
+    the block around, if there is one.
+    """
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    _open.blocks.append([])
+    try:
+        yield keep
+    finally:
+        for df, path in _open.blocks.pop():
+            if not any(df is k for k in kept):
+                remove_folder(df.sparkSession, path)
+            elif _open.blocks:
+                _open.blocks[-1].append((df, path))
 
 
 def key_mask(keys: DataFrame, key: Column, bits: int = 22) -> DataFrame:

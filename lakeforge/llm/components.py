@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import materialise
+from lakeforge.llm.common import materialise, temporary
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,6 +18,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     node, so no task gathers its neighbourhood.  The number of rounds grows
     with the logarithm of the nodes.
     """
+    with temporary() as keep:
+        now = keep(_settled(edges, a, b))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def _settled(edges: DataFrame, a: str, b: str) -> DataFrame:
     now = materialise(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges"
     )
@@ -34,5 +40,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         now = materialise(small, "edges")
         state = now.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
         if state == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            return now
         before = state

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import ROW, key_mask, masked, materialise, text_key, text_of, wrap
+from lakeforge.llm.common import ROW, key_mask, masked, materialise, temporary, text_key, text_of, wrap
 from lakeforge.llm.components import components
 
 NGRAM, NUM, DEN = 3, 90, 100  # words; similarity as a fraction
@@ -275,14 +275,21 @@ def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, b
     component of similar classes, which is all that components take; with
     ``every`` each similar pair of classes is listed, once, as a < b.
     """
+    with temporary() as keep:
+        members, found = _links(docs, num, den, ngram, block, every)
+        return keep(members).select("rid", "doc_id", "cls", "n"), keep(found)
+
+
+def _links(docs: DataFrame, num: int, den: int, ngram: int, block: int, every: bool) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     seen = materialise(docs.mapInPandas(_read(ngram), "rid binary, doc_id long, cls binary, n int, part int, counts binary"), "ngram_read")
-    members = seen.where("cls is not null").select("rid", "doc_id", "cls", "n")
+    members = materialise(seen.where("cls is not null").select("rid", "doc_id", "cls", "n"), "ngram_members")
     summed = seen.where("part is not null").select("part", "counts").repartition(1 << (SLOT_BITS - PART_BITS), "part").mapInPandas(_sum_parts, "part int, rank binary")
     table = np.zeros(1 << SLOT_BITS, np.uint16)  # 16 MB whatever the input
     for r in summed.collect():
         table[r["part"] << PART_BITS : (r["part"] + 1) << PART_BITS] = np.frombuffer(r["rank"], np.uint16)
     ranks = spark.sparkContext.broadcast(table)
+    del table
 
     # copies: a task lists a class once, and the rest goes where entries of a member meet
     entries = docs.select("body").mapInPandas(_prefixes(ranks, ngram, num, den), "member long, cls binary, n int, place int").repartition("member").dropDuplicates(["member", "cls"])
@@ -337,7 +344,9 @@ def links(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM, b
     found = sets.select("cls", "members", F.inline("spots")).groupBy("at", "lo", "hi").applyInPandas(_compare(num, den, every), "a binary, b binary")
     if every:  # groups joined one by one may meet a pair again
         found = found.distinct()
-    return members, materialise(found, "ngram_links")
+    found = materialise(found, "ngram_links")
+    ranks.destroy()  # what is returned is read from files
+    return members, found
 
 
 def by_row(docs: DataFrame, num: int, den: int, ngram: int, block: int) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lakeforge.llm.common import WORD, key_mask, masked, materialise
+from lakeforge.llm.common import WORD, key_mask, masked, materialise, temporary
 from lakeforge.llm.ngram_join import forgetting, hashes
 
 WINDOW, GRAM = 51, 20  # words
@@ -130,13 +130,12 @@ def shared_places(rows: DataFrame) -> DataFrame:
     """(key, places) of the windows to drop; ``rows``: key, doc_id, holder (long), body."""
     # ids pass through pandas as strings: beside nulls they would be floats
     rows = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "holder", "body")
-    made = lambda: rows.mapInPandas(forgetting(_fingerprints), "print long, key binary, holder long, doc_id string")
-    # made twice: the fingerprints take more room than time
+    made = materialise(rows.mapInPandas(forgetting(_fingerprints), "print long, key binary, holder long, doc_id string"), "passage_all")
     shared = materialise(
-        made().groupBy("print").agg(F.min("holder").alias("a"), F.max("holder").alias("b")).where("a <> b").select("print"), "passage_prints"
+        made.groupBy("print").agg(F.min("holder").alias("a"), F.max("holder").alias("b")).where("a <> b").select("print"), "passage_prints"
     )
     mask = materialise(key_mask(shared, F.col("print")), "passage_mask", files=1)
-    hits = masked(made(), F.col("print"), mask).join(shared, "print", "left_semi")
+    hits = masked(made, F.col("print"), mask).join(shared, "print", "left_semi")
     hits = materialise(hits.groupBy("key").agg(F.min(F.col("doc_id").cast("long")).alias("first_id"), F.collect_set("print").alias("prints")), "passage_hits")
     near = materialise(key_mask(hits, F.col("key")), "passage_mask", files=1)
     texts = masked(rows, F.col("key"), near).join(hits, "key").select("key", F.col("first_id").cast("string").alias("doc_id"), "holder", "body", "prints")
@@ -154,7 +153,8 @@ def drop_shared(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
 
     ``rows``: key, doc_id, holder (long), body and ``keep``; rows of one key have one body and one holder.
     """
-    places = materialise(shared_places(rows), "passage_places")
+    with temporary() as hold:
+        places = hold(materialise(shared_places(rows), "passage_places"))
     mask = materialise(key_mask(places, F.col("key")), "passage_mask", files=1)
     some = masked(rows, F.col("key"), mask).join(places, "key", "left")
     none = masked(rows, F.col("key"), mask, inside=False).withColumn("places", F.lit(None).cast("array<int>"))
