@@ -77,7 +77,9 @@ def test_replace_from_itself(spark, lake):
 def test_indexes_as_layout_and_table_info(spark, lake):
     wh = W.Warehouse(spark, os.path.join(lake, "curated"), schema="wh_idx")
     wh.write_table(tx(spark, 20), "tx")
-    wh.create_indexes("tx", ["user_id", "transaction_date"])
+    wh.create_indexes("tx", ["user_id", "transaction_date"])  # both columns along one curve: tests/test_layout.py
+    assert spark.table("wh_idx.tx").count() == 20
+    wh.create_indexes("tx", ["user_id"])
     df = spark.table("wh_idx.tx")
     assert df.count() == 20
     per_file = df.groupBy(F.input_file_name().alias("f")).agg(F.min("user_id").alias("lo"), F.max("user_id").alias("hi"))
