@@ -23,12 +23,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import ROW, text_key, text_of, wrap
+from lakeforge.llm.common import ROW, take_over, text_key, text_of, wrap
 
 #: Texts of more code points are cut; window around a join at first, code points each side;
-#: bytes of words, ids and names that a worker remembers, while it works on one partition.
-LEAF, WINDOW, REMEMBERED = 32_768, 64, 48 << 20
-RESULTS = 256  # texts whose results a worker holds at once
+#: bytes of words, ids and names that a worker remembers.
+LEAF, WINDOW, REMEMBERED = 32_768, 64, 80 << 20
+RESULTS = 512  # texts whose results a worker holds at once
 
 _MARK = re.compile(rb"([a-z])([.,|])(?=[ \t-\r]|$)")
 
@@ -245,13 +245,11 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
 
     @F.pandas_udf("struct<ids:binary,decoded:string>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        try:
-            for texts in batches:  # results leave in small frames: a worker never holds those of a whole batch
-                for at in range(0, len(texts), RESULTS):
-                    made = _encoder(path).encode(list(texts.iloc[at : at + RESULTS]))
-                    yield pd.DataFrame(list(made), columns=["ids", "decoded"])
-        finally:
-            _encoder(path).forget()  # workers are reused
+        take_over("bpe", _encoder(path).forget)
+        for texts in batches:  # results leave in small frames: a worker never holds those of a whole batch
+            for at in range(0, len(texts), RESULTS):
+                made = _encoder(path).encode(list(texts.iloc[at : at + RESULTS]))
+                yield pd.DataFrame(list(made), columns=["ids", "decoded"])
 
     rows = wrap(docs, "text").select(ROW, text_of().alias("body"))
     short = rows.where(F.length("body") <= leaf).withColumn("e", encoded("body")).select(ROW, "e.ids", "e.decoded")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from lakeforge.llm.common import WORD, key_mask, masked, materialise, temporary
-from lakeforge.llm.ngram_join import forgetting, hashes
+from lakeforge.llm.ngram_join import hashes, hashing
 
 WINDOW, GRAM = 51, 20  # words
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
@@ -130,7 +130,7 @@ def shared_places(rows: DataFrame) -> DataFrame:
     """(key, places) of the windows to drop; ``rows``: key, doc_id, holder (long), body."""
     # ids pass through pandas as strings: beside nulls they would be floats
     rows = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "holder", "body")
-    made = materialise(rows.mapInPandas(forgetting(_fingerprints), "print long, key binary, holder long, doc_id string"), "passage_all")
+    made = materialise(rows.mapInPandas(hashing(_fingerprints), "print long, key binary, holder long, doc_id string"), "passage_all")
     shared = materialise(
         made.groupBy("print").agg(F.min("holder").alias("a"), F.max("holder").alias("b")).where("a <> b").select("print"), "passage_prints"
     )
@@ -139,7 +139,7 @@ def shared_places(rows: DataFrame) -> DataFrame:
     hits = materialise(hits.groupBy("key").agg(F.min(F.col("doc_id").cast("long")).alias("first_id"), F.collect_set("print").alias("prints")), "passage_hits")
     near = materialise(key_mask(hits, F.col("key")), "passage_mask", files=1)
     texts = masked(rows, F.col("key"), near).join(hits, "key").select("key", F.col("first_id").cast("string").alias("doc_id"), "holder", "body", "prints")
-    windows = texts.mapInPandas(forgetting(_windows), "run long, place int, key binary, holder long, doc_id string")
+    windows = texts.mapInPandas(hashing(_windows), "run long, place int, key binary, holder long, doc_id string")
     windows = materialise(windows.withColumn("doc_id", F.col("doc_id").cast("long")), "passage_windows")
     first = (
         windows.groupBy("run").agg(F.min("holder").alias("a"), F.max("holder").alias("b"), F.min(F.struct("doc_id", "key", "holder")).alias("first"))
