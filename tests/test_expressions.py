@@ -71,5 +71,5 @@ def test_money_over_many_sizes_equals_decimal_sums(spark):
 
 
 def test_money_whose_integer_sums_overflow_is_summed_plainly(spark):
-    state = spark.createDataFrame([(1 << 62, 5, 10, 7.5, 10), (1 << 62, 5, 10, 2.5, 10)], "units long, parts long, fitting long, plain double, amounts long")
+    state = spark.createDataFrame([(1 << 62, 5, 0, 10, 7.5, 10), (1 << 62, 5, 0, 10, 2.5, 10)], "units long, parts long, rest long, fitting long, plain double, amounts long")
     assert state.agg(*X.merged_money()).select(X.money_total()).first()[0] == 10.0
