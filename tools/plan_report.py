@@ -27,6 +27,11 @@ WRITES = {
     "warehouse_user_analytics", "warehouse_transaction_summary", "warehouse_dq_summary",
     "warehouse_table_info", "merchant_minute_stream", "merchant_minute_watermarked",
     "file_batch_csv", "api_landing", "document_extract", "clean_observed", "merchant_minute_updates",
+    "document_find", "wide_column_extract", "clean_users_text", "clean_transactions_text", "agg_transactions_text",
+    "raw_one_day", "processed_table", "kafka_pull", "kafka_pull_bounded", "curated_replace_new_schema", "curated_append_by_name",
+    "curated_colocated", "curated_colocated_relationship", "view_refresh", "view_refresh_incremental",
+    "view_refresh_incremental_users", "raw_type_drift", "empty_replay", "incremental_equals_full", "incremental_retry",
+    "index_files_read", "warehouse_table_files", "merchant_minute_late", "dq_alerts_stream", "dq_summary", "dq_test_alert",
 }
 
 
