@@ -72,11 +72,16 @@ class Hashes:
 hashes = Hashes()
 
 
+def use_hashes() -> None:
+    """A function of the module, so that a worker takes over its own hashes, not a copy that came with the task."""
+    take_over("hashes", hashes.forget)
+
+
 def hashing(run: Callable) -> Callable:
     """A task that uses the worker's hashes."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        take_over("hashes", hashes.forget)
+        use_hashes()
         yield from run(batches)
 
     return task
