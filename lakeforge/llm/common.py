@@ -119,14 +119,3 @@ def masked(df: DataFrame, key: Column, mask: DataFrame, bits: int = 22, inside:
     slot = F.pmod(F.xxhash64(key), F.lit(1 << bits))
     hit = (F.shiftright(slot, 6) == F.col("mask_word")) & (F.getbit("mask_bits", slot.bitwiseAND(F.lit(63)).cast("int")) == 1)
     return df.join(F.broadcast(mask), hit, "left_semi" if inside else "left_anti")
-
-
-_owner: list = ["", lambda: None]
-
-
-def take_over(name: str, forget: Callable[[], None]) -> None:
-    """Called by a task before it uses a memory that outlives it: workers are reused, so tasks of one
-    kind share a memory, and one of another kind lets go of what the kind before it remembered."""
-    if _owner[0] != name:
-        _owner[1]()
-        _owner[:] = [name, forget]

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import ROW, key_mask, masked, materialise, take_over, temporary, text_key, text_of, wrap
+from lakeforge.llm.common import ROW, key_mask, masked, materialise, temporary, text_key, text_of, wrap
 from lakeforge.llm.components import components
 
 NGRAM, NUM, DEN = 3, 90, 100  # words; similarity as a fraction
@@ -39,13 +39,13 @@ NEAR = (80, 100, 5)  # near duplicates: similarity 0.8 on five words
 SLOT_BITS, PART_BITS = 23, 16  # counters; counters in a part that moves as one row
 PAIRED = 16  # entries of a group up to which its pairs are tested one by one
 BLOCK, BLOCKS = 256, 64  # classes in a block; blocks of a neighbourhood, beyond which its groups are joined one by one
-REMEMBERED = 1 << 23  # bytes of words whose hashes a worker remembers
+REMEMBERED = 1 << 23  # bytes of words whose hashes a worker remembers, while it works on one partition
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 
 
 
 class Hashes:
-    """Hashes of words, remembered up to a number of bytes, until a task of another kind runs in the worker."""
+    """Hashes of words, remembered up to a number of bytes; nothing is kept past a partition (workers are reused)."""
 
     def __init__(self):
         self.known: dict[bytes, int] = {}
@@ -72,17 +72,19 @@ class Hashes:
 hashes = Hashes()
 
 
-def use_hashes() -> None:
-    """A function of the module, so that a worker takes over its own hashes, not a copy that came with the task."""
-    take_over("hashes", hashes.forget)
+def forget_hashes() -> None:
+    """A function of the module, so that a worker clears its own hashes, not a copy that came with the task."""
+    hashes.forget()
 
 
-def hashing(run: Callable) -> Callable:
-    """A task that uses the worker's hashes."""
+def forgetting(run: Callable) -> Callable:
+    """A task that leaves no hashes behind in its worker."""
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        use_hashes()
-        yield from run(batches)
+        try:
+            yield from run(batches)
+        finally:
+            forget_hashes()
 
     return task
 
@@ -125,7 +127,7 @@ def _read(ngram: int) -> Callable:
             if c.any():
                 yield pd.DataFrame({"rid": [None], "doc_id": [None], "cls": [None], "n": [None], "part": [part], "counts": [zlib.compress(c.tobytes(), 1)]})
 
-    return hashing(run)
+    return forgetting(run)
 
 
 def _sum_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,7 +177,7 @@ def _prefixes(ranks, ngram: int, num: int, den: int) -> Callable:
                         "place": np.concatenate([np.arange(x, dtype=np.int32) for x in k]),
                     })
 
-    return hashing(run)
+    return forgetting(run)
 
 
 def _sets(ranks, ngram: int) -> Callable:
@@ -191,7 +193,7 @@ def _sets(ranks, ngram: int) -> Callable:
                 sets = [shingles(t, ngram) for t in p["body"]]
                 yield pd.DataFrame({"cls": p["cls"], "members": [_rarest(s, ranks.value, len(s)).tobytes() for s in sets], "spots": p["spots"]})
 
-    return hashing(run)
+    return forgetting(run)
 
 
 def linked(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int, joined: Callable[[int, int], bool] = lambda i, j: False) -> Iterator[tuple[int, int]]:

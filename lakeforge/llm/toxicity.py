@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeforge.llm.common import ROW, take_over, text_of, wrap
+from lakeforge.llm.common import ROW, text_of, wrap
 
 #: Labelled documents to learn from, about (the bound on the sample); hash buckets;
 #: terms kept by the screening; length of a term's vector.
@@ -178,10 +178,11 @@ def score(docs: DataFrame, machine: Machine, threshold: float = 0.7) -> DataFram
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        take_over("toxicity", machine.forget)
-        for texts in batches:
-            yield pd.Series([machine.score(t) for t in texts], dtype="float64")
-        machine.forget()  # the next task has a machine of its own
+        try:
+            for texts in batches:
+                yield pd.Series([machine.score(t) for t in texts], dtype="float64")
+        finally:
+            machine.forget()  # workers are reused
 
     rows = wrap(docs, "text").select(ROW, scored(text_of()).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
