@@ -15,7 +15,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 SAMPLE = 20_000  # rows that the quantiles are taken from: what the driver holds, whatever the input
@@ -58,6 +58,26 @@ def place(ranks: Sequence[int], bits: int = BITS) -> int:
     return out
 
 
+def smallest(df: DataFrame, columns: Sequence[str], tie: Column, size: int) -> list[Row]:
+    """The ``size`` rows of the smallest hashes ``tie`` (all, if fewer), by hash: their ``columns``.
+
+    A top-n sends n rows of every task to the driver.  Here only rows under a bound leave the tasks, one that
+    about twice ``size`` rows fall under, and equal rows leave as one, with their number.  Should many copies have
+    left too few rows under the bound, it is raised.
+    """
+    hashed, share = df.select(*[F.col(f"`{c}`") for c in columns], tie.alias("_tie")), 2 * size / max(df.count(), 1)
+    while True:
+        low = hashed if share >= 1 else hashed.where(F.col("_tie") < F.lit(int(share * 2**64) - 2**63))
+        found = low.groupBy(*[F.col(f"`{c}`") for c in columns], "_tie").agg(F.count(F.lit(1)).alias("_rows")).collect()
+        if share >= 1 or sum(r["_rows"] for r in found) >= size:
+            break
+        share *= 8
+    out: list[Row] = []
+    for r in sorted(found, key=lambda r: r["_tie"]):
+        out += [r] * min(r["_rows"], size - len(out))
+    return out
+
+
 def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
     """Rows in partitions that are stretches of the curve, sorted within.
 
@@ -71,7 +91,7 @@ def clustered(df: DataFrame, columns: Sequence[str], files: int | None = None) -
     deep = min((files - 1).bit_length(), BITS * len(columns))
     cells, shift = 1 << deep, BITS * len(columns) - deep
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    sample = df.select(*[F.col(f"`{c}`") for c in columns], tie.alias("_tie")).orderBy("_tie").limit(SAMPLE).drop("_tie").collect()
+    sample = smallest(df, columns, tie, SAMPLE)
     edges = [cuts([r[c] for r in sample if r[c] is not None]) for c in columns]
     there = Counter(
         place([(0 if r[c] is None else bisect_right(e, r[c])) * (1 << BITS) // (len(e) + 1) for c, e in zip(columns, edges)]) >> shift for r in sample

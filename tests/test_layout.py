@@ -141,3 +141,25 @@ def test_bucketed_tables_are_replaced_and_appended(spark, colocated):
     assert spark.table("layout_buckets.users").count() == n
     spec = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE TABLE EXTENDED layout_buckets.users").collect()}
     assert spec["Num Buckets"] == "4"
+
+
+@pytest.mark.parametrize("copies", [1, 500])
+def test_the_sample_is_the_smallest_hashes_and_leaves_the_tasks_under_a_bound(spark, monkeypatch, copies):
+    base = people(spark, 20_000 // copies).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("n").repartition(8)
+    sent, collect = [], type(base).collect
+
+    def collected(df):
+        got = collect(df)
+        sent.append((len(got), df._jdf.queryExecution().executedPlan().toString()))
+        return got
+
+    monkeypatch.setattr(type(base), "collect", collected)
+    monkeypatch.setattr(L, "SAMPLE", 100)
+    assert L.clustered(base, ["country", "user_id"], 8).count() == base.count()
+    # a top-n would send SAMPLE rows of each of the 8 tasks
+    assert sent and not any("TakeOrdered" in plan for _, plan in sent) and max(n for n, _ in sent) < 5 * 100
+    tie = F.xxhash64(*base.columns)
+    want = [r[0] for r in collect(base.select(tie.alias("t")).orderBy("t").limit(100))]
+    got = L.smallest(base, ["country", "email", "user_id", "v"], tie, 100)
+    assert [r["_tie"] for r in got] == want
+    assert len(L.smallest(base.limit(7), ["country"], tie, 100)) == 7 and L.smallest(base.limit(0), ["country"], tie, 100) == []
