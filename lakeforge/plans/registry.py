@@ -24,7 +24,7 @@ from lakeforge.operators import enrich as E
 from lakeforge.operators import quality as Q
 from lakeforge.operators import setops as U
 from lakeforge.plans import models as M
-from lakeforge.session import shared_dir
+from lakeforge.session import list_files, shared_dir
 from lakeforge.sources import raw as R
 from lakeforge.sources import testdata as T
 from lakeforge.streaming import envelope as EV
@@ -623,6 +623,19 @@ def _landed_in_order(spark, frames, base):
     return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
 
 
+def _land(spark, df, base, n):
+    """Batch ``n`` of a file stream: a file of each of its tasks, newer than those of the batches before; how many."""
+    folder = f"{base}/in/{n:03d}"
+    df.write.parquet(folder)
+    return len(list_files(spark, folder))
+
+
+def _landed(spark, schema, base, files=None):
+    """The landed files as a stream that takes the oldest first: all that there are, or so many a trigger."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(f"{base}/in/*")
+
+
 ARRIVALS, LATE_EVERY = 8, 10  # batches by event time; of so many rows one comes a batch late
 
 
@@ -641,9 +654,14 @@ def q_merchant_minute_late(spark, sf_dir):
     events = T.table(spark, sf_dir, "events")
     start, end = events.agg(*[f(F.unix_micros(F.col("ts").cast("timestamp"))) for f in (F.min, F.max)]).first()
     batch = events.select(F.col("event_id").cast("string").alias("transaction_id"), _arrival(F.col("ts"), start, end).alias("arrives"))
-    sent = T.stream_transactions(spark, sf_dir).join(batch, "transaction_id")
-    frames = [T.kafka_envelope(sent.where(F.col("arrives") == n).drop("arrives")) for n in range(ARRIVALS + 1)]
-    windows, late = jobs.merchant_windows_and_late(_landed_in_order(spark, frames, base), base, STREAM_WATERMARK)
+    sent = T.stream_transactions(spark, sf_dir).join(batch.hint("merge"), "transaction_id")  # both sides grow with the input
+    sent.write.parquet(f"{base}/sent")  # joined once, not for each batch
+    sent = spark.read.schema(sent.schema).parquet(f"{base}/sent")
+    envelopes = _landed(spark, jobs.ENVELOPE_SCHEMA, base)
+    for n in range(ARRIVALS + 1):  # a run for each batch: its files are one micro-batch
+        _land(spark, T.kafka_envelope(sent.where(F.col("arrives") == n).drop("arrives")), base, n)
+        jobs.split_late(envelopes, f"{base}/split_checkpoint", f"{base}/split", STREAM_WATERMARK)
+    windows, late = jobs.merchant_windows_and_late(envelopes, base, STREAM_WATERMARK)
     closed = W.flatten_window(windows).select(
         F.lit("window").alias("kind"), "window_start", "merchant", "transaction_count", "avg_amount", F.lit(None).cast("string").alias("transaction_id")
     )

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeforge.sources import raw as R
@@ -229,3 +230,41 @@ def test_pull_once_lands_one_batch_a_run(spark, tmp_path):
         J.pull_once(envelope_stream(spark, base), os.path.join(base, "lake"), "tx", os.path.join(base, "ck"), EV.TRANSACTION_SCHEMA)
         landed.append(R.read_raw(spark, os.path.join(base, "lake"), "tx").count())
     assert landed == [2, 4, 6, 6]
+
+
+@pytest.fixture
+def many_files(spark, tmp_path, monkeypatch):
+    """(input folder whose events are in 4 files, folder of the query's stream)."""
+    from lakeforge.plans import registry
+
+    start = F.lit("2025-01-01").cast("timestamp_ntz")
+    spark.range(0, 4000, 1, 4).select(
+        F.col("id").alias("event_id"), (start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.pmod(F.xxhash64("id"), F.lit(80_000)))).alias("ts"),
+        (F.col("id") % 40).alias("user_id"), F.element_at(F.array(*map(F.lit, ("view", "click", "error", "purchase"))), (F.col("id") % 4 + 1).cast("int")).alias("event_type"),
+        (F.col("id") % 100).cast("double").alias("value"), F.lit("{}").alias("props"),
+    ).write.parquet(f"{tmp_path}/sf/events.parquet")
+    monkeypatch.setattr(registry, "shared_dir", lambda spark, *parts, unique=False: f"{tmp_path}/shared")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield f"{tmp_path}/sf", f"{tmp_path}/shared"
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def files_of_batches(base, batches):
+    return [len([f for f in os.listdir(os.path.join(base, "in", f"{n:03d}")) if f.endswith(".parquet")]) for n in range(batches)]
+
+
+def test_no_task_holds_a_landed_batch_of_late_rows(spark, many_files):
+    from lakeforge.plans import registry
+
+    sf_dir, base = many_files
+    got = registry.q_merchant_minute_late(spark, sf_dir)
+    assert got.where("kind = 'late'").count() > 20 and got.where("kind = 'window'").count() > 100
+    assert min(files_of_batches(base, registry.ARRIVALS)) > 1
+    sent = registry.T.stream_transactions(spark, sf_dir)
+    for n, part in enumerate(sorted(os.listdir(os.path.join(base, "split", "progress")))):  # a landed batch is a micro-batch
+        assert part == f"batch_id={n:010d}"
+        landed = EV.parse_envelope(spark.read.parquet(os.path.join(base, "in", f"{n:03d}"))).where("status = 'completed'")
+        parted = [spark.read.parquet(os.path.join(base, "split", kind, part)) for kind in ("on_time", "late")]
+        assert rows(landed, "transaction_id") == rows(parted[0].select("transaction_id").union(parted[1].select("transaction_id")))
+    assert n == registry.ARRIVALS
+    assert spark.read.parquet(*[os.path.join(base, "in", f"{k:03d}") for k in range(n + 1)]).count() == sent.count()
