@@ -616,13 +616,6 @@ def q_incremental_retry(spark, sf_dir):
     return _no_processed_ts(read_processed(spark, processed_path(lake, name)))
 
 
-def _landed_in_order(spark, frames, base):
-    """Frames written one after the other, one file each: batches that a file stream reads in this order."""
-    for n, df in enumerate(frames):
-        df.coalesce(1).write.parquet(f"{base}/in/{n:03d}")
-    return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
-
-
 def _land(spark, df, base, n):
     """Batch ``n`` of a file stream: a file of each of its tasks, newer than those of the batches before; how many."""
     folder = f"{base}/in/{n:03d}"
@@ -673,20 +666,16 @@ def q_merchant_minute_late(spark, sf_dir):
 
 
 def q_dq_alerts_stream(spark, sf_dir):
-    """Q5b as a stream over ordered batches, stopped after half of them and started again."""
+    """Q5b as a stream over ordered batches, stopped after each of them and started again."""
     from lakeforge.streaming import jobs
 
     base = shared_dir(spark, "stream", unique=True)
     logs = T.logs_raw(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     start, end = logs.agg(*[f(F.unix_micros("timestamp")) for f in (F.min, F.max)]).first()
     part = F.floor((F.unix_micros("timestamp") - F.lit(start)) * STREAM_BATCHES / F.lit(end - start + 1))
-    frames = [logs.where(part == n) for n in range(STREAM_BATCHES)]
-    half = STREAM_BATCHES // 2
-    for n in (0, half):
-        for k, df in enumerate(frames[n : n + half], start=n):
-            df.coalesce(1).write.parquet(f"{base}/in/{k:03d}")
-        stream = spark.readStream.schema(logs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
-        jobs.run_error_rates(stream, "logs", "timestamp", f"{base}/checkpoint", f"{base}/out", STREAM_WATERMARK)
+    for n in range(STREAM_BATCHES):
+        _land(spark, logs.where(part == n), base, n)
+        jobs.run_error_rates(_landed(spark, logs.schema, base), "logs", "timestamp", f"{base}/checkpoint", f"{base}/out", STREAM_WATERMARK)
     return jobs.error_alerts(spark, f"{base}/out")
 
 
@@ -696,10 +685,9 @@ def q_kafka_pull_bounded(spark, sf_dir):
 
     base = shared_dir(spark, "stream", unique=True)
     sent = T.stream_transactions(spark, sf_dir)
-    frames = [T.kafka_envelope(sent.where(F.col("transaction_id").cast("bigint") % 3 == n)) for n in range(3)]
-    stream = _landed_in_order(spark, frames, base)
-    for _ in range(2):
-        jobs.pull_once(stream, f"{base}/lake", "tx", f"{base}/checkpoint", EV.TRANSACTION_SCHEMA)
+    files = [_land(spark, T.kafka_envelope(sent.where(F.col("transaction_id").cast("bigint") % 3 == n)), base, n) for n in range(3)]
+    for held in files[:2]:  # the limit of a run is one batch
+        jobs.pull_once(_landed(spark, jobs.ENVELOPE_SCHEMA, base, held), f"{base}/lake", "tx", f"{base}/checkpoint", EV.TRANSACTION_SCHEMA)
     return C.drop_metadata(R.read_raw(spark, f"{base}/lake", "tx"))
 
 

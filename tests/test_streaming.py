@@ -268,3 +268,25 @@ def test_no_task_holds_a_landed_batch_of_late_rows(spark, many_files):
         assert rows(landed, "transaction_id") == rows(parted[0].select("transaction_id").union(parted[1].select("transaction_id")))
     assert n == registry.ARRIVALS
     assert spark.read.parquet(*[os.path.join(base, "in", f"{k:03d}") for k in range(n + 1)]).count() == sent.count()
+
+
+def test_a_bounded_pull_takes_a_batch_of_many_files(spark, many_files):
+    from lakeforge.plans import registry
+
+    sf_dir, base = many_files
+    got = registry.q_kafka_pull_bounded(spark, sf_dir)
+    assert min(files_of_batches(base, 3)) > 1
+    assert rows(got, "transaction_id") == sorted((str(n),) for n in range(4000) if n % 3 < 2)
+
+
+def test_alerts_of_batches_of_many_files(spark, many_files):
+    from lakeforge.operators import quality as Q
+    from lakeforge.plans import registry
+
+    sf_dir, base = many_files
+    got = rows(registry.q_dq_alerts_stream(spark, sf_dir))
+    assert min(files_of_batches(base, registry.STREAM_BATCHES)) > 1
+    logs = registry.T.logs_raw(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    closed = logs.agg(F.max("timestamp") - F.expr("INTERVAL 10 minutes")).first()[0]  # by the watermark
+    want = rows(Q.error_rate_alert(Q.validation_errors(logs, "logs", "timestamp")).where(F.col("window_end") <= F.lit(closed)))
+    assert got == want and want
