@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from lakeforge.llm.common import ROW, text_key, text_of, wrap
 
 #: Texts of more code points are cut; window around a join at first, code points each side;
-#: bytes of words, ids and names that a worker remembers, while it works on one partition.
+#: bytes of words, ids and names that a worker remembers, while it works on one partition (or longer, if asked to).
 LEAF, WINDOW, REMEMBERED = 32_768, 64, 48 << 20
 RESULTS = 256  # texts whose results a worker holds at once
 
@@ -232,7 +232,7 @@ def _tree_task(path: str) -> Callable:
     return run
 
 
-def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
+def encode(docs: DataFrame, path: str, leaf: int = LEAF, remember: bool = False) -> DataFrame:
     """The caller's columns (one struct), ``ids`` (binary: little-endian unsigned
     32-bit integers) and ``decoded``.
 
@@ -241,6 +241,8 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     are dealt out, and one task joins the pieces of one text (never more than
     the text itself).  Null text counts as empty: no ids, empty decoded text.
     Repeated rows get equal results; an empty table gives an empty result.
+    ``remember``: a worker's next partitions find the words that it has met (up to ``REMEMBERED``
+    bytes, which it then holds for as long as it lives; for jobs that leave workers no other work).
     """
 
     @F.pandas_udf("struct<ids:binary,decoded:string>")
@@ -251,7 +253,8 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
                     made = _encoder(path).encode(list(texts.iloc[at : at + RESULTS]))
                     yield pd.DataFrame(list(made), columns=["ids", "decoded"])
         finally:
-            _encoder(path).forget()  # workers are reused
+            if not remember:
+                _encoder(path).forget()  # workers are reused
 
     rows = wrap(docs, "text").select(ROW, text_of().alias("body"))
     short = rows.where(F.length("body") <= leaf).withColumn("e", encoded("body")).select(ROW, "e.ids", "e.decoded")

@@ -26,7 +26,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    made = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path(), remember=True)
     return made.select(
         DOC_ID, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

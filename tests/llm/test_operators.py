@@ -8,6 +8,7 @@ import re
 import struct
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -354,3 +355,21 @@ def test_fingerprints_recover_what_changed(spark):
             assert near == pytest.approx(1 - len(changed) / both_have if both_have else 1.0)
     assert len({by_id[ids[k]].fingerprint for k in (30, 31)}) == 1
     assert hashlib and os
+
+
+def test_a_worker_keeps_its_words_for_the_next_partition_if_asked_to(spark):
+    path = tokenizer_path()
+    docs = spark.createDataFrame([(n, f"some words, and the number {n}") for n in range(8)], "doc_id long, text string").repartition(2)
+
+    def held(batches):
+        for _ in batches:
+            pass
+        yield pd.DataFrame({"n": [len(bpe._encoder(path).memo)]})
+
+    got = {}
+    for remember in (True, False, True):
+        got[remember] = sorted((r[0]["doc_id"], bytes(r["ids"]), r["decoded"]) for r in bpe.encode(docs, path, remember=remember).collect())
+        kept = max(r["n"] for r in spark.range(0, 8, 1, 8).mapInPandas(held, "n long").collect())
+        if remember:
+            assert kept > 0
+    assert got[True] == got[False] and len(got[True]) == 8
