@@ -17,6 +17,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 from lakeforge.llm.common import ROW, text_key, text_of, wrap
 
 #: Texts of more code points are cut; window around a join at first, code points each side;
-#: bytes of words, ids and names that a worker remembers, while it works on one partition (or longer, if asked to).
-LEAF, WINDOW, REMEMBERED = 32_768, 64, 48 << 20
+#: bytes of words and their tokens that a worker remembers, while it works on one partition, and if asked to keep them longer.
+LEAF, WINDOW, REMEMBERED, HELD = 32_768, 64, 48 << 20, 128 << 20
 RESULTS = 256  # texts whose results a worker holds at once
 
 _MARK = re.compile(rb"([a-z])([.,|])(?=[ \t-\r]|$)")
+_START, _MARKED = re.compile(r"(?<![^ \t-\r])[^ \t-\r]"), re.compile(r"([A-Za-z])[.,|](?=[ \t-\r]|$)")
 
 Encoding = tuple[np.ndarray, np.ndarray, np.ndarray]  # ids, starts, ends in the whole text
 
@@ -47,7 +49,7 @@ def tokenizer(path: str):
 
 def encode_spans(tok, text: str, at: int = 0) -> Encoding:
     e = tok.encode(text, add_special_tokens=False)
-    spans = np.array(e.offsets, np.int64).reshape(-1, 2) + at
+    spans = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(e)).reshape(-1, 2) + at
     return np.array(e.ids, np.uint32), spans[:, 0], spans[:, 1]
 
 
@@ -131,13 +133,54 @@ def halves(length: int, leaf: int = LEAF) -> list[int]:
     return [length * k // n for k in range(n + 1)]
 
 
+class Memory:
+    """Words and their tokens, up to a number of bytes.
+
+    It has two halves.  When the newer one is full, the older one goes and the
+    newer one becomes it; a word that is met again moves to the newer one, so
+    words in use stay and words met once go.
+    """
+
+    def __init__(self, most: int = REMEMBERED):
+        self.most = most
+        self.forget()
+
+    def __len__(self) -> int:
+        return len(self.new) + len(self.old)
+
+    def forget(self) -> None:
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.room = self.most // 2
+
+    def _put(self, word: bytes, tokens: bytes) -> None:
+        self.new[word] = tokens
+        self.room -= len(word) + len(tokens) + 165  # the objects and their place in the table
+
+    def meet(self, words: set[bytes], learn: Callable[[list[bytes]], Iterator[bytes]]) -> dict[bytes, bytes]:
+        """A table that has these words; those not known are learned."""
+        if self.room < 0:
+            self.old, self.new, self.room = self.new, {}, self.most // 2
+        new, old, unknown = self.new, self.old, []
+        for w in words:
+            if w not in new:
+                tokens = old.pop(w, None)
+                if tokens is None:
+                    unknown.append(w)
+                else:
+                    self._put(w, tokens)
+        if unknown:
+            for w, tokens in zip(unknown, learn(unknown)):
+                self._put(w, tokens)
+        return new
+
+
 class WordEncoder:
-    """Encodes whole texts through a memory of white-space delimited words."""
+    """Encodes texts through a memory of white-space delimited words."""
 
     def __init__(self, path: str):
         self.tok = tokenizer(path)
-        self.memo: dict[bytes, tuple[bytes, str]] = {}
-        self.room = REMEMBERED
+        self.memo, self.places = Memory(), Memory()  # tokens as ids; as id, start and end in the word (32 bits each)
         size = self.tok.get_vocab_size(with_added_tokens=True)
         probe = lambda x: self.tok.encode(x, add_special_tokens=False).ids
         # whether a text's tokens are those of its words: not so where a token takes in the space before a word
@@ -146,31 +189,39 @@ class WordEncoder:
         # without a decoder, the library puts the tokens together with spaces
         self.names = None if self.tok.decoder is not None else [self.tok.id_to_token(i) for i in range(size)]
 
+    def _folded(self, data: bytes) -> bool:
+        return self.folds and b"<|" not in data
+
     def _words(self, text: str) -> list[bytes]:
         """White-space delimited words; where the tokenizer splits and lower-cases
         them itself, a mark at a word's end stands alone and case is folded, so
         that fewer different words are met."""
         data = text.encode("utf-8", "replace")
-        if self.folds and b"<|" not in data:
+        if self._folded(data):
             data = _MARK.sub(rb"\1 \2", data.lower())
         return data.split()
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new words in one call, one to a line, and split its ids at the lines."""
+    def _learn(self, words: list[bytes], placed: bool = False) -> Iterator[bytes]:
+        """Encode words in one call, one to a line, and split the tokens at the lines."""
         lines = [w.decode("utf-8", "replace") for w in words]
-        ids, starts, _ = encode_spans(self.tok, "\n".join(lines))
-        ends = np.cumsum([len(x) + 1 for x in lines])
-        upto = np.searchsorted(starts, ends)
-        raw, data, a = ids.tolist(), ids.astype("<u4").tobytes(), 0
-        for w, b in zip(words, upto.tolist()):
-            name = " ".join([self.names[i] for i in raw[a:b]]) if self.names else ""
-            self.memo[w] = (data[4 * a : 4 * b], name)
-            self.room -= len(w) + 4 * (b - a) + 2 * len(name) + 320  # the objects and their place in the table
+        ids, starts, ends = encode_spans(self.tok, "\n".join(lines))
+        after = np.cumsum([len(x) + 1 for x in lines])
+        upto = np.searchsorted(starts, after)
+        if placed:
+            base = np.repeat(np.r_[0, after[:-1]], np.diff(upto, prepend=0))
+            ids = np.stack([ids, starts - base, ends - base], axis=1)
+        data, a, size = ids.astype("<u4").tobytes(), 0, 12 if placed else 4
+        for b in (size * upto).tolist():
+            yield data[a:b]
             a = b
 
+    def hold(self, most: int) -> None:
+        """Remember up to so many bytes from here on."""
+        self.memo.most = most
+
     def forget(self) -> None:
-        self.memo.clear()
-        self.room = REMEMBERED
+        self.memo.forget()
+        self.places.forget()
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
@@ -179,22 +230,29 @@ class WordEncoder:
                 ids = self.tok.encode(text, add_special_tokens=False).ids
                 yield np.array(ids, "<u4").tobytes(), self.tok.decode(ids, skip_special_tokens=False)
             return
-        memo = self.memo
         for at in range(0, len(texts), 64):
             split = [self._words(t) for t in texts[at : at + 64]]
-            new = {w for words in split for w in words if w not in memo}
-            if new:
-                if self.room < 0:
-                    self.forget()
-                    new = {w for words in split for w in words}
-                self._learn(list(new))
+            memo = self.memo.meet(set().union(*split), self._learn)
             for words in split:
-                got = [memo[w] for w in words]
-                ids = b"".join([g[0] for g in got])
+                ids = np.frombuffer(b"".join(map(memo.__getitem__, words)), "<u4")
                 if self.names:
-                    yield ids, " ".join([g[1] for g in got if g[0]])
+                    yield ids.tobytes(), " ".join(map(self.names.__getitem__, ids.tolist()))
                 else:
-                    yield ids, self.tok.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
+                    yield ids.tobytes(), self.tok.decode(ids.tolist(), skip_special_tokens=False)
+
+    def spans(self, text: str) -> Encoding:
+        """The same as ``encode_spans``, word by word."""
+        if not self.by_word:
+            return encode_spans(self.tok, text)
+        begin = [m.start() for m in _START.finditer(text)]
+        if self._folded(text.encode("utf-8", "replace")):
+            begin = sorted(begin + [m.end(1) for m in _MARKED.finditer(text)])
+        words = self._words(text)
+        memo = self.places.meet(set(words), lambda new: self._learn(new, placed=True))
+        got = [memo[w] for w in words]
+        made = np.frombuffer(b"".join(got), "<u4").reshape(-1, 3)
+        place = np.repeat(np.array(begin, np.int64), np.array([len(g) // 12 for g in got], np.int64))
+        return made[:, 0].copy(), made[:, 1] + place, made[:, 2] + place
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -208,11 +266,13 @@ def _encoder(path: str) -> WordEncoder:
 
 def _leaf_task(path: str) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = _encoder(path).tok
-        for pdf in batches:
-            for key, k, piece in zip(pdf["key"], pdf["k"], pdf["piece"]):
-                ids, a, b = encode_spans(tok, piece)
-                yield pd.DataFrame({"key": [key], "k": [k], "piece": [piece], "ids": [ids.tobytes()], "a": [a.astype(np.int32).tobytes()], "b": [b.astype(np.int32).tobytes()]})
+        try:
+            for pdf in batches:
+                for key, k, piece in zip(pdf["key"], pdf["k"], pdf["piece"]):
+                    ids, a, b = _encoder(path).spans(piece)
+                    yield pd.DataFrame({"key": [key], "k": [k], "piece": [piece], "ids": [ids.tobytes()], "a": [a.astype(np.int32).tobytes()], "b": [b.astype(np.int32).tobytes()]})
+        finally:
+            _encoder(path).places.forget()  # workers are reused
 
     return run
 
@@ -241,12 +301,13 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, remember: bool = False)
     are dealt out, and one task joins the pieces of one text (never more than
     the text itself).  Null text counts as empty: no ids, empty decoded text.
     Repeated rows get equal results; an empty table gives an empty result.
-    ``remember``: a worker's next partitions find the words that it has met (up to ``REMEMBERED``
+    ``remember``: a worker's next partitions find the words that it has met (up to ``HELD``
     bytes, which it then holds for as long as it lives; for jobs that leave workers no other work).
     """
 
     @F.pandas_udf("struct<ids:binary,decoded:string>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        _encoder(path).hold(HELD if remember else REMEMBERED)
         try:
             for texts in batches:  # results leave in small frames: a worker never holds those of a whole batch
                 for at in range(0, len(texts), RESULTS):

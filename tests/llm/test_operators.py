@@ -373,3 +373,27 @@ def test_a_worker_keeps_its_words_for_the_next_partition_if_asked_to(spark):
         if remember:
             assert kept > 0
     assert got[True] == got[False] and len(got[True]) == 8
+
+
+def test_words_in_use_stay_when_a_workers_memory_is_full(monkeypatch):
+    made = bpe.WordEncoder(tokenizer_path())
+    made.hold(20_000)
+    made.forget()
+    learned, learn = [], made._learn
+    monkeypatch.setattr(made, "_learn", lambda words, *placed: learned.extend(words) or learn(words, *placed))
+    texts = [f"common words stay while new{k} ones{k * 7} go" for k in range(640)]
+    got = list(made.encode(texts))
+    want = [made.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids, _ in got] == want
+    assert [d for _, d in got] == [made.tok.decode(ids, skip_special_tokens=False) for ids in want]
+    assert len(learned) > 1000 and learned.count(b"common") == 1  # before, a full memory forgot every word
+    assert len(made.memo) < 500
+
+
+def test_words_at_their_places_are_what_the_library_finds_in_the_whole():
+    made = bpe.WordEncoder(tokenizer_path())
+    rng = random.Random(5)
+    signs = "aB c.,|!' \n\t\r\x1c\x85\xa0\u2028<|endoftext|>19'sZ\xe9\u0301\u0130\ufb01\U0001f600\u1100\u1161"
+    for _ in range(500):
+        text = "".join(rng.choice(signs) for _ in range(rng.randrange(60))) + rng.choice(["", " Word. And<|endoftext|>x", "x.\n"])
+        assert all(np.array_equal(a, b) for a, b in zip(made.spans(text), bpe.encode_spans(made.tok, text)))
