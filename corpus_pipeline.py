@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.llm import bpe, line_dedup, mixing, ngram_join, passages, toxicity
-from lakeforge.llm.common import ROW, WORD, key_mask, masked, materialise, table, text_key, text_of, unwrap
+from lakeforge.llm.common import ROW, WORD, key_mask, masked, materialise, table, temporary, text_key, text_of, unwrap
 from lakeforge.llm.queries import tokenizer_path
 
 
@@ -36,23 +36,19 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     content); null and empty texts stay as they are; exact copies count as one
     text and stay equal; an empty table stays empty.
     """
-    groups = ngram_join.groups(docs, *ngram_join.NEAR)
-    name = "key"
-    while name in docs.columns:
-        name = f"_{name}"
-    made = line_dedup.dedup(docs.withColumn(name, text_key(text_of())), keep=[c for c in docs.columns if c != "text"] + [name], groups=groups)
-    made = made.select(ROW, F.col("clean").alias("text"), F.col("n_dropped") > 0, F.col(f"{ROW}.`{name}`").alias("key"))
-    made = materialise(made.toDF(ROW, "text", "less", "key"), "line_rows")
-    mask = key_mask(groups, F.col("key"))
-    held = masked(made, F.col("key"), mask).join(groups, "key", "left").unionByName(
-        masked(made, F.col("key"), mask, inside=False).withColumn("group", F.lit(None).cast("binary"))
-    )
-    held = held.select(
-        ROW, "text", "less", "key", "group", F.col(f"{ROW}.doc_id").alias("doc_id"), F.xxhash64(F.coalesce("group", "key")).alias("holder"), text_of().alias("body")
-    )
-    cut = passages.drop_shared(held, [ROW, "text", "less", "key", "group"])
-    cut = cut.withColumn("text", F.when(F.col("cut"), F.col("body")).otherwise(F.col("text"))).withColumn("less", F.col("less") | F.col("cut"))
-    whole = whole_again(docs, cut)
+    rows = line_dedup.keyed(docs)
+    with temporary() as hold:
+        groups = ngram_join.groups(docs, *ngram_join.NEAR)
+        drop = hold(line_dedup.drops(rows, groups=groups))
+        made = materialise(less_lines(rows, drop), "line_rows")
+        mask = key_mask(groups, F.col("key"))
+        held = masked(made, F.col("key"), mask).join(groups, "key", "left").unionByName(
+            masked(made, F.col("key"), mask, inside=False).withColumn("group", F.lit(None).cast("binary"))
+        )
+        places = hold(passages.places_to_drop(held.select("key", F.col(f"{ROW}.doc_id").alias("doc_id"), F.xxhash64(F.coalesce("group", "key")).alias("holder"), text_of().alias("body"))))
+        whole = hold(whole_again(docs, less_passages(held, places, "group")))
+    # the texts are cut again from the documents: of the tables above only what goes is kept, no texts
+    cut = less_passages(less_lines(rows, drop), places)
     mask = materialise(key_mask(whole, F.col("key")), "line_mask", files=1)
     back = masked(cut, F.col("key"), mask).join(whole, "key", "left")
     back = back.select(ROW, F.coalesce("whole", "text").alias("text"), (F.col("less") & F.col("whole").isNull()).alias("less"))
@@ -68,6 +64,17 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return cut.select(*out)
 
 
+def less_lines(rows: DataFrame, drop: DataFrame) -> DataFrame:
+    """The rows' columns but the text (one struct), the text without recurring lines, ``less`` (whether any went) and the whole text's key."""
+    return line_dedup.without(rows, drop).select(ROW, F.col("clean").alias("text"), (F.col("n_dropped") > 0).alias("less"), "key")
+
+
+def less_passages(rows: DataFrame, places: DataFrame, *more: str) -> DataFrame:
+    """What ``less_lines`` gives (and the columns ``more``) without the passages at ``places``."""
+    cut = passages.drop_places(rows.withColumn("body", text_of()), places, [ROW, "text", "less", "key", *more])
+    return cut.withColumn("text", F.when(F.col("cut"), F.col("body")).otherwise(F.col("text"))).withColumn("less", F.col("less") | F.col("cut"))
+
+
 def whole_again(docs: DataFrame, cut: DataFrame) -> DataFrame:
     """(key, whole) of the texts whose group of near copies would no longer be one group after the cuts."""
     near = materialise(cut.where("group is not null").select("key", "group", F.col(f"{ROW}.doc_id").alias("doc_id"), "text"), "line_near")
@@ -123,7 +130,8 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage_{name}")
+        with temporary() as keep:  # a stage's working tables go when its result is written
+            docs = keep(materialise(stage(spark, docs, sf_dir), f"stage_{name}"))
     return docs
 
 

@@ -53,13 +53,36 @@ def let(var: str, value: str, body: str) -> str:
     return f"transform(array({value}), {var} -> {body})[0]"
 
 
+#: Whether the shuffle files of a classic (not Connect) execution go when it ends, not when the driver collects garbage;
+#: rows that a task hands to Python at once.
+CLEANUP, BATCH = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def lean(spark: SparkSession) -> Iterator[None]:
+    """What is run in the block leaves no shuffle files and hands whole texts to Python 1,000 rows at a time.
+
+    Nothing may be run in it whose plan is run again later.
+    """
+    had = {k: spark.conf.get(k, v) for k, v in ((CLEANUP, "false"), (BATCH, "10000"))}
+    spark.conf.set(CLEANUP, "true")
+    spark.conf.set(BATCH, str(min(int(had[BATCH]), 1000) if int(had[BATCH]) > 0 else 1000))
+    try:
+        yield
+    finally:
+        for k, v in had.items():
+            spark.conf.set(k, v)
+
+
 def materialise(df: DataFrame, name: str, files: int = 0) -> DataFrame:
     """Write a table to the shared folder and read it back (cuts the lineage).
 
+    The shuffle files of the write go with it: the written table replaces them.
     ``files``: for tables known to be small, how many files (0: one per partition).
     """
     path = shared_dir(df.sparkSession, "llm", name, unique=True)
-    (df.repartition(files) if files else df).write.parquet(path)
+    with lean(df.sparkSession):
+        (df.repartition(files) if files else df).write.parquet(path)
     made = df.sparkSession.read.schema(df.schema).parquet(path)
     if _open.blocks:
         _open.blocks[-1].append((made, path))

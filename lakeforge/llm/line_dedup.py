@@ -150,19 +150,35 @@ def dedup(
     or lose a template alike, and nothing else is compared.  Null text stays null, empty texts
     and repeated rows are kept as rows; an empty table gives an empty result.
     """
+    rows = keyed(docs, keep)
+    return without(rows, drops(rows, depth, min_words, min_docs, similarity, passage, groups)).drop("key")
+
+
+def keyed(docs: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+    """The caller's columns but the text (one struct; ``keep``: only these), doc_id, text and its content key."""
     keep = [c for c in docs.columns if c != "text"] if keep is None else keep
-    rows = wrap(docs, "doc_id", "text", keep=keep).withColumn("key", text_key(text_of()))
-    drop = materialise(
-        recurring(rows, depth, min_words, min_docs, similarity, passage, groups).groupBy("key").agg(F.collect_list("line_no").alias("gone")), "line_drops"
-    )
+    return wrap(docs, "doc_id", "text", keep=keep).withColumn("key", text_key(text_of()))
+
+
+def drops(
+    rows: DataFrame, depth: int = 3, min_words: int = 5, min_docs: int = 3, similarity: float = 0.7, passage: int = 50, groups: DataFrame | None = None
+) -> DataFrame:
+    """(key, gone): the line numbers that go from the texts of ``keyed`` rows, as a written table."""
+    found = recurring(rows, depth, min_words, min_docs, similarity, passage, groups)
+    return materialise(found.groupBy("key").agg(F.collect_list("line_no").alias("gone")), "line_drops")
+
+
+def without(rows: DataFrame, drop: DataFrame) -> DataFrame:
+    """``keyed`` rows as ``dedup`` gives them, and their key."""
     mask = materialise(key_mask(drop, F.col("key")), "line_mask", files=1)
     rows = rows.drop("doc_id")
     some = masked(rows, F.col("key"), mask).join(drop, "key", "left")
     none = masked(rows, F.col("key"), mask, inside=False).withColumn("gone", F.lit(None).cast("array<int>"))
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n")
-    return some.select(ROW, "text", "gone").unionByName(none.select(ROW, "text", "gone")).select(
+    return some.select(ROW, "key", "text", "gone").unionByName(none.select(ROW, "key", "text", "gone")).select(
         ROW,
+        "key",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("clean"),
         (F.length(text_of()) - F.length(F.replace(text_of(), F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),

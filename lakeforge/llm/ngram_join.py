@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -39,70 +39,79 @@ NEAR = (80, 100, 5)  # near duplicates: similarity 0.8 on five words
 SLOT_BITS, PART_BITS = 23, 16  # counters; counters in a part that moves as one row
 PAIRED = 16  # entries of a group up to which its pairs are tested one by one
 BLOCK, BLOCKS = 256, 64  # classes in a block; blocks of a neighbourhood, beyond which its groups are joined one by one
-REMEMBERED = 1 << 23  # bytes of words whose hashes a worker remembers, while it works on one partition
+CHUNK, LONG = 1 << 17, 256  # bytes of texts whose words are hashed at once; bytes of a word, beyond which it is hashed by itself
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 
-
-
-class Hashes:
-    """Hashes of words, remembered up to a number of bytes; nothing is kept past a partition (workers are reused)."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-        self.room = REMEMBERED
-
-    def of(self, words: list[bytes]) -> list[int]:
-        known, out = self.known, []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = xxhash.xxh64_intdigest(w)
-                self.room -= len(w) + 150  # the objects and their place in the table
-                if self.room < 0:
-                    self.forget()
-                known[w] = h
-            out.append(h)
-        return out
-
-    def forget(self) -> None:
-        self.known.clear()
-        self.room = REMEMBERED
-
-
-hashes = Hashes()
-
-
-def forget_hashes() -> None:
-    """A function of the module, so that a worker clears its own hashes, not a copy that came with the task."""
-    hashes.forget()
-
-
-def forgetting(run: Callable) -> Callable:
-    """A task that leaves no hashes behind in its worker."""
-
-    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        try:
-            yield from run(batches)
-        finally:
-            forget_hashes()
-
-    return task
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k of eight bytes
+
+
+def _eights(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one integer."""
+    word, shift = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+    return (data[word] >> shift) | ((data[word + 1] << np.uint64(1)) << (np.uint64(63) - shift))
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte) of the words: equal bytes have equal hashes; only ASCII white space splits."""
+    raw = np.frombuffer(b"".join((data, b" " * (16 - len(data) % 8))), np.uint8)
+    space = (raw == 32) | (raw - np.uint8(9) < 5)
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edges = np.r_[0, edges]
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    eights = raw.view("<u8")
+    out = size.astype(np.uint64) * _MIX[0]
+    at, left, h = start, size, out
+    live = None  # words with bytes left; all at first
+    for _ in range(LONG // 8):
+        h = (h ^ (_eights(eights, at) & _MASKS[np.minimum(left, 8)])) * _MIX[1]
+        h ^= h >> np.uint64(32)
+        h *= _MIX[2]
+        h ^= h >> np.uint64(29)
+        if live is None:
+            out, live = h, np.arange(len(h))
+        else:
+            out[live] = h
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        live, at, left, h = live[more], at[more] + 8, left[more] - 8, h[more]
+    for k in np.flatnonzero(size > LONG).tolist():
+        out[k] = xxhash.xxh64_intdigest(data[start[k] : start[k] + size[k]])
+    return out, start
+
+
+def shingle_sets(texts: Iterable[str], n: int = NGRAM) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of its word n-grams; fewer words: the whole sequence as one."""
+    texts = iter(texts)
+    while True:
+        parts, size = [], 0
+        for t in texts:
+            parts.append(t.encode("utf-8", "replace"))
+            size += len(parts[-1]) + 1
+            if size > CHUNK:
+                break
+        if not parts:
+            return
+        a, start = word_hashes(b"\n".join(parts).lower())  # bytes: only A-Z fold
+        first = np.searchsorted(start, np.cumsum([0] + [len(p) + 1 for p in parts])).tolist()
+        grams = np.zeros(max(0, len(a) - n + 1), np.uint64)
+        for k in range(n):
+            x = a[k : len(grams) + k]
+            grams = (grams ^ (x >> np.uint64(29)) ^ x) * _MIX[k % 4] + np.uint64(k + 1)
+        grams ^= grams >> np.uint64(32)
+        for p, lo, hi in zip(parts, first, first[1:]):
+            if hi - lo >= n:
+                s = np.sort(grams[lo : hi - n + 1])
+                yield s[np.r_[True, s[1:] != s[:-1]]]
+            elif hi > lo:
+                yield np.array([xxhash.xxh64_intdigest(b" ".join(p.lower().split()), seed=hi - lo)], np.uint64)
+            else:
+                yield np.zeros(0, np.uint64)
 
 
 def shingles(text: str, n: int = NGRAM) -> np.ndarray:
-    """Sorted distinct hashes of a text's word n-grams; fewer words: the whole sequence as one."""
-    words = text.encode("utf-8", "replace").lower().split()  # bytes: only A-Z fold, only ASCII white space splits
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < n:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    a = np.array(hashes.of(words), np.uint64)
-    out = np.zeros(len(a) - n + 1, np.uint64)
-    for k in range(n):
-        x = a[k : len(a) - n + 1 + k]
-        out = (out ^ (x >> np.uint64(29)) ^ x) * _MIX[k % 4] + np.uint64(k + 1)
-    out ^= out >> np.uint64(32)
-    return np.unique(out)
+    return next(shingle_sets([text], n))
 
 
 def set_key(s: np.ndarray) -> bytes:
@@ -119,15 +128,17 @@ def _read(ngram: int) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counters = np.zeros(1 << SLOT_BITS, np.uint32)
         for pdf in batches:
-            sets = [shingles(t, ngram) for t in pdf["body"]]
-            for s in sets:
+            cls, n = [], []
+            for s in shingle_sets(pdf["body"], ngram):  # one set at a time, never those of a whole batch
                 counters[_slots(s)] += np.uint32(1)
-            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"], "cls": [set_key(s) for s in sets], "n": [len(s) for s in sets], "part": None, "counts": None})
+                cls.append(set_key(s))
+                n.append(len(s))
+            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"], "cls": cls, "n": n, "part": None, "counts": None})
         for part, c in enumerate(counters.reshape(-1, 1 << PART_BITS)):
             if c.any():
                 yield pd.DataFrame({"rid": [None], "doc_id": [None], "cls": [None], "n": [None], "part": [part], "counts": [zlib.compress(c.tobytes(), 1)]})
 
-    return forgetting(run)
+    return run
 
 
 def _sum_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -162,8 +173,7 @@ def _prefixes(ranks, ngram: int, num: int, den: int) -> Callable:
         for pdf in batches:
             for at in range(0, len(pdf), 512):
                 made = []
-                for t in pdf["body"].iloc[at : at + 512]:
-                    s = shingles(t, ngram)
+                for s in shingle_sets(pdf["body"].iloc[at : at + 512], ngram):
                     c = set_key(s)
                     if len(s) and c not in seen:
                         seen.add(c)
@@ -177,7 +187,7 @@ def _prefixes(ranks, ngram: int, num: int, den: int) -> Callable:
                         "place": np.concatenate([np.arange(x, dtype=np.int32) for x in k]),
                     })
 
-    return forgetting(run)
+    return run
 
 
 def _sets(ranks, ngram: int) -> Callable:
@@ -190,10 +200,10 @@ def _sets(ranks, ngram: int) -> Callable:
             seen.update(pdf["cls"])
             for at in range(0, len(pdf), 128):
                 p = pdf.iloc[at : at + 128]
-                sets = [shingles(t, ngram) for t in p["body"]]
+                sets = shingle_sets(p["body"], ngram)
                 yield pd.DataFrame({"cls": p["cls"], "members": [_rarest(s, ranks.value, len(s)).tobytes() for s in sets], "spots": p["spots"]})
 
-    return forgetting(run)
+    return run
 
 
 def linked(a: list[np.ndarray], b: list[np.ndarray] | None, num: int, den: int, joined: Callable[[int, int], bool] = lambda i, j: False) -> Iterator[tuple[int, int]]:
@@ -309,11 +319,12 @@ def _links(docs: DataFrame, num: int, den: int, ngram: int, block: int, every: b
         ).where("size > 1")
         return rows.join(groups, list(key)).where(alive)
 
-    met = materialise(living(entries, "member").select("member", "cls", "n", "place"), "ngram_met")
-    # sizes that may link are in the same or in neighbouring steps of the similarity: every entry is in two steps
-    step = F.floor(F.ln("n") / F.lit(math.log(den / num) * 1.000001)).cast("int")
-    kept = living(met.withColumn("step", F.explode(F.array(step, step + 1))), "member", "step")
-    kept = materialise(kept.select(F.xxhash64("member", "step").alias("member"), "cls", "n", "place", "size"), "ngram_entries")
+    with temporary() as keep:
+        met = materialise(living(entries, "member").select("member", "cls", "n", "place"), "ngram_met")
+        # sizes that may link are in the same or in neighbouring steps of the similarity: every entry is in two steps
+        step = F.floor(F.ln("n") / F.lit(math.log(den / num) * 1.000001)).cast("int")
+        kept = living(met.withColumn("step", F.explode(F.array(step, step + 1))), "member", "step")
+        kept = keep(materialise(kept.select(F.xxhash64("member", "step").alias("member"), "cls", "n", "place", "size"), "ngram_entries"))
     # neighbourhoods: possible pairs of small groups; of others each class beside the first one
     few = kept.where(F.col("size") <= PAIRED).select("member", "cls", "n", "place")
     other = few.select("member", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("place").alias("at"))
@@ -379,9 +390,10 @@ def groups(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM,
     members, pairs = links(rows.select("rid", "doc_id", "body"), num, den, ngram, block)
     named = members.where("n > 0").select("rid", "cls").distinct().join(components(pairs), F.col("cls") == F.col("node"), "left")
     keys = rows.select("rid", text_key(F.col("body")).alias("key")).distinct()
-    placed = materialise(named.join(keys, "rid").select("key", F.coalesce("root", "cls").alias("group")).distinct(), "ngram_groups")
-    many = placed.groupBy("group").agg(F.count("*").alias("size")).where("size > 1").select("group")
-    return materialise(placed.join(many, "group", "left_semi").select("key", "group"), "ngram_groups")
+    with temporary() as keep:
+        placed = materialise(named.join(keys, "rid").select("key", F.coalesce("root", "cls").alias("group")).distinct(), "ngram_groups")
+        many = placed.groupBy("group").agg(F.count("*").alias("size")).where("size > 1").select("group")
+        return keep(materialise(placed.join(many, "group", "left_semi").select("key", "group"), "ngram_groups"))
 
 
 def join(
@@ -431,10 +443,11 @@ def distinct(docs: DataFrame, num: int = NUM, den: int = DEN, ngram: int = NGRAM
     (a filter of fixed size says which) meet the list of those that go.
     """
     rows = _identified(docs, None)
-    made = by_row(rows.select("rid", "doc_id", "body"), num, den, ngram, block)
-    first = made.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid")).alias("f"))
-    fate = made.join(first, "root").select("rid", (F.col("rid") == F.col("f.rid")).alias("stays"), "times")
-    odd = materialise(fate.where("not stays or times > 1").select("rid", "stays"), "ngram_odd")
+    with temporary() as keep:
+        made = by_row(rows.select("rid", "doc_id", "body"), num, den, ngram, block)
+        first = made.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "rid")).alias("f"))
+        fate = made.join(first, "root").select("rid", (F.col("rid") == F.col("f.rid")).alias("stays"), "times")
+        odd = keep(materialise(fate.where("not stays or times > 1").select("rid", "stays"), "ngram_odd"))
     mask = materialise(key_mask(odd, F.col("rid")), "ngram_mask", files=1)
     sure = masked(rows.select(ROW, "rid"), F.col("rid"), mask, inside=False)
     unsure = masked(rows.select(ROW, "rid"), F.col("rid"), mask).join(odd, "rid", "left")

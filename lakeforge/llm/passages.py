@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from lakeforge.llm.common import WORD, key_mask, masked, materialise, temporary
-from lakeforge.llm.ngram_join import forgetting, hashes
+from lakeforge.llm.ngram_join import word_hashes
 
 WINDOW, GRAM = 51, 20  # words
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
@@ -37,13 +37,20 @@ def _powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+_UP, _DOWN = _powers(1 << 13, _BASE), _powers(1 << 13, _BACK)  # enough for most texts
+
+
+def _first_powers(n: int, base: int) -> np.ndarray:
+    return (_UP if base == _BASE else _DOWN)[:n] if n <= len(_UP) else _powers(n, base)
+
+
 def run_hashes(text: str, *lengths: int) -> list[np.ndarray]:
     """Per length the hashes of all runs of so many words, in order."""
-    made = hashes.of(text.encode("utf-8", "replace").split())  # of bytes: only ASCII white space splits
+    made = word_hashes(text.encode("utf-8", "replace"))[0]
     n = len(made)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(np.array(made, np.uint64) * _powers(n, _BASE), out=sums[1:])
-    back = _powers(n, _BACK)  # so that a run's place does not count
+    np.cumsum(made * _first_powers(n, _BASE), out=sums[1:])
+    back = _first_powers(n, _BACK)  # so that a run's place does not count
     out = []
     for k in lengths:
         if n < k:
@@ -61,14 +68,19 @@ def least(grams: np.ndarray) -> np.ndarray:
     span = WINDOW - GRAM + 1
     if len(grams) < span:
         return np.zeros(0, np.uint64)
-    return np.lib.stride_tricks.sliding_window_view(grams, span).min(axis=1)
+    out, held = grams, 1  # the least of ``held`` hashes from each place on
+    while held < span:
+        more = min(held, span - held)
+        out, held = np.minimum(out[:-more], out[more:]), held + more
+    return out
 
 
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for at in range(0, len(pdf), 256):
             p = pdf.iloc[at : at + 256]
-            prints = [np.unique(least(run_hashes(t, GRAM)[0])).view(np.int64) for t in p["body"]]
+            prints = [least(run_hashes(t, GRAM)[0]) for t in p["body"]]
+            prints = [np.unique(x[np.r_[True, x[1:] != x[:-1]][: len(x)]]).view(np.int64) for x in prints]
             k = [len(x) for x in prints]
             if sum(k):
                 yield pd.DataFrame({
@@ -130,7 +142,7 @@ def shared_places(rows: DataFrame) -> DataFrame:
     """(key, places) of the windows to drop; ``rows``: key, doc_id, holder (long), body."""
     # ids pass through pandas as strings: beside nulls they would be floats
     rows = rows.select("key", F.col("doc_id").cast("string").alias("doc_id"), "holder", "body")
-    made = materialise(rows.mapInPandas(forgetting(_fingerprints), "print long, key binary, holder long, doc_id string"), "passage_all")
+    made = materialise(rows.mapInPandas(_fingerprints, "print long, key binary, holder long, doc_id string"), "passage_all")
     shared = materialise(
         made.groupBy("print").agg(F.min("holder").alias("a"), F.max("holder").alias("b")).where("a <> b").select("print"), "passage_prints"
     )
@@ -139,7 +151,7 @@ def shared_places(rows: DataFrame) -> DataFrame:
     hits = materialise(hits.groupBy("key").agg(F.min(F.col("doc_id").cast("long")).alias("first_id"), F.collect_set("print").alias("prints")), "passage_hits")
     near = materialise(key_mask(hits, F.col("key")), "passage_mask", files=1)
     texts = masked(rows, F.col("key"), near).join(hits, "key").select("key", F.col("first_id").cast("string").alias("doc_id"), "holder", "body", "prints")
-    windows = texts.mapInPandas(forgetting(_windows), "run long, place int, key binary, holder long, doc_id string")
+    windows = texts.mapInPandas(_windows, "run long, place int, key binary, holder long, doc_id string")
     windows = materialise(windows.withColumn("doc_id", F.col("doc_id").cast("long")), "passage_windows")
     first = (
         windows.groupBy("run").agg(F.min("holder").alias("a"), F.max("holder").alias("b"), F.min(F.struct("doc_id", "key", "holder")).alias("first"))
@@ -148,13 +160,17 @@ def shared_places(rows: DataFrame) -> DataFrame:
     return windows.join(first, "run").where("holder <> first_holder").groupBy("key").agg(F.collect_set("place").alias("places"))
 
 
-def drop_shared(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """``keep`` of the rows, ``body`` without the passages that another holder has first, and ``cut`` (whether any went).
+def places_to_drop(rows: DataFrame) -> DataFrame:
+    """(key, places) of the passages that another holder has first, as a written table.
 
-    ``rows``: key, doc_id, holder (long), body and ``keep``; rows of one key have one body and one holder.
+    ``rows``: key, doc_id, holder (long) and body; rows of one key have one body and one holder.
     """
     with temporary() as hold:
-        places = hold(materialise(shared_places(rows), "passage_places"))
+        return hold(materialise(shared_places(rows), "passage_places"))
+
+
+def drop_places(rows: DataFrame, places: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep`` of the rows, ``body`` without the windows at ``places``, and ``cut`` (whether any went); ``rows``: key, body and ``keep``."""
     mask = materialise(key_mask(places, F.col("key")), "passage_mask", files=1)
     some = masked(rows, F.col("key"), mask).join(places, "key", "left")
     none = masked(rows, F.col("key"), mask, inside=False).withColumn("places", F.lit(None).cast("array<int>"))

@@ -1,7 +1,13 @@
 """Near copies stay near copies through line dedup."""
 
+import os
+import random
+
 import corpus_pipeline
-from lakeforge.llm import ngram_join
+from pyspark.sql import functions as F
+
+from lakeforge.llm import common, ngram_join
+from lakeforge.session import shared_dir
 from tests.llm.test_operators import brute_components, frame
 from tests.llm.test_passages import words
 
@@ -33,3 +39,37 @@ def test_a_group_that_cuts_would_part_stays_whole(spark):
     assert before == {1: 1, 2: 2, 3: 2}
     got = {r.doc_id: r.text for r in corpus_pipeline.recurring_lines(spark, docs, None).collect()}
     assert got == {1: texts[0], 2: texts[1], 3: texts[2]}
+
+
+def test_no_working_table_holds_texts_when_a_stage_has_returned(spark):
+    run = words("run", 60)
+    texts = [f"{words(x, 20)}\n{run}\n{words(x + x, 20)}" for x in "abcdef"]
+    docs = common.materialise(frame(spark, texts, list(range(1, 7))), "stage_docs")
+    top = "/" + shared_dir(spark, "llm").removeprefix("file:").lstrip("/")
+    there = lambda: {f"{name}/{x}" for name in os.listdir(top) for x in os.listdir(f"{top}/{name}")}
+    for stage in (corpus_pipeline.recurring_lines, corpus_pipeline.near_duplicates):
+        before = there()
+        made = stage(spark, docs, None)
+        left = {x.split("/")[0] for x in there() - before}
+        assert left <= {"line_drops", "line_mask", "line_whole", "passage_places", "passage_mask", "ngram_odd", "ngram_mask"}
+        assert made.count() == len(texts)
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x for x in disk.getAllFiles().mkString(" ").split() if "/shuffle_" in x}
+    before = shuffled()
+    made = common.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "few")
+    assert shuffled() <= before and made.count() == 7
+    assert spark.conf.get(common.CLEANUP) == "false"
+
+
+def test_equal_words_alone_have_equal_hashes():
+    rng = random.Random(4)
+    for _ in range(300):
+        data = "".join(rng.choice("ab \n\t\x0b\x1c\xe9" + "cd" * rng.randrange(9)) for _ in range(rng.randrange(1200))).encode()
+        made, start = ngram_join.word_hashes(data)
+        want = data.split()
+        assert [data[a : a + len(w)] for a, w in zip(start.tolist(), want, strict=True)] == want
+        assert len(set(zip(want, made.tolist()))) == len(set(want)) == len(set(made.tolist()))
+        assert (ngram_join.word_hashes(b" \n " + data)[0] == made).all()
