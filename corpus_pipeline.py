@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.llm import bpe, line_dedup, mixing, ngram_join, passages, toxicity
-from lakeforge.llm.common import ROW, WORD, key_mask, masked, materialise, table, temporary, text_key, text_of, unwrap
+from lakeforge.llm.common import ROW, WORD, materialise, table, temporary, text_key, text_of, unwrap
 from lakeforge.llm.queries import tokenizer_path
 
 
@@ -39,20 +39,22 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = line_dedup.keyed(docs)
     with temporary() as hold:
         groups = ngram_join.groups(docs, *ngram_join.NEAR)
-        drop = hold(line_dedup.drops(rows, groups=groups))
-        made = materialise(less_lines(rows, drop), "line_rows")
-        mask = key_mask(groups, F.col("key"))
-        held = masked(made, F.col("key"), mask).join(groups, "key", "left").unionByName(
-            masked(made, F.col("key"), mask, inside=False).withColumn("group", F.lit(None).cast("binary"))
+        drop = line_dedup.drops(rows, groups=groups)
+        # a text meets its lines and its group at once: every join is one more plan that the driver keeps
+        some, none = line_dedup.dealt(rows, materialise(drop.join(groups, "key", "full"), "line_marks"), "line_mask")
+        held = line_dedup.less(some.unionByName(none)).select(
+            "key", "doc_id", "group", F.xxhash64(F.coalesce("group", "key")).alias("holder"), text_of("clean").alias("body")
         )
-        places = hold(passages.places_to_drop(held.select("key", F.col(f"{ROW}.doc_id").alias("doc_id"), F.xxhash64(F.coalesce("group", "key")).alias("holder"), text_of().alias("body"))))
-        whole = hold(whole_again(docs, less_passages(held, places, "group")))
-    # the texts are cut again from the documents: of the tables above only what goes is kept, no texts
-    cut = less_passages(less_lines(rows, drop), places)
-    mask = materialise(key_mask(whole, F.col("key")), "line_mask", files=1)
-    back = masked(cut, F.col("key"), mask).join(whole, "key", "left")
-    back = back.select(ROW, F.coalesce("whole", "text").alias("text"), (F.col("less") & F.col("whole").isNull()).alias("less"))
-    cut = masked(cut, F.col("key"), mask, inside=False).select(ROW, "text", "less").unionByName(back)
+        held = materialise(held, "line_rows")
+        places = passages.places_to_drop(held.select("key", "doc_id", "holder", "body"))
+        # of all tables only what goes is kept, no texts: the texts are cut again from the documents
+        edits = drop.join(places, "key", "full").join(apart(held, places), "key", "left_anti")
+        edits = hold(materialise(edits.select("key", "gone", "places"), "line_drops"))
+    some, none = line_dedup.dealt(rows, edits, "line_mask")
+    some = line_dedup.less(some).select(
+        ROW, passages.less_places("clean", "places").alias("text"), (F.col("gone").isNotNull() | F.col("places").isNotNull()).alias("less")
+    )
+    cut = none.select(ROW, "text", F.lit(False).alias("less")).unionByName(some)
     out = []
     for c in docs.columns:
         if c == "text":
@@ -64,28 +66,19 @@ def recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return cut.select(*out)
 
 
-def less_lines(rows: DataFrame, drop: DataFrame) -> DataFrame:
-    """The rows' columns but the text (one struct), the text without recurring lines, ``less`` (whether any went) and the whole text's key."""
-    return line_dedup.without(rows, drop).select(ROW, F.col("clean").alias("text"), (F.col("n_dropped") > 0).alias("less"), "key")
-
-
-def less_passages(rows: DataFrame, places: DataFrame, *more: str) -> DataFrame:
-    """What ``less_lines`` gives (and the columns ``more``) without the passages at ``places``."""
-    cut = passages.drop_places(rows.withColumn("body", text_of()), places, [ROW, "text", "less", "key", *more])
-    return cut.withColumn("text", F.when(F.col("cut"), F.col("body")).otherwise(F.col("text"))).withColumn("less", F.col("less") | F.col("cut"))
+def apart(held: DataFrame, places: DataFrame) -> DataFrame:
+    """(key) of the texts whose group of near copies would no longer be one group after the cuts: they stay whole.
 
-
-def whole_again(docs: DataFrame, cut: DataFrame) -> DataFrame:
-    """(key, whole) of the texts whose group of near copies would no longer be one group after the cuts."""
-    near = materialise(cut.where("group is not null").select("key", "group", F.col(f"{ROW}.doc_id").alias("doc_id"), "text"), "line_near")
+    ``held``: key, doc_id, group and body, the text without recurring lines; ``places``: of the passages that go from it.
+    """
+    some, none = line_dedup.dealt(held.where("group is not null").select("key", "group", "doc_id", "body"), places, "passage_mask")
+    near = none.select("key", "group", "doc_id", F.col("body").alias("text"))
+    near = materialise(near.unionByName(some.select("key", "group", "doc_id", passages.less_places("body", "places").alias("text"))), "line_near")
     after = ngram_join.groups(near.select("doc_id", "text"), *ngram_join.NEAR).select(F.col("key").alias("now"), F.col("group").alias("now_group"))
     seen = near.select("key", "group", text_key(text_of()).alias("now"), F.col("text").rlike(WORD).alias("any")).distinct().join(after, "now", "left")
     # a text without words is linked with nothing
-    apart = seen.groupBy("group").agg(F.count_distinct(F.coalesce("now_group", "now")).alias("parts"), F.min("any").alias("any")).where("parts > 1 or not any")
-    keys = materialise(near.select("key", "group").distinct().join(apart, "group", "left_semi").select("key"), "line_apart")
-    rows = docs.select("text", text_key(text_of()).alias("key"))
-    rows = masked(rows, F.col("key"), key_mask(keys, F.col("key"))).join(keys, "key", "left_semi")
-    return materialise(rows.groupBy("key").agg(F.first("text").alias("whole")), "line_whole")
+    broken = seen.groupBy("group").agg(F.count_distinct(F.coalesce("now_group", "now")).alias("parts"), F.min("any").alias("any")).where("parts > 1 or not any")
+    return near.select("key", "group").distinct().join(broken, "group", "left_semi").select("key")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

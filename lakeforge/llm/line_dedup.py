@@ -100,11 +100,10 @@ def recurring(rows: DataFrame, depth: int, min_words: int, min_docs: int, simila
     fits = F.expr(let("w", "split(shape, ' ')", "aggregate(constants, 0, (a, c) -> a + if(get(w, c.place) <=> c.token, 1, 0))"))
     fitting = mixed.join(common, ["n", "lead"]).where(fits >= F.col("n") * F.lit(similarity)).select("n", "lead", "shape", F.lit(True).alias("fits"))
     template = F.when(F.col("fits"), F.concat_ws(" ", F.lit("leaf"), F.col("n").cast("string"), "lead")).otherwise(F.concat_ws(" ", F.lit("line"), "shape"))
-    fitted = materialise(
-        held.join(fitting, ["n", "lead", "shape"], "left").select("key", "line_no", "doc_id", "n", "chars", text_key(template).alias("template")), "line_templates"
-    )
+    fitted = held.join(fitting, ["n", "lead", "shape"], "left").select("key", "line_no", "doc_id", "n", "chars", text_key(template).alias("template"))
     if groups is not None:
         return alike(fitted, groups, min_docs, passage)
+    fitted = materialise(fitted, "line_templates")
     place = F.struct("doc_id", "key", "line_no")
     templates = (
         fitted.groupBy("template").agg(F.count_distinct("key").alias("texts"), F.min(place).alias("first"), F.max("n").alias("words"))
@@ -170,15 +169,25 @@ def drops(
 
 def without(rows: DataFrame, drop: DataFrame) -> DataFrame:
     """``keyed`` rows as ``dedup`` gives them, and their key."""
-    mask = materialise(key_mask(drop, F.col("key")), "line_mask", files=1)
-    rows = rows.drop("doc_id")
-    some = masked(rows, F.col("key"), mask).join(drop, "key", "left")
-    none = masked(rows, F.col("key"), mask, inside=False).withColumn("gone", F.lit(None).cast("array<int>"))
+    some, none = dealt(rows.drop("doc_id"), drop, "line_mask")
+    return less(some.unionByName(none)).select(ROW, "key", "clean", "n_lines", "n_dropped")
+
+
+def dealt(rows: DataFrame, marks: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with the columns that ``marks`` (one row a key) has for their key, else null: rows whose key
+    may be there, which move to meet it, and rows whose key surely is not, which stay where they are."""
+    mask = materialise(key_mask(marks, F.col("key")), name, files=1)
+    some = masked(rows, F.col("key"), mask).join(marks, "key", "left")
+    none = masked(rows, F.col("key"), mask, inside=False)
+    return some, none.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in marks.schema if f.name != "key"])
+
+
+def less(rows: DataFrame) -> DataFrame:
+    """The rows (text, and gone: the line numbers that go, or null) with clean, n_lines and n_dropped."""
     lines = F.split("text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n")
-    return some.select(ROW, "key", "text", "gone").unionByName(none.select(ROW, "key", "text", "gone")).select(
-        ROW,
-        "key",
+    return rows.select(
+        "*",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("clean"),
         (F.length(text_of()) - F.length(F.replace(text_of(), F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),

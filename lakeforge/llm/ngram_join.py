@@ -299,7 +299,7 @@ def _links(docs: DataFrame, num: int, den: int, ngram: int, block: int, every: b
     spark = docs.sparkSession
     seen = materialise(docs.mapInPandas(_read(ngram), "rid binary, doc_id long, cls binary, n int, part int, counts binary"), "ngram_read")
     members = materialise(seen.where("cls is not null").select("rid", "doc_id", "cls", "n"), "ngram_members")
-    summed = seen.where("part is not null").select("part", "counts").repartition(1 << (SLOT_BITS - PART_BITS), "part").mapInPandas(_sum_parts, "part int, rank binary")
+    summed = seen.where("part is not null").select("part", "counts").repartition("part").mapInPandas(_sum_parts, "part int, rank binary")
     table = np.zeros(1 << SLOT_BITS, np.uint16)  # 16 MB whatever the input
     for r in summed.collect():
         table[r["part"] << PART_BITS : (r["part"] + 1) << PART_BITS] = np.frombuffer(r["rank"], np.uint16)

@@ -14,11 +14,11 @@ their passages and keep or lose them alike.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -169,11 +169,6 @@ def places_to_drop(rows: DataFrame) -> DataFrame:
         return hold(materialise(shared_places(rows), "passage_places"))
 
 
-def drop_places(rows: DataFrame, places: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """``keep`` of the rows, ``body`` without the windows at ``places``, and ``cut`` (whether any went); ``rows``: key, body and ``keep``."""
-    mask = materialise(key_mask(places, F.col("key")), "passage_mask", files=1)
-    some = masked(rows, F.col("key"), mask).join(places, "key", "left")
-    none = masked(rows, F.col("key"), mask, inside=False).withColumn("places", F.lit(None).cast("array<int>"))
-    body = F.when(F.col("places").isNull(), F.col("body")).otherwise(_without("body", F.coalesce("places", F.array().cast("array<int>"))))
-    some = some.select(*keep, body.alias("body"), F.col("places").isNotNull().alias("cut"))
-    return none.select(*keep, "body", F.lit(False).alias("cut")).unionByName(some)
+def less_places(body: str, places: str) -> Column:
+    """The text ``body`` without the windows at ``places`` (null: none); rows go to Python."""
+    return F.when(F.col(places).isNull(), F.col(body)).otherwise(_without(F.coalesce(body, F.lit("")), F.coalesce(places, F.array().cast("array<int>"))))

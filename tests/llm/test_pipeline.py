@@ -1,9 +1,11 @@
 """The corpus pipeline stage by stage."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeforge.llm import ngram_join
+from lakeforge.llm import components, ngram_join
 from tests.llm.test_operators import ODD, ODD_IDS, brute_components, frame
 
 SF = "/root/testdata/sf0.001"
@@ -101,3 +103,35 @@ def test_bpe_stage_equals_the_library(spark):
         ids = tok.encode(r.text or "", add_special_tokens=False).ids
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def jobs_of(spark, run):
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_line_dedup_runs_few_jobs(spark):
+    """The driver keeps plans, metrics and threads of every execution: their number must stay low."""
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(words[i * 40 : i * 40 + 90]) + f"\nthis line recurs in every single text\nown line of text number {i}" for i in range(12)]
+    texts += [t + " more" for t in texts[:4]] + texts[:2]
+    docs = documents(spark, [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)])
+    made = []
+    jobs = jobs_of(spark, lambda: made.extend(corpus_pipeline.recurring_lines(spark, docs, SF).collect()))
+    assert len(made) == len(texts) and any(len(r.text) < len(texts[r.doc_id]) for r in made)
+    assert jobs <= 225, jobs
+
+
+def test_components_write_once_a_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "materialise", lambda df, name, f=components.materialise: written.append(name) or f(df, name))
+    for edges, writes in (([(1, 2), (3, 4), (1, 5)], 2), ([], 2), ([(2, 1), (2, 3)], 3)):
+        written.clear()
+        got = sorted(components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+        assert got == sorted((i, 3 if i in (3, 4) and len(edges) > 2 else 1) for i in {i for e in edges for i in e})
+        assert len(written) == writes
